@@ -19,7 +19,8 @@ def densify(cells: DataFrame, by: str = "series", values: Sequence[str] = ("valu
     following = F.lead("period").over(ordered(by))
     until = F.coalesce(F.add_months(following, -1), F.col("period"))
     months = F.sequence(F.col("period"), until, F.expr("interval 1 month"))
-    spread = cells.withColumn("_own", F.col("period")).withColumn("period", F.explode(months))
+    spread = (cells.withColumn("_own", F.col("period")).withColumn("_months", months)
+              .withColumn("period", F.explode("_months")))
     return spread.select(by, "period", *[
         F.when(F.col("period") == F.col("_own"), F.col(v)).alias(v) for v in values])
 
