@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("medallion", "features", "quality")
+AREAS = ("medallion", "features", "quality", "evaluate")
 
 
 def load():
