@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("medallion", "features", "quality", "evaluate")
+AREAS = ("medallion", "features", "quality", "evaluate", "sources")
 
 
 def load():
