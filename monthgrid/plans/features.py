@@ -125,7 +125,8 @@ def strict_measures(long: DataFrame) -> DataFrame:
         *[F.col(f"_b{k}").alias(f"lag_{k}") for k in LAGS],
         *[mean(w).alias(f"roll{w}_mean") for w in ROLLS],
         pct_change("_b1", F.col("_b2")).alias("mom_pct"),
-        (F.col("_b1") - mean(12)).alias("vs_12mo_avg"))
+        (F.col("_b1") - mean(12)).alias("vs_12mo_avg"),
+        trailing_past(F.stddev_samp, "value", 3, "series").alias("roll3_std"))
 
 
 def strict_wide(strict: DataFrame, target: str, picks: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -153,6 +154,27 @@ HENRY_HUB_FEATURES = {
     "industrial_production_lag_1": ("industrial_production", "prev"),
 }
 
+# The curated oil-price features.
+WTI_FEATURES = {
+    "wti_price_lag_1": ("wti_price", "lag_1"),
+    "wti_price_lag_3": ("wti_price", "lag_3"),
+    "wti_price_roll3_mean": ("wti_price", "roll3_mean"),
+    "wti_price_roll6_mean": ("wti_price", "roll6_mean"),
+    "wti_price_mom_pct": ("wti_price", "mom_pct"),
+    "brent_price_lag_1": ("brent_price", "prev"),
+    "henry_hub_price_lag_1": ("henry_hub_price", "prev"),
+    "crude_imports_lag_1": ("crude_imports", "prev"),
+    "refinery_util_lag_1": ("refinery_util", "prev"),
+    "opec_spare_lag_1": ("opec_spare", "prev"),
+    "global_inv_lag_1": ("global_inv", "prev"),
+    "gasoline_stocks_lag_1": ("gasoline_stocks", "prev"),
+    "distillate_stocks_lag_1": ("distillate_stocks", "prev"),
+    "industrial_production_lag_1": ("industrial_production", "prev"),
+    "dollar_index_lag_1": ("dollar_index", "prev"),
+    "treasury_10y_lag_1": ("treasury_10y", "prev"),
+    "opec_spare_roll3_std": ("opec_spare", "roll3_std"),
+}
+
 
 def rounded(df: DataFrame, keep: Sequence[str], digits: int = 4) -> DataFrame:
     """Round every column but ``keep``."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("medallion", "features", "quality", "evaluate", "sources")
+AREAS = ("medallion", "features", "quality", "evaluate", "sources", "forecasts")
 
 
 def load():

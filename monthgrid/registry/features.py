@@ -257,7 +257,8 @@ def _strict_sql():
 
     return f"""{WIDE17}, st AS (SELECT period, series, value, lag(value) OVER ({_S}) AS prev, {back} FROM long17),
 strict AS (SELECT period, series, value, prev, {', '.join(f'b{k} AS lag_{k}' for k in LAGS)},
-  {', '.join(f'{mean(w)} AS roll{w}_mean' for w in ROLLS)}, (b1 - b2) / nullif(b2, 0) * 100 AS mom_pct, b1 - {mean(12)} AS vs_12mo_avg FROM st)"""
+  {', '.join(f'{mean(w)} AS roll{w}_mean' for w in ROLLS)}, (b1 - b2) / nullif(b2, 0) * 100 AS mom_pct, b1 - {mean(12)} AS vs_12mo_avg,
+  {_past('stddev_samp', 3, 2)} AS roll3_std FROM st)"""
 
 
 STRICT = _strict_sql()
@@ -268,7 +269,7 @@ def strict_long(spark, sf):
 
 
 @query("strict_features", f"""WITH {STRICT} SELECT period, series, value, prev, {', '.join(f'lag_{k}' for k in LAGS)},
-  {', '.join(f"{r4(c)} AS {c}" for c in [*[f'roll{w}_mean' for w in ROLLS], 'mom_pct', 'vs_12mo_avg'])} FROM strict""")
+  {', '.join(f"{r4(c)} AS {c}" for c in [*[f'roll{w}_mean' for w in ROLLS], 'mom_pct', 'vs_12mo_avg', 'roll3_std'])} FROM strict""")
 def strict_features(spark, sf):
     return rounded(strict_long(spark, sf), ("period", "series", "value", "prev", *[f"lag_{k}" for k in LAGS]))
 
