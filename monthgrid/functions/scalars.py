@@ -35,8 +35,9 @@ def round_half_up(c: Column | str, digits: int = 4) -> Column:
     (``x.xxxx5``) carries noise in its last bits. The nudge is far below the kept digits and
     far above that noise.
     """
-    x = col(c)
-    return F.round(x + F.signum(x) * F.lit(1e-5 * 10.0 ** -digits), digits) + F.lit(0.0)
+    if isinstance(c, str):
+        return F.expr(f"round(`{c}` + signum(`{c}`) * 1e-{digits + 5}, {digits}) + 0D")
+    return F.round(c + F.signum(c) * F.lit(10.0 ** -(digits + 5)), digits) + F.lit(0.0)
 
 
 def safe_divide(num: Column | str, den: Column | str) -> Column:
@@ -58,11 +59,10 @@ def month_cos(period: Column | str) -> Column:
 
 def map_label(c: Column | str, labels: Mapping, default: Column | None = None) -> Column:
     """A small fixed mapping as a CASE expression; no join, no shuffle."""
-    items = list(labels.items())
-    key = col(c)
-    expr = F.when(key == F.lit(items[0][0]), F.lit(items[0][1]))
-    for k, v in items[1:]:
-        expr = expr.when(key == F.lit(k), F.lit(v))
+    expr = None
+    for k, v in labels.items():
+        hit = col(c) == F.lit(k)
+        expr = F.when(hit, F.lit(v)) if expr is None else expr.when(hit, F.lit(v))
     return expr if default is None else expr.otherwise(default)
 
 

@@ -42,14 +42,18 @@ def mean_cells(obs: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def pivot_cells(cells: DataFrame, columns: Mapping[str, str] | Sequence[str], series: str,
-                how=F.max, index: Sequence[str] = ("period",)) -> DataFrame:
-    """Long to wide. The columns are given, so no job runs to find them.
+                how: str = "max", index: Sequence[str] = ("period",)) -> DataFrame:
+    """Long to wide by conditional aggregates: one shuffle on the index, combined map-side.
 
-    ``columns`` maps output column to series id, or lists series ids used as column names.
+    ``columns`` maps output column to series id, or lists series ids used as column names; they
+    are given, so no job runs to find them.
     """
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
-    wide = cells.groupBy(*index).pivot(series, list(names.values())).agg(how("value"))
-    return wide.select(*index, *[F.col(f"`{sid}`").alias(out) for out, sid in names.items()])
+    return cells.groupBy(*index).agg(*[_one_series(how, series, sid, "value").alias(out) for out, sid in names.items()])
+
+
+def _one_series(how: str, series: str, sid: str, measure: str) -> Column:
+    return F.expr(f"{how}(CASE WHEN `{series}` = '{sid}' THEN `{measure}` END)")
 
 
 def unpivot(wide: DataFrame, columns: Sequence[str], index: Sequence[str] = ("period",),
@@ -58,20 +62,31 @@ def unpivot(wide: DataFrame, columns: Sequence[str], index: Sequence[str] = ("pe
     return wide.unpivot(list(index), list(columns), series, "value")
 
 
-def grid(cells: DataFrame, columns: Sequence[str], series: str = "series", how=F.max) -> DataFrame:
+def grid(cells: DataFrame, columns: Sequence[str], series: str = "series") -> DataFrame:
     """Every (period of the domain, series) pair, NULL where the series has no value.
 
     Positional windows (lag 1 = previous row of the *table*) need it: a month only some series
     report still counts as a row for all of them. A pivot and its inverse give it without a join.
     """
-    return unpivot(pivot_cells(cells, columns, series, how), columns, series=series)
+    return unpivot(pivot_cells(cells, columns, series), columns, series=series)
+
+
+# Beyond this many output columns the grouped pivot, which keeps one array per measure, is used.
+MAX_CONDITIONAL = 64
 
 
 def pivot_measures(long: DataFrame, series_values: Sequence[str], measures: Sequence[str], series: str = "series",
-                   index: Sequence[str] = ("period",)) -> DataFrame:
-    """Several measures per series to wide columns ``<series>_<measure>``."""
-    return long.groupBy(*index).pivot(series, list(series_values)).agg(
-        *[F.first(m, ignorenulls=True).alias(m) for m in measures])
+                   index: Sequence[str] = ("period",), carry: Sequence[str] = ()) -> DataFrame:
+    """Several measures per series to wide columns ``<series>_<measure>``; one row per (index, series).
+
+    ``carry`` names columns that are the same in all rows of an index value.
+    """
+    if len(series_values) * len(measures) > MAX_CONDITIONAL and not carry:
+        return long.groupBy(*index).pivot(series, list(series_values)).agg(
+            *[F.first(m, ignorenulls=True).alias(m) for m in measures])
+    return long.groupBy(*index).agg(
+        *[F.first(c).alias(c) for c in carry],
+        *[_one_series("max", series, s, m).alias(f"{s}_{m}") for s in series_values for m in measures])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthgrid.catalog import FEATURE_COLUMNS
 from monthgrid.functions.scalars import month_cos, month_sin, pct_change, round_half_up
-from monthgrid.functions.windows import forward_fill, lag, lag_present, trailing_past, whole
+from monthgrid.functions.windows import forward_fill, lag, lag_present, trailing_past
 from monthgrid.operators.cells import mean_cells, pivot_cells, pivot_measures, unpivot
 
 # Lags and rolling windows, in months.
@@ -82,18 +82,19 @@ def scaler(long: DataFrame, measures: Sequence[str], fit: Column | None = None,
         F.when(F.stddev_samp(m) == 0, 1.0).otherwise(F.stddev_samp(m)).alias(f"{m}_std"))])
 
 
-def scaled(long: DataFrame, measures: Sequence[str], fit: Column | None = None, by: str = "series") -> DataFrame:
-    """Z-scores per series. Fit on the rows given by ``fit`` (all, by default).
+def scaled(long: DataFrame, measures: Sequence[str], fit: str | None = None, by: str = "series") -> DataFrame:
+    """Z-scores per series, fitted on the rows the condition ``fit`` selects (all, by default).
 
     The parameters are window aggregates over the series partition the features already have,
     so scaling adds no shuffle and no broadcast, however many series there are.
     """
-    w = whole(by)
+    over = f"OVER (PARTITION BY `{by}`)"
+    rows = "true" if fit is None else fit
 
     def z(m: str) -> Column:
-        x = F.col(m) if fit is None else F.when(fit, F.col(m))
-        mean, dev = F.avg(x).over(w), F.stddev_samp(x).over(w)
-        return (F.col(m) - mean) / F.when(dev == 0, 1.0).otherwise(dev)
+        x = f"CASE WHEN {rows} THEN `{m}` END"
+        dev = f"stddev_samp({x}) {over}"
+        return F.expr(f"(`{m}` - avg({x}) {over}) / CASE WHEN {dev} = 0 THEN 1D ELSE {dev} END")
 
     return long.select(*[z(c).alias(c) if c in measures else F.col(c) for c in long.columns])
 

@@ -17,22 +17,17 @@ GOLD_COLUMNS = ["period", "wti_price", "brent_price", "price_spread", "us_oil_pr
                 "gas_mom_change", "henry_hub_3m_avg", "oil_gas_ratio", "has_outlier"]
 
 
-def series_windows(wide: DataFrame, columns: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    """Window measures of some columns of a monthly table, as ``<column>_<measure>``.
+def with_series_windows(wide: DataFrame, columns: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """A monthly table with window measures of some of its columns added, as ``<column>_<measure>``.
 
     The columns go to long form, so each series is its own window partition, and come back as
     columns. A window over the wide table would put every row into one task.
     """
-    long = unpivot(wide.select("period", *columns), columns)
-    measured = long.select("period", "series", *[c.alias(m) for m, c in measures.items()])
-    return _measures_wide(measured, columns, list(measures))
-
-
-def _measures_wide(measured: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
-    if len(names) == 1:  # a pivot of one aggregate names its columns after the series alone
-        only = pivot_cells(measured.withColumnRenamed(names[0], "value"), columns, "series", F.first)
-        return only.select("period", *[F.col(c).alias(f"{c}_{names[0]}") for c in columns])
-    return pivot_measures(measured, columns, names)
+    rest = [c for c in wide.columns if c not in columns and c != "period"]
+    long = unpivot(wide, columns, ["period", *rest])
+    measured = long.select("period", *rest, "series", "value", *[c.alias(m) for m, c in measures.items()])
+    back = pivot_measures(measured, columns, ["value", *measures], carry=rest)
+    return back.withColumnsRenamed({f"{c}_value": c for c in columns})
 
 
 def silver(obs: DataFrame, domain: Domain, dedupe: str = "latest") -> DataFrame:
@@ -68,10 +63,10 @@ def gold(oil: DataFrame, gas: DataFrame) -> DataFrame:
                    F.col("us_production").alias("us_gas_production"),
                    F.col("price_mom_change").alias("gas_mom_change"), F.col("is_outlier").alias("_gas_outlier"))
     joined = p.join(g, "period", "full").filter(F.col("period").isNotNull())
-    w = series_windows(joined, ["wti_price", "henry_hub_price"], {
+    wide = with_series_windows(joined, ["wti_price", "henry_hub_price"], {
         "avg3": round_half_up(trailing(F.avg, "value", 3, "series")),
         "yoy": round_half_up(change_over("value", 12, "series"))})
-    out = joined.join(w, "period").select(
+    out = wide.select(
         "*", round_half_up(safe_divide("wti_price", "henry_hub_price")).alias("oil_gas_ratio"),
         F.col("wti_price_avg3").alias("wti_3m_avg"), F.col("henry_hub_price_avg3").alias("henry_hub_3m_avg"),
         F.col("wti_price_yoy").alias("wti_yoy_change"),
@@ -85,8 +80,8 @@ def gold_from_means(oil_obs: DataFrame, gas_obs: DataFrame, oil: Domain, gas: Do
     g = pivot_cells(mean_cells(gas_obs, ["series_id"]), gas.columns, "series_id").withColumnRenamed(
         "us_production", "us_gas_production").withColumnRenamed("us_storage_bcf", "us_gas_storage_bcf")
     joined = o.join(g, "period", "full")
-    w = series_windows(joined, ["wti_price", "henry_hub_price"], {"mom": round_half_up(mom_pct("value", "series"))})
-    return joined.join(w, "period").select(
+    wide = with_series_windows(joined, ["wti_price", "henry_hub_price"], {"mom": round_half_up(mom_pct("value", "series"))})
+    return wide.select(
         "period", "wti_price", "brent_price", "us_oil_production",
         round_half_up(F.col("brent_price") - F.col("wti_price")).alias("price_spread"),
         F.col("wti_price_mom").alias("wti_mom_change"), "henry_hub_price", "us_gas_storage_bcf", "us_gas_production",

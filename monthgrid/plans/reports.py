@@ -39,7 +39,7 @@ def seasonal_naive_forecasts(features: DataFrame, windows: Sequence[tuple[int, i
 
 def forecast_pivot(forecasts: DataFrame, models: Sequence[str], index: Sequence[str] = ("target", "forecast_period")) -> DataFrame:
     """Forecasts side by side with the actual value and each model's error, two decimals."""
-    wide = pivot_cells(forecasts.withColumnRenamed("forecast_value", "value"), models, "model_name", F.avg, index)
+    wide = pivot_cells(forecasts.withColumnRenamed("forecast_value", "value"), models, "model_name", "avg", index)
     actual = forecasts.groupBy(*index).agg(F.max("actual").alias("actual"))
     j = wide.join(actual, list(index))
     return j.select(*index, round_half_up("actual", 2).alias("actual"),

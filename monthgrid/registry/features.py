@@ -233,8 +233,7 @@ def zscore(spark, sf):
 
 @query("zscore_fit_window", f"""WITH {ENG} SELECT period, series, {', '.join(f'''{_z(c, "period <= DATE '1999-12-01'")} AS {c}''' for c in _Z)} FROM eng""")
 def zscore_fit_window(spark, sf):
-    fit = F.col("period") <= F.lit("1999-12-01").cast("date")
-    return rounded(scaled(eng_long(spark, sf), _Z, fit), ("period", "series"))
+    return rounded(scaled(eng_long(spark, sf), _Z, "period <= DATE'1999-12-01'"), ("period", "series"))
 
 
 @query("zscore_parameters", f"""WITH {ENG} SELECT series, {r4('avg(value)')} AS value_mean, {r4('stddev_samp(value)')} AS value_std,

@@ -98,7 +98,7 @@ query("order_search")(lambda spark, sf: order_scores(spark, sf))
 
 
 def order_scores(spark, sf):
-    rows = window_rows(targets(spark, sf), WINDOWS[:1])
+    rows = stage(window_rows(targets(spark, sf), WINDOWS[:1]), "search-rows")  # read by every order
     train, test = (rows.filter(F.col("role") == r).select("series", "period", "value") for r in ("train", "test"))
     return order_search(train, test, ["series"])
 

@@ -136,7 +136,7 @@ def quality_log_q(spark, sf):
 
 def exog_bronze(spark, sf):
     obs = all_observations(spark, sf).filter(F.col("provider").isin("segment", "part_type"))
-    return obs.select(feature_name(F.col("provider"), F.col("series_id")).alias("series"), "period", "value",
+    return obs.select(feature_name().alias("series"), "period", "value",
                       F.col("provider").alias("source"))
 
 

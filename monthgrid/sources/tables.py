@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from monthgrid.catalog import Domain
 
@@ -31,8 +32,15 @@ DRIVER_FEATURES = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table. Its schema is read from a file footer once; later reads skip that job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _observations(df: DataFrame, provider: str, series: str, date: str, amount: str) -> DataFrame:
@@ -75,18 +83,15 @@ def all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [f(spark, sf_dir) for f in parts])
 
 
-def feature_name(provider: Column, series_id: Column) -> Column:
-    """Feature column of a (provider, series); NULL for series the catalog does not know."""
-    expr = None
-    for prov, series in DRIVER_FEATURES.items():
-        for sid, name in series.items():
-            hit = (provider == F.lit(prov)) & (series_id == F.lit(sid))
-            expr = F.when(hit, F.lit(name)) if expr is None else expr.when(hit, F.lit(name))
-    return expr
+def feature_name() -> Column:
+    """Feature column of a (provider, series_id) row; NULL for series the catalog does not know."""
+    hits = " ".join(f"WHEN provider = '{p}' AND series_id = '{sid}' THEN '{name}'"
+                    for p, series in DRIVER_FEATURES.items() for sid, name in series.items())
+    return F.expr(f"CASE {hits} END")
 
 
 def feature_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(series, period, value, ingested_at)`` of the 17 known series."""
     obs = all_observations(spark, sf_dir)
-    return (obs.withColumn("series", feature_name(F.col("provider"), F.col("series_id")))
+    return (obs.withColumn("series", feature_name())
             .filter(F.col("series").isNotNull()))
