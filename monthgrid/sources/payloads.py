@@ -38,9 +38,8 @@ OBSERVATION_SCHEMA = T.StructType([
 
 def read_payload_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One row per payload file, its path in ``file``; an unreadable one fills ``_corrupt_record``."""
-    return (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-            .withColumn("file", F.col("_metadata.file_path")))
+    texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    return parse_payload_text(texts, "value", schema).drop("value")
 
 
 def parse_payload_text(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
