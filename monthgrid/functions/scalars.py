@@ -28,6 +28,11 @@ def parse_number(c: Column | str) -> Column:
     return col(c).cast("string").try_cast("double")
 
 
+def rounding(c: str, digits: int = 4) -> str:
+    """SQL text of ``round_half_up`` of a column."""
+    return f"round(`{c}` + signum(`{c}`) * 1e-{digits + 5}, {digits}) + 0D"
+
+
 def round_half_up(c: Column | str, digits: int = 4) -> Column:
     """Round half away from zero, the same for every summation order.
 
@@ -36,7 +41,7 @@ def round_half_up(c: Column | str, digits: int = 4) -> Column:
     far above that noise.
     """
     if isinstance(c, str):
-        return F.expr(f"round(`{c}` + signum(`{c}`) * 1e-{digits + 5}, {digits}) + 0D")
+        return F.expr(rounding(c, digits))
     return F.round(c + F.signum(c) * F.lit(10.0 ** -(digits + 5)), digits) + F.lit(0.0)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthgrid.catalog import FEATURE_COLUMNS
-from monthgrid.functions.scalars import month_cos, month_sin, pct_change, round_half_up
+from monthgrid.functions.scalars import month_cos, month_sin, pct_change, rounding
 from monthgrid.functions.windows import forward_fill, lag, lag_present, trailing_past
 from monthgrid.operators.cells import mean_cells, pivot_cells, pivot_measures, unpivot
 
@@ -67,11 +67,9 @@ def with_seasonality(df: DataFrame) -> DataFrame:
 def engineered_wide(long: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, storage: str = "gas_storage") -> DataFrame:
     """All features as columns: base, 11 per series, seasonality and storage against its yearly mean."""
     wide = pivot_measures(long, columns, ["value", *MEASURES, "vs_12mo_avg"])
-    picked = [F.col(f"{c}_value").alias(c) for c in columns]
-    picked += [F.col(f"{c}_{m}") for c in columns for m in MEASURES]
-    seasonal = with_seasonality(wide)
-    return seasonal.select("period", *picked, "month", "quarter", "month_sin", "month_cos",
-                           F.col(f"{storage}_vs_12mo_avg").alias("storage_vs_12mo_avg"))
+    picked = [f"`{c}_value` AS `{c}`" for c in columns] + [f"`{c}_{m}`" for c in columns for m in MEASURES]
+    return with_seasonality(wide).selectExpr("period", *picked, "month", "quarter", "month_sin", "month_cos",
+                                             f"`{storage}_vs_12mo_avg` AS storage_vs_12mo_avg")
 
 
 def scaler(long: DataFrame, measures: Sequence[str], fit: Column | None = None, by: str = "series") -> DataFrame:
@@ -179,4 +177,4 @@ WTI_FEATURES = {
 
 def rounded(df: DataFrame, keep: Sequence[str], digits: int = 4) -> DataFrame:
     """Round every column but ``keep``."""
-    return df.select(*[F.col(c) if c in keep else round_half_up(c, digits).alias(c) for c in df.columns])
+    return df.selectExpr(*[f"`{c}`" if c in keep else f"{rounding(c, digits)} AS `{c}`" for c in df.columns])

@@ -53,12 +53,25 @@ def _observations(df: DataFrame, provider: str, series: str, date: str, amount:
     )
 
 
-def oil_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _observations(table(spark, sf_dir, "orders"), "oil", "o_orderpriority", "o_orderdate", "o_totalprice")
+def _dated(df: DataFrame, date: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows of an inclusive date range, compared on the stored column so that file statistics prune."""
+    kind = df.schema[date].dataType
+    if start is not None:
+        df = df.filter(F.col(date) >= F.lit(start).cast(kind))
+    if end is not None:
+        after = F.date_add(F.lit(end).cast("date"), 1)
+        df = df.filter(F.col(date) < after.cast(kind))
+    return df
 
 
-def gas_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _observations(table(spark, sf_dir, "lineitem"), "gas", "l_returnflag", "l_shipdate", "l_extendedprice")
+def oil_observations(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    orders = _dated(table(spark, sf_dir, "orders"), "o_orderdate", start, end)
+    return _observations(orders, "oil", "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
+def gas_observations(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    items = _dated(table(spark, sf_dir, "lineitem"), "l_shipdate", start, end)
+    return _observations(items, "gas", "l_returnflag", "l_shipdate", "l_extendedprice")
 
 
 def segment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from monthgrid.session import new_path
-from monthgrid.sinks.tables import replace_by_key
 
 WATERMARK = "60 days"
 
@@ -54,36 +53,27 @@ def exact_once(stream: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
 
 
 class KeyedTable:
-    """A parquet table updated by key from micro-batches.
+    """A parquet table updated by key from micro-batches, the latest batch winning.
 
-    Every batch writes the whole table to a path named by its id and the newest path is the
-    table, so a batch repeated after a failure rewrites its own path and changes nothing else.
-    It holds aggregated rows (a series and a day or month), not raw observations.
+    Every batch writes only its own rows, to a path named by its id; a batch repeated after a
+    failure rewrites that path and changes nothing else. Reading keeps the newest row of each
+    key.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: StructType, keys: Sequence[str]):
         self.spark, self.folder, self.schema, self.keys = spark, folder, schema, list(keys)
 
-    def _versions(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.schema).option("basePath", self.folder).parquet(self.folder)
-        except AnalysisException:  # nothing written yet
-            return None
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """The newest version, or the newest one older than a batch id."""
-        versions = self._versions()
-        if versions is not None:
-            old = versions if before is None else versions.filter(F.col("batch") < before)
-            newest = old.agg(F.max("batch")).first()[0]
-            if newest is not None:
-                return versions.filter(F.col("batch") == newest).drop("batch")
-        return self.spark.createDataFrame([], self.schema)
-
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        merged = replace_by_key(self.read(before=batch_id), batch.select(*self.schema.fieldNames()), self.keys)
-        merged.write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
+        batch.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
 
+    def read(self) -> DataFrame:
+        try:
+            log = self.spark.read.schema(self.schema).option("basePath", self.folder).parquet(self.folder)
+        except AnalysisException:  # nothing has landed yet
+            return self.spark.createDataFrame([], self.schema)
+        newest = F.max_by(F.struct(*[c for c in self.schema.fieldNames() if c not in self.keys]), "batch")
+        return log.groupBy(*self.keys).agg(newest.alias("_row")).select(
+            *[F.col(c) if c in self.keys else F.col(f"_row.{c}") for c in self.schema.fieldNames()])
 
 def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update") -> None:
     """Process everything landed so far, then stop; the next run on the same checkpoint goes on from there."""
