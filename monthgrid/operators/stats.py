@@ -105,3 +105,18 @@ def year_overlay(cells: DataFrame, by: str = "series", min_months: int = 6) -> D
         by, F.year("period").alias("year"), F.month("period").alias("month"), "value")
     n = F.count(F.lit(1)).over(whole([by, "year"]))
     return present.withColumn("_n", n).filter(F.col("_n") >= min_months).drop("_n")
+
+
+def provider_counts(obs: DataFrame, approximate: bool = False) -> DataFrame:
+    """Rows, series and days per provider.
+
+    Exact counts first reduce to (provider, series, day), so distinct sets stay small and no task
+    holds a provider; the approximate form keeps one sketch per provider instead.
+    """
+    if approximate:
+        return obs.groupBy("provider").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct("series_id").alias("n_series"),
+            F.approx_count_distinct("period").alias("n_days"))
+    days = obs.groupBy("provider", "series_id", "period").agg(F.count(F.lit(1)).alias("n"))
+    return days.groupBy("provider").agg(F.sum("n").alias("n_rows"), F.countDistinct("series_id").alias("n_series"),
+                                        F.countDistinct("period").alias("n_days"))

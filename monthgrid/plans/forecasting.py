@@ -330,14 +330,16 @@ def score(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str], by: Seq
     return error_metrics(j, by, "actual", "forecast")
 
 
-def backtest(rows: DataFrame, model: str = "prophet", n_splits: int = 3, horizon: int = HORIZON, by: str = "series") -> DataFrame:
+def backtest(rows: DataFrame, model: str | Callable = "prophet", n_splits: int = 3, horizon: int = HORIZON, by: str = "series") -> DataFrame:
     """Walk-forward metrics per (series, split); all splits of all series are fitted together.
 
+    ``model`` is a name or a function ``(rows, by, horizon) -> forecasts``.
+
     A split that cannot be fitted, or a series too short to be split, is reported in ``error``.
     """
     frame = backtest_frame(rows, by, n_splits, horizon)
     train = frame.filter("role = 'train'").drop("role")
-    fc = fit_predict(train, [by, "split"], model, horizon)
+    fc = model(train, [by, "split"], horizon) if callable(model) else fit_predict(train, [by, "split"], model, horizon)
     m = score(fc, frame.filter("role = 'test'"), [by, "split", "period"], [by, "split"])
     ends = frame.groupBy(by, "split").agg(
         F.max(F.when(F.col("role") == "train", F.col("period"))).alias("train_end"),

@@ -9,7 +9,7 @@ from monthgrid.operators.cells import latest_cells, mean_cells
 from monthgrid.operators.evaluate import (align, backtest_frame, best_config, best_flags, error_metrics, leaderboard,
                                           variant_gap)
 from monthgrid.operators.stats import (correlate_with_targets, latest_and_delta, percent_rank_of_latest, profile,
-                                       seasonal_means, year_overlay)
+                                       provider_counts, seasonal_means, year_overlay)
 from monthgrid.plans.features import feature_cells
 from monthgrid.plans.reports import (FEATURE_GROUPS, forecast_pivot, forecast_view, importance_groups,
                                      latest_per_feature, layer_row, reindex, run_success_rate, seasonal_naive_forecasts)
@@ -230,11 +230,14 @@ query("latest_per_feature", f"""WITH {CELLS} SELECT series, max(period) AS lates
 
 
 @query("provider_counts", f"""WITH {all_obs_sql()} SELECT provider, count(*) AS n_rows, count(DISTINCT series_id) AS n_series, count(DISTINCT period) AS n_days FROM obs GROUP BY 1""")
-def provider_counts(spark, sf):
-    # Counts per (provider, series, day) first: distinct sets are then tiny, and no task holds a provider.
-    days = all_observations(spark, sf).groupBy("provider", "series_id", "period").agg(F.count(F.lit(1)).alias("n"))
-    return days.groupBy("provider").agg(F.sum("n").cast("long").alias("n_rows"), F.countDistinct("series_id").alias("n_series"),
-                                        F.countDistinct("period").alias("n_days"))
+def provider_counts_q(spark, sf):
+    return provider_counts(all_observations(spark, sf))
+
+
+@query("model_minimums", f"""WITH {MET} SELECT target, model_name, min(round(rmse, 2)) AS rmse, min(round(mape, 2)) AS mape FROM met GROUP BY 1, 2""")
+def model_minimums(spark, sf):
+    return metrics(spark, sf).groupBy("target", "model_name").agg(
+        F.min(F.round("rmse", 2)).alias("rmse"), F.min(F.round("mape", 2)).alias("mape"))
 
 
 @query("layer_counts_union", f"""WITH {GOLD} SELECT 'bronze_petroleum' AS layer, max(period) AS latest_period, count(*) AS n_rows FROM oil

@@ -4,21 +4,19 @@ from pyspark.sql import functions as F
 
 from monthgrid.catalog import FEATURE_COLUMNS
 from monthgrid.functions.scalars import round_half_up
-from monthgrid.functions.windows import lag
 from monthgrid.operators.calendar import densify, with_fills
-from monthgrid.operators.evaluate import best_config, best_flags, leaderboard
-from monthgrid.plans.features import HENRY_HUB_FEATURES, WTI_FEATURES, feature_cells, strict_wide
-from monthgrid.plans.forecasting import (Order, SEARCH_ORDERS, backtest, fit_seasonal_ar, fitted_seasonal_ar,
-                                         forecast_seasonal_ar, forecast_trend_seasonal, load_model, order_search,
-                                         predict_seasonal_ar, run_both, save_model, score, to_results, trend_component,
-                                         validate, window_experiment, window_rows)
+from monthgrid.operators.evaluate import best_config, best_flags, error_metrics, variant_gap
+from monthgrid.plans.features import HENRY_HUB_FEATURES, WTI_FEATURES, engineered_wide, strict_wide
+from monthgrid.plans.forecasting import (Order, backtest, fit_seasonal_ar, fitted_seasonal_ar, forecast_seasonal_ar,
+                                         forecast_trend_seasonal, load_model, order_search, predict_seasonal_ar, run_both,
+                                         save_model, to_results, trend_component, validate, window_experiment, window_rows)
 from monthgrid.plans.preprocess import preprocess
 from monthgrid.plans.reports import importance_groups
-from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, chosen, fit_trees, importances, predict_trees,
-                                   sweep, training_rows, wide_rows, with_rounds)
+from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, fit_trees, importances, predict_trees, sweep,
+                                   training_rows, wide_rows, with_rounds)
 from monthgrid.registry.core import feature_cells_sql, query, r4
 from monthgrid.registry.evaluate import fcells
-from monthgrid.registry.features import strict_long
+from monthgrid.registry.features import eng_long, strict_long
 from monthgrid.session import new_path, stage
 from monthgrid.sinks.tables import replace_by_key
 
@@ -108,6 +106,29 @@ query("backtest")(lambda spark, sf: backtest(targets(spark, sf), "prophet", hori
 query("backtest_ar")(lambda spark, sf: backtest(targets(spark, sf), "sarima", horizon=6))
 
 
+def _ar1(rows, by, horizon):
+    return forecast_seasonal_ar(rows, by, AR1, horizon)
+
+
+@query("backtest_ar_exact", f"""WITH RECURSIVE {GRID17},
+n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM gx),
+b AS (SELECT series, period, value, split, i < n - 18 + (split - 1) * 6 AS train FROM n CROSS JOIN (VALUES (1), (2), (3)) s(split) WHERE i < n - 18 + split * 6),
+d AS (SELECT *, value - lag(value, 1) OVER s - lag(value, 12) OVER s + lag(value, 13) OVER s AS w FROM b WHERE train WINDOW s AS (PARTITION BY series, split ORDER BY period)),
+l AS (SELECT *, lag(w) OVER (PARTITION BY series, split ORDER BY period) AS w1 FROM d),
+m AS (SELECT series, split, regr_slope(w, w1) AS phi, regr_intercept(w, w1) AS c FROM l GROUP BY 1, 2),
+st AS (SELECT series, split, max(period) AS train_end, list(value ORDER BY period)[-13:] AS ys, arg_max(w, period) AS w FROM d GROUP BY 1, 2),
+r AS (SELECT series, split, train_end, 0 AS step, ys, w FROM st UNION ALL
+  SELECT r.series, r.split, train_end, step + 1, list_append(ys[2:], c + phi * w + ys[13] + ys[2] - ys[1]), c + phi * w FROM r JOIN m ON m.series = r.series AND m.split = r.split WHERE step < 6),
+f AS (SELECT r.series, r.split, train_end, b.period, {r4('ys[13]')} AS p, b.value AS a FROM r
+  JOIN b ON b.series = r.series AND b.split = r.split AND NOT b.train AND b.period = CAST(train_end + to_months(step) AS DATE) WHERE step > 0)
+SELECT series, split, train_end, min(period) AS test_start, max(period) AS test_end, {r4(r4('sqrt(avg((a - p) * (a - p)))'), 2)} AS rmse,
+  {r4(r4('avg(abs(a - p))'), 2)} AS mae, {r4(r4('avg(abs((a - p) / a)) * 100'), 2)} AS mape, count(*) AS n_periods FROM f GROUP BY 1, 2, 3""")
+def backtest_ar_exact(spark, sf):
+    out = backtest(targets(spark, sf), _ar1, horizon=6)
+    return out.select("series", "split", "train_end", "test_start", "test_end",
+                      *[round_half_up(c, 2).alias(c) for c in ("rmse", "mae", "mape")], "n_periods")
+
+
 @query("future_forecast")
 def future_forecast(spark, sf):
     """Both models on all data of both price targets, next twelve months, replacing earlier results by key."""
@@ -175,6 +196,29 @@ query("forecast_gbt_curated_gas")(lambda spark, sf: _curated(spark, sf, "henry_h
 query("forecast_gbt_curated_oil")(lambda spark, sf: _curated(spark, sf, "wti_price", WTI_FEATURES))
 
 
+@query("forecast_gbt_192")
+def forecast_gbt_192(spark, sf):
+    """One target on every engineered column. Some of them use the current month, so this is no honest forecast."""
+    wide = stage(engineered_wide(eng_long(spark, sf)), "engineered")
+    features = [c for c in wide.columns if c not in ("period", "month", "quarter", *FEATURE_COLUMNS)]
+    train, test = tree_split(wide_rows(wide, "wti_price", features))
+    return predict_trees(fit_trees(train, QUICK_TREES), test, "192 features")
+
+
+@query("tree_variant_gap")
+def tree_variant_gap(spark, sf):
+    """Engineered features against strict ones: how much the current month's leakage flatters the first."""
+    target, names = "henry_hub_price", [*HENRY_HUB_FEATURES, "month_sin", "month_cos"]
+    leaky = stage(engineered_wide(eng_long(spark, sf)).select("period", target, *names), "leaky")
+    strict = stage(strict_wide(strict_long(spark, sf), target, HENRY_HUB_FEATURES), "strict")
+
+    def scored(wide):
+        train, test = tree_split(wide_rows(wide, target, names))
+        return error_metrics(predict_trees(fit_trees(train, QUICK_TREES), test, "x"), ["series"], "value", "forecast")
+
+    return variant_gap(scored(leaky), scored(strict), ["series"])
+
+
 @query("gbt_sweep")
 def gbt_sweep(spark, sf):
     """The eight settings at a tenth of their rounds, judged on 1998 after training through 1997."""

@@ -7,15 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrid.functions.scalars import round_half_up, stable_id
 
 
-def append_bronze(df: DataFrame, path: str, partition: str = "provider") -> None:
-    """Append rows; one directory per provider so that a provider's read prunes the rest."""
-    df.write.mode("append").partitionBy(partition).parquet(path)
+def append_bronze(df: DataFrame, path: str, partition: str = "provider") -> int:
+    """Append rows and say how many; one directory per provider so that a provider's read prunes the rest.
+
+    The count is observed while the rows are written, not by reading them again.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(partition).parquet(path)
+    return seen.get["n"]
 
 
 def truncate_load(df: DataFrame, path: str, partition: str = "provider") -> None:

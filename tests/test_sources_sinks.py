@@ -98,8 +98,8 @@ def test_replace_and_update_by_key(spark):
 def test_append_keeps_and_truncate_replaces_one_partition(spark):
     path = new_path(spark, "t")
     a = spark.createDataFrame([("x", 1.0)], "provider string, value double")
-    append_bronze(a, path)
-    append_bronze(a.unionByName(spark.createDataFrame([("y", 5.0)], a.schema)), path)
+    assert append_bronze(a, path) == 1
+    assert append_bronze(a.unionByName(spark.createDataFrame([("y", 5.0)], a.schema)), path) == 2
     read = lambda: sorted((r["provider"], r["value"]) for r in spark.read.schema(a.schema).parquet(path).collect())
     assert read() == [("x", 1.0), ("x", 1.0), ("y", 5.0)]
     truncate_load(spark.createDataFrame([("x", 7.0)], a.schema), path)
