@@ -28,11 +28,24 @@ def keep_latest(obs: DataFrame, keys: Sequence[str], payload: Sequence[str] = ("
     return obs.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in payload])
 
 
-def latest_cells(obs: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Month cells holding the latest value."""
-    monthly = obs.select(*by, month_of("period").alias("period"), "value", "ingested_at")
-    return (keep_latest(monthly, [*by, "period"])
-            .withColumn("value", round_half_up("value")))
+def keep_latest_value(obs: DataFrame, keys: Sequence[str], recency: str = "ingested_at", value: str = "value") -> DataFrame:
+    """The same for the value alone, where a load stamps many rows with one time.
+
+    The largest value per key and time, then the value of the latest time: both steps compare
+    plain numbers, so they hash where the ordering by a pair has to sort its input first. With a
+    time of its own on every row the first step would reduce nothing; use ``keep_latest`` there.
+    """
+    per_time = obs.groupBy(*keys, recency).agg(F.max(value).alias(value))
+    return per_time.groupBy(*keys).agg(F.max_by(value, recency).alias(value))
+
+
+def latest_cells(obs: DataFrame, by: Sequence[str], stamped_by_load: bool = True) -> DataFrame:
+    """Month cells holding the latest value; a row of unknown load time counts as the oldest."""
+    loaded = F.coalesce(F.col("ingested_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
+    monthly = obs.select(*by, month_of("period").alias("period"), "value", loaded.alias("ingested_at"))
+    keep = keep_latest_value if stamped_by_load else keep_latest
+    # the month leads the keys: where rows are sorted, dates compare faster than series names
+    return keep(monthly, ["period", *by]).select(*by, "period", round_half_up("value").alias("value"))
 
 
 def mean_cells(obs: DataFrame, by: Sequence[str]) -> DataFrame:

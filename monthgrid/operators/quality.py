@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from monthgrid.catalog import MIN_GATE_RATE, Suite
 from monthgrid.functions.scalars import parse_number, parse_period
 
-RESULT = "suite string, expectation string, column string, passed boolean, details string"
+_DATES = ("date", "timestamp", "timestamp_ntz")
 
 
 def _n(cond: Column) -> Column:
@@ -51,7 +51,8 @@ def run_suite(bronze: DataFrame, suite: Suite, as_of: str) -> DataFrame:
     for c in ("series_id", "period", "value"):
         if not has[c]:
             src = src.withColumn(c, F.lit(None).cast("string"))
-    day = parse_period("period")
+    # parsed once per group, not per row
+    day = F.col("_period").cast("date") if dict(src.dtypes)["period"] in _DATES else parse_period("_period")
     value = F.col("value").cast("double") if dict(src.dtypes)["value"] != "string" else parse_number("value")
 
     def of(sid: str) -> Column:
@@ -65,8 +66,8 @@ def run_suite(bronze: DataFrame, suite: Suite, as_of: str) -> DataFrame:
                   F.max(F.when(of(r.series_id), F.col("_v"))).alias(f"max_{i}")]
     for i, (_, sid) in enumerate(suite.not_negative):
         first += [_n(of(sid)).alias(f"nn_n_{i}"), _n(of(sid) & (F.col("_v") < 0)).alias(f"nn_bad_{i}")]
-    groups = (src.select("series_id", F.col("period").alias("_period"), day.alias("_day"), value.alias("_v"))
-              .groupBy("series_id", "_period", "_day").agg(*first))
+    groups = (src.select("series_id", F.col("period").alias("_period"), value.alias("_v"))
+              .groupBy("series_id", "_period").agg(*first).withColumn("_day", day))
 
     unknown = F.col("series_id").isNotNull() & ~F.col("series_id").isin(list(suite.valid_series))
     per_id = groups.groupBy("series_id").agg(

@@ -26,9 +26,10 @@ def test_clean_keeps_zero_and_drops_null_and_negative(spark):
 
 def test_latest_wins_and_ties_take_the_larger_value(spark):
     rows = [("a", d("2020-01-05"), 9.0, at("2020-02-01")), ("a", d("2020-01-20"), 3.0, at("2020-03-01")),
-            ("a", d("2020-01-07"), 4.0, at("2020-03-01")), ("b", d("2020-01-01"), 7.0, at("2020-01-01"))]
-    cells = latest_cells(spark.createDataFrame(rows, OBS), ["series_id"])
-    assert {(r["series_id"], r["period"]): r["value"] for r in cells.collect()} == {("a", d("2020-01-01")): 4.0, ("b", d("2020-01-01")): 7.0}
+            ("a", d("2020-01-07"), 4.0, at("2020-03-01")), ("b", d("2020-01-01"), 7.0, None)]
+    for stamped in (True, False):
+        cells = latest_cells(spark.createDataFrame(rows, OBS), ["series_id"], stamped)
+        assert {(r["series_id"], r["period"]): r["value"] for r in cells.collect()} == {("a", d("2020-01-01")): 4.0, ("b", d("2020-01-01")): 7.0}
 
 
 def test_keep_latest_takes_the_payload_of_one_row(spark):
