@@ -32,6 +32,6 @@ def preprocess(cells: DataFrame, by: str = "series", iqr_k: float = 3.0, normali
         F.month("period").alias("month"), F.quarter("period").alias("quarter"), F.year("period").alias("year"))
     if normalize:
         mean, dev = F.avg("value").over(whole(by)), F.stddev_samp("value").over(whole(by))
-        # a constant series is left as it is
-        out = out.withColumn("value", F.when(dev > 0, (F.col("value") - mean) / dev).otherwise(F.col("value")))
+        # a constant series is left as it is; a single month has no deviation and drops out below
+        out = out.withColumn("value", F.when(dev == 0, F.col("value")).otherwise((F.col("value") - mean) / dev))
     return out.filter(F.col("value").isNotNull())

@@ -113,8 +113,9 @@ def preprocess_target(spark, sf):
     return rounded(preprocess(sparse_cells(spark, sf), iqr_k=0.5), _PREP_KEEP)
 
 
-@query("preprocess_normalized", f"""WITH {PREP} SELECT series, period, {r4('(value - avg(value) OVER (PARTITION BY series)) / stddev_samp(value) OVER (PARTITION BY series)')} AS value
-  FROM prep WHERE value IS NOT NULL""")
+@query("preprocess_normalized", f"""WITH {PREP}, z AS (SELECT series, period, value, avg(value) OVER (PARTITION BY series) AS m, stddev_samp(value) OVER (PARTITION BY series) AS s
+  FROM prep WHERE value IS NOT NULL)
+SELECT series, period, {r4('CASE WHEN s = 0 THEN value ELSE (value - m) / s END')} AS value FROM z WHERE s IS NOT NULL""")
 def preprocess_normalized(spark, sf):
     return preprocess(sparse_cells(spark, sf), iqr_k=0.5, normalize=True).select("series", "period", round_half_up("value").alias("value"))
 

@@ -80,7 +80,8 @@ def test_preprocess_equals_pandas(monthly):
     same(ordered(out, "rolling_6_mean"), s.rolling(6, min_periods=1).mean().tolist())
     same(ordered(out, "rolling_3_std"), s.rolling(3, min_periods=1).std().tolist())
     same(ordered(out, "mom_pct"), (s.pct_change() * 100).tolist())
-    z = preprocess(monthly({"a": values, "c": [4.0] * 5}), normalize=True)
+    z = preprocess(monthly({"a": values, "c": [4.0] * 5, "one": [3.0]}), normalize=True)
+    assert ordered(z, "value", "one") == []
     same(ordered(z, "value"), ((s - s.mean()) / s.std()).tolist())
     assert ordered(z, "value", "c") == [4.0] * 5
 
