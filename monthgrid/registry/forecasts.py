@@ -84,10 +84,10 @@ def forecast_exog(spark, sf):
     t = targets(spark, sf)
     x = t.filter(F.col("series").isin(EXOG)).select(F.add_months("period", 12).alias("period"), "series", "value")
     exog = x.groupBy("period").pivot("series", EXOG).agg(F.first("value"))
-    prices = t.filter(F.col("series").isin("wti_price", "henry_hub_price"))
+    names = ["wti_price", "henry_hub_price"]
+    prices = t.filter(F.col("series").isin(names))
     train = prices.join(exog, "period").dropna(subset=EXOG)
-    names = prices.select("series").distinct()
-    future = exog.dropna(subset=EXOG).withColumn("_one", F.lit(1)).join(F.broadcast(names.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    future = exog.dropna(subset=EXOG).withColumn("series", F.explode(F.array(*[F.lit(n) for n in names])))
     model = fit_seasonal_ar(train, ["series"], Order(), EXOG)
     return predict_seasonal_ar(model, ["series"], Order(), exog=EXOG, future=future)
 
