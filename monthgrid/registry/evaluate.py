@@ -2,10 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from monthgrid.catalog import FEATURE_COLUMNS
 from monthgrid.functions.scalars import map_label, round_half_up, window_label
 from monthgrid.operators.calendar import densify
-from monthgrid.operators.cells import latest_cells, mean_cells
 from monthgrid.operators.evaluate import (align, backtest_frame, best_config, best_flags, error_metrics, leaderboard,
                                           variant_gap)
 from monthgrid.operators.stats import (correlate_with_targets, latest_and_delta, percent_rank_of_latest, profile,
@@ -13,7 +11,7 @@ from monthgrid.operators.stats import (correlate_with_targets, latest_and_delta,
 from monthgrid.plans.features import feature_cells
 from monthgrid.plans.reports import (FEATURE_GROUPS, forecast_pivot, forecast_view, importance_groups,
                                      latest_per_feature, layer_row, reindex, run_success_rate, seasonal_naive_forecasts)
-from monthgrid.registry.core import (GAS, OIL, all_obs_sql, feature_cells_sql, latest_cells_sql, query, r4)
+from monthgrid.registry.core import OIL, all_obs_sql, feature_cells_sql, query, r4
 from monthgrid.registry.features import ENG, SPARSE, eng_long, sparse_cells
 from monthgrid.registry.medallion import GOLD, gold_df, silver_gas_df, silver_oil_df
 from monthgrid.sinks.tables import replace_by_key, update_by_key

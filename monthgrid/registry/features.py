@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from monthgrid.catalog import FEATURE_COLUMNS
-from monthgrid.functions.scalars import month_cos, month_sin, pct_change, round_half_up
+from monthgrid.functions.scalars import pct_change, round_half_up
 from monthgrid.functions.windows import forward_fill, lag, trailing_past
 from monthgrid.operators.calendar import densify, with_fills, with_interpolated
 from monthgrid.operators.cells import latest_cells, null_counts, unpivot
@@ -13,7 +13,7 @@ from monthgrid.plans.features import (HENRY_HUB_FEATURES, LAGS, MEASURES, ROLLS,
                                       feature_cells, feature_wide, feature_wide_by_joins, rounded, scaled, scaler,
                                       strict_measures, strict_wide, unscaled, with_seasonality)
 from monthgrid.plans.preprocess import preprocess
-from monthgrid.registry.core import feature_cells_sql, latest_cells_sql, month, query, r4, wide17_sql
+from monthgrid.registry.core import feature_cells_sql, latest_cells_sql, query, r4, wide17_sql
 from monthgrid.sources.tables import feature_observations, table
 
 # ---- sparse cells: months of each (segment, status) series; whole months are missing at small scale ----
