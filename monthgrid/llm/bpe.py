@@ -31,7 +31,7 @@ BLOCK = 16 << 20
 #: Longer pieces are merged with a heap, so that a run of a million letters stays near-linear.
 HEAP_FROM = 64
 #: White space as the rank files' own library understands it, which leaves out the separators U+001C to U+001F.
-WHITE = r"\t-\r\x20\x85\xa0  -     　"
+WHITE = r"\p{White_Space}"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
