@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from monthgrid.llm import bpe, decontaminate, near_dup
+from monthgrid.llm import bpe, decontaminate, near_dup, pii
 
 
 def load():
     """(queries, oracle SQL)."""
-    queries = {"op1_byte_bpe": bpe.op1_byte_bpe, "op6_decontaminate": decontaminate.op6_decontaminate, "op9_minhash_near_dup": near_dup.op9_minhash_near_dup}
+    queries = {"op1_byte_bpe": bpe.op1_byte_bpe, "op5_pii": pii.op5_pii, "op6_decontaminate": decontaminate.op6_decontaminate, "op9_minhash_near_dup": near_dup.op9_minhash_near_dup}
     oracles = {"op6_decontaminate": decontaminate.SQL, "op9_minhash_near_dup": near_dup.SQL}
     return queries, oracles
