@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from monthgrid.llm import bpe, decontaminate, near_dup, pii
+from monthgrid.llm import bpe, decontaminate, near_dup, pii, warc
 
 
 def load():
     """(queries, oracle SQL)."""
-    queries = {"op1_byte_bpe": bpe.op1_byte_bpe, "op5_pii": pii.op5_pii, "op6_decontaminate": decontaminate.op6_decontaminate, "op9_minhash_near_dup": near_dup.op9_minhash_near_dup}
-    oracles = {"op6_decontaminate": decontaminate.SQL, "op9_minhash_near_dup": near_dup.SQL}
+    queries = {"op1_byte_bpe": bpe.op1_byte_bpe, "op5_pii": pii.op5_pii, "op6_decontaminate": decontaminate.op6_decontaminate, "op8_warc": warc.op8_warc,
+               "op9_minhash_near_dup": near_dup.op9_minhash_near_dup}
+    oracles = {"op6_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op9_minhash_near_dup": near_dup.SQL}
     return queries, oracles
