@@ -63,5 +63,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     locally checkpointed frame does not.
     """
     path = new_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
