@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from monthgrid.llm import bpe, decontaminate, extract, near_dup, pii, resample, toxicity, warc
+from monthgrid.llm import bpe, decontaminate, extract, near_dup, perplexity, pii, resample, toxicity, warc
 
 
 def load():
     """(queries, oracle SQL)."""
     queries = {"op1_byte_bpe": bpe.op1_byte_bpe, "op2_toxicity": toxicity.op2_toxicity,
-               "op3_importance_resampling": resample.op3_importance_resampling, "op5_pii": pii.op5_pii, "op6_decontaminate": decontaminate.op6_decontaminate, 
+               "op3_importance_resampling": resample.op3_importance_resampling, "op4_perplexity_bands": perplexity.op4_perplexity_bands, "op5_pii": pii.op5_pii, "op6_decontaminate": decontaminate.op6_decontaminate, 
                "op7_page_differencing": extract.op7_page_differencing, "op8_warc": warc.op8_warc,
                "op9_minhash_near_dup": near_dup.op9_minhash_near_dup}
     oracles = {"op6_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op9_minhash_near_dup": near_dup.SQL}
