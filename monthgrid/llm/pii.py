@@ -48,6 +48,8 @@ CALLING = r"^\+?(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 SPEAK_FOR = ("call phone tel mobile fax contact mail email e-mail write address host server ip login user account card visa "
              "credit pay key secret password token ssn iban telefon anruf kontakt téléphone appel courriel teléfono correo llame")
 SPEAK_AGAINST = "version license licence release section chapter page figure isbn doi order item apache gnu build v ver no"
+#: A text without any of these characters has no candidates.
+ABLE = r"'[0-9@=:\\[(]|AKIA'"
 VOTES = ("strict", "listed", "before_for", "before_against", "edges")
 ROUNDS = 30
 
@@ -72,7 +74,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(row, doc_id, spans) of every row of ``docs``; spans has every match of every form, null where there is none."""
     found = "concat(" + ", ".join(_found(form, pattern) for form, _, pattern in FORMS) + ")"
     return (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-            .withColumn("spans", F.expr(f"CASE WHEN text RLIKE '[0-9@=\\\\[(]' THEN {found} END")).drop("text")
+            .withColumn("spans", F.expr(f"CASE WHEN text RLIKE {ABLE} THEN {found} END")).drop("text")
             .withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -222,10 +224,11 @@ def redacted(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; all columns stay, n_chars follows the text.
 
     Rows are matched by id and text, so repeated ids do no harm. Where spans overlap, the union is replaced once, by the kind
-    that begins first. Rows without spans stay as they are, null texts stay null.
+    that begins first. Rows without spans stay as they are, null texts stay null. Only texts that may hold a candidate are shuffled.
     """
     keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "to-redact")
-    rows, found = spans(keyed.select(F.col("__row").alias("doc_id"), "text"), threshold)
+    able = F.coalesce(F.expr(f"text RLIKE {ABLE}"), F.lit(False))
+    rows, found = spans(keyed.filter(able).select(F.col("__row").alias("doc_id"), "text"), threshold)
     w = Window.partitionBy("row").orderBy("start", "order", "end")
     reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     runs = (found.withColumn("begins", (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int"))
@@ -239,7 +242,8 @@ def redacted(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
                   cast(c.start - CASE WHEN i = 0 THEN 0 ELSE element_at(__cuts, i).end END AS int)),
         '[', upper(c.kind), ']')), ''), substring(text, cast(element_at(__cuts, -1).end AS int) + 1))""")
     text = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(pieces)
-    out = keyed.join(cuts, "__row", "left").withColumn("text", text)
+    out = keyed.filter(able).join(cuts, "__row", "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return keyed.filter(~able).select(*columns).unionByName(out.select(*columns))
