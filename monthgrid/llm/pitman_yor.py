@@ -2,8 +2,9 @@
 
 Words are the tokens. One restaurant seats all training tokens; its dishes are words, and a new table's word is drawn from a
 spelling model: restaurants of characters, one for each context of up to three characters before, all contexts that end alike
-sharing the parent restaurant of the shorter context, down to a uniform choice. So a word never seen has the probability of its
-spelling, and a frequent one mostly its own.
+sharing the parent restaurant of the shorter context, down to a uniform choice. So a rare word has mostly the probability of its
+spelling, and a frequent one its own. As in the base score, all words outside the training texts are one unknown word: it has
+the mass of a new table times that of all spellings not seen, so the probabilities of all known words and this one add up to 1.
 
 Seating is sampled by Gibbs sweeps. A sweep reseats every word's customers one after the other, given the tables of all other
 words and the spelling model of the sweep before (beyond 64 customers in groups that grow by a sixteenth, rounded at random).
@@ -21,7 +22,6 @@ shuffle a row per token (3.5 GB for 0.5 GB of input, beyond the check's disk lim
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,18 +196,29 @@ def _sweep(known, d: float, sweep: int):
     return run
 
 
-def _score(known, d: float, total: int):
+def _seen(known):
+    """The spelling mass of the training words of each bucket under each kept model."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                spelt, c = spell(unzip_pieces(row["words"])), np.frombuffer(row["counts"], np.int64)
+                mass = [float(model.words(spelt)[c > 0].sum()) for _, _, _, model, _ in known.value]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(mass)), pa.int32()), pa.array(mass, pa.float64())], names=["sample", "mass"])
+    return run
+
+
+def _score(known, seen: list[float], d: float, total: int):
     """Average predictive log10 probability of each word of a bucket over the kept sweeps."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
                 words, c = unzip_pieces(row["words"]), np.frombuffer(row["counts"], np.int64)
                 spelt, seeds, p, last = spell(words), _hash(words), np.zeros(len(words)), (None, None)
-                for sweep, before, tables_before, model, tables in known.value:
+                for (sweep, before, tables_before, model, tables), mass in zip(known.value, seen):
                     was = last[1] if last[0] == sweep - 1 else before.words(spelt)
                     now = model.words(spelt)
                     t = _tables(c, was, tables_before, d, seeds, sweep)
-                    p += (np.maximum(c - d * t, 0) + (THETA + d * tables) * now) / (THETA + total)
+                    p += (np.maximum(c - d * t, 0) + (THETA + d * tables) * np.where(c > 0, now, max(1 - mass, 0))) / (THETA + total)
                     last = (sweep, now)
                 logp = np.log10(np.maximum(p / len(known.value), 1e-300)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([row["words"]], pa.binary()),
@@ -254,7 +265,7 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP)
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text).
 
     Only texts marked by ``learns`` are learnt from; the others are held out. Null and empty texts are one token, the end. Without
-    training texts every word has the probability of its spelling under the uniform model. Repeated rows and null ids are rows like
+    training texts every token is the unknown word, with probability 1. Repeated rows and null ids are rows like
     any other; other columns are not read. ``score`` sums log10 probabilities per token, so ``10 ** (-score / n_tokens)`` is the perplexity.
     """
     spark = docs.sparkSession
@@ -274,8 +285,11 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP)
         model = Spelling(code[code >= 0][order], n[code >= 0][order], model, sweep)
         if sweep > burn:
             kept.append((sweep, *before, model, tables))
+    known = spark.sparkContext.broadcast(kept)
+    masses = vocabulary.select("words", "counts").mapInArrow(_seen(known), "sample int, mass double").groupBy("sample").agg(F.sum("mass").alias("mass")).collect()
+    masses = dict(map(tuple, masses))
     probable = vocabulary.select("bucket", "words", "counts").mapInArrow(
-        _score(spark.sparkContext.broadcast(kept), d, total), "bucket int, words binary, counts binary, logp binary")
+        _score(known, [masses.get(i, 0.0) for i in range(len(kept))], d, total), "bucket int, words binary, counts binary, logp binary")
     found = (probable.groupBy("bucket").cogroup(by_bucket(blocks).select("block", "bucket", "pieces", "at").groupBy("bucket"))
              .applyInArrow(_to_blocks, "block bigint, at binary, low binary, high binary, logp binary"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -285,9 +299,5 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP)
             .applyInArrow(_documents(schema, total, kinds), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
 
 
-def perplexity(score: float, n_tokens: int) -> float:
-    return math.pow(10, -score / n_tokens)
-
-
 def op10_pitman_yor(spark, sf_dir) -> DataFrame:
     return scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), F.coalesce(remainder(10) != 0, F.lit(True)))

@@ -70,3 +70,12 @@ def test_seating_draws_as_many_tables_as_the_process_expects():
 def test_held_out_texts_score_better_than_smoothed_counts(spark):
     got = [r for r in P.op10_pitman_yor(spark, "/root/testdata/sf0.001").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_known_words_and_the_unknown_one_add_up_to_one(spark):
+    rows = [(i, f"{w} the cat sat") for i, w in enumerate("a b c d e f g h a a b the the cat dog".split())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    probes = spark.createDataFrame([(1000 + i, w) for i, w in enumerate("a b c d e f g h the cat sat dog zebra".split())], "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in P.scored(df.union(probes), P.F.col("doc_id") < 1000).collect()}
+    end = P.scored(df.union(spark.createDataFrame([(2000, "")], "doc_id bigint, text string")), P.F.col("doc_id") < 1000).filter("doc_id = 2000").first().score
+    assert sum(10 ** (got[1000 + i] - end) for i in range(13)) + 10**end == pytest.approx(1, abs=1e-4)
