@@ -84,19 +84,12 @@ def grid(cells: DataFrame, columns: Sequence[str], series: str = "series") -> Da
     return unpivot(pivot_cells(cells, columns, series), columns, series=series)
 
 
-# Beyond this many output columns the grouped pivot, which keeps one array per measure, is used.
-MAX_CONDITIONAL = 64
-
-
 def pivot_measures(long: DataFrame, series_values: Sequence[str], measures: Sequence[str], series: str = "series",
                    index: Sequence[str] = ("period",), carry: Sequence[str] = ()) -> DataFrame:
     """Several measures per series to wide columns ``<series>_<measure>``; one row per (index, series).
 
     ``carry`` names columns that are the same in all rows of an index value.
     """
-    if len(series_values) * len(measures) > MAX_CONDITIONAL and not carry:
-        return long.groupBy(*index).pivot(series, list(series_values)).agg(
-            *[F.first(m, ignorenulls=True).alias(m) for m in measures])
     return long.groupBy(*index).agg(
         *[F.first(c).alias(c) for c in carry],
         *[_one_series("max", series, s, m).alias(f"{s}_{m}") for s in series_values for m in measures])

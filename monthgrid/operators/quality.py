@@ -94,33 +94,33 @@ def run_suite(bronze: DataFrame, suite: Suite, as_of: str) -> DataFrame:
 
     rows = [
         _result("expect_no_null_series_id", "series_id", _zero("null_id"),
-                _either("null_id", "%d null series_id values found", "All series_id values present")),
+                _either("null_id", "series_id is NULL in %d rows", "series_id is never NULL")),
         _result("expect_no_null_period", "period", _zero("null_period"),
-                _either("null_period", "%d null period values found", "All periods present")),
+                _either("null_period", "period is NULL in %d rows", "period is never NULL")),
         _result("expect_no_null_value", "value", null_pct <= suite.max_null_pct,
-                F.format_string(f"%d null values (%.1f%%) - threshold {suite.max_null_pct}%%", F.col("null_value"), null_pct)),
+                F.format_string(f"value is NULL in %d rows, %.1f%%, allowed {suite.max_null_pct}%%", F.col("null_value"), null_pct)),
         _result("expect_valid_series_ids", "series_id", _zero("unknown"),
-                _either("unknown", "%d unknown series IDs", "All series IDs valid")),
+                _either("unknown", "ids outside the catalog: %d", "every id is in the catalog")),
     ]
     for i, r in enumerate(suite.ranges):
-        ok = F.format_string(f"All {r.label} values in range | min=%.2f max=%.2f", F.col(f"min_{i}"), F.col(f"max_{i}"))
+        ok = F.format_string(f"{r.label}: from %.2f to %.2f, as expected", F.col(f"min_{i}"), F.col(f"max_{i}"))
         rows.append(_result(r.expectation, "value", _zero(f"out_{i}"),
-                            F.when(F.col(f"n_{i}") == 0, F.lit(f"No {r.label} rows found - skipped"))
-                            .otherwise(_either(f"out_{i}", f"%d {r.label} values outside [{r.low}, {r.high}]", ok))))
+                            F.when(F.col(f"n_{i}") == 0, F.lit(f"not judged, no rows of {r.label}"))
+                            .otherwise(_either(f"out_{i}", f"{r.label}: %d rows beyond {r.low} to {r.high}", ok))))
     rows += [
         _result("expect_no_future_periods", "period", _zero("future"),
-                _either("future", "%d future periods found", "No future periods")),
+                _either("future", "rows dated ahead: %d", "nothing is dated ahead")),
         _result("expect_no_duplicate_rows", "series_id, period", _zero("dupes"),
-                _either("dupes", "%d duplicate (series_id, period) rows", "No duplicates")),
+                _either("dupes", "repeats of a series and period: %d", "each series and period once")),
         _result("expect_minimum_row_count", None, F.col("n") >= suite.min_rows,
-                F.format_string(f"%d rows found - minimum required: {suite.min_rows}", F.col("n"))),
+                F.format_string(f"rows: %d, needed: {suite.min_rows}", F.col("n"))),
         _result("expect_period_not_before_min_date", "period", _zero("old"),
-                _either("old", f"%d rows before {suite.min_date}", f"All periods after {suite.min_date}")),
+                _either("old", f"rows dated before {suite.min_date}: %d", f"nothing dated before {suite.min_date}")),
     ]
     for i, (name, sid) in enumerate(suite.not_negative):
         rows.append(_result(name, "value", _zero(f"nn_bad_{i}"),
-                            F.when(F.col(f"nn_n_{i}") == 0, F.lit("No rows of the series - skipped"))
-                            .otherwise(_either(f"nn_bad_{i}", "%d negative values", "No negative values"))))
+                            F.when(F.col(f"nn_n_{i}") == 0, F.lit("not judged, the series has no rows"))
+                            .otherwise(_either(f"nn_bad_{i}", "rows below zero: %d", "nothing below zero"))))
     out = one.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(suite.name).alias("suite"), "r.*")
 
     needs = {"series_id": ("series_id",), "period": ("period",), "value": ("value",), "series_id, period": ("series_id", "period")}
@@ -129,7 +129,7 @@ def run_suite(bronze: DataFrame, suite: Suite, as_of: str) -> DataFrame:
         lost = F.col("column").isin(gone)
         out = out.select("suite", "expectation", "column",
                          F.when(lost, F.lit(False)).otherwise(F.col("passed")).alias("passed"),
-                         F.when(lost, F.lit("Required columns missing")).otherwise(F.col("details")).alias("details"))
+                         F.when(lost, F.lit("not judged, a column is missing")).otherwise(F.col("details")).alias("details"))
     return out
 
 

@@ -1,6 +1,6 @@
 """Least squares per group: the sums run on Spark, only the small systems are solved in Python.
 
-A group's rows reduce to its k x k sums of products by a mergeable aggregate, so a group never
+A group's rows reduce to their means and k x k covariances by a mergeable aggregate, so a group never
 has to fit into one task; what reaches Python is one short array per group.
 """
 
@@ -15,58 +15,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def sums_of_products(rows: DataFrame, by: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
-    """``(*by, xtx, xty, yty, n)`` per group, over rows without a NULL; ``xtx`` is the upper triangle."""
-    one = F.lit(1.0)
-    x = [one, *[F.col(c) for c in xs]]
-    full = rows.filter(F.array_size(F.filter(F.array(F.col(y), *x[1:]), lambda v: v.isNull())) == 0)
-    names, aggs = [], []
-    for i in range(len(x)):
-        for j in range(i, len(x)):
-            names.append(f"_s{i}_{j}")
-            aggs.append(F.sum(x[i] * x[j]).alias(names[-1]))
-    ynames = [f"_y{i}" for i in range(len(x))]
-    aggs += [F.sum(xi * F.col(y)).alias(n) for xi, n in zip(x, ynames)]
-    g = full.groupBy(*by).agg(*aggs, F.sum(F.col(y) * F.col(y)).alias("yty"), F.count(F.lit(1)).alias("n"))
-    return g.select(*by, F.array(*names).alias("xtx"), F.array(*ynames).alias("xty"), "yty", "n")
-
-
-def solver(k: int, penalty: Sequence[float] | None = None, ridge: float = 1e-12):
-    """A vectorised UDF solving all groups of a batch at once: ``(xtx, xty, yty, n) -> {beta, sigma}``.
-
-    ``k`` counts the constant. Columns are scaled to unit diagonal before a very small ridge, so
-    units do not matter; ``penalty`` adds to the diagonal of chosen columns. Groups with too few
-    rows give NULL.
+def moments(rows: DataFrame, by: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
+    """``(*by, means, cov, n)`` per group, over rows without a NULL.
+
+    ``means`` of ``xs`` and then ``y``; ``cov`` the upper triangle of their population covariances. Both merge without losing
+    digits where values lie far from zero, which raw sums of products do.
+    """
+    v = [F.col(c) for c in (*xs, y)]
+    full = rows.filter(F.array_size(F.filter(F.array(*v), lambda x: x.isNull())) == 0)
+    pairs = [(i, j) for i in range(len(v)) for j in range(i, len(v))]
+    g = full.groupBy(*by).agg(*[F.avg(x).alias(f"_m{i}") for i, x in enumerate(v)],
+                              *[F.covar_pop(v[i], v[j]).alias(f"_c{i}_{j}") for i, j in pairs], F.count(F.lit(1)).alias("n"))
+    return g.select(*by, F.array(*[f"_m{i}" for i in range(len(v))]).alias("means"), F.array(*[f"_c{i}_{j}" for i, j in pairs]).alias("cov"), "n")
+
+
+#: Least eigenvalue of the columns' correlation matrix below which they count as collinear.
+COLLINEAR = 1e-10
+
+
+def solver(k: int, penalty: Sequence[float] | None = None):
+    """A UDF solving the centred systems of a batch of groups: ``(means, cov, n) -> {beta, sigma, error}``.
+
+    ``k`` counts the constant. ``penalty`` adds to the diagonal of chosen columns (the constant's is ignored). A column that does
+    not vary gets weight 0. Too few rows or collinear columns give NULL and an ``error``, for that group alone.
     """
+    m = k - 1
     upper = np.triu_indices(k)
-    extra = np.zeros(k) if penalty is None else np.asarray(penalty, dtype=float)
-    schema = T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType())])
+    extra = np.zeros(m) if penalty is None else np.asarray(penalty, dtype=float)[1:]
+    schema = T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType()), T.StructField("error", T.StringType())])
+
+    def one(mean, cov, n):
+        if n - k <= 1:
+            return None, None, "not enough months to fit"
+        c = np.zeros((k, k))
+        c[upper] = cov
+        c = (c + np.triu(c, 1).T) * n
+        a, b = c[:m, :m] + np.diag(extra), c[:m, m]
+        scale = np.sqrt(np.diag(a))
+        used = scale > 1e-12 * max(1.0, float(np.abs(mean[:m]).max(initial=0.0)))
+        beta = np.zeros(m)
+        if used.any():
+            r = a[np.ix_(used, used)] / np.outer(scale[used], scale[used])
+            if np.linalg.eigvalsh(r)[0] < COLLINEAR:
+                return None, None, "collinear columns"
+            beta[used] = np.linalg.solve(r, b[used] / scale[used]) / scale[used]
+        rest = c[m, m] - 2 * beta @ b + beta @ c[:m, :m] @ beta
+        return [float(mean[m] - beta @ mean[:m]), *beta.tolist()], float(np.sqrt(max(rest, 0.0) / (n - k))), None
 
     @F.pandas_udf(schema)
-    def solve(xtx: pd.Series, xty: pd.Series, yty: pd.Series, n: pd.Series) -> pd.DataFrame:
-        a = np.zeros((len(xtx), k, k))
-        a[:, upper[0], upper[1]] = np.stack(xtx.to_numpy())
-        a = a + np.triu(a, 1).transpose(0, 2, 1)
-        b = np.stack(xty.to_numpy())
-        pen = a + np.diag(extra)
-        d = np.sqrt(np.maximum(np.einsum("mii->mi", pen), 1e-300))
-        scaled = pen / d[:, :, None] / d[:, None, :] + ridge * np.eye(k)
-        beta = np.linalg.solve(scaled, (b / d)[:, :, None])[:, :, 0] / d
-        rss = yty.to_numpy() - 2 * np.einsum("mi,mi->m", beta, b) + np.einsum("mi,mij,mj->m", beta, a, beta)
-        free = n.to_numpy() - k
-        sigma = np.sqrt(np.maximum(rss, 0) / np.maximum(free, 1))
-        ok = free > 1
-        return pd.DataFrame({"beta": [list(v) if g else None for v, g in zip(beta, ok)], "sigma": np.where(ok, sigma, np.nan)})
+    def solve(means: pd.Series, cov: pd.Series, n: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(np.asarray(x), np.asarray(c), int(i)) for x, c, i in zip(means, cov, n)], columns=["beta", "sigma", "error"])
 
     return solve
 
 
 def fit_ols(rows: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], penalty: Sequence[float] | None = None) -> DataFrame:
-    """``(*by, beta, sigma, n)``: constant first, then ``xs``. ``beta`` is NULL for too few rows."""
-    s = sums_of_products(rows, by, y, xs)
+    """``(*by, beta, sigma, n, error)``: constant first, then ``xs``. ``beta`` is NULL where ``error`` says why."""
     solve = solver(len(xs) + 1, penalty)
-    return s.select(*by, "n", solve("xtx", "xty", "yty", "n").alias("_f")).select(
-        *by, "_f.beta", F.when(~F.isnan("_f.sigma"), F.col("_f.sigma")).alias("sigma"), "n")
+    return moments(rows, by, y, xs).select(*by, "n", solve("means", "cov", "n").alias("_f")).select(
+        *by, "_f.beta", F.when(~F.isnan("_f.sigma"), F.col("_f.sigma")).alias("sigma"), "n", "_f.error")
 
 
 def dot(beta: str, xs: Sequence[str]) -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -88,7 +89,8 @@ def _differenced(c: str, order: Order, by: Sequence[str]) -> Column:
 def fit_seasonal_ar(rows: DataFrame, by: Sequence[str], order: Order = Order(), exog: Sequence[str] = ()) -> DataFrame:
     """One model row per group of ``(*by, period, value, *exog)``, on a gapless month grid.
 
-    Groups too short to estimate get a NULL ``beta`` and an ``error`` instead of failing the job.
+    Groups too short to estimate, with missing months or collinear columns get a NULL ``beta`` and an ``error`` instead of
+    failing the job.
     """
     by = list(by)
     dx = [f"_d_{c}" for c in exog]
@@ -111,13 +113,14 @@ def fit_seasonal_ar(rows: DataFrame, by: Sequence[str], order: Order = Order(),
     near = F.when(F.col("_back") <= order.memory, F.struct(
         "period", F.col("value").alias("y"), F.coalesce("_w", F.lit(0.0)).alias("w"), F.coalesce("_e", F.lit(0.0)).alias("e")))
     state = recent.groupBy(*by).agg(
-        F.max("period").alias("last_period"), F.count(F.lit(1)).alias("n_train"), F.sort_array(F.collect_list(near)).alias("_h"))
+        F.max("period").alias("last_period"), F.count(F.lit(1)).alias("n_train"), F.sort_array(F.collect_list(near)).alias("_h"),
+        (F.months_between(F.max("period"), F.min("period")) + 1 - F.count_distinct("period")).alias("_gaps"))
     out = state.join(fitted, by, "left")
-    return out.select(
-        *by, F.lit(order.name).alias("config"), "last_period", "n_train", "beta", "sigma",
+    return out.select(  # lags count rows, so a missing month would mix months up: no model then
+        *by, F.lit(order.name).alias("config"), "last_period", "n_train", F.when(F.col("_gaps") == 0, F.col("beta")).alias("beta"), "sigma",
         F.transform("_h", lambda h: h["y"]).alias("ys"), F.transform("_h", lambda h: h["w"]).alias("ws"),
         F.transform("_h", lambda h: h["e"]).alias("es"),
-        F.when(F.col("beta").isNull(), F.lit("not enough months to fit")).alias("error"))
+        F.when(F.col("_gaps") > 0, F.lit("months are missing")).when(F.col("beta").isNull(), F.coalesce("error", F.lit("not enough months to fit"))).alias("error"))
 
 
 def _recursion(order: Order, horizon: int, z: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -158,8 +161,9 @@ def _recursion(order: Order, horizon: int, z: float) -> Callable[[Iterator[pd.Da
     return run
 
 
-# Two-sided normal quantiles of the usual confidence levels.
-NORMAL_QUANTILE = {0.05: 1.959963984540054, 0.1: 1.6448536269514722, 0.2: 1.2815515655446004, 0.01: 2.5758293035489004}
+def normal_quantile(alpha: float) -> float:
+    """Two-sided normal quantile of a confidence level of ``1 - alpha``."""
+    return NormalDist().inv_cdf(1 - alpha / 2)
 
 
 def predict_seasonal_ar(model: DataFrame, by: Sequence[str], order: Order = Order(), horizon: int = HORIZON,
@@ -189,7 +193,7 @@ def predict_seasonal_ar(model: DataFrame, by: Sequence[str], order: Order = Orde
         ok = ok.withColumn("push", F.array_repeat(F.lit(0.0), horizon))
     key = F.struct(*by, "config", "last_period", "n_train")
     path = ok.select(F.to_json(key).alias("id"), "beta", "sigma", "ys", "ws", "es", "push").mapInPandas(
-        _recursion(order, horizon, NORMAL_QUANTILE[alpha]), "id string, forecast array<double>, lower array<double>, upper array<double>")
+        _recursion(order, horizon, normal_quantile(alpha)), "id string, forecast array<double>, lower array<double>, upper array<double>")
     shape = ok.select(key.alias("k")).schema["k"].dataType
     steps = path.select(F.from_json("id", shape).alias("k"), F.posexplode(F.arrays_zip("forecast", "lower", "upper")).alias("at", "v"))
     return steps.select("k.*", (F.col("at") + 1).alias("step"), "v.*").select(
@@ -252,12 +256,12 @@ def fit_trend_seasonal(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     effect = F.struct("_month", (F.col("_z_mean") - slope_part).alias("e"))
     model = j.groupBy(*by).agg(  # at most twelve months each
         F.max("_last").alias("last_period"), F.max("_n").alias("n_train"), F.first("_log").alias("is_log"),
-        F.first("beta").alias("beta"), F.first("sigma").alias("_sigma"), F.map_from_entries(F.collect_list(effect)).alias("months"))
+        F.first("beta").alias("beta"), F.first("error").alias("_error"), F.first("sigma").alias("_sigma"), F.map_from_entries(F.collect_list(effect)).alias("months"))
     k, n = len(_TREND) + 1, F.col("n_train")
     # the means used up one degree of freedom per month seen
     sigma = F.col("_sigma") * F.sqrt((n - k) / F.greatest(n - k - F.size("months") + 1, F.lit(1)))
     return model.select(*by, F.lit("trend_seasonal").alias("config"), "last_period", "n_train", "is_log", "beta", "months", sigma.alias("sigma"),
-                        F.when(F.col("beta").isNull(), F.lit("not enough months to fit")).alias("error"))
+                        F.when(F.col("beta").isNull(), F.coalesce("_error", F.lit("not enough months to fit"))).alias("error"))
 
 
 def predict_trend_seasonal(model: DataFrame, by: Sequence[str], horizon: int = HORIZON, alpha: float = 0.05) -> DataFrame:
@@ -270,7 +274,7 @@ def predict_trend_seasonal(model: DataFrame, by: Sequence[str], horizon: int = H
     typical = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.size("months")  # for months never seen
     z = F.coalesce(F.try_element_at("months", F.month("period")), typical) + dot("beta", _TREND) - F.col("beta")[0]
     # the trend's own uncertainty grows with the distance from the data
-    width = F.lit(NORMAL_QUANTILE[alpha]) * F.col("sigma") * F.sqrt(1 + F.col("step") / F.col("n_train"))
+    width = F.lit(normal_quantile(alpha)) * F.col("sigma") * F.sqrt(1 + F.col("step") / F.col("n_train"))
 
     def back(c: Column) -> Column:
         return round_half_up(F.when(F.col("is_log"), F.exp(c)).otherwise(c))

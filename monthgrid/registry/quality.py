@@ -52,30 +52,30 @@ def suite_selects(s, b):
         return one(name, column, f"{n} = 0", f"CASE WHEN {n} > 0 THEN printf('{bad}', {n}) ELSE '{good}' END")
 
     parts = [
-        zero("expect_no_null_series_id", "series_id", "series_id IS NULL", "%d null series_id values found", "All series_id values present"),
-        zero("expect_no_null_period", "period", "period IS NULL", "%d null period values found", "All periods present"),
+        zero("expect_no_null_series_id", "series_id", "series_id IS NULL", "series_id is NULL in %d rows", "series_id is never NULL"),
+        zero("expect_no_null_period", "period", "period IS NULL", "period is NULL in %d rows", "period is never NULL"),
         one("expect_no_null_value", "value", f"count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*) <= {s.max_null_pct}",
-            f"printf('%d null values (%.1f%%) - threshold {s.max_null_pct}%%', count(*) FILTER (WHERE value IS NULL), CAST(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*) AS DOUBLE))"),
+            f"printf('value is NULL in %d rows, %.1f%%, allowed {s.max_null_pct}%%', count(*) FILTER (WHERE value IS NULL), CAST(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*) AS DOUBLE))"),
     ]
     valid = ", ".join(f"'{v}'" for v in s.valid_series)
     n = f"count(DISTINCT series_id) FILTER (WHERE series_id NOT IN ({valid}))"
-    parts.append(one("expect_valid_series_ids", "series_id", f"{n} = 0", f"CASE WHEN {n} > 0 THEN printf('%d unknown series IDs', {n}) ELSE 'All series IDs valid' END"))
+    parts.append(one("expect_valid_series_ids", "series_id", f"{n} = 0", f"CASE WHEN {n} > 0 THEN printf('ids outside the catalog: %d', {n}) ELSE 'every id is in the catalog' END"))
     for r in s.ranges:
         out = f"count(*) FILTER (WHERE value < {r.low} OR value > {r.high})"
         parts.append(one(r.expectation, "value", f"{out} = 0",
-                         f"CASE WHEN count(*) = 0 THEN 'No {r.label} rows found - skipped' WHEN {out} > 0 THEN printf('%d {r.label} values outside [{r.low}, {r.high}]', {out}) "
-                         f"ELSE printf('All {r.label} values in range | min=%.2f max=%.2f', min(value), max(value)) END",
+                         f"CASE WHEN count(*) = 0 THEN 'not judged, no rows of {r.label}' WHEN {out} > 0 THEN printf('{r.label}: %d rows beyond {r.low} to {r.high}', {out}) "
+                         f"ELSE printf('{r.label}: from %.2f to %.2f, as expected', min(value), max(value)) END",
                          f"(SELECT value FROM {b} WHERE series_id = '{r.series_id}' AND value IS NOT NULL)"))
     parts += [
-        zero("expect_no_future_periods", "period", f"period > DATE '{AS_OF}'", "%d future periods found", "No future periods"),
+        zero("expect_no_future_periods", "period", f"period > DATE '{AS_OF}'", "rows dated ahead: %d", "nothing is dated ahead"),
         one("expect_no_duplicate_rows", "series_id, period", "coalesce(sum(n - 1), 0) = 0",
-            "CASE WHEN coalesce(sum(n - 1), 0) > 0 THEN printf('%d duplicate (series_id, period) rows', CAST(sum(n - 1) AS BIGINT)) ELSE 'No duplicates' END",
+            "CASE WHEN coalesce(sum(n - 1), 0) > 0 THEN printf('repeats of a series and period: %d', CAST(sum(n - 1) AS BIGINT)) ELSE 'each series and period once' END",
             f"(SELECT count(*) AS n FROM {b} GROUP BY series_id, period)"),
-        one("expect_minimum_row_count", None, f"count(*) >= {s.min_rows}", f"printf('%d rows found - minimum required: {s.min_rows}', count(*))"),
-        zero("expect_period_not_before_min_date", "period", f"period < DATE '{s.min_date}'", f"%d rows before {s.min_date}", f"All periods after {s.min_date}"),
+        one("expect_minimum_row_count", None, f"count(*) >= {s.min_rows}", f"printf('rows: %d, needed: {s.min_rows}', count(*))"),
+        zero("expect_period_not_before_min_date", "period", f"period < DATE '{s.min_date}'", f"rows dated before {s.min_date}: %d", f"nothing dated before {s.min_date}"),
     ]
     for name, sid in s.not_negative:
-        parts.append(zero(name, "value", f"series_id = '{sid}' AND value < 0", "%d negative values", "No negative values"))
+        parts.append(zero(name, "value", f"series_id = '{sid}' AND value < 0", "rows below zero: %d", "nothing below zero"))
     return " UNION ALL ".join(parts)
 
 
@@ -101,7 +101,7 @@ query("quality_gas", GAS_SUITE_SQL + " SELECT * FROM res")(gas_results)
 
 @query("quality_missing_column", OIL_SUITE_SQL + """ SELECT suite, expectation, "column",
   CASE WHEN "column" IN ('period', 'series_id, period') THEN false ELSE passed END AS passed,
-  CASE WHEN "column" IN ('period', 'series_id, period') THEN 'Required columns missing' ELSE details END AS details FROM res""")
+  CASE WHEN "column" IN ('period', 'series_id, period') THEN 'not judged, a column is missing' ELSE details END AS details FROM res""")
 def quality_missing_column(spark, sf):
     return run_suite(oil_bronze(spark, sf).drop("period"), DRIVER_OIL_SUITE, AS_OF)
 

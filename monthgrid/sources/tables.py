@@ -6,11 +6,8 @@ its date as period and its amount as value. ``DRIVER_*`` name which category pla
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from monthgrid.catalog import Domain
 
@@ -32,15 +29,9 @@ DRIVER_FEATURES = {
 }
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table. Its schema is read from a file footer once; later reads skip that job."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A source table, with the columns its files have now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _observations(df: DataFrame, provider: str, series: str, date: str, amount: str) -> DataFrame:
@@ -74,26 +65,29 @@ def gas_observations(spark: SparkSession, sf_dir: str, start: str | None = None,
     return _observations(items, "gas", "l_returnflag", "l_shipdate", "l_extendedprice")
 
 
-def segment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    # No broadcast hint: customers grow with the data. Spark broadcasts below its size
-    # threshold and otherwise sort-merges, where AQE splits a hot customer's partition.
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return _observations(joined, "segment", "c_mktsegment", "o_orderdate", "o_totalprice")
-
+def _joined(facts: DataFrame, key: str, kinds: DataFrame, kind_key: str, date: str, amount: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+    """Observations of a fact table under its own category and under that of a joined table, from one scan of it.
 
-def part_type_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    joined = items.join(part, items.l_partkey == part.p_partkey)
-    return _observations(joined, "part_type", "p_type", "l_shipdate", "l_extendedprice")
+    No broadcast hint: the joined tables grow with the data. Spark broadcasts below its size threshold and otherwise sort-merges,
+    where AQE splits a hot key's partition.
+    """
+    both = facts.join(kinds, facts[key] == kinds[kind_key], "left")
+    pairs = F.array(F.struct(F.lit(own[0]).alias("provider"), F.col(own[1]).alias("series_id")),
+                    F.struct(F.lit(other[0]).alias("provider"), F.col(other[1]).alias("series_id")))
+    known = F.filter(pairs, lambda p: (p["provider"] == own[0]) | F.col(kind_key).isNotNull())
+    return both.select(F.explode(known).alias("p"), date, amount).select(
+        "p.provider", "p.series_id", F.col(date).cast("date").alias("period"), F.col(amount).cast("double").alias("value"),
+        F.col(date).cast("timestamp").alias("ingested_at"))
 
 
 def all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four providers in one long frame."""
-    parts = [oil_observations, gas_observations, segment_observations, part_type_observations]
-    return reduce(DataFrame.unionByName, [f(spark, sf_dir) for f in parts])
+    """All four providers in one long frame; orders and line items are each read once."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_shipdate", "l_extendedprice")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return _joined(orders, "o_custkey", customer, "c_custkey", "o_orderdate", "o_totalprice", ("oil", "o_orderpriority"), ("segment", "c_mktsegment")).unionByName(
+        _joined(items, "l_partkey", part, "p_partkey", "l_shipdate", "l_extendedprice", ("gas", "l_returnflag"), ("part_type", "p_type")))
 
 
 def feature_name() -> Column:

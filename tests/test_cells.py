@@ -1,10 +1,11 @@
 import datetime as dt
 
+import pytest
 from conftest import by_period
 from monthgrid.catalog import Domain
 from monthgrid.functions import scalars as S
 from monthgrid.functions import windows as X
-from monthgrid.operators.cells import clean, grid, keep_latest, latest_cells, mean_cells, null_counts, pivot_cells, unpivot
+from monthgrid.operators.cells import clean, grid, keep_latest, latest_cells, mean_cells, null_counts, pivot_cells, pivot_measures, unpivot
 from monthgrid.plans.medallion import gold, silver
 from pyspark.sql import functions as F
 
@@ -121,3 +122,12 @@ def test_scalars(spark):
 
 def test_three_sigma_of_a_constant_series_flags_nothing(monthly):
     assert monthly({"a": [5] * 10}).filter("true").select(X.three_sigma("value", "series").alias("f")).filter("f").count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 300])
+def test_pivot_of_measures_has_one_form_at_every_width(spark, n):
+    ids = [f"s{i}" for i in range(n)]
+    df = spark.createDataFrame([("2020-01-01", s, 1.0) for s in ids] + [("2020-01-01", "s0", 5.0)], "period string, series string, m double")
+    out = pivot_measures(df, ids, ["m"])
+    assert out.columns == ["period", *[f"{s}_m" for s in ids]]
+    assert out.first()["s0_m"] == 5.0 and out.first()["s2_m"] == 1.0

@@ -34,13 +34,29 @@ def test_ols_equals_numpy_for_every_group(spark):
         assert got[g]["sigma"] == pytest.approx(np.sqrt(rss[0] / 27), rel=1e-6)
 
 
-def test_ols_survives_collinear_columns_and_few_rows(spark):
-    df = spark.createDataFrame([("c", float(i), float(i), 2.0 * i) for i in range(9)] + [("few", 1.0, 1.0, 1.0), ("nul", 1.0, None, 1.0)],
-                               "g string, y double, x1 double, x2 double")
-    r = {x["g"]: x["beta"] for x in fit_ols(df, ["g"], "y", ["x1", "x2"]).collect()}
-    b = r["c"]
-    assert b[0] + b[1] * 4 + b[2] * 8 == pytest.approx(4, abs=1e-3)
-    assert r["few"] is None and "nul" not in r
+def test_ols_reports_collinear_columns_and_few_rows(spark):
+    df = spark.createDataFrame([("c", float(i), float(i), 2.0 * i) for i in range(9)] + [("few", 1.0, 1.0, 1.0), ("nul", 1.0, None, 1.0)]
+                               + [("flat", 3.0 * i, float(i), 5.0) for i in range(9)], "g string, y double, x1 double, x2 double")
+    r = {x["g"]: x for x in fit_ols(df, ["g"], "y", ["x1", "x2"]).collect()}
+    assert r["c"]["beta"] is None and r["c"]["error"] == "collinear columns"
+    assert r["few"]["beta"] is None and r["few"]["error"] == "not enough months to fit" and "nul" not in r
+    assert r["flat"]["beta"] == pytest.approx([0, 3, 0], abs=1e-9) and r["flat"]["error"] is None
+
+
+def test_ols_keeps_its_digits_far_from_zero(spark):
+    df = spark.createDataFrame([(2 * (1e8 + i) + i % 3, 1e8 + i) for i in range(99)], "y double, x double").withColumn("g", F.lit(1))
+    r = fit_ols(df, ["g"], "y", ["x"]).first()
+    x = np.arange(99.0)
+    slope, level = np.polyfit(x, 2 * x + x % 3, 1)
+    assert r["beta"][1] == pytest.approx(slope, abs=1e-6)
+    assert r["sigma"] == pytest.approx(np.sqrt(((2 * x + x % 3 - slope * x - level) ** 2).sum() / 97), rel=1e-4)
+
+
+def test_a_missing_month_gives_an_error_not_a_forecast(monthly):
+    broken = monthly({"a": list(SERIES)}).filter("period <> '2020-03-01'")
+    model = fit_seasonal_ar(broken, ["series"], Order(1, 1, 0, 0, 1, 0, 12))
+    assert model.first()["error"] == "months are missing"
+    assert predict_seasonal_ar(model, ["series"], Order(1, 1, 0, 0, 1, 0, 12), alpha=0.03).count() == 0
 
 
 def test_orders():
