@@ -334,6 +334,13 @@ def score(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str], by: Seq
     return error_metrics(j, by, "actual", "forecast")
 
 
+def _with_failures(metrics: DataFrame, train: DataFrame, by: Sequence[str], choice: str, choices: Sequence[str]) -> DataFrame:
+    """A row for every group and choice: ``metrics`` where there are any, otherwise NULL metrics and an ``error``."""
+    asked = train.select(*by).distinct().withColumn(choice, F.explode(F.array(*[F.lit(c) for c in choices])))
+    error = F.when(F.col("rmse").isNull(), F.lit("not fitted, or nothing to compare with"))
+    return asked.join(metrics, [*by, choice], "left").withColumn("error", error)
+
+
 def backtest(rows: DataFrame, model: str | Callable = "prophet", n_splits: int = 3, horizon: int = HORIZON, by: str = "series") -> DataFrame:
     """Walk-forward metrics per (series, split); all splits of all series are fitted together.
 
@@ -356,15 +363,16 @@ def backtest(rows: DataFrame, model: str | Callable = "prophet", n_splits: int =
 def validate(rows: DataFrame, by: str = "series", test_size: float = 0.2, horizon: int = HORIZON) -> DataFrame:
     """Chronological split, both models on the train part, forecasts scored on the test part."""
     parts = chronological_split(rows, by, test_size)
-    fc = run_both(parts.filter("split = 'train'").drop("split"), [by], horizon)
-    return score(fc, parts.filter("split = 'test'"), [by, "period"], [by, "model_name"])
+    train = parts.filter("split = 'train'").drop("split")
+    m = score(run_both(train, [by], horizon), parts.filter("split = 'test'"), [by, "period"], [by, "model_name"])
+    return _with_failures(m, train, [by], "model_name", list(MODELS))
 
 
 def order_search(train: DataFrame, test: DataFrame, by: Sequence[str], orders: Sequence[Order] = tuple(SEARCH_ORDERS),
                  horizon: int = HORIZON) -> DataFrame:
     """Metrics of every order on every group. Choose by them on a validation stretch, not on the test months."""
     fc = reduce(DataFrame.unionByName, [forecast_seasonal_ar(train, by, o, horizon) for o in orders])
-    return score(fc, test, [*by, "period"], [*by, "config"])
+    return _with_failures(score(fc, test, [*by, "period"], [*by, "config"]), train, list(by), "config", [o.name for o in orders])
 
 
 def window_rows(rows: DataFrame, windows: Sequence[tuple[str, str, str, str, str]], by: str = "series") -> DataFrame:
@@ -389,8 +397,9 @@ def window_experiment(rows: DataFrame, windows, by: str = "series", horizon: int
     marked = window_rows(rows, windows, by)
     fc = run_both(marked.filter("role = 'train'").drop("role"), [by, "window"], horizon)
     m = score(fc, marked.filter("role = 'test'"), [by, "window", "period"], [by, "window", "model_name"])
-    n = fc.groupBy(by, "window", "model_name").agg(F.max("n_train").alias("n_train"))
-    return m.join(n, [by, "window", "model_name"])
+    train = marked.filter("role = 'train'")
+    n = train.groupBy(by, "window").agg(F.count(F.lit(1)).alias("n_train"))
+    return _with_failures(m, train, [by, "window"], "model_name", list(MODELS)).join(n, [by, "window"])
 
 
 def save_model(model: DataFrame, path: str) -> None:

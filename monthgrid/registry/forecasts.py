@@ -1,5 +1,10 @@
 """Forecasting queries. Those a solver decides have no SQL twin; the autoregression and the trend do."""
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthgrid.catalog import FEATURE_COLUMNS
@@ -12,18 +17,19 @@ from monthgrid.plans.forecasting import (Order, backtest, fit_seasonal_ar, fitte
                                          save_model, to_results, trend_component, validate, window_experiment, window_rows)
 from monthgrid.plans.preprocess import preprocess
 from monthgrid.plans.reports import importance_groups
-from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, fit_trees, importances, predict_trees, sweep,
-                                   training_rows, wide_rows, with_rounds)
+from monthgrid.plans.trees import (FEATURES, SWEEP, between, fit_trees, importances, predict_trees, sweep,
+                                   training_rows, wide_rows)
 from monthgrid.registry.core import feature_cells_sql, query, r4
 from monthgrid.registry.evaluate import fcells
-from monthgrid.registry.features import eng_long, strict_long
+from monthgrid.registry.features import STRICT, eng_long, strict_long
 from monthgrid.session import new_path, stage
 from monthgrid.sinks.tables import replace_by_key
 
 WINDOWS = [("1999 calm year", "1995-01-01", "1998-12-01", "1999-01-01", "1999-12-01"),
            ("2000 spike window", "1995-01-01", "1999-12-01", "2000-01-01", "2000-12-01")]
-# The registered tree queries use fewer, larger steps than the 300 of the default.
-QUICK_TREES = TreeConfig("quick", trees=40, rate=0.2)
+# Orders and settings are chosen on the year before each window's test year.
+VALIDATION = [("1999 calm year", "1995-01-01", "1997-12-01", "1998-01-01", "1998-12-01"),
+              ("2000 spike window", "1995-01-01", "1998-12-01", "1999-01-01", "1999-12-01")]
 
 GRID17 = f"""{feature_cells_sql()},
 span AS (SELECT series, min(period) AS lo, max(period) AS hi FROM fcells GROUP BY 1),
@@ -92,18 +98,25 @@ def forecast_exog(spark, sf):
     return predict_seasonal_ar(model, ["series"], Order(), exog=EXOG, future=future)
 
 
-query("order_search")(lambda spark, sf: order_scores(spark, sf))
+def order_scores(spark, sf, windows):
+    rows = stage(window_rows(targets(spark, sf), windows), "search-rows")  # read by every order
+    train, test = (rows.filter(F.col("role") == r).drop("role") for r in ("train", "test"))
+    return order_search(train, test, ["series", "window"])
+
+
+query("order_search")(lambda spark, sf: order_scores(spark, sf, VALIDATION))
 
 
-def order_scores(spark, sf):
-    rows = stage(window_rows(targets(spark, sf), WINDOWS[:1]), "search-rows")  # read by every order
-    train, test = (rows.filter(F.col("role") == r).select("series", "period", "value") for r in ("train", "test"))
-    return order_search(train, test, ["series"])
+@query("order_search_best")
+def order_search_best(spark, sf):
+    """The order each series is best forecast with in the validation year, and its error in the test year after it."""
+    best = best_config(order_scores(spark, sf, VALIDATION), ["series", "window"])
+    test = order_scores(spark, sf, WINDOWS).select("series", "window", "config", F.col("mape").alias("test_mape"))
+    return best.join(test, ["series", "window", "config"], "left")
 
 
-query("order_search_best")(lambda spark, sf: best_config(order_scores(spark, sf), ["series"]))
-query("backtest")(lambda spark, sf: backtest(targets(spark, sf), "prophet", horizon=6))
-query("backtest_ar")(lambda spark, sf: backtest(targets(spark, sf), "sarima", horizon=6))
+query("backtest")(lambda spark, sf: backtest(targets(spark, sf), "prophet"))
+query("backtest_ar")(lambda spark, sf: backtest(targets(spark, sf), "sarima"))
 
 
 def _ar1(rows, by, horizon):
@@ -112,19 +125,19 @@ def _ar1(rows, by, horizon):
 
 @query("backtest_ar_exact", f"""WITH RECURSIVE {GRID17},
 n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM gx),
-b AS (SELECT series, period, value, split, i < n - 18 + (split - 1) * 6 AS train FROM n CROSS JOIN (VALUES (1), (2), (3)) s(split) WHERE i < n - 18 + split * 6),
+b AS (SELECT series, period, value, split, i < n - 36 + (split - 1) * 12 AS train FROM n CROSS JOIN (VALUES (1), (2), (3)) s(split) WHERE i < n - 36 + split * 12),
 d AS (SELECT *, value - lag(value, 1) OVER s - lag(value, 12) OVER s + lag(value, 13) OVER s AS w FROM b WHERE train WINDOW s AS (PARTITION BY series, split ORDER BY period)),
 l AS (SELECT *, lag(w) OVER (PARTITION BY series, split ORDER BY period) AS w1 FROM d),
 m AS (SELECT series, split, regr_slope(w, w1) AS phi, regr_intercept(w, w1) AS c FROM l GROUP BY 1, 2),
 st AS (SELECT series, split, max(period) AS train_end, list(value ORDER BY period)[-13:] AS ys, arg_max(w, period) AS w FROM d GROUP BY 1, 2),
 r AS (SELECT series, split, train_end, 0 AS step, ys, w FROM st UNION ALL
-  SELECT r.series, r.split, train_end, step + 1, list_append(ys[2:], c + phi * w + ys[13] + ys[2] - ys[1]), c + phi * w FROM r JOIN m ON m.series = r.series AND m.split = r.split WHERE step < 6),
+  SELECT r.series, r.split, train_end, step + 1, list_append(ys[2:], c + phi * w + ys[13] + ys[2] - ys[1]), c + phi * w FROM r JOIN m ON m.series = r.series AND m.split = r.split WHERE step < 12),
 f AS (SELECT r.series, r.split, train_end, b.period, {r4('ys[13]')} AS p, b.value AS a FROM r
   JOIN b ON b.series = r.series AND b.split = r.split AND NOT b.train AND b.period = CAST(train_end + to_months(step) AS DATE) WHERE step > 0)
 SELECT series, split, train_end, min(period) AS test_start, max(period) AS test_end, {r4(r4('sqrt(avg((a - p) * (a - p)))'), 2)} AS rmse,
   {r4(r4('avg(abs(a - p))'), 2)} AS mae, {r4(r4('avg(abs((a - p) / a)) * 100'), 2)} AS mape, count(*) AS n_periods FROM f GROUP BY 1, 2, 3""")
 def backtest_ar_exact(spark, sf):
-    out = backtest(targets(spark, sf), _ar1, horizon=6)
+    out = backtest(targets(spark, sf), _ar1)
     return out.select("series", "split", "train_end", "test_start", "test_end",
                       *[round_half_up(c, 2).alias(c) for c in ("rmse", "mae", "mape")], "n_periods")
 
@@ -135,7 +148,8 @@ def future_forecast(spark, sf):
     t = targets(spark, sf).filter(F.col("series").isin("wti_price", "henry_hub_price"))
     clean = preprocess(t).select("series", "period", "value")
     new = stage(to_results(run_both(clean, ["series"]), "future"), "future")
-    earlier = new.withColumn("run_id", F.lit("earlier"))
+    older = clean.filter(F.col("period") <= F.add_months(F.lit("2001-08-01").cast("date"), -6))
+    earlier = stage(to_results(run_both(older, ["series"]), "half a year before"), "earlier")  # six of its months are forecast anew
     return replace_by_key(earlier, new, ["target", "model_name", "forecast_period"])
 
 
@@ -166,30 +180,45 @@ def tree_rows(spark, sf):
     return stage(training_rows(strict_long(spark, sf)), "tree-rows")
 
 
-def tree_split(rows):
-    return between(rows, "1995-01-01", "1998-12-01"), between(rows, "1999-01-01", "1999-12-01")
+def by_window(rows, tested=None):
+    """(window, model, test rows) of the full booster for every window; the windows are few, so their fits are submitted together."""
+    tested = rows if tested is None else tested
+    with ThreadPool(len(WINDOWS)) as pool:
+        models = pool.map(lambda w: fit_trees(between(rows, w[1], w[2])), WINDOWS)
+    return [(w[0], m, between(tested, w[3], w[4])) for w, m in zip(WINDOWS, models)]
+
+
+def tree_forecasts(rows, name, tested=None):
+    return reduce(DataFrame.unionByName, [predict_trees(m, test, name).withColumn("window", F.lit(label)) for label, m, test in by_window(rows, tested)])
+
 
+query("forecast_gbt")(lambda spark, sf: tree_forecasts(tree_rows(spark, sf), "pooled"))
 
-@query("forecast_gbt")
-def forecast_gbt(spark, sf):
-    train, test = tree_split(tree_rows(spark, sf))
-    return predict_trees(fit_trees(train, QUICK_TREES), test, "pooled")
+
+_WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in ("lag_1", "lag_3", "lag_6", "lag_12", "roll3_mean", "roll6_mean", "mom_pct", "vs_12mo_avg"))
+
+
+@query("tree_training_rows", f"""WITH {STRICT} SELECT series, period, {r4('value / roll12_mean')} AS label, {r4('lag_1 / roll12_mean')} AS lag_1,
+  {r4('lag_12 / roll12_mean')} AS lag_12 FROM strict WHERE roll12_mean <> 0 AND {_WHOLE}""")
+def tree_training_rows(spark, sf):
+    """What the pooled trees learn from: label and two of the features, on the series' own scale."""
+    at = vector_to_array("features")
+    return tree_rows(spark, sf).select("series", "period", round_half_up("label").alias("label"), round_half_up(at[FEATURES.index("lag_1")]).alias("lag_1"),
+                                       round_half_up(at[FEATURES.index("lag_12")]).alias("lag_12"))
 
 
 @query("gbt_importance_groups")
 def gbt_importance_groups(spark, sf):
-    """Importances of the pooled model, summed by the kind of feature."""
-    train, _ = tree_split(tree_rows(spark, sf))
+    """Importances of the pooled model of each window, summed by the kind of feature."""
     kinds = {f: "Seasonality" if f.startswith("month") else "Rolling" if "roll" in f or "12mo" in f else "Momentum" if "mom" in f else "Lag"
              for f in FEATURES}
-    return importance_groups(importances(fit_trees(train, QUICK_TREES), spark).withColumn("target", F.lit("pooled")), kinds)
+    found = [importances(m, spark).withColumn("target", F.lit(label)) for label, m, _ in by_window(tree_rows(spark, sf))]
+    return importance_groups(reduce(DataFrame.unionByName, found), kinds)
 
 
 def _curated(spark, sf, target, picks):
     wide = stage(strict_wide(strict_long(spark, sf), target, picks), "curated")
-    rows = wide_rows(wide, target, [*picks, "month_sin", "month_cos"])
-    train, test = tree_split(rows)
-    return predict_trees(fit_trees(train, QUICK_TREES), test, "curated")
+    return tree_forecasts(wide_rows(wide, target, [*picks, "month_sin", "month_cos"]), "curated")
 
 
 query("forecast_gbt_curated_gas")(lambda spark, sf: _curated(spark, sf, "henry_hub_price", HENRY_HUB_FEATURES))
@@ -201,26 +230,24 @@ def forecast_gbt_192(spark, sf):
     """One target on every engineered column. Some of them use the current month, so this is no honest forecast."""
     wide = stage(engineered_wide(eng_long(spark, sf)), "engineered")
     features = [c for c in wide.columns if c not in ("period", "month", "quarter", *FEATURE_COLUMNS)]
-    train, test = tree_split(wide_rows(wide, "wti_price", features))
-    return predict_trees(fit_trees(train, QUICK_TREES), test, "192 features")
+    return tree_forecasts(wide_rows(wide, "wti_price", features), "192 features")
 
 
 @query("tree_variant_gap")
 def tree_variant_gap(spark, sf):
-    """Engineered features against strict ones: how much the current month's leakage flatters the first."""
+    """One model of the engineered features, tested on engineered and on strict rows: what the current month's leakage flatters."""
     target, names = "henry_hub_price", [*HENRY_HUB_FEATURES, "month_sin", "month_cos"]
-    leaky = stage(engineered_wide(eng_long(spark, sf)).select("period", target, *names), "leaky")
-    strict = stage(strict_wide(strict_long(spark, sf), target, HENRY_HUB_FEATURES), "strict")
-
-    def scored(wide):
-        train, test = tree_split(wide_rows(wide, target, names))
-        return error_metrics(predict_trees(fit_trees(train, QUICK_TREES), test, "x"), ["series"], "value", "forecast")
-
-    return variant_gap(scored(leaky), scored(strict), ["series"])
+    leaky = wide_rows(stage(engineered_wide(eng_long(spark, sf)).select("period", target, *names), "leaky"), target, names)
+    strict = wide_rows(stage(strict_wide(strict_long(spark, sf), target, HENRY_HUB_FEATURES), "strict"), target, names)
+    both = leaky.withColumn("rows", F.lit("engineered")).unionByName(strict.withColumn("rows", F.lit("strict")))
+    scored = reduce(DataFrame.unionByName, [m.transform(test).withColumn("window", F.lit(label)) for label, m, test in by_window(leaky, both)])
+    metrics = error_metrics(scored, ["series", "window", "rows"], "value", "prediction")
+    a, b = (metrics.filter(F.col("rows") == kind).drop("rows") for kind in ("engineered", "strict"))
+    return variant_gap(a, b, ["series", "window"])
 
 
 @query("gbt_sweep")
 def gbt_sweep(spark, sf):
-    """The eight settings at a tenth of their rounds, judged on 1998 after training through 1997."""
+    """The eight settings in full, judged on 1998 after training through 1997."""
     rows = tree_rows(spark, sf)
-    return sweep(between(rows, "1995-01-01", "1997-12-01"), between(rows, "1998-01-01", "1998-12-01"), with_rounds(SWEEP, 0.1))
+    return sweep(between(rows, "1995-01-01", "1997-12-01"), between(rows, "1998-01-01", "1998-12-01"), SWEEP, parallel=8)
