@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from monthgrid.catalog import MIN_GATE_RATE, Suite
 from monthgrid.functions.scalars import parse_number, parse_period
+from monthgrid.session import stage
 
 _DATES = ("date", "timestamp", "timestamp_ntz")
 
@@ -162,8 +163,7 @@ def run_battery(bronze: DataFrame, ranges: Mapping[str, tuple[float, float]], se
     if has_s:
         second.append(_total("null_source"))
     found = groups.groupBy(series).agg(*second)
-    # the spec is a fixed list of tables, so it can be sent to every task
-    one = found.join(F.broadcast(spec), series, "right").fillna(0, [c for c in found.columns if c not in (series, "lo", "hi")])
+    one = spec.join(found, series, "left").fillna(0, [c for c in found.columns if c not in (series, "lo", "hi")])
 
     checks: list[tuple[str, Column]] = [
         ("table_not_empty", F.col("n") > 0),
@@ -212,6 +212,7 @@ def column_tests(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[s
     ``unique`` counts the values that occur more than once; NULL values are not compared.
     """
     accepted = accepted or {}
+    df = stage(df.select(*dict.fromkeys([*not_null, *unique, *accepted])), "column-tests")  # each test reads what was computed once
     parts = []
     flat: list[Column] = [F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"nn_{c}") for c in not_null]
     flat += [_n(F.col(c).isNotNull() & ~F.col(c).isin(list(v))).alias(f"av_{c}") for c, v in accepted.items()]

@@ -14,7 +14,8 @@ from monthgrid.plans.reports import (FEATURE_GROUPS, forecast_pivot, forecast_vi
 from monthgrid.registry.core import OIL, all_obs_sql, feature_cells_sql, query, r4
 from monthgrid.registry.features import ENG, SPARSE, eng_long, sparse_cells
 from monthgrid.registry.medallion import GOLD, gold_df, silver_gas_df, silver_oil_df
-from monthgrid.sinks.tables import replace_by_key, update_by_key
+from monthgrid.session import new_path
+from monthgrid.sinks.tables import VersionedTable, replace_by_key, update_by_key
 from monthgrid.sources.tables import (all_observations, feature_observations, oil_observations, table)
 
 WINDOWS = [(1999, 48), (2000, 60)]  # (test year, training months)
@@ -144,16 +145,33 @@ def variant_gap_q(spark, sf):
     return variant_gap(m.filter("model_name = 'prophet'"), m.filter("model_name = 'sarima'"), ["target", "trained_on_periods"])
 
 
-@query("replace_by_key", f"""WITH {FC} SELECT target, model_name, forecast_period, {r4('forecast_value')} AS forecast_value, 'old' AS run FROM fc
+_REPLACED = f"""WITH {FC} SELECT target, model_name, forecast_period, {r4('forecast_value')} AS forecast_value, 'old' AS run FROM fc
   WHERE NOT (model_name = 'sarima' AND year(forecast_period) = 2000)
-UNION ALL SELECT target, model_name, forecast_period, actual AS forecast_value, 'new' AS run FROM fc WHERE model_name = 'sarima' AND year(forecast_period) = 2000""")
-def replace_by_key_q(spark, sf):
+UNION ALL SELECT target, model_name, forecast_period, actual AS forecast_value, 'new' AS run FROM fc WHERE model_name = 'sarima' AND year(forecast_period) = 2000"""
+_RESULT_KEYS = ["target", "model_name", "forecast_period"]
+
+
+def old_and_new(spark, sf):
     fc = forecasts(spark, sf)
-    keep = ["target", "model_name", "forecast_period"]
-    old = fc.select(*keep, round_half_up("forecast_value").alias("forecast_value"), F.lit("old").alias("run"))
+    old = fc.select(*_RESULT_KEYS, round_half_up("forecast_value").alias("forecast_value"), F.lit("old").alias("run"))
     new = fc.filter((F.col("model_name") == "sarima") & (F.year("forecast_period") == 2000)).select(
-        *keep, F.col("actual").alias("forecast_value"), F.lit("new").alias("run"))
-    return replace_by_key(old, new, keep)
+        *_RESULT_KEYS, F.col("actual").alias("forecast_value"), F.lit("new").alias("run"))
+    return old, new
+
+
+@query("replace_by_key", _REPLACED)
+def replace_by_key_q(spark, sf):
+    return replace_by_key(*old_and_new(spark, sf), _RESULT_KEYS)
+
+
+@query("replace_by_key_table", _REPLACED)
+def replace_by_key_table(spark, sf):
+    """The same as a write: a second version of the results table, swapped in when it is complete."""
+    old, new = old_and_new(spark, sf)
+    results = VersionedTable(spark, new_path(spark, "results"))
+    results.swap(old)
+    results.replace(new, _RESULT_KEYS)
+    return results.read()
 
 
 @query("metrics_update", f"""WITH {MET} SELECT fc.target, fc.model_name, fc.forecast_period,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthgrid.catalog import RUN_DEFINITIONS
+from monthgrid.catalog import FEATURE_COLUMNS, RUN_DEFINITIONS
 from monthgrid.functions.scalars import (month_of, parse_number, parse_period, round_half_up, safe_divide, stable_id,
                                          title_label)
 from monthgrid.operators.cells import mean_cells
@@ -205,9 +205,10 @@ def scalar_functions(spark, sf):
         F.format_string("%s has %d digits", "series_id", F.length(F.floor(v).cast("string"))).alias("details"))
 
 
-@query("title_labels", f"WITH {feature_cells_sql()} SELECT series, CASE series WHEN 'wti_price' THEN 'Wti Price' WHEN 'hdd' THEN 'Hdd' ELSE 'Global Inv' END AS label, count(*) AS n FROM fcells WHERE series IN ('wti_price', 'hdd', 'global_inv') GROUP BY 1")
+@query("title_labels", f"""WITH {feature_cells_sql()} SELECT series, array_to_string(list_transform(string_split(series, '_'),
+  lambda w: upper(w[1]) || lower(w[2:])), ' ') AS label, count(*) AS n FROM fcells GROUP BY 1""")
 def title_labels(spark, sf):
-    c = feature_cells(feature_observations(spark, sf)).filter(F.col("series").isin("wti_price", "hdd", "global_inv"))
+    c = feature_cells(feature_observations(spark, sf))
     return c.groupBy("series", title_label("series").alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -243,11 +244,17 @@ def truncate_load_q(spark, sf):
 _W17 = wide17_sql()
 
 
-@query("typed_feature_table", f"WITH {_W17} SELECT period, CAST(CAST(wti_price AS DECIMAL(12,2)) AS DOUBLE) AS wti_price, CAST(CAST(gas_storage AS DECIMAL(14,1)) AS DOUBLE) AS gas_storage, CAST(hdd AS BIGINT) AS hdd FROM wide17".replace(
-    "CAST(CAST(wti_price AS DECIMAL(12,2)) AS DOUBLE)", "round(wti_price, 2)").replace("CAST(CAST(gas_storage AS DECIMAL(14,1)) AS DOUBLE)", "round(gas_storage, 1)").replace("CAST(hdd AS BIGINT)", "CAST(trunc(hdd) AS BIGINT)"))
+# Decimal places of the typed table by column; whole numbers are bigint, all others have two places.
+PLACES = {name: 2 for name in FEATURE_COLUMNS} | {"gas_storage": 1, "gas_production": 1, "refinery_util": 3, "hdd": 0, "cdd": 0}
+
+
+@query("typed_feature_table", f"WITH {_W17} SELECT period, " + ", ".join(
+    f"CAST(trunc({c}) AS BIGINT) AS {c}" if n == 0 else f"CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(24, 8)), {n}) AS DOUBLE) AS {c}" for c, n in PLACES.items()) + " FROM wide17")
 def typed_feature_table(spark, sf):
-    t = typed(fwide(spark, sf), {"period": "date", "wti_price": "decimal(12,2)", "gas_storage": "decimal(14,1)", "hdd": "bigint"})
-    return t.select("period", F.col("wti_price").cast("double").alias("wti_price"), F.col("gas_storage").cast("double").alias("gas_storage"), "hdd")
+    """All 17 columns in their declared types, written and read back; decimals are shown as doubles to be compared."""
+    kinds = {"period": "date"} | {c: f"decimal(16,{n})" if n else "bigint" for c, n in PLACES.items()}
+    written = round_trip_parquet(typed(fwide(spark, sf), kinds), new_path(spark, "features-typed"))
+    return written.select("period", *[F.col(c).cast("double").alias(c) if n else F.col(c) for c, n in PLACES.items()])
 
 
 @query("csv_round_trip", f"WITH {_W17} SELECT * FROM wide17")

@@ -35,6 +35,43 @@ def replace_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     return existing.join(drop, list(keys), "left_anti").unionByName(new)
 
 
+class VersionedTable:
+    """A table that is replaced as a whole: each write is a new ``version=N`` folder, readers take the newest complete one.
+
+    A failed write leaves an incomplete folder that no reader sees and the next write passes over, so the swap is one step.
+    Listing goes through the file system the path names, local or remote.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _versions(self) -> list[tuple[int, bool]]:
+        """(number, complete) of the version folders."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith("version=")]
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        return [(int(p.getName().split("=")[1]), files.exists(done(p, "_SUCCESS"))) for p in names]
+
+    def read(self) -> DataFrame | None:
+        """The current rows; None before the first write."""
+        complete = [n for n, done in self._versions() if done]
+        return self.spark.read.parquet(f"{self.folder}/version={max(complete)}") if complete else None
+
+    def swap(self, df: DataFrame) -> int:
+        """Write ``df`` as the new current version and return its number. ``df`` may be read from the current one."""
+        number = max((n for n, _ in self._versions()), default=0) + 1
+        df.write.mode("errorifexists").parquet(f"{self.folder}/version={number}")
+        return number
+
+    def replace(self, new: DataFrame, keys: Sequence[str]) -> int:
+        """The current rows without the keys found in ``new``, plus all of ``new``, as the new version."""
+        old = self.read()
+        return self.swap(new if old is None else replace_by_key(old, new, keys))
+
+
 def update_by_key(rows: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str],
                   when: Column) -> DataFrame:
     """Set ``columns`` from ``updates`` on rows that match the key and satisfy ``when``."""

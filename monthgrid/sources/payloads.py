@@ -83,8 +83,8 @@ def monthly_mean(days: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def stamp(rows: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add name, unit and provider from the catalog (a fixed list, so its size is bounded)."""
-    return rows.join(F.broadcast(catalog), "series_id", "left")
+    """Add name, unit and provider from the catalog. No hint: a caller's catalog may hold millions of series."""
+    return rows.join(catalog, "series_id", "left")
 
 
 def catalog_frame(spark: SparkSession, entries: Sequence[tuple[str, str, str, str]]) -> DataFrame:

@@ -69,9 +69,12 @@ class KeyedTable:
     def read(self) -> DataFrame:
         try:
             log = self.spark.read.schema(self.schema).option("basePath", self.folder).parquet(self.folder)
-        except AnalysisException:  # nothing has landed yet
-            return self.spark.createDataFrame([], self.schema)
-        newest = F.max_by(F.struct(*[c for c in self.schema.fieldNames() if c not in self.keys]), "batch")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e.getCondition()):
+                raise
+            return self.spark.createDataFrame([], self.schema)  # nothing has landed yet
+        row = F.struct(*[c for c in self.schema.fieldNames() if c not in self.keys])
+        newest = F.max_by(row, F.struct(F.col("batch"), row))  # of a key's rows in one batch, the largest
         return log.groupBy(*self.keys).agg(newest.alias("_row")).select(
             *[F.col(c) if c in self.keys else F.col(f"_row.{c}") for c in self.schema.fieldNames()])
 
