@@ -7,10 +7,16 @@ signatures that differ in at most ``2 * CHUNKS - 1`` of their values share a key
 with a similarity of 0.85 differ in 7.5 on average (more than 19: under 1 pair in 100,000), and pairs beyond 19 usually
 share a key too: all ten chunks must hold two errors or more to miss it (under 1e-7; at 0.8, 2e-6).
 
-Buckets are never expanded at once. First every class is confirmed against the smallest class of its buckets (a star), which
-joins large groups with a pair per member; only pairs whose ends are then still in different components are compared further.
-Stars of a hot group are salted, so its members spread over tasks. Components come from large-star/small-star rounds over the
-confirmed links, each round written to the shared folder.
+Buckets are never expanded into pairs. Each bucket elects a hub, the member that shares most buckets with others, and every
+member is compared with its hubs: a star. What is left are pairs of one star of which one at least is not linked to the hub. Two
+such sets are as far apart as their differences from the hub: ``|x ^ y| = |(x ^ hub) ^ (y ^ hub)|``. If the sets are linked, those
+differences must overlap in a number of shingles that follows from the sizes (``_least_overlap``), so with a common order, rarest
+first, the first few of each must meet. Those are joined, and the pairs they give, hardly more than the linked ones, are
+confirmed. All members of a star may differ by their own edits: they then share no rare difference and give no pair.
+
+Texts move only if they are compared: documents are thinned by a bit table of fixed size before the exact join. The members of a
+hot hub are split over tasks by Spark's skew join. Components come from large-star/small-star rounds over the confirmed links, each
+round written to the shared folder.
 """
 
 from __future__ import annotations
@@ -19,24 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthgrid.llm import words as W
+from monthgrid.llm.bits import maybe_in
 from monthgrid.session import stage
 
 SHINGLE = 5
 CHUNKS, WIDTH = 10, 5
 VALUES = CHUNKS * WIDTH
-#: Pairs of one star that share a task at most.
-STAR = 512
-
 _rng = np.random.default_rng(7)
 _FLIP = _rng.integers(0, 2**64, VALUES, dtype=W.U)
 _TIMES = _rng.integers(0, 2**64, VALUES, dtype=W.U) | W.U(1)
 _KEY = _rng.integers(0, 2**64, (CHUNKS, WIDTH), dtype=W.U)
 
 
+def _few(df: DataFrame, label: str) -> DataFrame:
+    """Stages rows of a few numbers each in as many files as the cluster has cores, not one per shuffle partition."""
+    return stage(df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism)), label)
+
+
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words has its whole sequence as the only one."""
     words = W.split(texts, lower=True)
@@ -60,7 +69,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in W.parts(batches):
         texts = W.as_bytes(batch.column(1))
         for i, j in W.batches(texts):
             sets = shingle_sets(texts[i:j])
@@ -102,34 +111,77 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(np.repeat(part.column("rep").to_numpy(), VALUES))], names=["key", "rep"])
 
 
-def _confirm(percent: int):
+def _compare(percent: int):
+    """Exact comparison of the two texts of each pair: sizes, whether they are linked, and the shingles in one of them only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, None
-        for b in batches:
+        for b in W.parts(batches):
             ids, hubs = b.column("a").to_pylist(), b.column("b").to_pylist()
             left, right = W.as_bytes(b.column("a_text")), W.as_bytes(b.column("b_text"))
-            ok = np.zeros(b.num_rows, bool)
             for i, j in W.batches(left):
-                sets = shingle_sets(left[i:j])
-                for k in range(i, j):
-                    if (hubs[k], len(right[k])) != last or right[k] != last_text:
-                        last, last_text, hub = (hubs[k], len(right[k])), right[k], shingle_sets([right[k]])[0]
-                    both = len(np.intersect1d(sets[k - i], hub, assume_unique=True))
-                    ok[k] = both > 0 and 100 * both >= percent * (len(sets[k - i]) + len(hub) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[ok]), pa.array(np.array(hubs, np.int64)[ok])], names=["a", "b"])
+                out = []
+                for k, own in zip(range(i, j), shingle_sets(left[i:j])):
+                    if right[k] != last:
+                        last, hub = right[k], shingle_sets([right[k]])[0]
+                    apart = np.setxor1d(own, hub, assume_unique=True)
+                    both = (len(own) + len(hub) - len(apart)) // 2
+                    linked = both > 0 and 100 * both >= percent * (both + len(apart))
+                    out.append((ids[k], hubs[k], linked, len(own), len(hub), apart.view(np.int64)))
+                a, h, linked, m, n, apart = zip(*out)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in apart])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(h, pa.int64()), pa.array(linked), pa.array(m, pa.int64()), pa.array(n, pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(apart)))],
+                                                 names=["a", "b", "linked", "n_a", "n_b", "apart"])
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough. Only documents in a pair have their text moved."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    texts = docs.join(wanted, "doc_id", "left_semi")
-    stars = pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).cast("int").alias("salts"))
-    hubs = (texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")).join(stars, "b")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
-    salted = pairs.join(stars, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).drop("salts")
-    full = salted.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(hubs, ["b", "salt"])
-    return full.select("a", "b", "a_text", "b_text").mapInArrow(_confirm(percent), "a bigint, b bigint")
+def _compared(pairs: DataFrame, docs: DataFrame, percent: int, label: str) -> DataFrame:
+    """(a, b, linked, n_a, n_b, apart) of ``pairs`` (a, b), judged on the full sets, written to the shared folder."""
+    pairs = _few(pairs, f"{label}-pairs")
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = docs.filter(maybe_in(wanted, "doc_id")(F.col("doc_id"))).join(wanted, "doc_id", "left_semi")
+    # the last join is by hub: where a hub is hot, Spark splits its members' side of the join, which holds the texts
+    full = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(
+        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
+    return stage(full.select("a", "b", "a_text", "b_text").mapInArrow(
+        _compare(percent), "a bigint, b bigint, linked boolean, n_a bigint, n_b bigint, apart array<bigint>"), label)
+
+
+def _least_overlap(percent: int) -> dict:
+    """Least overlap of a member's difference from the hub (``size`` shingles) with that of a member it is linked to.
+
+    Linked means ``|x ^ y| <= c * (|x| + |y|)`` with ``c = (100 - percent) / (100 + percent)``; as ``|y| <= |hub| + |y ^ hub|``, a
+    member not linked to the hub needs ``(size - c * (n_a + n_b)) / (1 + c)`` whatever its partner (``any``), and every member needs
+    ``size * (1 - c) / 2`` if its partner is not linked to the hub (``open``). Rounded down by a hair, so never too many.
+    """
+    c = (100 - percent) / (100 + percent)
+    at_least = lambda x: F.greatest(F.lit(1), F.ceil(x - 1e-6)).cast("int")
+    size = F.col("size")
+    return {"any": at_least((size - c * (F.col("n_a") + F.col("n_b"))) / (1 + c)), "open": at_least(size * (1 - c) / 2)}
+
+
+def _left_over(stars: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of star members that may be linked though not both are linked to their hub."""
+    c = (100 - percent) / (100 + percent)
+    rich = stars.groupBy("b").agg(F.count("*").alias("n"), F.min("linked").alias("all")).filter("n > 1 AND NOT all").select("b")
+    members = stars.join(rich, "b").withColumn("size", F.size("apart"))
+    shingles = _few(members.select("b", "a", "linked", "size", "n_a", "n_b", F.explode("apart").alias("e")), "differences")
+    often = shingles.groupBy("b", "e").count().filter("count > 1")  # one that no other member has joins nothing, but keeps its place in the order
+    by_rarity = Window.partitionBy("b", "a").orderBy(F.coalesce("count", F.lit(1)), "e")
+    need = _least_overlap(percent)
+    placed = (shingles.join(often, ["b", "e"], "left").withColumn("i", F.row_number().over(by_rarity)).filter("count > 1")
+              .withColumn("any", need["any"]).withColumn("open", need["open"]))
+    ahead = _few(placed.select("b", "a", "linked", "size", F.col("n_a").alias("n"), "e", "i",
+                                (F.col("i") <= F.col("size") - F.when(F.col("linked"), F.col("open")).otherwise(F.greatest("any", "open")) + 1).alias("to_open"),
+                                (~F.col("linked") & (F.col("i") <= F.col("size") - F.col("any") + 1)).alias("to_linked"))
+                  .filter("to_open OR to_linked"), "rare-differences")
+    x, y = (ahead.select("b", "e", *[F.col(k).alias(f"{k}_{s}") for k in ("a", "linked", "size", "n", "i", "to_open", "to_linked")]) for s in "xy")
+    # x is not linked to the hub. Its partner is not either (each pair once), or is.
+    pair = (~F.col("linked_x") & ((~F.col("linked_y") & F.col("to_open_x") & F.col("to_open_y") & (F.col("a_x") < F.col("a_y")))
+                                  | (F.col("linked_y") & F.col("to_linked_x") & F.col("to_open_y"))))
+    enough = 1 + F.least(F.col("size_x") - F.col("i_x"), F.col("size_y") - F.col("i_y")) >= (
+        F.col("size_x") + F.col("size_y") - c * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
+    return x.join(y, ["b", "e"]).filter(pair & enough).select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -140,7 +192,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     e = (links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
          .filter("a IS NOT NULL AND b IS NOT NULL AND u > v").distinct())
-    e, seen = stage(e, "links"), None
+    e, seen = _few(e, "links"), None
     while True:
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
@@ -151,7 +203,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = stage(small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = _few(small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
 
 
@@ -168,20 +220,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                                                                   F.first("n").alias("n")), "classes")
     named = classes.filter("rep IS NOT NULL")
     keys = named.select("rep", "sig").mapInArrow(_keys, "key bigint, rep bigint")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top").select("key", "hub")
-    buckets = stage(keys.join(shared, "key"), "buckets")
-    star = buckets.filter("rep <> hub").groupBy("rep").agg(F.min("hub").alias("b")).withColumnRenamed("rep", "a")
-    links = stage(_confirmed(stage(star, "stars"), docs, percent), "star-links")
-    joined = components(links)
-    marked = (buckets.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("part")))
-    mixed = marked.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
-    marked = stage(marked.join(mixed, "key").join(named.select("rep", "n"), "rep"), "open-buckets")
-    one, two = (marked.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "part", "n")]) for s in "ab")
-    close = (F.col("part_a") < F.col("part_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    rest = one.join(two, "key").filter(close).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    more = stage(_confirmed(stage(rest, "open-pairs"), docs, percent), "more-links")
-    final = joined if more.isEmpty() else components(links.union(more))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = _few(keys.join(shared, "key"), "buckets")
+    degree = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
+    hubs = buckets.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("b"))
+    star = buckets.join(hubs, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    stars = _compared(star, docs, percent, "stars")
+    more = _compared(_left_over(stars, percent), docs, percent, "left-over")
+    final = components(stars.filter("linked").select("a", "b").union(more.filter("linked").select("a", "b")))
     label = classes.select("a", "b", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left")
     found = (signed.select("doc_id", "n", "a", "b")
              .join(label.select("a", "b", F.coalesce("component", "rep").alias("component_id")), ["a", "b"], "left"))

@@ -128,3 +128,10 @@ def batches(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int
         size += len(t) + 1
     if i < len(texts):
         yield i, len(texts)
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that no whole batch of texts is held as Python objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
