@@ -1,10 +1,12 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 
 from monthgrid.operators.evaluate import error_metrics
 from monthgrid.plans.features import strict_measures
 from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, chosen, fit_trees, importances, predict_trees, sweep,
-                                   training_rows, wide_rows, with_rounds)
+                                   training_rows, wide_rows)
 from monthgrid.session import stage
 
 T = np.arange(72)
@@ -36,7 +38,7 @@ def test_pooled_model_beats_the_yearly_mean(spark, rows):
 
 def test_sweep_scores_every_setting(rows):
     assert [c.label for c in SWEEP].count("baseline") == 1 and len(SWEEP) == 8
-    quick = with_rounds(SWEEP[:2], 0.01)
+    quick = [replace(c, trees=3) for c in SWEEP[:2]]
     assert [c.trees for c in quick] == [3, 3]
     s = sweep(between(rows, "2018-01-01", "2022-12-01"), between(rows, "2023-01-01", "2023-12-01"), quick)
     assert {r["config"] for r in s.collect()} == {"baseline", "depth 3"}
