@@ -97,7 +97,7 @@ class Spelling:
 
     def __init__(self, codes: np.ndarray, customers: np.ndarray, earlier: Spelling | None, seed: int):
         """``codes`` are context * 512 + symbol, sorted. Reseats all restaurants given the earlier sweep's probabilities."""
-        self.codes, level = codes, DEPTH
+        level = DEPTH
         counts, seated = {DEPTH: (codes, customers.astype(np.int64))}, {}
         while level >= 0:  # from the longest contexts to the shortest: customers, tables, the parent's customers
             code, c = counts[level]
@@ -113,23 +113,36 @@ class Spelling:
                 up, to = np.unique(short, return_inverse=True)
                 counts[level - 1] = (up, np.bincount(to, t).astype(np.int64))
             level -= 1
-        self.full = []
-        below = np.full(512, 1 / SYMBOLS)
+        self.levels = []  # of each level the seen pairs with their own share, and the rooms with their parent's share
         for level in range(DEPTH + 1):
             code, c, t, d, room, where = seated[level]
             total, tables = (np.bincount(where, x) if len(code) else np.zeros(0) for x in (c, t))
-            own = (c - d * t) / (THETA + total[where]) if len(code) else c.astype(float)
+            own = (c - d * t) / (THETA + total[where]) if len(code) else np.zeros(0)
+            self.levels.append((code.astype(np.int32), own, room.astype(np.int32), (THETA + d * tables) / (THETA + total)))
+        self._fill()
+
+    def _fill(self):
+        self.full = []
+        for level, (code, own, room, weight) in enumerate(self.levels):
             share = np.ones(1 << 6 * level)
-            share[room] = (THETA + d * tables) / (THETA + total)
+            share[room] = weight
             if level == DEPTH:
-                self.share = share
+                self.codes, self.share = code, share
                 self.seen = own + share[code >> 9] * self.full[-1].ravel()[code & ((1 << 6 * (level - 1) + 9) - 1)]
             else:
                 rooms = np.arange(1 << 6 * level)
-                p = share[:, None] * (self.full[-1][rooms & ((1 << 6 * (level - 1)) - 1)] if level else below[None, :])
+                p = share[:, None] * (self.full[-1][rooms & ((1 << 6 * (level - 1)) - 1)] if level else np.full((1, 512), 1 / SYMBOLS))
                 p.ravel()[code] += own
                 self.full.append(p)
 
+    def __getstate__(self):
+        """Tasks get the seen pairs only and fill the tables themselves."""
+        return self.levels
+
+    def __setstate__(self, levels):
+        self.levels = levels
+        self._fill()
+
     def parent(self, level: int, code: np.ndarray) -> np.ndarray:
         """Probability of each symbol in the next shorter context."""
         return self.full[level - 1].ravel()[code & ((1 << 6 * (level - 1) + 9) - 1)] if level else np.full(len(code), 1 / SYMBOLS)
@@ -277,8 +290,10 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP)
     model, tables, kept = None, 0, []
     for sweep in range(burn + keep + 1):
         before = (model, tables)
-        sums = (vocabulary.select("words", "counts").mapInArrow(_sweep(spark.sparkContext.broadcast(before), d, sweep), "code bigint, n bigint")
+        shared = spark.sparkContext.broadcast(before)
+        sums = (vocabulary.select("words", "counts").mapInArrow(_sweep(shared, d, sweep), "code bigint, n bigint")
                 .groupBy("code").agg(F.sum("n").alias("n")).toArrow())  # 64**3 * 257 rows at most, whatever the corpus
+        shared.destroy()
         code, n = sums.column("code").to_numpy(), sums.column("n").to_numpy()
         tables = int(n[code == -1].sum())
         order = np.argsort(code[code >= 0])
