@@ -50,3 +50,17 @@ def test_month_cells_combine_before_the_shuffle(spark):
 def test_fact_tables_are_never_broadcast(spark):
     text = plan(entry.queries()["gold_mart"](spark, SF_DIR))
     assert "BroadcastExchange" not in text
+
+
+def test_each_table_is_scanned_once(spark):
+    text = plan(entry.queries()["feature_wide_17"](spark, SF_DIR))
+    assert len(re.findall(r"FileScan parquet", text)) == 4  # orders, customer, line items, parts
+
+
+def test_a_rewritten_table_shows_its_new_columns(spark, tmp_path):
+    from monthgrid.sources.tables import table
+
+    spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).selectExpr("id", "id AS more").write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").columns == ["id", "more"]
