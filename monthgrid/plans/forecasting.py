@@ -10,7 +10,7 @@ Models are plain tables (one row per series and configuration), so saving one is
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from statistics import NormalDist
@@ -312,9 +312,9 @@ def fit_predict(rows: DataFrame, by: Sequence[str], model: str = "prophet", hori
     return MODELS[model](rows, by, horizon).withColumn("model_name", F.lit(model))
 
 
-def run_both(rows: DataFrame, by: Sequence[str], horizon: int = HORIZON) -> DataFrame:
-    """Every model on every group, long."""
-    return reduce(DataFrame.unionByName, [fit_predict(rows, by, m, horizon) for m in MODELS])
+def run_both(rows: DataFrame, by: Sequence[str], horizon: int = HORIZON, models: Mapping[str, Callable] | None = None) -> DataFrame:
+    """Every model on every group, long. ``models`` maps names to functions ``(rows, by, horizon) -> forecasts``."""
+    return reduce(DataFrame.unionByName, [fit(rows, by, horizon).withColumn("model_name", F.lit(name)) for name, fit in (models or MODELS).items()])
 
 
 def to_results(forecasts: DataFrame, run_id: str, target: str = "series") -> DataFrame:
@@ -360,12 +360,12 @@ def backtest(rows: DataFrame, model: str | Callable = "prophet", n_splits: int =
     return ends.join(m, [by, "split"], "left").withColumn("error", error)
 
 
-def validate(rows: DataFrame, by: str = "series", test_size: float = 0.2, horizon: int = HORIZON) -> DataFrame:
+def validate(rows: DataFrame, by: str = "series", test_size: float = 0.2, horizon: int = HORIZON, models: Mapping[str, Callable] | None = None) -> DataFrame:
     """Chronological split, both models on the train part, forecasts scored on the test part."""
     parts = chronological_split(rows, by, test_size)
     train = parts.filter("split = 'train'").drop("split")
-    m = score(run_both(train, [by], horizon), parts.filter("split = 'test'"), [by, "period"], [by, "model_name"])
-    return _with_failures(m, train, [by], "model_name", list(MODELS))
+    m = score(run_both(train, [by], horizon, models), parts.filter("split = 'test'"), [by, "period"], [by, "model_name"])
+    return _with_failures(m, train, [by], "model_name", list(models or MODELS))
 
 
 def order_search(train: DataFrame, test: DataFrame, by: Sequence[str], orders: Sequence[Order] = tuple(SEARCH_ORDERS),
@@ -392,14 +392,14 @@ def window_rows(rows: DataFrame, windows: Sequence[tuple[str, str, str, str, str
     return rows.filter(F.col("value").isNotNull()).withColumn("_w", F.explode(parts)).select(by, "period", "value", "_w.window", "_w.role")
 
 
-def window_experiment(rows: DataFrame, windows, by: str = "series", horizon: int = HORIZON) -> DataFrame:
+def window_experiment(rows: DataFrame, windows, by: str = "series", horizon: int = HORIZON, models: Mapping[str, Callable] | None = None) -> DataFrame:
     """Both models on each window of each series, with metrics and training length."""
     marked = window_rows(rows, windows, by)
-    fc = run_both(marked.filter("role = 'train'").drop("role"), [by, "window"], horizon)
+    fc = run_both(marked.filter("role = 'train'").drop("role"), [by, "window"], horizon, models)
     m = score(fc, marked.filter("role = 'test'"), [by, "window", "period"], [by, "window", "model_name"])
     train = marked.filter("role = 'train'")
     n = train.groupBy(by, "window").agg(F.count(F.lit(1)).alias("n_train"))
-    return _with_failures(m, train, [by, "window"], "model_name", list(MODELS)).join(n, [by, "window"])
+    return _with_failures(m, train, [by, "window"], "model_name", list(models or MODELS)).join(n, [by, "window"])
 
 
 def save_model(model: DataFrame, path: str) -> None:

@@ -19,7 +19,7 @@ from monthgrid.plans.preprocess import preprocess
 from monthgrid.plans.reports import importance_groups
 from monthgrid.plans.trees import (FEATURES, SWEEP, between, fit_trees, importances, predict_trees, sweep,
                                    training_rows, wide_rows)
-from monthgrid.registry.core import feature_cells_sql, query, r4
+from monthgrid.registry.core import ORACLES, feature_cells_sql, query, r4
 from monthgrid.registry.evaluate import fcells
 from monthgrid.registry.features import STRICT, eng_long, strict_long
 from monthgrid.session import new_path, stage
@@ -123,23 +123,57 @@ def _ar1(rows, by, horizon):
     return forecast_seasonal_ar(rows, by, AR1, horizon)
 
 
-@query("backtest_ar_exact", f"""WITH RECURSIVE {GRID17},
-n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM gx),
-b AS (SELECT series, period, value, split, i < n - 36 + (split - 1) * 12 AS train FROM n CROSS JOIN (VALUES (1), (2), (3)) s(split) WHERE i < n - 36 + split * 12),
-d AS (SELECT *, value - lag(value, 1) OVER s - lag(value, 12) OVER s + lag(value, 13) OVER s AS w FROM b WHERE train WINDOW s AS (PARTITION BY series, split ORDER BY period)),
-l AS (SELECT *, lag(w) OVER (PARTITION BY series, split ORDER BY period) AS w1 FROM d),
-m AS (SELECT series, split, regr_slope(w, w1) AS phi, regr_intercept(w, w1) AS c FROM l GROUP BY 1, 2),
-st AS (SELECT series, split, max(period) AS train_end, list(value ORDER BY period)[-13:] AS ys, arg_max(w, period) AS w FROM d GROUP BY 1, 2),
-r AS (SELECT series, split, train_end, 0 AS step, ys, w FROM st UNION ALL
-  SELECT r.series, r.split, train_end, step + 1, list_append(ys[2:], c + phi * w + ys[13] + ys[2] - ys[1]), c + phi * w FROM r JOIN m ON m.series = r.series AND m.split = r.split WHERE step < 12),
-f AS (SELECT r.series, r.split, train_end, b.period, {r4('ys[13]')} AS p, b.value AS a FROM r
-  JOIN b ON b.series = r.series AND b.split = r.split AND NOT b.train AND b.period = CAST(train_end + to_months(step) AS DATE) WHERE step > 0)
-SELECT series, split, train_end, min(period) AS test_start, max(period) AS test_end, {r4(r4('sqrt(avg((a - p) * (a - p)))'), 2)} AS rmse,
-  {r4(r4('avg(abs(a - p))'), 2)} AS mae, {r4(r4('avg(abs((a - p) / a)) * 100'), 2)} AS mape, count(*) AS n_periods FROM f GROUP BY 1, 2, 3""")
+def _ar1_metrics(b):
+    """SQL: errors of the AR1 recursion by (series, part). ``b`` is the text of rows (series, part, period, value, train)."""
+    return f"""WITH RECURSIVE {GRID17}, b AS ({b}),
+d AS (SELECT *, value - lag(value, 1) OVER s - lag(value, 12) OVER s + lag(value, 13) OVER s AS w FROM b WHERE train WINDOW s AS (PARTITION BY series, part ORDER BY period)),
+l AS (SELECT *, lag(w) OVER (PARTITION BY series, part ORDER BY period) AS w1 FROM d),
+m AS (SELECT series, part, regr_slope(w, w1) AS phi, regr_intercept(w, w1) AS c FROM l GROUP BY 1, 2),
+st AS (SELECT series, part, max(period) AS train_end, count(*) AS n_train, list(value ORDER BY period)[-13:] AS ys, arg_max(w, period) AS w FROM d GROUP BY 1, 2),
+r AS (SELECT series, part, train_end, n_train, 0 AS step, ys, w FROM st UNION ALL
+  SELECT r.series, r.part, train_end, n_train, step + 1, list_append(ys[2:], c + phi * w + ys[13] + ys[2] - ys[1]), c + phi * w FROM r JOIN m ON m.series = r.series AND m.part = r.part WHERE step < 12),
+f AS (SELECT r.series, r.part, train_end, n_train, b.period, {r4('ys[13]')} AS p, b.value AS a FROM r
+  JOIN b ON b.series = r.series AND b.part = r.part AND NOT b.train AND b.period = CAST(train_end + to_months(step) AS DATE) WHERE step > 0),
+e AS (SELECT series, part, train_end, n_train, min(period) AS test_start, max(period) AS test_end, {r4(r4('sqrt(avg((a - p) * (a - p)))'), 2)} AS rmse,
+  {r4(r4('avg(abs(a - p))'), 2)} AS mae, {r4(r4('avg(abs((a - p) / a)) * 100'), 2)} AS mape, count(*) AS n_periods FROM f GROUP BY 1, 2, 3, 4)"""
+
+
+def _two_places(df, *columns):
+    return df.select(*columns, *[round_half_up(c, 2).alias(c) for c in ("rmse", "mae", "mape")], "n_periods")
+
+
+@query("backtest_ar_exact", _ar1_metrics("""SELECT series, period, value, part, i < n - 36 + (part - 1) * 12 AS train
+  FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM gx)
+  CROSS JOIN (VALUES (1), (2), (3)) s(part) WHERE i < n - 36 + part * 12""")
+  + " SELECT series, part AS split, train_end, test_start, test_end, rmse, mae, mape, n_periods FROM e")
 def backtest_ar_exact(spark, sf):
-    out = backtest(targets(spark, sf), _ar1)
-    return out.select("series", "split", "train_end", "test_start", "test_end",
-                      *[round_half_up(c, 2).alias(c) for c in ("rmse", "mae", "mape")], "n_periods")
+    return _two_places(backtest(targets(spark, sf), _ar1), "series", "split", "train_end", "test_start", "test_end")
+
+
+_SPANS = ", ".join(f"('{w[0]}', " + ", ".join(f"DATE '{x}'" for x in w[1:]) + ")" for w in WINDOWS)
+
+
+@query("window_experiment_ar_exact", _ar1_metrics(f"""SELECT series, period, value, part, period <= b AS train
+  FROM gx CROSS JOIN (VALUES {_SPANS}) v(part, a, b, c, d) WHERE period BETWEEN a AND b OR period BETWEEN c AND d""")
+  + """ SELECT series, part AS "window", n_train, rmse, mae, mape, n_periods FROM e""")
+def window_experiment_ar_exact(spark, sf):
+    return _two_places(window_experiment(targets(spark, sf), WINDOWS, models={"ar1": _ar1}), "series", "window", "n_train")
+
+
+@query("validation_ar_exact", _ar1_metrics("""SELECT series, period, value, 1 AS part, i <= floor(n * 0.8) AS train
+  FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) AS i, count(*) OVER (PARTITION BY series) AS n FROM gx)""")
+  + " SELECT series, rmse, mae, mape, n_periods FROM e")
+def validation_ar_exact(spark, sf):
+    return _two_places(validate(targets(spark, sf), models={"ar1": _ar1}), "series")
+
+
+@query("model_round_trip_ar_exact", ORACLES["forecast_ar_exact"])
+def model_round_trip_ar_exact(spark, sf):
+    """The autoregression written as a table, loaded again and used: the forecasts of ``forecast_ar_exact``."""
+    path = new_path(spark, "model-ar")
+    save_model(fit_seasonal_ar(targets(spark, sf), ["series"], AR1), path)
+    f = predict_seasonal_ar(load_model(spark, path), ["series"], AR1)
+    return f.select("series", "period", "step", round_half_up("forecast", 2).alias("forecast"))
 
 
 @query("future_forecast")
