@@ -10,6 +10,7 @@ A task holds one block, or the distinct pieces of one bucket. Both are set by pa
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -20,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrid.session import stage
+from monthgrid.llm.words import parts
+from monthgrid.session import new_path
 
 #: Characters of text that share one list of distinct pieces.
 SIZE = 16 << 20
@@ -71,12 +73,12 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
         learnt = np.bincount(seq[learning], minlength=len(seen))
         pieces = [p if isinstance(p, bytes) else p.encode() for p in seen]
         bucket = np.fromiter((zlib.crc32(p) % buckets for p in pieces), np.int32, len(pieces))
-        parts = []
+        dealt = []
         for k in np.unique(bucket).tolist():
             some = sorted(((pieces[i], rank[i]) for i in np.flatnonzero(bucket == k).tolist()))
             at = np.array([r for _, r in some], np.uint32)
-            parts.append({"bucket": k, "pieces": zip_pieces([p for p, _ in some]), "at": zip_ints(at), "learnt": zip_ints(learnt[at])})
-        return pa.RecordBatch.from_pylist([{"block": number, "docs": docs, "places": zip_ints(seq), "parts": parts}], schema)
+            dealt.append({"bucket": k, "pieces": zip_pieces([p for p, _ in some]), "at": zip_ints(at), "learnt": zip_ints(learnt[at])})
+        return pa.RecordBatch.from_pylist([{"block": number, "docs": docs, "places": zip_ints(seq), "parts": dealt}], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -87,7 +89,7 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
             return [], seen, []
 
         (docs, seen, places), filled = fresh(), 0
-        for b in batches:
+        for b in parts(batches):
             for key, text, learns in zip(*(c.to_pylist() for c in b.columns)):
                 text = text or ""
                 if docs and filled + len(text) > size:
@@ -105,15 +107,22 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
 def packed(docs: DataFrame, find: Callable, learns=None, size: int = SIZE, buckets: int | None = None) -> DataFrame:
     """(block, docs, places, parts) of ``docs`` (doc_id, text), written to the shared folder.
 
+    The table is bucketed by block, so grouping what comes back by block moves that alone, not the blocks.
+
     ``find`` gives a text's pieces (str or bytes) in order; null counts as the empty text. ``learns`` marks texts whose pieces are
     counted in ``learnt``. The rows of a block stay together; repeated rows and null ids are rows like any other.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (F.lit(True) if learns is None else learns).alias("learns"))
-    return stage(rows.mapInArrow(_pack(find, buckets, size, arrow_type(kind)),
-                                 f"block bigint, docs array<struct<doc_id:{kind},n:bigint,learns:boolean>>, places binary, "
-                                 "parts array<struct<bucket:int,pieces:binary,at:binary,learnt:binary>>"), "blocks")
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "blocks")
+    name = f"blocks_{uuid.uuid4().hex}"
+    (rows.mapInArrow(_pack(find, buckets, size, arrow_type(kind)),
+                     f"block bigint, docs array<struct<doc_id:{kind},n:bigint,learns:boolean>>, places binary, "
+                     "parts array<struct<bucket:int,pieces:binary,at:binary,learnt:binary>>")
+     .write.format("parquet").option("compression", "zstd").option("path", path)
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block").saveAsTable(name))
+    return spark.table(name)
 
 
 def by_bucket(blocks: DataFrame) -> DataFrame:

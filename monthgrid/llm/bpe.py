@@ -1,9 +1,8 @@
 """Byte-level BPE encoding and decoding with a given rank file.
 
-Encoding cuts texts into pre-tokens, a block of about ``BLOCK`` bytes of text at a time. A block keeps its pre-tokens' positions
-as numbers into its own list of distinct pieces, so what is exploded and shuffled is one row per block and distinct piece, not
-one per pre-token: a piece that makes up a third of the corpus is still one row per block. The shuffle by piece brings all rows
-of a piece to one task, which merges it once; the ids return to their block and are laid out by position there.
+Encoding cuts texts into pre-tokens, a block of texts at a time (``blocks``): a block keeps its pre-tokens' positions as numbers
+into its own list of distinct pieces, and what is shuffled is each block's distinct pieces by bucket, not every pre-token. The
+bucket merges each piece once for the whole corpus; the ids return to their blocks and are laid out by position there.
 
 Decoding looks ids up in the token-byte table. The table has one row per id of the vocabulary, whose size the rank file fixes
 whatever the corpus, so it is broadcast.
@@ -13,21 +12,18 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthgrid.llm import words as W
-from monthgrid.session import stage
+from monthgrid.llm.blocks import SIZE, arrow_type, by_bucket, packed, ragged, unzip_ints, unzip_pieces, zip_ints
 
-#: Bytes of text that share one list of distinct pieces.
-BLOCK = 16 << 20
 #: Longer pieces are merged with a heap, so that a run of a million letters stays near-linear.
 HEAP_FROM = 64
 #: White space as the rank files' own library understands it, which leaves out the separators U+001C to U+001F.
@@ -40,30 +36,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+@lru_cache(maxsize=4)
 def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: again and again the adjacent pair of lowest rank, the first of equals, becomes one token."""
-    if piece in ranks:
-        return [ranks[piece]]
+    get = ranks.get
+    if (whole := get(piece)) is not None:
+        return [whole]
     if len(piece) >= HEAP_FROM:
         return _merge_long(piece, ranks)
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    costs = [ranks.get(parts[i] + parts[i + 1], _NONE) for i in range(len(parts) - 1)]
+    cut = list(range(len(piece) + 1))
+    costs = [get(piece[i:i + 2], _NONE) for i in range(len(piece) - 1)]
     while costs:
         best = min(costs)
         if best == _NONE:
             break
         i = costs.index(best)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        del costs[i]
+        del cut[i + 1], costs[i]
         if i < len(costs):
-            costs[i] = ranks.get(parts[i] + parts[i + 1], _NONE)
+            costs[i] = get(piece[cut[i]:cut[i + 2]], _NONE)
         if i:
-            costs[i - 1] = ranks.get(parts[i - 1] + parts[i], _NONE)
-    return [ranks[p] for p in parts]
+            costs[i - 1] = get(piece[cut[i - 1]:cut[i + 1]], _NONE)
+    return [ranks[piece[i:j]] for i, j in zip(cut, cut[1:])]
 
 
 _NONE = 1 << 60
@@ -93,109 +90,66 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _blocks(pattern: str, size: int, ids: pa.DataType):
-    def pack(number, keys, counts, seen, places):
-        seq = np.concatenate(places) if places else np.empty(0, np.uint32)
-        order = np.argsort(-np.bincount(seq, minlength=len(seen)), kind="stable")  # frequent pieces get small numbers
-        rank = np.empty(len(seen), np.uint32)
-        rank[order] = np.arange(len(seen), dtype=np.uint32)
-        planes = rank[seq].view(np.uint8).reshape(-1, 4).T.tobytes() if len(seq) else b""
-        pieces = np.array(list(seen), object)[order].tolist() if seen else []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.array([keys], pa.list_(ids)), pa.array([counts], pa.list_(pa.int64())),
-             pa.array([pa.Codec("zstd").compress(planes, asbytes=True)], pa.binary()),
-             pa.array([[p.encode() for p in pieces]], pa.list_(pa.binary()))],
-            names=["block", "doc_ids", "counts", "places", "pieces"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = splitter(pattern).findall
-        number = TaskContext.get().partitionId() << 32
-
-        def fresh():
-            seen = defaultdict()
-            seen.default_factory = seen.__len__
-            return [], [], seen, []
-
-        keys, counts, seen, places = fresh()
-        filled = 0
-        for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = text or ""
-                if keys and filled + len(text) > size:
-                    yield pack(number, keys, counts, seen, places)
-                    (keys, counts, seen, places), filled, number = fresh(), 0, number + 1
-                row = np.fromiter(map(seen.__getitem__, find(text)), np.uint32)
-                keys.append(key)
-                counts.append(len(row))
-                places.append(row)
-                filled += len(text)
-        if keys:
-            yield pack(number, keys, counts, seen, places)
-    return run
-
-
-def _ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``flat[start[k]:start[k] + size[k]]`` for every k in ``take``, one after the other; and the sizes."""
-    n = size[take]
-    shift = np.repeat(start[take] - (np.cumsum(n) - n), n)
-    return flat[shift + np.arange(len(shift))], n
-
-
 def _merge_rows(ranks):
+    """Ids of every piece, bucket by bucket; rows arrive sorted by bucket and only one bucket's pieces are remembered."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, last, ids = ranks.value, None, b""
+        table, bucket, known = ranks.value, None, {}
         for b in batches:
-            out = []
-            for piece in b.column("piece").to_pylist():  # sorted, so equal pieces follow each other
-                if piece != last:
-                    last, ids = piece, np.array(merge(piece, table), np.int32).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("at"), pa.array(out, pa.binary())], names=["block", "at", "ids"])
+            for row in b.to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                ids = []
+                for piece in unzip_pieces(row["pieces"]):
+                    got = known.get(piece)
+                    if got is None:
+                        got = known[piece] = merge(piece, table)
+                    ids.append(got)
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([row["at"]], pa.binary()),
+                                                  pa.array([zip_ints(np.fromiter(map(len, ids), np.uint32, len(ids)))], pa.binary()),
+                                                  pa.array([zip_ints(np.fromiter(chain.from_iterable(ids), np.uint32))], pa.binary())],
+                                                 names=["block", "at", "sizes", "ids"])
     return run
 
 
-def _lay_out(schema: pa.Schema, step: int = 1 << 18):
+def _lay_out(schema: pa.Schema):
     def run(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
-        raw = [x.as_py() for x in pieces.column("ids")]
-        start, size = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
-        at = pieces.column("at").to_numpy()
-        n = np.array([len(x) // 4 for x in raw], np.int64)
+        raw = [[unzip_ints(x) for x in pieces.column(c).to_pylist()] for c in ("at", "sizes", "ids")]
+        at, n, flat = (np.concatenate(x) if x else np.empty(0, np.uint32) for x in raw)
+        start, size = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         size[at] = n
-        start[at] = np.cumsum(n) - n
-        flat = np.frombuffer(b"".join(raw), np.int32)
-        out = []
-        for keys, counts, places in zip(*(blocks.column(c).to_pylist() for c in ("doc_ids", "counts", "places"))):
-            total = sum(counts)
-            seq = np.frombuffer(pa.Codec("zstd").decompress(places, 4 * total, asbytes=True), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel() if total else np.empty(0, np.uint32)
-            done = 0
-            for i in range(0, len(keys), 256):
-                some = counts[i:i + 256]
-                ids, sizes = _ragged(flat, start, size, seq[done:done + sum(some)])
-                done += sum(some)
-                ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(some)]).astype(np.int64)]
-                out.append(pa.RecordBatch.from_arrays([pa.array(keys[i:i + 256], schema.field(0).type),
+        start[at] = np.cumsum(n, dtype=np.int64) - n
+        flat, out = flat.astype(np.int32), []
+        for docs, places in zip(blocks.column("docs").to_pylist(), blocks.column("places").to_pylist()):
+            seq, done = unzip_ints(places), 0
+            for i in range(0, len(docs), 256):
+                some = docs[i:i + 256]
+                counts = np.cumsum([0] + [d["n"] for d in some])
+                ids, sizes = ragged(flat, start, size, seq[done:done + counts[-1]])
+                done += counts[-1]
+                ends = np.concatenate([[0], np.cumsum(sizes)])[counts]
+                out.append(pa.RecordBatch.from_arrays([pa.array([d["doc_id"] for d in some], schema.field(0).type),
                                                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))], schema=schema))
         return pa.Table.from_batches(out, schema)
     return run
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, block: int = BLOCK) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, block: int = SIZE) -> DataFrame:
     """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have no ids. Repeated rows and null doc_ids are rows like any other. Other columns are not read. No
     special tokens: their strings are ordinary text.
     """
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    ranks = spark.sparkContext.broadcast(read_ranks(rank_path))
-    blocks = stage(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _blocks(pattern, block, arrow), f"block bigint, doc_ids array<{kind}>, counts array<bigint>, places binary, pieces array<binary>"), "blocks")
-    pieces = blocks.select("block", F.posexplode("pieces").alias("at", "piece"))
-    merged = (pieces.repartition("piece").sortWithinPartitions("piece")
-              .mapInArrow(_merge_rows(ranks), "block bigint, at int, ids binary"))
-    schema = pa.schema([("doc_id", arrow), ("ids", pa.list_(pa.int32()))])
-    return (blocks.select("block", "doc_ids", "counts", "places").groupBy("block").cogroup(merged.groupBy("block"))
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
+
+    def find(text: str) -> list[str]:
+        return splitter(pattern).findall(text)
+
+    blocks = packed(docs, find, F.lit(False), block)
+    merged = (by_bucket(blocks).select("block", "bucket", "pieces", "at").repartition("bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_merge_rows(ranks), "block bigint, at binary, sizes binary, ids binary"))
+    schema = pa.schema([("doc_id", arrow_type(kind)), ("ids", pa.list_(pa.int32()))])
+    return (blocks.select("block", "docs", "places").groupBy("block").cogroup(merged.groupBy("block"))
             .applyInArrow(_lay_out(schema), f"doc_id {kind}, ids array<int>"))
 
 
@@ -208,14 +162,17 @@ def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
     table = encoded.sparkSession.sparkContext.broadcast(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = table.value
+        size = np.fromiter(map(len, table.value), np.int64, len(table.value))
+        flat, start = np.frombuffer(b"".join(table.value), np.uint8), np.cumsum(size) - size
         for b in batches:
-            ids = b.column("ids")
-            for i in range(0, b.num_rows, 256):
-                part = ids.slice(i, 256)
-                out = [b"".join(map(token.__getitem__, x.values.to_numpy())) if x.is_valid else b"" for x in part]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, 256) for c in b.columns), pa.array(out, pa.binary())],
-                                                 names=[*b.schema.names, "decoded"])
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                ids = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
+                text, sizes = ragged(flat, start, size, ids.flatten().to_numpy())
+                counts = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
+                ends = np.concatenate([[0], np.cumsum(sizes)])[counts]
+                decoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text)])
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded.cast(pa.binary())], names=[*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields) + ", decoded binary")
 
