@@ -41,6 +41,18 @@ def unzip_ints(data: bytes) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view(np.uint32).ravel()
 
 
+def zip_longs(x: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers, byte plane by byte plane, compressed; sorted hashes and small numbers shrink most."""
+    planes = np.ascontiguousarray(x, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd", _LEVEL).compress(planes, asbytes=True)
+
+
+def unzip_longs(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.Codec("zstd").decompress(data[8:], 8 * n, asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(8, n).T.copy().view(np.uint64).ravel()
+
+
 def zip_pieces(pieces: list[bytes]) -> bytes:
     sizes, text = zip_ints(np.fromiter(map(len, pieces), np.uint32, len(pieces))), b"".join(pieces)
     return len(sizes).to_bytes(8, "little") + len(text).to_bytes(8, "little") + sizes + pa.Codec("zstd", _LEVEL).compress(text, asbytes=True)
@@ -58,9 +70,29 @@ def arrow_type(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}[kind]
 
 
-def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
+def pairs_of(seq: np.ndarray, kinds: int) -> np.ndarray:
+    """Code of each piece of a block with the piece before it: ``piece * kinds + before``.
+
+    The texts must end with one piece of their own kind, so that what is before a text's first piece is the end of another text.
+    """
+    return seq.astype(np.int64) * kinds + np.roll(seq, 1)
+
+
+def _deal_pairs(seq, learning, kinds):
+    """Distinct pairs sorted by piece and the one before, how often each is learnt, and where each piece's pairs begin and how many."""
+    s = np.sort(pairs_of(seq, kinds) << 1 | learning)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] >> 1 != s[:-1] >> 1])) if len(s) else np.zeros(0, np.int64)
+    code = s[first] >> 1
+    n = np.bincount(code // kinds, minlength=kinds)
+    return code % kinds, np.add.reduceat(s & 1, first) if len(s) else s, np.cumsum(n) - n, n
+
+
+PAIRS = ("sizes", "contexts", "context_at", "times")
+
+
+def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType, pairs: Callable | None = None):
     doc = pa.struct([("doc_id", ids), ("n", pa.int64()), ("learns", pa.bool_())])
-    part = pa.struct([("bucket", pa.int32()), ("pieces", pa.binary()), ("at", pa.binary()), ("learnt", pa.binary())])
+    part = pa.struct([("bucket", pa.int32()), ("pieces", pa.binary()), ("at", pa.binary()), ("learnt", pa.binary()), *((c, pa.binary()) for c in PAIRS if pairs)])
     schema = pa.schema([("block", pa.int64()), ("docs", pa.list_(doc)), ("places", pa.binary()), ("parts", pa.list_(part))])
 
     def close(number, docs, seen, places):
@@ -73,11 +105,19 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
         learnt = np.bincount(seq[learning], minlength=len(seen))
         pieces = [p if isinstance(p, bytes) else p.encode() for p in seen]
         bucket = np.fromiter((zlib.crc32(p) % buckets for p in pieces), np.int32, len(pieces))
+        if pairs:
+            before, times, start, n_before = _deal_pairs(seq, learning, len(seen))
+            hashes = np.empty(len(seen), np.uint64)
+            hashes[rank] = pairs(pieces)
         dealt = []
         for k in np.unique(bucket).tolist():
             some = sorted(((pieces[i], rank[i]) for i in np.flatnonzero(bucket == k).tolist()))
             at = np.array([r for _, r in some], np.uint32)
             dealt.append({"bucket": k, "pieces": zip_pieces([p for p, _ in some]), "at": zip_ints(at), "learnt": zip_ints(learnt[at])})
+            if pairs:
+                take, sizes = ragged(np.arange(len(before)), start, n_before, at)
+                contexts, context_at = np.unique(hashes[before[take]], return_inverse=True)
+                dealt[-1] |= {"sizes": zip_ints(sizes), "contexts": zip_longs(contexts), "context_at": zip_ints(context_at), "times": zip_ints(times[take])}
         return pa.RecordBatch.from_pylist([{"block": number, "docs": docs, "places": zip_ints(seq), "parts": dealt}], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,25 +144,31 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType):
     return run
 
 
-def packed(docs: DataFrame, find: Callable, learns=None, size: int = SIZE, buckets: int | None = None) -> DataFrame:
+def kept_by(rows: DataFrame, key: str, label: str) -> DataFrame:
+    """Written to the shared folder, bucketed and sorted by ``key``, so that grouping or joining by it does not move the rows."""
+    spark, name = rows.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    (rows.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, label))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key).saveAsTable(name))
+    return spark.table(name)
+
+
+def packed(docs: DataFrame, find: Callable, learns=None, size: int = SIZE, buckets: int | None = None, pairs: Callable | None = None) -> DataFrame:
     """(block, docs, places, parts) of ``docs`` (doc_id, text), written to the shared folder.
 
     The table is bucketed by block, so grouping what comes back by block moves that alone, not the blocks.
 
     ``find`` gives a text's pieces (str or bytes) in order; null counts as the empty text. ``learns`` marks texts whose pieces are
-    counted in ``learnt``. The rows of a block stay together; repeated rows and null ids are rows like any other.
+    counted in ``learnt``. With ``pairs``, a hash of many pieces, the parts also hold the distinct pairs of the bucket's pieces with the
+    piece before (``pairs_of``): by piece in the order of ``at`` how many (``sizes``), then their places (``context_at``) in the sorted
+    hashes of the pieces before (``contexts``), and how often each pair is learnt (``times``). The rows of a block stay together; repeated rows and null ids are rows like any other.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (F.lit(True) if learns is None else learns).alias("learns"))
-    spark, path = docs.sparkSession, new_path(docs.sparkSession, "blocks")
-    name = f"blocks_{uuid.uuid4().hex}"
-    (rows.mapInArrow(_pack(find, buckets, size, arrow_type(kind)),
-                     f"block bigint, docs array<struct<doc_id:{kind},n:bigint,learns:boolean>>, places binary, "
-                     "parts array<struct<bucket:int,pieces:binary,at:binary,learnt:binary>>")
-     .write.format("parquet").option("compression", "zstd").option("path", path)
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block").saveAsTable(name))
-    return spark.table(name)
+    more = "".join(f",{c}:binary" for c in PAIRS if pairs)
+    return kept_by(rows.mapInArrow(_pack(find, buckets, size, arrow_type(kind), pairs),
+                                   f"block bigint, docs array<struct<doc_id:{kind},n:bigint,learns:boolean>>, places binary, "
+                                   f"parts array<struct<bucket:int,pieces:binary,at:binary,learnt:binary{more}>>"), "block", "blocks")
 
 
 def by_bucket(blocks: DataFrame) -> DataFrame:

@@ -1,23 +1,22 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Words are the tokens. One restaurant seats all training tokens; its dishes are words, and a new table's word is drawn from a
+Words are the tokens. Each word before (the end of a text, for its first word) has a restaurant of the words after it; all of
+them share a parent, the word restaurant, whose customers are their tables. Its new tables' words are drawn from a
 spelling model: restaurants of characters, one for each context of up to three characters before, all contexts that end alike
-sharing the parent restaurant of the shorter context, down to a uniform choice. So a rare word has mostly the probability of its
-spelling, and a frequent one its own. As in the base score, all words outside the training texts are one unknown word: it has
-the mass of a new table times that of all spellings not seen, so the probabilities of all known words and this one add up to 1.
-
-Seating is sampled by Gibbs sweeps. A sweep reseats every word's customers one after the other, given the tables of all other
-words and the spelling model of the sweep before (beyond 64 customers in groups that grow by a sixteenth, rounded at random).
-Each table sends its word's characters as customers into the restaurants of their contexts, those reseat likewise and send their
-tables on to their parents. After ``BURN`` sweeps, ``KEEP`` sweeps are kept and their predictive probabilities averaged.
-
-Contexts hold characters' classes (64, as for ``perplexity``), symbols are bytes: at most ``64**3 * 257`` kinds of customers
-whatever the corpus, so the spelling model is broadcast. The words are as many as the corpus brings: they stay in their
-buckets (``blocks``), each bucket samples its own words, and only sums leave it. A word's score goes back to the blocks that hold it by
-position, so a word that makes up a third of all tokens costs a row per block.
-
-Why contexts are characters, not words: tables for pairs of words are nearly as many as the tokens themselves, and scoring would
-shuffle a row per token (3.5 GB for 0.5 GB of input, beyond the check's disk limit).
+sharing the parent restaurant of the shorter context, down to a uniform choice. As in the base score, all words outside the
+training texts are one unknown word: in the word restaurant it has the mass of a new table times that of all spellings not
+seen, so after any word the probabilities of all known words and this one add up to 1.
+
+Seating is sampled by Gibbs sweeps. A sweep reseats every pair's and every word's customers one after the other, given the tables
+of all others and the parent of the sweep before (beyond 64 customers in groups that grow by a sixteenth, rounded at random).
+Tables are customers of the parent, those reseat likewise and send their tables on to their parents. After ``BURN`` sweeps,
+``KEEP`` sweeps are kept and their predictive probabilities averaged.
+
+Words and pairs are as many as the corpus brings: they stay in the bucket of the pair's second word (``blocks``), each bucket
+samples its own. A context's tables lie in many buckets; its home, found by a hash, adds them up each sweep and tells the buckets
+that need them. Contexts that had no pair twice keep their tables and are told once. Characters' contexts are cut to classes (64,
+as for ``perplexity``), symbols are bytes: at most ``64**3 * 257`` kinds of customers whatever the corpus, so the spelling model is
+broadcast. A word's and a pair's part of the score go back to the blocks that hold them by position, once for each block.
 """
 
 from __future__ import annotations
@@ -30,10 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthgrid.llm import words as W
-from monthgrid.llm.blocks import arrow_type, by_bucket, packed, unzip_ints, unzip_pieces, zip_ints, zip_pieces
+from monthgrid.llm.blocks import arrow_type, by_bucket, kept_by, packed, pairs_of, ragged, unzip_ints, unzip_longs, unzip_pieces, zip_ints, zip_longs, zip_pieces
 from monthgrid.llm.labels import remainder
 from monthgrid.llm.perplexity import CLASS
-from monthgrid.session import stage
 
 BURN, KEEP = 2, 3
 THETA = 1.0
@@ -167,106 +165,277 @@ def _hash(words: list[bytes]) -> np.ndarray:
     return W.hash_spans(np.frombuffer(b"".join(words) + b"\0", np.uint8), ends - size, ends)
 
 
-def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each bucket with their training counts; rows arrive sorted by bucket."""
-    bucket, known = None, {}
+def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, times) of each distinct pair, sorted by word and context."""
+    word, context, times = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((context, word))
+    word, context = word[order], context[order]
+    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])])) if len(word) else order
+    return word[first], context[first], np.add.reduceat(times[order], first) if len(word) else times
 
-    def out():
-        words = sorted(known)
-        c = np.array([known[w] for w in words], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([zip_pieces(words)], pa.binary()), pa.array([c.tobytes()], pa.binary()),
-                                           pa.array([int(c.sum())]), *(pa.array([int(x.sum())]) for x in (c > 0, c == 1, c == 2))],
-                                          names=["bucket", "words", "counts", "n", "v", "once", "twice"])
 
-    for b in batches:
-        for row in b.to_pylist():
-            if row["bucket"] != bucket:
-                if known:
-                    yield out()
-                bucket, known = row["bucket"], {}
-            for word, n in zip(unzip_pieces(row["pieces"]), unzip_ints(row["learnt"]).tolist()):
-                known[word] = known.get(word, 0) + n
-    if known:
-        yield out()
+VOCABULARY = ("bucket int, words binary, counts binary, sizes binary, contexts binary, context_at binary, times binary, "
+              "n bigint, v bigint, once bigint, twice bigint, pairs_once bigint, pairs_twice bigint")
+
+
+def _vocabulary(order: int):
+    """Distinct words of each bucket with their training counts and their pairs with the word before; rows arrive sorted by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, known, learnt, pairs, held = None, {}, [], [], 0
+
+        def out():
+            words = sorted(known)
+            number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            place = np.empty(len(words), np.int64)
+            place[number] = np.arange(len(words))
+            c = np.zeros(len(words), np.int64)
+            for ids, n in learnt:
+                c[place[ids]] += n
+            word, context, times = _merged([(place[w], u, n) for w, u, n in pairs] or [(np.zeros(0, np.int64), np.zeros(0, W.U), np.zeros(0, np.int64))])
+            contexts, at = np.unique(np.concatenate([context, _hash(words)]), return_inverse=True)
+            sizes = np.bincount(word, minlength=len(words))
+            first = sizes if order == 2 else c  # the customers of the word restaurant while each pair has one table
+            values = [bucket, zip_pieces(words), zip_longs(c), zip_ints(sizes), zip_longs(contexts), zip_ints(at[:len(word)]), zip_longs(times), int(c.sum()),
+                      *(int(x.sum()) for x in (c > 0, first == 1, first == 2, times == 1, times == 2))]
+            names = [x.split()[0] for x in VOCABULARY.split(", ")]
+            types = [pa.int32()] + [pa.binary()] * 6 + [pa.int64()] * 6
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
+
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                if row["bucket"] != bucket:
+                    if known:
+                        yield out()
+                    bucket, known, learnt, pairs, held = row["bucket"], {}, [], [], 0
+                ids = np.fromiter((known.setdefault(w, len(known)) for w in unzip_pieces(row["pieces"])), np.int64)
+                learnt.append((ids, unzip_ints(row["learnt"])))
+                if order < 2:
+                    continue
+                times = unzip_ints(row["times"]).astype(np.int64)
+                some = np.flatnonzero(times)
+                pairs.append((np.repeat(ids, unzip_ints(row["sizes"]))[some], unzip_longs(row["contexts"])[unzip_ints(row["context_at"])[some]], times[some]))
+                held += len(some)
+                if held > max(1 << 20, 2 * len(pairs[0][0])):
+                    pairs = [_merged(pairs)]
+                    held = len(pairs[0][0])
+        if known:
+            yield out()
+    return run
 
 
 def _tables(c, probability, total_tables, d, seed_hash, sweep):
     return seat(c, (THETA + d * total_tables) * probability, probability, d, W.mix(seed_hash ^ W.U(sweep + 1)))
 
 
-def _sweep(known, d: float, sweep: int):
-    """Reseats the words of each bucket; returns how many customers each (context, symbol) gets, and under -1 how many tables there are."""
+class _Bucket:
+    """The words of a bucket, their pairs with the word before, and what the homes of the contexts say about all buckets."""
+
+    def __init__(self, row: dict, homes: int):
+        self.words, self.counts = unzip_pieces(row["words"]), unzip_longs(row["counts"]).astype(np.int64)
+        self.hash = _hash(self.words)
+        self.contexts, self.at, self.times = unzip_longs(row["contexts"]), unzip_ints(row["context_at"]), unzip_longs(row["times"]).astype(np.int64)
+        self.word = np.repeat(np.arange(len(self.words)), unzip_ints(row["sizes"]))
+        self.own = np.searchsorted(self.contexts, self.hash)  # the words as contexts
+        self.home = (self.contexts % W.U(homes)).astype(np.int64)
+        self.big = np.flatnonzero(self.times > 1)  # a pair seen once keeps its one table
+        self.tables, self.customers = np.zeros((2, len(self.contexts)))  # of each context's restaurant in all buckets
+        for x in row.get("first") or ():
+            here = self.home == x["home"]
+            self.tables[here], self.customers[here] = unzip_longs(x["tables"]), unzip_longs(x["customers"])
+        asks = np.zeros(len(self.contexts), bool)
+        asks[self.at[self.big]] = True
+        asks[self.own[(self.customers > self.tables)[self.own]]] = True
+        self.asks = np.flatnonzero(asks)  # the contexts whose tables can change and matter here
+        for x in row.get("replies") or ():
+            self.tables[self.asks[self.home[self.asks] == x["home"]]] += unzip_longs(x["tables"])
+
+    def messages(self, which: np.ndarray, tables: np.ndarray, customers: np.ndarray) -> list[dict]:
+        """To each home those of ``which`` contexts that it keeps, with this bucket's tables and customers of each."""
+        order = which[np.argsort(self.home[which], kind="stable")]
+        parts = np.split(order, np.flatnonzero(np.diff(self.home[order])) + 1)
+        return [{"home": int(self.home[i[0]]), "contexts": zip_longs(self.contexts[i]), "tables": zip_longs(tables[i]), "customers": zip_longs(customers[i])} for i in parts if len(i)]
+
+    def first(self) -> list[dict]:
+        """All contexts, with a table for each pair."""
+        n = len(self.contexts)
+        return self.messages(np.arange(n), np.bincount(self.at, minlength=n), np.bincount(self.at, self.times, n))
+
+    def more(self, tables: np.ndarray) -> list[dict]:
+        """The contexts that can change, with the tables beyond one for each pair."""
+        n = len(self.contexts)
+        return self.messages(self.asks, np.bincount(self.at[self.big], tables[self.big] - 1, n), np.zeros(n))
+
+
+def _word(c, t, spelling, d, total, tables):
+    """Probability of each known word in the word restaurant."""
+    return (np.maximum(c - d * t, 0) + (THETA + d * tables) * spelling) / (THETA + total)
+
+
+_MESSAGE = pa.struct([("home", pa.int32()), ("contexts", pa.binary()), ("tables", pa.binary()), ("customers", pa.binary())])
+_STATE = pa.schema([("bucket", pa.int32()), ("seated", pa.binary()), ("at_tables", pa.binary()), ("pair_tables", pa.binary()), ("kept", pa.list_(pa.binary())),
+                    ("codes", pa.binary()), ("code_n", pa.binary()), ("total", pa.int64()), ("tables", pa.int64()), ("messages", pa.list_(_MESSAGE))])
+STATE = ("bucket int, seated binary, at_tables binary, pair_tables binary, kept array<binary>, codes binary, code_n binary, total bigint, tables bigint, "
+         "messages array<struct<home:int,contexts:binary,tables:binary,customers:binary>>")
+
+
+def _sweep(known, d: float, d_pair: float, sweep: int, burn: int, order: int, homes: int):
+    """Reseats the pairs and the words of each bucket.
+
+    ``kept`` collects, for each kept sweep, the words' customers and tables and, a sweep later, the tables of the words as contexts.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tables = known.value
+        model, total, tables = known.value
         for b in batches:
             for row in b.to_pylist():
-                words, c = unzip_pieces(row["words"]), np.frombuffer(row["counts"], np.int64)
-                context, symbol, owner = spelt = spell(words)
-                t = _tables(c, model.words(spelt), tables, d, _hash(words), sweep) if model else (c > 0).astype(float)
+                k = _Bucket(row, homes)
+                context, symbol, owner = spelt = spell(k.words)
+                kept, sums = list(row.get("kept") or ()), np.zeros(len(k.times))
+                if sweep:
+                    spelling, sums = model.words(spelt), unzip_longs(row["pair_tables"]).astype(float)
+                    word, at = k.word[k.big], k.at[k.big]
+                    p = _word(unzip_longs(row["seated"]).astype(float), unzip_longs(row["at_tables"]).astype(float), spelling, d, total, tables)[word]
+                    pair_t = np.ones(len(k.times))
+                    pair_t[k.big] = seat(k.times[k.big], (THETA + d_pair * k.tables[at]) * p, p, d_pair, W.mix(k.contexts[at] ^ W.mix(k.hash[word] ^ W.U(sweep + 1))))
+                    c = np.bincount(k.word, pair_t, len(k.words)).astype(np.int64) if order == 2 else k.counts
+                    t = _tables(c, spelling, tables, d, k.hash, sweep)
+                    if sweep > burn + 1:
+                        kept.append(zip_longs(k.tables[k.own]))
+                else:
+                    pair_t = np.ones(len(k.times))
+                    c = np.bincount(k.word, pair_t, len(k.words)).astype(np.int64) if order == 2 else k.counts
+                    t = (c > 0).astype(float)
+                if sweep > burn:
+                    kept += [zip_longs(c), zip_longs(t)]
+                    sums = sums + pair_t
                 code, at = np.unique(context << 9 | symbol, return_inverse=True)
                 n = np.bincount(at, t[owner]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], code[n > 0]])), pa.array(np.concatenate([[int(t.sum())], n[n > 0]]))], names=["code", "n"])
+                yield pa.RecordBatch.from_pylist([{"bucket": row["bucket"], "seated": zip_longs(c), "at_tables": zip_longs(t), "pair_tables": zip_longs(sums), "kept": kept,
+                                                   "codes": zip_ints(code[n > 0]), "code_n": zip_longs(n[n > 0]), "total": int(c.sum()), "tables": int(t.sum()),
+                                                   "messages": k.more(pair_t) if order == 2 and sweep else []}], _STATE)
+    return run
+
+
+def _first(homes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([_Bucket(row, homes).first()], pa.list_(_MESSAGE))], names=["bucket", "messages"])
     return run
 
 
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for row in b.to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(unzip_ints(row["codes"]).astype(np.int64)), pa.array(unzip_longs(row["code_n"]).astype(np.int64))], names=["code", "n"])
+
+
+_REPLY = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("tables", pa.binary()), ("customers", pa.binary())])
+
+
+def _home(rows: pa.Table) -> pa.Table:
+    """Adds up each context's tables and customers over all buckets and tells each bucket that asked."""
+    rows = rows.to_pylist()
+    asked = [unzip_longs(r["contexts"]) for r in rows]
+    contexts, at = np.unique(np.concatenate(asked), return_inverse=True)
+    t, c = (np.bincount(at, np.concatenate([unzip_longs(r[x]) for r in rows]), len(contexts)) for x in ("tables", "customers"))
+    parts = np.split(at, np.cumsum([len(x) for x in asked])[:-1])
+    return pa.Table.from_pylist([{"bucket": r["bucket"], "home": r["home"], "tables": zip_longs(t[i]), "customers": zip_longs(c[i])} for r, i in zip(rows, parts)], _REPLY)
+
+
+def _replies(messages: DataFrame, name: str) -> DataFrame:
+    return (messages.select("bucket", F.inline("messages")).groupBy("home").applyInArrow(_home, "bucket int, home int, tables binary, customers binary")
+            .groupBy("bucket").agg(F.collect_list(F.struct("home", "tables", "customers")).alias(name)))
+
+
 def _seen(known):
-    """The spelling mass of the training words of each bucket under each kept model."""
+    """The spelling mass of the words of each bucket that have customers, under each kept model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                spelt, c = spell(unzip_pieces(row["words"])), np.frombuffer(row["counts"], np.int64)
-                mass = [float(model.words(spelt)[c > 0].sum()) for _, _, _, model, _ in known.value]
+                spelt, c = spell(unzip_pieces(row["words"])), unzip_longs(row["counts"])
+                mass = [float(model.words(spelt)[c > 0].sum()) for model, _, _ in known.value]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(mass)), pa.int32()), pa.array(mass, pa.float64())], names=["sample", "mass"])
     return run
 
 
-def _score(known, seen: list[float], d: float, total: int):
-    """Average predictive log10 probability of each word of a bucket over the kept sweeps."""
+_SCORED = [(c, pa.binary()) for c in ("words", "counts", "shares", "weights", "sizes", "contexts", "context_at", "own")]
+
+
+def _score(known, seen: list[float], d: float, d_pair: float, homes: int):
+    """For each kept sweep the words' probabilities in the word restaurant and the weight of that restaurant after each word; and
+    the pairs' own share of their context, averaged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                words, c = unzip_pieces(row["words"]), np.frombuffer(row["counts"], np.int64)
-                spelt, seeds, p, last = spell(words), _hash(words), np.zeros(len(words)), (None, None)
-                for (sweep, before, tables_before, model, tables), mass in zip(known.value, seen):
-                    was = last[1] if last[0] == sweep - 1 else before.words(spelt)
-                    now = model.words(spelt)
-                    t = _tables(c, was, tables_before, d, seeds, sweep)
-                    p += (np.maximum(c - d * t, 0) + (THETA + d * tables) * np.where(c > 0, now, max(1 - mass, 0))) / (THETA + total)
-                    last = (sweep, now)
-                logp = np.log10(np.maximum(p / len(known.value), 1e-300)).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([row["words"]], pa.binary()),
-                                                  pa.array([row["counts"]], pa.binary()), pa.array([logp.tobytes()], pa.binary())], names=["bucket", "words", "counts", "logp"])
+                k, n = _Bucket(row, homes), len(known.value)
+                spelt, shares, weights, customers = spell(k.words), [], [], k.customers[k.own]
+                kept = [unzip_longs(x).astype(float) for x in row["kept"]] + [k.tables[k.own]]
+                for (model, total, tables), mass, c, t, rooms in zip(known.value, seen, kept[::3], kept[1::3], kept[2::3]):
+                    new = (THETA + d * tables) * max(1 - mass, 0) / (THETA + total)
+                    shares.append(np.where(k.counts > 0, _word(c, t, model.words(spelt), d, total, tables), new))
+                    weights.append((THETA + d_pair * rooms) / (THETA + customers))
+                own = (k.times - d_pair * unzip_longs(row["pair_tables"]).astype(float) / n) / (THETA + k.customers[k.at])
+                values = [row["words"], row["counts"], *(np.array(x, np.float32).tobytes() for x in (shares, weights)), row["sizes"], row["contexts"], row["context_at"],
+                          own.astype(np.float32).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), *(pa.array([v], t) for v, (_, t) in zip(values, _SCORED))],
+                                                 names=["bucket", *(c for c, _ in _SCORED)])
     return run
 
 
+_FOUND = ("at", "low", "high", "shares", "weights", "own")
+
+
 def _to_blocks(vocabulary: pa.Table, blocks: pa.Table) -> pa.Table:
-    schema = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("logp", pa.binary())])
-    where, c, logp = {}, np.empty(0, np.int64), np.empty(0, np.uint32)
-    if vocabulary.num_rows:
-        row = vocabulary.to_pylist()[0]
-        where = {w: i for i, w in enumerate(unzip_pieces(row["words"]))}
-        c, logp = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["logp"], np.uint32)
+    schema = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in _FOUND)])
+    if not vocabulary.num_rows:
+        return schema.empty_table()
+    row = vocabulary.to_pylist()[0]
+    where = {w: i for i, w in enumerate(unzip_pieces(row["words"]))}
+    c = unzip_longs(row["counts"])
+    shares, weights = (np.frombuffer(row[x], np.uint32).reshape(-1, len(c)) for x in ("shares", "weights"))
+    contexts, own = unzip_longs(row["contexts"]), np.frombuffer(row["own"], np.float32)
+    pairs = np.repeat(np.arange(len(c)), unzip_ints(row["sizes"])) * len(contexts) + unzip_ints(row["context_at"])
     out = []
-    for block, pieces, at in zip(*(blocks.column(k).to_pylist() for k in ("block", "pieces", "at"))):
-        i = np.fromiter(map(where.__getitem__, unzip_pieces(pieces)), np.int64)
-        out.append({"block": block, "at": at, "low": zip_ints((c[i] & 0xFFFFFFFF).astype(np.uint32)), "high": zip_ints((c[i] >> 32).astype(np.uint32)), "logp": zip_ints(logp[i])})
+    for i in range(blocks.num_rows):
+        b = blocks.slice(i, 1).to_pylist()[0]
+        i = np.fromiter(map(where.__getitem__, unzip_pieces(b["pieces"])), np.int64)
+        asked = unzip_longs(b["contexts"])
+        at = np.minimum(np.searchsorted(contexts, asked), len(contexts) - 1)
+        at = np.where(contexts[at] == asked, at, -1)[unzip_ints(b["context_at"])]
+        code = np.repeat(i, unzip_ints(b["sizes"])) * len(contexts) + at
+        found = np.zeros(len(code), np.float32)
+        if len(pairs):
+            j = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
+            found = np.where((pairs[j] == code) & (at >= 0), own[j], found)
+        out.append({"block": b["block"], "at": b["at"], "low": zip_ints(c[i] & W.U(0xFFFFFFFF)), "high": zip_ints(c[i] >> W.U(32)), "shares": zip_ints(shares[:, i].ravel()),
+                    "weights": zip_ints(weights[:, i].ravel()), "own": zip_ints(found.view(np.uint32))})
     return pa.Table.from_pylist(out, schema)
 
 
-def _documents(schema: pa.Schema, total: int, kinds: int):
+def _documents(schema: pa.Schema, total: int, kinds: int, keep: int):
     def run(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
-        at, low, high, logp = (np.concatenate([unzip_ints(x) for x in pieces.column(k).to_pylist()]) for k in ("at", "low", "high", "logp"))
+        at, low, high = (np.concatenate([unzip_ints(x) for x in pieces.column(k).to_pylist()]) for k in ("at", "low", "high"))
         count = np.empty(len(at), np.int64)
         count[at] = low.astype(np.int64) | high.astype(np.int64) << 32
-        model = np.empty(len(at))
-        model[at] = logp.view(np.float32)
+        share, weight = (np.empty((keep, len(at)), np.float32) for _ in "sw")
+        for name, x in (("shares", share), ("weights", weight)):
+            x[:, at] = np.concatenate([unzip_ints(v).view(np.float32).reshape(keep, -1) for v in pieces.column(name).to_pylist()], axis=1)
         base = np.log10((count + SMOOTH) / (total + SMOOTH * (kinds + 1)))
         out = []
         for docs, places in zip(blocks.column("docs").to_pylist(), blocks.column("places").to_pylist()):
             seq = unzip_ints(places)
+            code, pair = np.unique(pairs_of(seq, len(at)), return_inverse=True)
+            word, before = np.divmod(code, len(at))
+            sizes = np.bincount(word, minlength=len(at))
+            p = np.zeros(len(code))
+            p[ragged(np.arange(len(code)), np.cumsum(sizes) - sizes, sizes, at)[0]] = np.concatenate([unzip_ints(x).view(np.float32) for x in pieces.column("own").to_pylist()])
+            for s, w in zip(share, weight):
+                p += w[before].astype(float) * s[word] / keep
+            model = np.log10(np.maximum(p, 1e-300))
             n = np.array([d["n"] for d in docs])
             begin = np.cumsum(n) - n
-            sums = [np.add.reduceat(x[seq], begin) for x in (base, model, (count > 0).astype(np.int64))]
+            sums = [np.add.reduceat(x, begin) for x in (base[seq], model[pair], (count > 0).astype(np.int64)[seq])]
             out.append(pa.RecordBatch.from_arrays(
                 [pa.array([d["doc_id"] for d in docs], schema.field(0).type), pa.array([not d["learns"] for d in docs]), pa.array(n), pa.array(sums[2]),
                  pa.array(np.full(len(n), total)), pa.array(sums[0]), pa.array(sums[1])], schema=schema))
@@ -274,45 +443,52 @@ def _documents(schema: pa.Schema, total: int, kinds: int):
     return run
 
 
-def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP) -> DataFrame:
+def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP, order: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text).
 
-    Only texts marked by ``learns`` are learnt from; the others are held out. Null and empty texts are one token, the end. Without
+    Only texts marked by ``learns`` are learnt from; the others are held out. ``order`` 2 has a restaurant for each word before,
+    ``order`` 1 the word restaurant alone. Null and empty texts are one token, the end. Without
     training texts every token is the unknown word, with probability 1. Repeated rows and null ids are rows like
     any other; other columns are not read. ``score`` sums log10 probabilities per token, so ``10 ** (-score / n_tokens)`` is the perplexity.
     """
     spark = docs.sparkSession
-    blocks = packed(docs, tokens, learns)
+    homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = packed(docs, tokens, learns, pairs=_hash)
     bucketed = by_bucket(blocks).repartition("bucket").sortWithinPartitions("bucket")
-    vocabulary = stage(bucketed.mapInArrow(_vocabulary, "bucket int, words binary, counts binary, n bigint, v bigint, once bigint, twice bigint"), "vocabulary")
-    total, kinds, once, twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("n", "v", "once", "twice")]).first())
-    d = discount(once, twice)
-    model, tables, kept = None, 0, []
+    vocabulary = kept_by(bucketed.mapInArrow(_vocabulary(order), VOCABULARY), "bucket", "vocabulary")
+    total, kinds, once, twice, pairs_once, pairs_twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("n", "v", "once", "twice", "pairs_once", "pairs_twice")]).first())
+    d, d_pair = discount(once, twice), discount(pairs_once, pairs_twice)
+    still = vocabulary.drop("n", "v", "once", "twice", "pairs_once", "pairs_twice")
+    if order == 2:
+        asked = still.mapInArrow(_first(homes), "bucket int, messages array<struct<home:int,contexts:binary,tables:binary,customers:binary>>")
+        still = still.join(kept_by(_replies(asked, "first"), "bucket", "contexts").hint("merge"), "bucket")
+    model, seated, tables, kept, rows = None, 0, 0, [], still
     for sweep in range(burn + keep + 1):
-        before = (model, tables)
-        shared = spark.sparkContext.broadcast(before)
-        sums = (vocabulary.select("words", "counts").mapInArrow(_sweep(shared, d, sweep), "code bigint, n bigint")
-                .groupBy("code").agg(F.sum("n").alias("n")).toArrow())  # 64**3 * 257 rows at most, whatever the corpus
+        shared = spark.sparkContext.broadcast((model, seated, tables))
+        state = kept_by(rows.mapInArrow(_sweep(shared, d, d_pair, sweep, burn, order, homes), STATE), "bucket", "seating")
         shared.destroy()
+        seated, tables = (x or 0 for x in state.agg(F.sum("total"), F.sum("tables")).first())
+        sums = (state.select("codes", "code_n").mapInArrow(_codes, "code bigint, n bigint")
+                .groupBy("code").agg(F.sum("n").alias("n")).toArrow())  # 64**3 * 257 rows at most, whatever the corpus
         code, n = sums.column("code").to_numpy(), sums.column("n").to_numpy()
-        tables = int(n[code == -1].sum())
-        order = np.argsort(code[code >= 0])
-        model = Spelling(code[code >= 0][order], n[code >= 0][order], model, sweep)
+        at = np.argsort(code)
+        model = Spelling(code[at], n[at], model, sweep)
+        rows = (still.join(state.select("bucket", "seated", "at_tables", "pair_tables", "kept").hint("merge"), "bucket")
+                .join(_replies(state, "replies").hint("merge"), "bucket", "left"))
         if sweep > burn:
-            kept.append((sweep, *before, model, tables))
+            kept.append((model, seated, tables))
     known = spark.sparkContext.broadcast(kept)
     masses = vocabulary.select("words", "counts").mapInArrow(_seen(known), "sample int, mass double").groupBy("sample").agg(F.sum("mass").alias("mass")).collect()
     masses = dict(map(tuple, masses))
-    probable = vocabulary.select("bucket", "words", "counts").mapInArrow(
-        _score(known, [masses.get(i, 0.0) for i in range(len(kept))], d, total), "bucket int, words binary, counts binary, logp binary")
-    found = (probable.groupBy("bucket").cogroup(by_bucket(blocks).select("block", "bucket", "pieces", "at").groupBy("bucket"))
-             .applyInArrow(_to_blocks, "block bigint, at binary, low binary, high binary, logp binary"))
+    probable = rows.mapInArrow(_score(known, [masses.get(i, 0.0) for i in range(len(kept))], d, d_pair, homes), "bucket int, " + ", ".join(f"{c} binary" for c, _ in _SCORED))
+    found = (probable.groupBy("bucket").cogroup(by_bucket(blocks).drop("learnt", "times").groupBy("bucket"))
+             .applyInArrow(_to_blocks, "block bigint, " + ", ".join(f"{c} binary" for c in _FOUND)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = pa.schema([("doc_id", arrow_type(kind)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     return (blocks.select("block", "docs", "places").groupBy("block").cogroup(found.groupBy("block"))
-            .applyInArrow(_documents(schema, total, kinds), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
+            .applyInArrow(_documents(schema, total, kinds, keep), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
 
 
 def op10_pitman_yor(spark, sf_dir) -> DataFrame:
-    return scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), F.coalesce(remainder(10) != 0, F.lit(True)))
+    return scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), F.coalesce(remainder(10) != 0, F.lit(True)), order=2)

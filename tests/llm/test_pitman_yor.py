@@ -79,3 +79,41 @@ def test_known_words_and_the_unknown_one_add_up_to_one(spark):
     got = {r.doc_id: r.score for r in P.scored(df.union(probes), P.F.col("doc_id") < 1000).collect()}
     end = P.scored(df.union(spark.createDataFrame([(2000, "")], "doc_id bigint, text string")), P.F.col("doc_id") < 1000).filter("doc_id = 2000").first().score
     assert sum(10 ** (got[1000 + i] - end) for i in range(13)) + 10**end == pytest.approx(1, abs=1e-4)
+
+
+def ordered_texts(spark, n=400):
+    rng = np.random.default_rng(5)
+    sides = [("the", ["cat", "dog", "sun"]), ("we", ["run", "see", "like"]), ("my", ["hat", "car", "tea"])]
+    rows = []
+    for i in range(n):
+        text = []
+        for _ in range(12):
+            head, tails = sides[rng.integers(3)]
+            text += [head, tails[rng.integers(3)]]
+        rows.append((i, " ".join(text)))
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_word_order_moves_the_score(spark):
+    docs = ordered_texts(spark)
+    rng = np.random.default_rng(6)
+    held = [(1000 + r.doc_id, r.text) for r in docs.limit(40).collect()]
+    held += [(i + 1000, " ".join(rng.permutation(t.split()))) for i, t in held]
+    df = docs.union(spark.createDataFrame(held, "doc_id bigint, text string"))
+    got = {r.doc_id: r.score for r in P.scored(df, P.F.col("doc_id") < 1000, order=2).filter("held_out").collect()}
+    assert all(got[i] > got[i + 1000] + 2 for i, _ in held[:40])
+
+
+def test_after_each_word_the_known_words_and_the_unknown_one_add_up_to_one(spark):
+    docs = [(i, f"{w} the cat sat") for i, w in enumerate("a b c a a b the the cat dog".split())]
+    words = "a b c the cat sat dog zebra".split()
+    probes = {"": 1000} | {w: 1001 + i for i, w in enumerate(words)} | {f"{u} {w}": 1100 + 10 * i + j for i, u in enumerate(words) for j, w in enumerate(words)}
+    df = spark.createDataFrame(docs + [(i, t) for t, i in probes.items()], "doc_id bigint, text string")
+    got = {r.doc_id: 10**r.score for r in P.scored(df, P.F.col("doc_id") < 1000, order=2).collect()}
+    p = {t: got[i] for t, i in probes.items()}
+    # up to a change of scale of the states (the end, then the words), m holds P(next | before); rows that add up to one make 1 its largest eigenvalue
+    m = np.ones((len(words) + 1, len(words) + 1))
+    m[0] = [p[""], *(p[w] for w in words)]
+    m[1:, 1:] = [[p[f"{u} {w}"] / p[u] for w in words] for u in words]
+    assert max(abs(np.linalg.eigvals(m))) == pytest.approx(1, abs=1e-4)
+    assert p["the cat"] * p["sat"] > 2 * p["the sat"] * p["cat"]
