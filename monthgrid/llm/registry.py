@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from monthgrid.llm import bpe, decontaminate, extract, near_dup, perplexity, pieces, pii, pitman_yor, resample, toxicity, warc
+from monthgrid.llm import bpe, conversation, decontaminate, extract, near_dup, perplexity, pieces, pii, pitman_yor, resample, toxicity, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,9 +17,11 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_minhash_near_dup": near_dup.op9_minhash_near_dup,
     "op10_pitman_yor": pitman_yor.op10_pitman_yor,
+    "op11_conversation_repair": conversation.op11_conversation_repair,
     "op12_sentencepiece": pieces.op12_sentencepiece,
 }
-ORACLES = {"op6_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op9_minhash_near_dup": near_dup.SQL}
+ORACLES = {"op6_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op9_minhash_near_dup": near_dup.SQL,
+           "op11_conversation_repair": conversation.SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
