@@ -145,11 +145,16 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType, pairs: Call
 
 
 def kept_by(rows: DataFrame, key: str, label: str) -> DataFrame:
-    """Written to the shared folder, bucketed and sorted by ``key``, so that grouping or joining by it does not move the rows."""
+    """Written to the shared folder, bucketed and sorted by ``key``, so that grouping or joining by it does not move the rows.
+
+    Spark writes buckets only through its catalog. The name is dropped at once; the files stay, and the frame goes on reading them.
+    """
     spark, name = rows.sparkSession, f"{label}_{uuid.uuid4().hex}"
     (rows.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, label))
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key).saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def packed(docs: DataFrame, find: Callable, learns=None, size: int = SIZE, buckets: int | None = None, pairs: Callable | None = None) -> DataFrame:

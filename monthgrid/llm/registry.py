@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from monthgrid.llm import bpe, conversation, decontaminate, extract, near_dup, perplexity, pieces, pii, pitman_yor, resample, toxicity, warc
+from monthgrid.llm import bpe, collocation, conversation, decontaminate, extract, near_dup, perplexity, pieces, pii, pitman_yor, resample, toxicity, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -19,9 +19,10 @@ QUERIES = {
     "op10_pitman_yor": pitman_yor.op10_pitman_yor,
     "op11_conversation_repair": conversation.op11_conversation_repair,
     "op12_sentencepiece": pieces.op12_sentencepiece,
+    "op13_phrase_collocations": collocation.op13_phrase_collocations,
 }
 ORACLES = {"op6_decontaminate": decontaminate.SQL, "op8_warc": warc.SQL, "op9_minhash_near_dup": near_dup.SQL,
-           "op11_conversation_repair": conversation.SQL}
+           "op11_conversation_repair": conversation.SQL, "op13_phrase_collocations": collocation.SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 

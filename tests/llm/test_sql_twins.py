@@ -19,4 +19,4 @@ def test_agrees_with_sql(spark, name):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     assert set(ORACLES) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 13)) and "pipeline" in QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14)) and "pipeline" in QUERIES
