@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,20 +36,21 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can see, as named by the cluster.
+    """The folder every executor can see: ``spark.checkpoint.dir`` of the session, or else its checkpoint folder.
 
-    Only where the session names none (tests, local runs) is a private folder made, and it is
-    recorded in the session so that later calls agree on it.
+    A session of one JVM that names neither gets a private folder. Anything with executors of its own must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if base:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(base)
+        return base
+    if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="monthgrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="monthgrid-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
