@@ -23,7 +23,8 @@ from monthgrid.sources.reads import (actuals_only, between_periods, incremental_
                                      preflight, validation_report)
 from monthgrid.sources.tables import (DRIVER_FEATURES, all_observations, feature_observations, gas_observations,
                                       oil_observations, table)
-from monthgrid.streaming.ingest import daily_means, exact_once, landed, monthly_means, stream_into_table
+from monthgrid.streaming.ingest import daily_means, landed, monthly_means, stream_into_table
+from monthgrid.streaming.payloads import VERDICTS, PayloadTable, landed_lines, lines
 
 # ---- payloads: each order and each event is first written as the JSON its API would send ----
 
@@ -316,11 +317,62 @@ def daily_to_monthly_mean(spark, sf):
     return monthly_mean(e, ["series"])
 
 
-@query("stream_latest_wins", """SELECT event_type AS series, CAST(ts AS DATE) AS period, arg_max(value, {'t': ts, 'e': event_id}) AS value FROM events GROUP BY 1, 2""")
+@query("stream_latest_wins", """SELECT event_type AS series, CAST(ts AS DATE) AS period, max(ts) AS at, arg_max(event_id, {'t': ts, 'e': event_id}) AS event_id,
+  arg_max(value, {'t': ts, 'e': event_id}) AS value FROM events GROUP BY 1, 2""")
 def stream_latest_wins(spark, sf):
-    """Redelivered events are dropped; the newest value per series and day replaces the table's."""
-    schema = T.StructType([T.StructField("series", T.StringType()), T.StructField("period", T.DateType()), T.StructField("value", T.DoubleType())])
-    once = exact_once(event_stream(spark, sf), ["event_id"], "ts")
-    newest = once.groupBy("series", F.col("ts").cast("date").alias("period")).agg(
-        F.max_by("value", F.struct("ts", "event_id")).alias("value"))
-    return stream_into_table(newest, "latest", schema, ["series", "period"])
+    """Every event is a row of its series and day; the newest one stays, whatever order files come in. No streaming state."""
+    schema = T.StructType([T.StructField("series", T.StringType()), T.StructField("period", T.DateType()), T.StructField("at", T.TimestampNTZType()),
+                           T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    rows = event_stream(spark, sf).select("series", F.col("ts").cast("date").alias("period"), F.col("ts").alias("at"), "event_id", "value")
+    return stream_into_table(rows, "latest", schema, ["series", "period"], "append", order=["at", "event_id"], by="period")
+
+
+# ---- landed payloads: a file line per series and month, in no order of time; some are cut short, some are error answers ----
+
+_ORDER_DAYS = f"""days AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS value FROM orders GROUP BY 1, 2),
+sent AS (SELECT *, {month('day')} AS period, month(day) = 2 AND year(day) % 2 = 1 AS cut, series_id = '5-LOW' AND month(day) = 11 AS refused,
+  dayofmonth(day) = 13 AS dot FROM days)"""
+
+
+def land_order_days(spark, sf):
+    """Writes the payloads as text files and returns (folder, number of files)."""
+    day = F.col("o_orderdate").cast("date")
+    days = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("series_id"), day.alias("day")).agg(F.max("o_totalprice").alias("value"))
+    entry = F.struct(F.date_format("day", "yyyy-MM-dd").alias("date"), F.when(F.dayofmonth("day") == 13, ".").otherwise(F.col("value").cast("string")).alias("value"))
+    sent = days.groupBy("series_id", F.trunc("day", "month").alias("period")).agg(F.array_sort(F.collect_list(entry)).alias("observations"))
+    text = F.to_json(F.struct("observations"))
+    text = (F.when((F.month("period") == 2) & (F.year("period") % 2 == 1), F.expr("left(to_json(struct(observations)), 40)"))
+            .when((F.col("series_id") == "5-LOW") & (F.month("period") == 11), '{"error_code":400}').otherwise(text))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = new_path(spark, "landing")
+    lines(sent.withColumn("text", text).repartition(files, F.xxhash64("period", "series_id"))).write.text(folder)
+    return folder, files
+
+
+def ingested_order_days(spark, sf):
+    folder, files = land_order_days(spark, sf)
+    out = PayloadTable(spark, new_path(spark, "payloads"), merge_every=3)
+    out.run(landed_lines(spark, folder, -(-files // 6)))
+    return out
+
+
+@query("stream_payload_months", f"""WITH {_ORDER_DAYS} SELECT series_id, period, count(*) AS n_days, {r4('avg(value)')} AS value FROM sent
+  WHERE NOT cut AND NOT refused AND NOT dot GROUP BY 1, 2""")
+def stream_payload_months(spark, sf):
+    """Monthly means of the days that landed, late ones included."""
+    days = ingested_order_days(spark, sf).read(late=True)
+    return days.groupBy("series_id", month_of("period").alias("period")).agg(F.count(F.lit(1)).alias("n_days"), round_half_up(F.avg("value")).alias("value"))
+
+
+@query("stream_payload_ledger", f"""WITH {_ORDER_DAYS} SELECT 'loaded' AS verdict, count(*) AS n FROM sent WHERE NOT cut AND NOT refused AND NOT dot
+UNION ALL SELECT 'missing', count(*) FROM sent WHERE dot AND NOT cut AND NOT refused
+UNION ALL SELECT 'quarantined', count(DISTINCT (series_id, period)) FROM sent WHERE cut
+UNION ALL SELECT 'empty', count(DISTINCT (series_id, period)) FROM sent WHERE refused AND NOT cut
+UNION ALL SELECT 'unaccounted', 0 UNION ALL SELECT 'set_aside', count(DISTINCT (series_id, period)) FROM sent WHERE cut""")
+def stream_payload_ledger(spark, sf):
+    """What landed by verdict (kept or late: loaded), what no verdict accounts for, and the lines in the quarantine table."""
+    out = ingested_order_days(spark, sf)
+    total = out.ledger().agg(F.sum(F.col("kept") + F.col("late")).alias("loaded"), *[F.sum(v).alias(v) for v in ("missing", "quarantined", "empty")],
+                             F.sum(F.col("landed") - sum((F.col(v) for v in VERDICTS), F.lit(0))).alias("unaccounted"))
+    rows = total.select(F.expr("stack(5, " + ", ".join(f"'{c}', {c}" for c in total.columns) + ") AS (verdict, n)"))
+    return rows.unionByName(out.side("quarantined").agg(F.count(F.lit(1)).alias("n")).withColumn("verdict", F.lit("set_aside")))

@@ -35,6 +35,18 @@ def replace_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     return existing.join(drop, list(keys), "left_anti").unionByName(new)
 
 
+def _files(spark: SparkSession, folder: str):
+    """The file system of a folder, local or remote, and its path class."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all its files; one that is gone already is left as it is."""
+    files, path = _files(spark, folder)
+    files.delete(path(folder), True)
+
+
 class VersionedTable:
     """A table that is replaced as a whole: each write is a new ``version=N`` folder, readers take the newest complete one.
 
@@ -47,13 +59,11 @@ class VersionedTable:
 
     def _versions(self) -> list[tuple[int, bool]]:
         """(number, complete) of the version folders."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
+        files, path = _files(self.spark, self.folder)
+        if not files.exists(path(self.folder)):
             return []
-        names = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith("version=")]
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        return [(int(p.getName().split("=")[1]), files.exists(done(p, "_SUCCESS"))) for p in names]
+        names = [s.getPath() for s in files.listStatus(path(self.folder)) if s.getPath().getName().startswith("version=")]
+        return [(int(p.getName().split("=")[1]), files.exists(path(p, "_SUCCESS"))) for p in names]
 
     def read(self) -> DataFrame | None:
         """The current rows; None before the first write."""
@@ -71,6 +81,12 @@ class VersionedTable:
         old = self.read()
         return self.swap(new if old is None else replace_by_key(old, new, keys))
 
+    def prune(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` complete versions; readers of those go on undisturbed."""
+        complete = sorted(n for n, done in self._versions() if done)
+        for number in complete[:-keep]:
+            delete_folder(self.spark, f"{self.folder}/version={number}")
+
 
 def update_by_key(rows: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str],
                   when: Column) -> DataFrame:

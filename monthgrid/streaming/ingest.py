@@ -1,20 +1,20 @@
 """Incremental ingestion as Structured Streaming.
 
-Landed files are read once each (the checkpoint remembers them); late days rewrite their month.
-The watermark is 60 days, the tail the daily pull reads again; with a short watermark and append
-output, late rows would be dropped silently.
+Landed files are read once each (the checkpoint remembers them); late days rewrite their month. Every state is keyed by an event
+time with a watermark of 60 days, the tail the daily pull reads again, so it expires. Rows that come later than that are dropped by
+a stateful operator, and counted (``late_rows``); ``payloads`` keeps them in a side table instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from monthgrid.session import new_path
+from monthgrid.streaming.keyed import KeyedTable
 
 WATERMARK = "60 days"
 
@@ -28,20 +28,21 @@ def landed(spark: SparkSession, path: str, schema: StructType, files_per_trigger
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def _means(rows: DataFrame, series: str, at: str, value: str) -> DataFrame:
+    if rows.isStreaming:
+        rows = rows.withWatermark(at, WATERMARK)
+    return (rows.groupBy(series, at).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
+            .select(series, F.col(at).cast("date").alias("period"), "n", "mean_value"))
+
+
 def daily_means(stream: DataFrame, time: str = "ts", series: str = "series", value: str = "value") -> DataFrame:
     """Count and mean per series and day. Works on batch and stream alike."""
-    rows = stream.withColumn("_at", F.col(time).cast("timestamp"))
-    if stream.isStreaming:
-        rows = rows.withWatermark("_at", WATERMARK)
-    return (rows.groupBy(series, F.window("_at", "1 day").alias("_w"))
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
-            .select(series, F.col("_w.start").cast("date").alias("period"), "n", "mean_value"))
+    return _means(stream.withColumn("_at", F.date_trunc("day", F.col(time).cast("timestamp"))), series, "_at", value)
 
 
 def monthly_means(stream: DataFrame, time: str = "ts", series: str = "series", value: str = "value") -> DataFrame:
-    """Mean per series and calendar month (not a fixed-length window, so grouped by its first day)."""
-    month = F.trunc(F.col(time).cast("date"), "month")
-    return stream.groupBy(series, month.alias("period")).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
+    """Mean per series and calendar month. The month's first day is the event time, so a month's state expires 60 days after the newest month began."""
+    return _means(stream.withColumn("_at", F.date_trunc("month", F.col(time).cast("timestamp"))), series, "_at", value)
 
 
 def exact_once(stream: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
@@ -52,46 +53,31 @@ def exact_once(stream: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     return at.withWatermark(time, WATERMARK).dropDuplicatesWithinWatermark(list(keys))
 
 
-class KeyedTable:
-    """A parquet table updated by key from micro-batches, the latest batch winning.
-
-    Every batch writes only its own rows, to a path named by its id; a batch repeated after a
-    failure rewrites that path and changes nothing else. Reading keeps the newest row of each
-    key.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, schema: StructType, keys: Sequence[str]):
-        self.spark, self.folder, self.schema, self.keys = spark, folder, schema, list(keys)
-
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        batch.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
-
-    def read(self) -> DataFrame:
-        try:
-            log = self.spark.read.schema(self.schema).option("basePath", self.folder).parquet(self.folder)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e.getCondition()):
-                raise
-            return self.spark.createDataFrame([], self.schema)  # nothing has landed yet
-        row = F.struct(*[c for c in self.schema.fieldNames() if c not in self.keys])
-        newest = F.max_by(row, F.struct(F.col("batch"), row))  # of a key's rows in one batch, the largest
-        return log.groupBy(*self.keys).agg(newest.alias("_row")).select(
-            *[F.col(c) if c in self.keys else F.col(f"_row.{c}") for c in self.schema.fieldNames()])
-
-def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update") -> None:
-    """Process everything landed so far, then stop; the next run on the same checkpoint goes on from there."""
+def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update") -> list:
+    """Process everything landed so far, then stop; the next run on the same checkpoint goes on from there. Returns the batches' progress."""
     query = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    return list(query.recentProgress)
+
+
+def late_rows(progress: list) -> int:
+    """Rows that stateful operators have dropped because they came after the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in progress for op in p.stateOperators)
+
+
+def state_rows(progress: list) -> list[int]:
+    """Rows held as state after each batch."""
+    return [sum(op.numRowsTotal for op in p.stateOperators) for p in progress]
 
 
 def stream_into_table(stream: DataFrame, label: str, schema: StructType, keys: Sequence[str], mode: str = "update",
-                      folder: str | None = None) -> DataFrame:
+                      folder: str | None = None, order: Sequence[str] = (), by: str | None = None) -> DataFrame:
     """Run a stream into a keyed table and return the table.
 
     Pass the same ``folder`` again to go on where the last run stopped.
     """
     base = folder or new_path(stream.sparkSession, label)
-    table = KeyedTable(stream.sparkSession, f"{base}/table", schema, keys)
+    table = KeyedTable(stream.sparkSession, f"{base}/table", schema, keys, order, by)
     run_once(stream, table.upsert, f"{base}/checkpoint", mode)
     return table.read()
