@@ -28,24 +28,50 @@ def keep_latest(obs: DataFrame, keys: Sequence[str], payload: Sequence[str] = ("
     return obs.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in payload])
 
 
-def keep_latest_value(obs: DataFrame, keys: Sequence[str], recency: str = "ingested_at", value: str = "value") -> DataFrame:
-    """The same for the value alone, where a load stamps many rows with one time.
+#: A packed key holds microseconds since the year 1 (18 digits) and the value in ten-thousandths, shifted to be positive (19 digits).
+_SINCE, _SHIFT, _PLACES = 62_135_596_800_000_000, 10 ** 18, 10_000
+#: Values up to here come back from ten-thousandths as the same doubles.
+LARGEST = 2.0 ** 53 / _PLACES
 
-    The largest value per key and time, then the value of the latest time: both steps compare
-    plain numbers, so they hash where the ordering by a pair has to sort its input first. With a
-    time of its own on every row the first step would reduce nothing; use ``keep_latest`` there.
+
+def latest_key(recency: Column, value: Column) -> Column:
+    """Load time, then value to four places, as one number: its maximum is the latest row, of equals the largest value.
+
+    A decimal of 38 digits is held in place by the hash aggregate, where a struct would make Spark sort its input. Values beyond
+    ``LARGEST``, NaN and times outside the years 1 to 9999 raise an error rather than being cut.
+    """
+    stamp = F.unix_micros(recency) + F.lit(_SINCE)
+    units = F.round(round_half_up(value) * F.lit(float(_PLACES)))
+    fits = (F.abs(value) < F.lit(LARGEST)) & stamp.between(0, 10 ** 18 - 1)
+    packed = stamp.cast("decimal(18,0)") * F.lit(2 * _SHIFT).cast("decimal(19,0)") + (units.cast("bigint") + F.lit(_SHIFT)).cast("decimal(19,0)")
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("a value or load time is out of range for the latest-row key")).cast("decimal(38,0)"))
+
+
+def latest_parts(key: str) -> tuple[Column, Column]:
+    """(load time, value) of a packed key."""
+    unit = F.lit(2 * _SHIFT).cast("decimal(19,0)")
+    units = (F.col(key) % unit).cast("bigint") - F.lit(_SHIFT)
+    stamp = F.expr(f"cast(`{key}` div cast({2 * _SHIFT} AS decimal(19,0)) AS bigint)") - F.lit(_SINCE)
+    return F.timestamp_micros(stamp), units / F.lit(float(_PLACES))
+
+
+def keep_latest_value(obs: DataFrame, keys: Sequence[str], recency: str = "ingested_at", value: str = "value", stamp: bool = False) -> DataFrame:
+    """The value of the latest load per key, to four places; of equal times the largest. With ``stamp``, the load time as well.
+
+    One hash aggregate, whether a load stamps its rows with one time or each row has its own: a task sends at most one row per key.
     """
-    per_time = obs.groupBy(*keys, recency).agg(F.max(value).alias(value))
-    return per_time.groupBy(*keys).agg(F.max_by(value, recency).alias(value))
+    best = obs.groupBy(*keys).agg(F.max(latest_key(F.col(recency), F.col(value))).alias("_key"))
+    at, got = latest_parts("_key")
+    return best.select(*keys, got.alias(value), *([at.alias(recency)] if stamp else []))
 
 
-def latest_cells(obs: DataFrame, by: Sequence[str], stamped_by_load: bool = True) -> DataFrame:
+def latest_cells(obs: DataFrame, by: Sequence[str], stamp: bool = False) -> DataFrame:
     """Month cells holding the latest value; a row of unknown load time counts as the oldest."""
     loaded = F.coalesce(F.col("ingested_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
     monthly = obs.select(*by, month_of("period").alias("period"), "value", loaded.alias("ingested_at"))
-    keep = keep_latest_value if stamped_by_load else keep_latest
     # the month leads the keys: where rows are sorted, dates compare faster than series names
-    return keep(monthly, ["period", *by]).select(*by, "period", round_half_up("value").alias("value"))
+    out = keep_latest_value(monthly.filter(F.col("value").isNotNull()), ["period", *by], stamp=stamp)
+    return out.select(*by, "period", round_half_up("value").alias("value"), *(["ingested_at"] if stamp else []))
 
 
 def mean_cells(obs: DataFrame, by: Sequence[str]) -> DataFrame:

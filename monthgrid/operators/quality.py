@@ -7,6 +7,7 @@ expectations there are.
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -209,25 +210,25 @@ def column_tests(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[s
                  accepted: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Declared column tests as rows ``(test_name, column_name, n_failures, passed)``.
 
-    ``unique`` counts the values that occur more than once; NULL values are not compared.
+    ``unique`` counts the values that occur more than once; NULL values are not compared. All unique columns share one aggregate over
+    (column, value) and all other tests another, so the number of shuffles does not depend on the number of tests.
     """
     accepted = accepted or {}
-    df = stage(df.select(*dict.fromkeys([*not_null, *unique, *accepted])), "column-tests")  # each test reads what was computed once
-    parts = []
-    flat: list[Column] = [F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"nn_{c}") for c in not_null]
-    flat += [_n(F.col(c).isNotNull() & ~F.col(c).isin(list(v))).alias(f"av_{c}") for c, v in accepted.items()]
-    if flat:
-        one = df.agg(*flat)
-        packed = [F.struct(F.lit("not_null").alias("test_name"), F.lit(c).alias("column_name"), F.col(f"nn_{c}").cast("long").alias("n_failures"))
-                  for c in not_null]
-        packed += [F.struct(F.lit("accepted_values").alias("test_name"), F.lit(c).alias("column_name"),
-                            F.coalesce(F.col(f"av_{c}"), F.lit(0)).cast("long").alias("n_failures")) for c in accepted]
-        parts.append(one.select(F.explode(F.array(*packed)).alias("t")).select("t.*"))
-    for c in unique:
-        dup = df.filter(F.col(c).isNotNull()).groupBy(c).count().agg(_n(F.col("count") > 1).alias("n"))
-        parts.append(dup.select(F.lit("unique").alias("test_name"), F.lit(c).alias("column_name"),
-                                F.coalesce("n", F.lit(0)).cast("long").alias("n_failures")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("n_failures") == 0)
+    wanted = [("not_null", c) for c in not_null] + [("accepted_values", c) for c in accepted] + [("unique", c) for c in unique]
+    df = stage(df.select(*dict.fromkeys([*not_null, *unique, *accepted])), "column-tests")  # both aggregates read what was computed once
+    fails = {("not_null", c): F.col(c).isNull() for c in not_null}
+    fails |= {("accepted_values", c): F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in accepted.items()}
+    found = []
+    if fails:
+        one = df.agg(*[F.coalesce(F.sum(bad.cast("long")), F.lit(0)).alias(f"n{i}") for i, bad in enumerate(fails.values())])
+        rows = [F.struct(F.lit(t).alias("test_name"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_failures")) for i, (t, c) in enumerate(fails)]
+        found.append(one.select(F.explode(F.array(*rows)).alias("t")).select("t.*"))
+    if unique:
+        cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in unique])).alias("c")).select("c.*")
+        often = cells.filter(F.col("v").isNotNull()).groupBy("column_name", "v").count().filter("count > 1").groupBy("column_name").agg(F.count(F.lit(1)).alias("n_failures"))
+        found.append(often.select(F.lit("unique").alias("test_name"), "column_name", "n_failures"))
+    asked = df.sparkSession.createDataFrame(wanted, "test_name string, column_name string").coalesce(1)
+    seen = reduce(DataFrame.unionByName, found)
+    out = asked.join(F.broadcast(seen), ["test_name", "column_name"], "left")  # a row per test at most
+    return out.select("test_name", "column_name", F.coalesce("n_failures", F.lit(0)).cast("long").alias("n_failures"),
+                      (F.coalesce("n_failures", F.lit(0)) == 0).alias("passed"))

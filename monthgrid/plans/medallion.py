@@ -35,8 +35,11 @@ def silver(obs: DataFrame, domain: Domain, dedupe: str = "latest") -> DataFrame:
 
     ``dedupe="mean"`` averages repeated observations instead of keeping the latest.
     """
-    # series without a column still make their months rows of the table
-    cells = (latest_cells if dedupe == "latest" else mean_cells)(clean(obs, domain.min_value), ["series_id"])
+    return silver_from_cells((latest_cells if dedupe == "latest" else mean_cells)(clean(obs, domain.min_value), ["series_id"]), domain)
+
+
+def silver_from_cells(cells: DataFrame, domain: Domain) -> DataFrame:
+    """The silver table from month cells ``(series_id, period, value)``; series without a column still make their months rows of it."""
     names = list(domain.columns)
     long = grid(cells, list(domain.columns.values()), "series_id")
     price = F.col("series_id") == F.lit(domain.columns[domain.price])

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from monthgrid.catalog import RangeRule, Suite
+from monthgrid.functions.scalars import stable_id
 from monthgrid.operators.quality import (column_tests, quality_gate, run_battery, run_suite, suite_summary, suite_totals)
 from monthgrid.registry.core import GAS, all_obs_sql, query
-from monthgrid.registry.medallion import GOLD, gold_df
+from monthgrid.registry.medallion import GOLD, SILVER_GAS, SILVER_OIL, gold_df, silver_gas_df, silver_oil_df
 from monthgrid.sinks.tables import quality_log
 from monthgrid.sources.tables import DRIVER_FEATURES, all_observations, feature_name, gas_observations, table
 
@@ -161,22 +162,49 @@ query("quality_generic", f"{BATTERY} SELECT * FROM res")(lambda spark, sf: run_b
 query("quality_generic_totals", f"{BATTERY} {_TOTALS}")(lambda spark, sf: suite_totals(run_battery(exog_bronze(spark, sf), DRIVER_RANGES)))
 
 
-@query("column_tests_gold", f"""WITH {GOLD}
-SELECT 'not_null' AS test_name, c AS column_name, n AS n_failures, n = 0 AS passed FROM (
-  SELECT 'period' AS c, count(*) FILTER (WHERE period IS NULL) AS n FROM gold UNION ALL
-  SELECT 'wti_price', count(*) FILTER (WHERE wti_price IS NULL) FROM gold UNION ALL
-  SELECT 'has_outlier', count(*) FILTER (WHERE has_outlier IS NULL) FROM gold)
-UNION ALL SELECT 'accepted_values', 'has_outlier', count(*) FILTER (WHERE has_outlier NOT IN (true, false)), count(*) FILTER (WHERE has_outlier NOT IN (true, false)) = 0 FROM gold
-UNION ALL SELECT 'unique', 'period', count(*), count(*) = 0 FROM (SELECT period FROM gold GROUP BY 1 HAVING count(*) > 1)""")
+# The declared tests of the silver and gold tables. ``id`` is a hash of the month, the last column a load stamp.
+_FLAG = [True, False]
+DECLARED = {
+    "silver_oil": (["id", "period", "wti_price", "is_outlier", "transformed_at"], ["id", "period"], {"is_outlier": _FLAG}),
+    "silver_gas": (["id", "period", "henry_hub_price", "is_outlier"], ["id", "period"], {"is_outlier": _FLAG}),
+    "gold": (["id", "period", "has_outlier", "created_at"], ["id", "period"], {"has_outlier": _FLAG}),
+}
+
+
+def _tests_sql(source, not_null, unique, accepted):
+    """SQL of the declared tests on a table expression."""
+    def row(test, c, n):
+        return f"SELECT '{test}' AS test_name, '{c}' AS column_name, n AS n_failures, n = 0 AS passed FROM ({n})"
+
+    rows = [row("not_null", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS n FROM {source}") for c in not_null]
+    rows += [row("accepted_values", c, f"SELECT count(*) FILTER (WHERE {c} NOT IN ({', '.join(map(repr, v))})) AS n FROM {source}") for c, v in accepted.items()]
+    rows += [row("unique", c, f"SELECT count(*) AS n FROM (SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)") for c in unique]
+    return " UNION ALL ".join(rows)
+
+
+def _stamped(df, *stamps):
+    return df.select(stable_id("period").alias("id"), "*", *[F.current_timestamp().alias(c) for c in stamps])
+
+
+@query("column_tests_gold", f"WITH {GOLD}, t AS (SELECT sha256(CAST(period AS VARCHAR)) AS id, *, now() AS created_at FROM gold) {_tests_sql('t', *DECLARED['gold'])}")
 def column_tests_gold(spark, sf):
-    return column_tests(gold_df(spark, sf), ["period", "wti_price", "has_outlier"], ["period"], {"has_outlier": [True, False]})
+    return column_tests(_stamped(gold_df(spark, sf), "created_at"), *DECLARED["gold"])
+
+
+@query("column_tests_silver_oil", f"WITH {SILVER_OIL}, t AS (SELECT sha256(CAST(period AS VARCHAR)) AS id, *, now() AS transformed_at FROM so) {_tests_sql('t', *DECLARED['silver_oil'])}")
+def column_tests_silver_oil(spark, sf):
+    return column_tests(_stamped(silver_oil_df(spark, sf), "transformed_at"), *DECLARED["silver_oil"])
+
+
+@query("column_tests_silver_gas", f"WITH {SILVER_GAS}, t AS (SELECT sha256(CAST(period AS VARCHAR)) AS id, * FROM sg) {_tests_sql('t', *DECLARED['silver_gas'])}")
+def column_tests_silver_gas(spark, sf):
+    return column_tests(_stamped(silver_gas_df(spark, sf)), *DECLARED["silver_gas"])
+
+
+_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_BRONZE = (_ORDERS, _ORDERS, {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"], "o_orderstatus": ["F", "O", "P"]})
 
 
-@query("column_tests_bronze", """
-SELECT 'not_null' AS test_name, 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_failures, count(*) FILTER (WHERE o_orderkey IS NULL) = 0 AS passed FROM orders
-UNION ALL SELECT 'accepted_values', 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')), false FROM orders
-UNION ALL SELECT 'unique', 'o_orderkey', count(*), count(*) = 0 FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'unique', 'o_custkey', count(*), count(*) = 0 FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)""")
+@query("column_tests_bronze", _tests_sql("orders", *_BRONZE))
 def column_tests_bronze(spark, sf):
-    return column_tests(table(spark, sf, "orders"), ["o_orderkey"], ["o_orderkey", "o_custkey"],
-                        {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]})
+    return column_tests(table(spark, sf, "orders"), *_BRONZE)

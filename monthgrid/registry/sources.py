@@ -14,14 +14,15 @@ from monthgrid.plans.features import feature_cells
 from monthgrid.registry.core import (GAS, OIL, all_obs_sql, feature_cells_sql, mean_cells_sql, month, query, r4, wide17_sql)
 from monthgrid.registry.features import fwide
 from monthgrid.registry.medallion import GOLD, SILVER_OIL, gold_df, silver_gas_df, silver_oil_df
-from monthgrid.session import new_path
-from monthgrid.sinks.tables import (append_bronze, backfill_runs, round_trip_csv, round_trip_parquet, truncate_load, typed)
+from monthgrid.plans.stored import StoredDomain, StoredMart
+from monthgrid.session import new_path, stage
+from monthgrid.sinks.tables import (append_bronze, backfill_runs, round_trip_csv, round_trip_parquet, run_records, truncate_load, typed, RunLog)
 from monthgrid.sources.payloads import (OBSERVATION_SCHEMA, RESPONSE_SCHEMA, catalog_frame, monthly_mean, observation_rows,
                                         observation_text, parse_payload_text, payload_text, response_rows, split_corrupt,
                                         stamp)
 from monthgrid.sources.reads import (actuals_only, between_periods, incremental_start, latest_rows, numeric_columns,
                                      preflight, validation_report)
-from monthgrid.sources.tables import (DRIVER_FEATURES, all_observations, feature_observations, gas_observations,
+from monthgrid.sources.tables import (DRIVER_FEATURES, DRIVER_GAS, DRIVER_OIL, all_observations, feature_observations, gas_observations,
                                       oil_observations, table)
 from monthgrid.streaming.ingest import daily_means, landed, monthly_means, stream_into_table
 from monthgrid.streaming.payloads import VERDICTS, PayloadTable, landed_lines, lines
@@ -108,9 +109,32 @@ def incremental_pull(spark, sf):
     return oil_observations(spark, sf, str(start)).groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Two loads: everything up to the end of May 2000, then the rest.
+_FIRST_LOAD = "2000-05-31"
+
+
+def stored_oil(spark, sf):
+    out = StoredDomain(spark, new_path(spark, "stored-oil"), DRIVER_OIL)
+    out.load(oil_observations(spark, sf, end=_FIRST_LOAD), 0)
+    out.load(oil_observations(spark, sf, start="2000-06-01"), 1)
+    return out
+
+
 @query("silver_range_read", f"WITH {SILVER_OIL} SELECT * FROM so WHERE period BETWEEN DATE '1998-01-01' AND DATE '1999-06-01' ORDER BY period")
 def silver_range_read(spark, sf):
-    return between_periods(silver_oil_df(spark, sf), "1998-01-01", "1999-06-01").orderBy("period")
+    """From the stored silver table, which two loads have filled: two year folders are read."""
+    return stored_oil(spark, sf).read("1998-01-01", "1999-06-01").orderBy("period")
+
+
+@query("gold_stored", f"WITH {GOLD} SELECT * FROM gold")
+def gold_stored(spark, sf):
+    """The stored gold table after two loads of both domains."""
+    gas = StoredDomain(spark, new_path(spark, "stored-gas"), DRIVER_GAS)
+    gas.load(gas_observations(spark, sf, end=_FIRST_LOAD), 0)
+    gas.load(gas_observations(spark, sf, start="2000-06-01"), 1)
+    mart = StoredMart(stored_oil(spark, sf), gas, new_path(spark, "stored-mart"))
+    mart.refresh()
+    return mart.read()
 
 
 @query("filtered_latest_read", f"WITH {GOLD} SELECT period, wti_price FROM gold WHERE wti_price IS NOT NULL ORDER BY period DESC LIMIT 50")
@@ -271,17 +295,37 @@ def parquet_round_trip(spark, sf):
 _RUN = "CASE " + " ".join(f"WHEN series IN ({', '.join(repr(s) for s in ss)}) THEN '{r}'" for r, ss in RUN_DEFINITIONS.items()) + " END"
 
 
+def _run_of():
+    """The load a series belongs to."""
+    return reduce(lambda c, r: c.when(F.col("series").isin(list(r[1])), r[0]), RUN_DEFINITIONS.items(), F.when(F.lit(False), ""))
+
+
 @query("backfill_runs", f"""WITH {feature_cells_sql()}, c AS (SELECT series, count(*) AS n_rows FROM fobs GROUP BY 1)
 SELECT {_RUN} AS run_name, 'success' AS status, CAST(sum(n_rows) AS BIGINT) AS rows_ingested, CAST(0 AS BIGINT) AS rows_failed, count(*) AS n_tables FROM c
   WHERE {_RUN} IS NOT NULL AND {_RUN} <> 'fred_macro_ingestion' GROUP BY 1""")
 def backfill_runs_q(spark, sf):
     counts = feature_observations(spark, sf).groupBy("series").agg(F.count(F.lit(1)).alias("n_rows"))
-    run_of = None
-    for name, series in RUN_DEFINITIONS.items():
-        hit = F.col("series").isin(list(series))
-        run_of = F.when(hit, name) if run_of is None else run_of.when(hit, name)
     logged = spark.createDataFrame([("fred_macro_ingestion",)], "run_name string")
-    return backfill_runs(counts, run_of, logged)
+    return backfill_runs(counts, _run_of(), logged)
+
+
+@query("run_log", f"""WITH {feature_cells_sql()}, c AS (SELECT series, {_RUN} AS run_name, count(*) AS n, max(ingested_at) AS at FROM fobs GROUP BY 1, 2)
+SELECT run_name, 'success' AS status, CAST(sum(n) AS BIGINT) AS rows_ingested, CAST(0 AS BIGINT) AS rows_failed, CAST(NULL AS VARCHAR) AS error_message,
+  CAST(max(at) AS DATE) AS started_on FROM c WHERE run_name IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'all_series_ingestion', 'failed', 0, CAST(sum(n) AS BIGINT), 'interrupted', CAST(max(at) AS DATE) FROM c""")
+def run_log_q(spark, sf):
+    """A record per load and one of a failed load, each appended twice, as a retry would; the log has each once."""
+    per_series = stage(feature_observations(spark, sf).groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("at")), "loads")
+    runs = per_series.withColumn("run_name", _run_of()).filter(F.col("run_name").isNotNull()).groupBy("run_name").agg(
+        F.sum("n").alias("rows_ingested"), F.max("at").alias("started_at"))
+    failed = per_series.agg(F.sum("n").alias("rows_failed"), F.max("at").alias("started_at"))
+    log = RunLog(spark, new_path(spark, "run-log"))
+    for records in (run_records(runs.withColumn("status", F.lit("success"))),
+                    run_records(failed.select(F.lit("all_series_ingestion").alias("run_name"), F.lit("failed").alias("status"), "rows_failed", "started_at",
+                                              F.lit("interrupted").alias("error_message")))):
+        log.append(records)
+        log.append(records)
+    return log.read().drop("id").withColumn("started_on", F.col("started_at").cast("date")).drop("started_at")
 
 
 # ---- streaming ----

@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthgrid.functions.scalars import round_half_up, stable_id
 
@@ -130,15 +131,46 @@ def round_trip_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-RUN_SCHEMA = "run_name string, status string, rows_ingested long, rows_failed long, error_message string, started_at timestamp"
+RUN_SCHEMA = T.StructType([
+    T.StructField("run_name", T.StringType()), T.StructField("status", T.StringType()), T.StructField("rows_ingested", T.LongType()),
+    T.StructField("rows_failed", T.LongType()), T.StructField("error_message", T.StringType()), T.StructField("started_at", T.TimestampType())])
+
+
+def run_records(runs: DataFrame) -> DataFrame:
+    """Run-log rows of many runs: columns not given are 0 or NULL. The id depends on name, status and start, so it repeats on a retry."""
+    zero = {"rows_ingested": F.lit(0), "rows_failed": F.lit(0)}
+    row = runs.select(*[(F.col(f.name) if f.name in runs.columns else zero.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in RUN_SCHEMA])
+    return row.withColumn("id", stable_id("run_name", "status", "started_at"))
 
 
 def run_record(spark: SparkSession, run_name: str, status: str, rows_ingested: int = 0, rows_failed: int = 0,
                error_message: str | None = None, started_at=None) -> DataFrame:
     """One run-log row, to be appended; the id repeats on a retry."""
-    row = [(run_name, status, rows_ingested, rows_failed, error_message, started_at)]
-    df = spark.createDataFrame(row, RUN_SCHEMA)
-    return df.withColumn("id", stable_id("run_name", "status", "started_at"))
+    return run_records(spark.createDataFrame([(run_name, status, rows_ingested, rows_failed, error_message, started_at)], RUN_SCHEMA))
+
+
+class RunLog:
+    """A log to which a record can be appended any number of times and is there once.
+
+    Each record has a folder named by its id, and appending replaces that folder alone: a retried or doubled append writes the same
+    record again, in whatever order, and other writers are not disturbed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def append(self, records: DataFrame) -> None:
+        """Add records (``run_record``, ``run_records``); of several with one id, one is kept."""
+        once = records.groupBy("id").agg(F.min(F.struct(*RUN_SCHEMA.fieldNames())).alias("r")).select("r.*", "id")
+        truncate_load(once, self.folder, "id")
+
+    def read(self) -> DataFrame:
+        """All records with their id; none before the first append."""
+        schema = T.StructType([*RUN_SCHEMA.fields, T.StructField("id", T.StringType())])
+        files, path = _files(self.spark, self.folder)
+        if not files.exists(path(self.folder)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.folder)
 
 
 def quality_log(totals: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from conftest import by_period
 from monthgrid.catalog import Domain
 from monthgrid.functions import scalars as S
 from monthgrid.functions import windows as X
-from monthgrid.operators.cells import clean, grid, keep_latest, latest_cells, mean_cells, null_counts, pivot_cells, pivot_measures, unpivot
+from monthgrid.functions.scalars import round_half_up
+from monthgrid.operators.cells import clean, grid, keep_latest, latest_cells, latest_key, latest_parts, mean_cells, null_counts, pivot_cells, pivot_measures, unpivot
 from monthgrid.plans.medallion import gold, silver
 from pyspark.sql import functions as F
 
@@ -28,9 +29,52 @@ def test_clean_keeps_zero_and_drops_null_and_negative(spark):
 def test_latest_wins_and_ties_take_the_larger_value(spark):
     rows = [("a", d("2020-01-05"), 9.0, at("2020-02-01")), ("a", d("2020-01-20"), 3.0, at("2020-03-01")),
             ("a", d("2020-01-07"), 4.0, at("2020-03-01")), ("b", d("2020-01-01"), 7.0, None)]
-    for stamped in (True, False):
-        cells = latest_cells(spark.createDataFrame(rows, OBS), ["series_id"], stamped)
-        assert {(r["series_id"], r["period"]): r["value"] for r in cells.collect()} == {("a", d("2020-01-01")): 4.0, ("b", d("2020-01-01")): 7.0}
+    cells = latest_cells(spark.createDataFrame(rows, OBS), ["series_id"], stamp=True)
+    assert {(r["series_id"], r["period"]): r["value"] for r in cells.collect()} == {("a", d("2020-01-01")): 4.0, ("b", d("2020-01-01")): 7.0}
+    assert {r["series_id"]: r["ingested_at"] for r in cells.collect()} == {"a": at("2020-03-01"), "b": at("1970-01-01")}
+
+
+def partial_rows(df):
+    """Rows that the first aggregate of an executed plan handed on."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        out.append(node)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    aggregates = [n for n in out if "Aggregate" in n.nodeName()]
+    return aggregates[-1].metrics().apply("numOutputRows").value(), {n.nodeName() for n in out}
+
+
+def test_latest_sends_one_row_per_key_and_task_though_every_row_has_its_own_time(spark):
+    rows = spark.range(0, 40000, 1, 4).select((F.col("id") % 3).cast("string").alias("series_id"), F.lit("2020-01-15").cast("date").alias("period"),
+                                              (F.col("id") % 101).cast("double").alias("value"), F.timestamp_micros(F.col("id") * 977).alias("ingested_at"))
+    sent, nodes = partial_rows(latest_cells(rows, ["series_id"]))
+    assert sent == 3 * 4 and "HashAggregate" in nodes and not nodes & {"SortAggregate", "Sort"}
+    assert {r["series_id"]: r["value"] for r in latest_cells(rows, ["series_id"]).collect()} == {str(k % 3): float(k % 101) for k in (39997, 39998, 39999)}
+
+
+def test_packed_key_keeps_order_and_value(spark):
+    times = [at("0002-01-01"), at("1969-12-31T23:59:59.999999"), at("2020-01-01"), at("9998-12-31T23:59:59.999999")]
+    values = [-9e11, -1.00005, -0.0001, 0.0, 0.00005, 123456789.1234, 9e11]
+    df = spark.createDataFrame([(t, v) for t in times for v in values], "t timestamp, v double")
+    keyed = df.withColumn("k", latest_key(F.col("t"), F.col("v")))
+    got = keyed.orderBy("k").select("t", "v", latest_parts("k")[1].alias("back"), latest_parts("k")[0].alias("when"), round_half_up("v").alias("r")).collect()
+    assert [(r["t"], r["v"]) for r in got] == [(t, v) for t in times for v in values]
+    assert all(r["back"] == r["r"] and r["when"] == r["t"] for r in got)
+
+
+@pytest.mark.parametrize("value", [1e12, float("nan"), float("inf"), -1e15])
+def test_packed_key_raises_beyond_its_range(spark, value):
+    with pytest.raises(Exception, match="out of range"):
+        spark.createDataFrame([(at("2020-01-01"), value)], "t timestamp, v double").select(latest_key(F.col("t"), F.col("v"))).collect()
 
 
 def test_keep_latest_takes_the_payload_of_one_row(spark):

@@ -110,3 +110,17 @@ def test_column_tests(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "z"), (None, None)], "k int, c string")
     r = {(x["test_name"], x["column_name"]): x["n_failures"] for x in column_tests(df, ["k", "c"], ["k"], {"c": ["a", "b"]}).collect()}
     assert r == {("not_null", "k"): 2, ("not_null", "c"): 1, ("unique", "k"): 1, ("accepted_values", "c"): 1}
+
+
+def test_column_tests_take_two_shuffles_whatever_their_number(spark):
+    from monthgrid.operators.quality import column_tests
+    from test_plans import plan
+
+    df = spark.createDataFrame([(1, "a", True, None), (1, "b", None, None), (2, None, False, 3.0)], "x int, y string, z boolean, w double")
+    got = {(r["test_name"], r["column_name"]): r["n_failures"] for r in column_tests(df, ["x", "z", "w"], ["x", "y", "z", "w"], {"y": ["a"], "z": [True]}).collect()}
+    assert got == {("not_null", "x"): 0, ("not_null", "z"): 1, ("not_null", "w"): 2, ("accepted_values", "y"): 1, ("accepted_values", "z"): 1,
+                   ("unique", "x"): 1, ("unique", "y"): 0, ("unique", "z"): 0, ("unique", "w"): 0}
+    some, many = (plan(column_tests(df, ["x"], c)).count("Exchange hashpartitioning") for c in (["x"], ["x", "y", "z", "w"]))
+    assert some == many == 2
+    assert column_tests(df.limit(0), ["x"], ["x", "y"]).filter("passed").count() == 3
+    assert column_tests(df, unique=["y"]).collect()[0]["passed"]

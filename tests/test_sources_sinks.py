@@ -131,3 +131,25 @@ def test_overwrite_column(spark):
     a = spark.createDataFrame([(1, 0.1, "x"), (2, 0.2, "y")], "k int, v double, s string")
     b = spark.createDataFrame([(1, 10.0)], "k int, v double")
     assert sorted(map(tuple, overwrite_column(a, b, "k", "v").collect())) == [(1, 10.0, "x"), (2, None, "y")]
+
+
+def test_a_run_appended_twice_is_one_row(spark):
+    import datetime as dt
+
+    from monthgrid.session import new_path
+    from monthgrid.sinks.tables import RunLog, run_record, run_records
+
+    log = RunLog(spark, new_path(spark, "runs"))
+    assert log.read().count() == 0
+    first = run_record(spark, "daily", "success", 10, 1, None, dt.datetime(2024, 1, 1))
+    log.append(first)
+    log.append(first)
+    log.append(run_record(spark, "daily", "failed", error_message="no answer", started_at=dt.datetime(2024, 1, 1)))
+    log.append(run_record(spark, "daily", "success", 12, started_at=dt.datetime(2024, 1, 2)))
+    log.append(first.union(first))
+    log.append(run_record(spark, "unknown start", "success"))
+    got = sorted((r["run_name"], r["status"], r["rows_ingested"], r["rows_failed"], r["error_message"]) for r in log.read().collect())
+    assert got == [("daily", "failed", 0, 0, "no answer"), ("daily", "success", 10, 1, None), ("daily", "success", 12, 0, None), ("unknown start", "success", 0, 0, None)]
+    many = run_records(spark.createDataFrame([("a", "success", 5), ("b", "success", 6)], "run_name string, status string, rows_ingested int"))
+    log.append(many)
+    assert log.read().count() == 6 and log.read().select("id").distinct().count() == 6
