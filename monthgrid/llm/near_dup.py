@@ -11,8 +11,10 @@ Buckets are never expanded into pairs. Each bucket elects a hub, the member that
 member is compared with its hubs: a star. What is left are pairs of one star of which one at least is not linked to the hub. Two
 such sets are as far apart as their differences from the hub: ``|x ^ y| = |(x ^ hub) ^ (y ^ hub)|``. If the sets are linked, those
 differences must overlap in a number of shingles that follows from the sizes (``_least_overlap``), so with a common order, rarest
-first, the first few of each must meet. Those are joined, and the pairs they give, hardly more than the linked ones, are
-confirmed. All members of a star may differ by their own edits: they then share no rare difference and give no pair.
+first, the first few of each must meet. A few sets that meet there are compared in pairs. Where many meet, the group is a star
+of its own with a hub among those not linked to the old one, and what is left of it is treated alike: a family of near copies that
+is not linked to its hub costs one comparison per member, not one per pair. Two members that are linked to the same hub need no
+comparison. All members of a star may differ by their own edits: they then share no rare difference and meet nowhere.
 
 Texts move only if they are compared: documents are thinned by a bit table of fixed size before the exact join. The members of a
 hot hub are split over tasks by Spark's skew join. Components come from large-star/small-star rounds over the confirmed links, each
@@ -35,6 +37,9 @@ from monthgrid.session import stage
 SHINGLE = 5
 CHUNKS, WIDTH = 10, 5
 VALUES = CHUNKS * WIDTH
+#: Members of a star that share a rare difference meet in pairs if there are at most SMALL of them; larger groups become new stars,
+#: ROUNDS times at most. What is left after that, sets that share rare differences and are still not linked, meets in pairs.
+SMALL, ROUNDS = 16, 6
 _rng = np.random.default_rng(7)
 _FLIP = _rng.integers(0, 2**64, VALUES, dtype=W.U)
 _TIMES = _rng.integers(0, 2**64, VALUES, dtype=W.U) | W.U(1)
@@ -160,28 +165,55 @@ def _least_overlap(percent: int) -> dict:
     return {"any": at_least((size - c * (F.col("n_a") + F.col("n_b"))) / (1 + c)), "open": at_least(size * (1 - c) / 2)}
 
 
-def _left_over(stars: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of star members that may be linked though not both are linked to their hub."""
+def _left_over(stars: DataFrame, percent: int, small: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(pairs, star) of members that may be linked though not both are linked to their hub, distinct (a, b).
+
+    Members meet where they share a rare difference from their hub. Up to ``small`` of them meet in pairs; more meet their least id
+    among those not linked to the hub, as a new star. Without ``small`` all meet in pairs and there is no star.
+    """
     c = (100 - percent) / (100 + percent)
     rich = stars.groupBy("b").agg(F.count("*").alias("n"), F.min("linked").alias("all")).filter("n > 1 AND NOT all").select("b")
     members = stars.join(rich, "b").withColumn("size", F.size("apart"))
-    shingles = _few(members.select("b", "a", "linked", "size", "n_a", "n_b", F.explode("apart").alias("e")), "differences")
+    shingles = stage(members.select("b", "a", "linked", "size", "n_a", "n_b", F.explode("apart").alias("e")), "differences")
     often = shingles.groupBy("b", "e").count().filter("count > 1")  # one that no other member has joins nothing, but keeps its place in the order
     by_rarity = Window.partitionBy("b", "a").orderBy(F.coalesce("count", F.lit(1)), "e")
     need = _least_overlap(percent)
     placed = (shingles.join(often, ["b", "e"], "left").withColumn("i", F.row_number().over(by_rarity)).filter("count > 1")
               .withColumn("any", need["any"]).withColumn("open", need["open"]))
-    ahead = _few(placed.select("b", "a", "linked", "size", F.col("n_a").alias("n"), "e", "i",
+    ahead = stage(placed.select("b", "a", "linked", "size", F.col("n_a").alias("n"), "e", "i",
                                 (F.col("i") <= F.col("size") - F.when(F.col("linked"), F.col("open")).otherwise(F.greatest("any", "open")) + 1).alias("to_open"),
                                 (~F.col("linked") & (F.col("i") <= F.col("size") - F.col("any") + 1)).alias("to_linked"))
                   .filter("to_open OR to_linked"), "rare-differences")
+    star = None
+    if small is not None:
+        # the group's least unlinked member meets all others; groups of one family name the same member again and again
+        meet = ahead.groupBy("b", "e").agg(F.count("*").alias("members"), F.min(F.when(~F.col("linked"), F.col("a"))).alias("leader")).filter("leader IS NOT NULL")
+        large = meet.filter(F.col("members") > small).select("b", "e", "leader")
+        star = _few(ahead.join(large, ["b", "e"]).filter("a <> leader").select("a", F.col("leader").alias("b")).distinct(), "leaders")
+        ahead = ahead.join(meet.filter(F.col("members") <= small).select("b", "e"), ["b", "e"], "left_semi")
     x, y = (ahead.select("b", "e", *[F.col(k).alias(f"{k}_{s}") for k in ("a", "linked", "size", "n", "i", "to_open", "to_linked")]) for s in "xy")
     # x is not linked to the hub. Its partner is not either (each pair once), or is.
     pair = (~F.col("linked_x") & ((~F.col("linked_y") & F.col("to_open_x") & F.col("to_open_y") & (F.col("a_x") < F.col("a_y")))
                                   | (F.col("linked_y") & F.col("to_linked_x") & F.col("to_open_y"))))
     enough = 1 + F.least(F.col("size_x") - F.col("i_x"), F.col("size_y") - F.col("i_y")) >= (
         F.col("size_x") + F.col("size_y") - c * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
-    return x.join(y, ["b", "e"]).filter(pair & enough).select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct()
+    return x.join(y, ["b", "e"]).filter(pair & enough).select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct(), star
+
+
+def linked_stars(star: DataFrame, docs: DataFrame, percent: int, small: int = SMALL, rounds: int = ROUNDS) -> DataFrame:
+    """Confirmed links (a, b) that connect all that is linked among the members of each star (a, b: hub); doc ids of ``docs``."""
+    found = _compared(star, docs, percent, "stars")
+    links, here = found.filter("linked").select("a", "b"), found
+    for k in range(rounds + 1):
+        pairs, star = _left_over(here, percent, small if k < rounds else None)
+        if star is not None and star.isEmpty():
+            star = None
+        found = _compared(pairs if star is None else pairs.union(star).distinct(), docs, percent, "left-over")
+        links = links.union(found.filter("linked").select("a", "b"))
+        if star is None:
+            return links
+        here = found.join(star, ["a", "b"], "left_semi")
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,13 +253,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = classes.filter("rep IS NOT NULL")
     keys = named.select("rep", "sig").mapInArrow(_keys, "key bigint, rep bigint")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = _few(keys.join(shared, "key"), "buckets")
+    buckets = stage(keys.join(shared, "key"), "buckets")
     degree = buckets.groupBy("rep").agg(F.sum("n").alias("degree"))
     hubs = buckets.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("b"))
     star = buckets.join(hubs, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    stars = _compared(star, docs, percent, "stars")
-    more = _compared(_left_over(stars, percent), docs, percent, "left-over")
-    final = components(stars.filter("linked").select("a", "b").union(more.filter("linked").select("a", "b")))
+    final = components(linked_stars(star, docs, percent))
     label = classes.select("a", "b", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left")
     found = (signed.select("doc_id", "n", "a", "b")
              .join(label.select("a", "b", F.coalesce("component", "rep").alias("component_id")), ["a", "b"], "left"))

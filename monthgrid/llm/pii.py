@@ -62,12 +62,19 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_SPAN = "array<struct<form:string,n:int,gap:int,value:string,before:string,after:string>>"
+
+
 def _found(form: str, pattern: str) -> str:
-    """All matches of one pattern with the length of the text since the last one, and what stands around them."""
+    """All matches of one pattern with the length of the text since the last one, and what stands around them.
+
+    A text without a match is searched once and not cut, so that few copies of a text are made.
+    """
     p = _quoted(pattern)
-    return (f"transform(array(struct(split(text, {p}, -1) AS gaps, regexp_extract_all(text, {p}, 0) AS hits)), "
+    hits = (f"transform(array(struct(split(text, {p}, -1) AS gaps, regexp_extract_all(text, {p}, 0) AS hits)), "
             f"x -> transform(x.hits, (v, i) -> named_struct('form', '{form}', 'n', i, 'gap', length(x.gaps[i]), 'value', v, "
             "'before', right(x.gaps[i], 48), 'after', left(x.gaps[i + 1], 2))))[0]")
+    return f"coalesce(CASE WHEN text RLIKE {p} THEN {hits} END, CAST(array() AS {_SPAN}))"
 
 
 def candidates(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ multiple of the batch handed in; ``batches`` keeps that near a megabyte unless a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -130,8 +131,19 @@ def batches(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int
         yield i, len(texts)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: idle Python workers of one stage live on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows, so that no whole batch of texts is held as Python objects."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    del batches
+    give_back()

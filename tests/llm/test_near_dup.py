@@ -81,3 +81,48 @@ def test_components_of_long_chains_and_loops(spark):
     got = {r["id"]: r["component"] for r in N.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100, 102: 100, 103: 100}
     assert N.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def two_families(rng, m, size=300):
+    """Two families of one-word edits whose bases are just below the threshold."""
+    base = ["w%d" % k for k in range(size)]
+    other = list(base)
+    for k in range(20, size, size // 6):
+        other[k] = "o%d" % k
+    out = []
+    for words in (base, other):
+        for _ in range(m):
+            w = list(words)
+            w[rng.randrange(size)] = "new%d" % rng.randrange(10**6)
+            out.append(" ".join(w))
+    return out
+
+
+def test_families_that_share_a_hub_take_pairs_in_proportion(spark, monkeypatch):
+    compared, plain = [], N._compared
+
+    def counted(pairs, docs, percent, label):
+        out = plain(pairs, docs, percent, label)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "_compared", counted)
+    for m in (40, 80):
+        compared.clear()
+        rows = list(enumerate(two_families(random.Random(m), m), 1))
+        star = spark.createDataFrame([(i, 1) for i, _ in rows[1:]], "a bigint, b bigint")  # one hub for both
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        links = [tuple(r) for r in N.linked_stars(star, docs, 85).collect()]
+        assert len(N.components(spark.createDataFrame(links, "a bigint, b bigint")).groupBy("component").count().collect()) == 2
+        assert sum(compared) <= 5 * 2 * m, (m, compared)
+
+
+def test_groups_as_stars_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = two_families(rng, 12) + [t for size, most in ((40, 5), (120, 14)) for t in family(rng, ["w%d" % rng.randrange(400) for _ in range(size)], 30, most)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(N, "linked_stars", lambda star, docs, percent, plain=N.linked_stars: plain(star, docs, percent, small=2, rounds=3))
+    assert run(spark, rows) == brute(rows)
+    monkeypatch.undo()
+    monkeypatch.setattr(N, "linked_stars", lambda star, docs, percent, plain=N.linked_stars: plain(star, docs, percent, small=0, rounds=1))
+    assert run(spark, rows, 80) == brute(rows, 80)
