@@ -309,10 +309,10 @@ def backfill_runs_q(spark, sf):
     return backfill_runs(counts, _run_of(), logged)
 
 
-@query("run_log", f"""WITH {feature_cells_sql()}, c AS (SELECT series, {_RUN} AS run_name, count(*) AS n, max(ingested_at) AS at FROM fobs GROUP BY 1, 2)
+@query("run_log", f"""WITH {feature_cells_sql()}, c AS (SELECT series, {_RUN} AS run_name, count(*) AS n, max(ingested_at) AS newest FROM fobs GROUP BY 1, 2)
 SELECT run_name, 'success' AS status, CAST(sum(n) AS BIGINT) AS rows_ingested, CAST(0 AS BIGINT) AS rows_failed, CAST(NULL AS VARCHAR) AS error_message,
-  CAST(max(at) AS DATE) AS started_on FROM c WHERE run_name IS NOT NULL GROUP BY 1
-UNION ALL SELECT 'all_series_ingestion', 'failed', 0, CAST(sum(n) AS BIGINT), 'interrupted', CAST(max(at) AS DATE) FROM c""")
+  CAST(max(newest) AS DATE) AS started_on FROM c WHERE run_name IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'all_series_ingestion', 'failed', 0, CAST(sum(n) AS BIGINT), 'interrupted', CAST(max(newest) AS DATE) FROM c""")
 def run_log_q(spark, sf):
     """A record per load and one of a failed load, each appended twice, as a retry would; the log has each once."""
     per_series = stage(feature_observations(spark, sf).groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("at")), "loads")
