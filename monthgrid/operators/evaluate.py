@@ -97,3 +97,8 @@ def variant_gap(a: DataFrame, b: DataFrame, keys: Sequence[str], small: float =
     gap = F.col("mape_b") - F.col("mape_a")
     verdict = F.when(gap < small, "small").when(gap < moderate, "moderate").otherwise("large")
     return j.select(*keys, "mape_a", "mape_b", round_half_up(gap).alias("gap_pp"), verdict.alias("verdict"))
+
+
+def ranked(metrics: DataFrame, by: Sequence[str], error: str = "mape") -> DataFrame:
+    """Adds ``place``: the rank by ``error`` within each group, smallest first; rows without an error measure share the last place."""
+    return metrics.withColumn("place", F.rank().over(W.partitionBy(*by).orderBy(F.col(error).asc_nulls_last())))

@@ -3,7 +3,7 @@
 ``forecast_seasonal_ar`` is a seasonal ARIMA estimated in two least-squares passes: a long
 autoregression gives the residuals, then the differenced series is regressed on its own lags and
 lagged residuals. There is no likelihood optimiser, so numbers differ from one.
-``forecast_trend_seasonal`` is a log-linear trend with changepoints and month effects.
+The changepoint trend with yearly Fourier terms is in ``trend``.
 
 Models are plain tables (one row per series and configuration), so saving one is writing it.
 """
@@ -22,9 +22,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from monthgrid.functions.scalars import round_half_up
-from monthgrid.functions.windows import lag, ordered
+from monthgrid.functions.windows import lag
 from monthgrid.operators.evaluate import backtest_frame, chronological_split, error_metrics
 from monthgrid.operators.regress import dot, fit_ols
+from monthgrid.plans.trend import forecast_trend_seasonal
+from monthgrid.session import stage
 
 HORIZON = 12
 
@@ -129,7 +131,13 @@ def _recursion(order: Order, horizon: int, z: float) -> Callable[[Iterator[pd.Da
     ar, ma = order.ar, order.ma
 
     def run(batches):
-        for b in batches:
+        for whole in batches:
+            good = whole["why"].isna()
+            if not good.all():
+                yield pd.DataFrame({"id": whole["id"][~good], "forecast": None, "lower": None, "upper": None, "error": whole["why"][~good]})
+            if not good.any():
+                continue
+            b = whole[good]
             beta = np.stack(b.beta.to_numpy())
             y, w, e = (np.stack(b[c].to_numpy()) for c in ("ys", "ws", "es"))
             push = np.stack(b["push"].to_numpy())
@@ -156,7 +164,7 @@ def _recursion(order: Order, horizon: int, z: float) -> Callable[[Iterator[pd.Da
                     psi[:, h] -= lags[:, k] * psi[:, h - k]
             sd = b.sigma.to_numpy()[:, None] * np.sqrt(np.cumsum(psi ** 2, axis=1))
             f = np.stack(steps, axis=1)
-            yield pd.DataFrame({"id": b["id"], "forecast": list(f), "lower": list(f - z * sd), "upper": list(f + z * sd)})
+            yield pd.DataFrame({"id": b["id"], "forecast": list(f), "lower": list(f - z * sd), "upper": list(f + z * sd), "error": None})
 
     return run
 
@@ -168,13 +176,13 @@ def normal_quantile(alpha: float) -> float:
 
 def predict_seasonal_ar(model: DataFrame, by: Sequence[str], order: Order = Order(), horizon: int = HORIZON,
                         alpha: float = 0.05, exog: Sequence[str] = (), future: DataFrame | None = None) -> DataFrame:
-    """``(*by, config, period, step, forecast, lower, upper, n_train)`` from model rows.
+    """``(*by, config, period, step, forecast, lower, upper, n_train, mode, error)`` from model rows.
 
-    With ``exog``, ``future`` has ``(*by, period, *exog)`` for the train months and the horizon;
-    a group whose future lacks a month of the horizon is left out, as its forecast is undefined.
+    With ``exog``, ``future`` has ``(*by, period, *exog)`` for the train months and the horizon. A group without a model, with too
+    short a memory, or whose future lacks a month of the horizon, has one row with an ``error`` instead of steps.
     """
     by = list(by)
-    ok = model.filter(F.col("beta").isNotNull() & (F.size("ys") >= order.memory))
+    why = F.coalesce("error", F.when(F.col("beta").isNull(), "not fitted").when(F.size("ys") < order.memory, "too few months to go on from"))
     if exog:
         if future is None:
             raise ValueError("exogenous columns need their future values")
@@ -183,133 +191,163 @@ def predict_seasonal_ar(model: DataFrame, by: Sequence[str], order: Order = Orde
             raise ValueError(f"future lacks the columns {gone}")
         at = 1 + len(order.ar) + len(order.ma)
         dx = future.select(*by, "period", *[_differenced(c, order, by).alias(c) for c in exog])
-        j = dx.join(ok.select(*by, "last_period", "beta"), by)
+        j = dx.join(model.filter(F.col("beta").isNotNull()).select(*by, "last_period", "beta"), by)
         step = F.months_between("period", "last_period").cast("int")
         term = reduce(lambda a, b: a + b, [F.col("beta")[at + i] * F.col(c) for i, c in enumerate(exog)])
         inside = j.select(*by, step.alias("step"), term.alias("t")).filter(F.col("step").between(1, horizon) & F.col("t").isNotNull())
         push = inside.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("step", "t"))), lambda s: s["t"]).alias("push"))
-        ok = ok.join(push.filter(F.size("push") == horizon), by)
+        model = model.join(push, by, "left")
+        why = F.coalesce(why, F.when(F.coalesce(F.size("push"), F.lit(0)) != horizon, "the exogenous columns do not cover the horizon"))
     else:
-        ok = ok.withColumn("push", F.array_repeat(F.lit(0.0), horizon))
+        model = model.withColumn("push", F.array_repeat(F.lit(0.0), horizon))
     key = F.struct(*by, "config", "last_period", "n_train")
-    path = ok.select(F.to_json(key).alias("id"), "beta", "sigma", "ys", "ws", "es", "push").mapInPandas(
-        _recursion(order, horizon, normal_quantile(alpha)), "id string, forecast array<double>, lower array<double>, upper array<double>")
-    shape = ok.select(key.alias("k")).schema["k"].dataType
-    steps = path.select(F.from_json("id", shape).alias("k"), F.posexplode(F.arrays_zip("forecast", "lower", "upper")).alias("at", "v"))
-    return steps.select("k.*", (F.col("at") + 1).alias("step"), "v.*").select(
+    path = model.select(F.to_json(key).alias("id"), "beta", "sigma", "ys", "ws", "es", "push", why.alias("why")).mapInPandas(
+        _recursion(order, horizon, normal_quantile(alpha)), "id string, forecast array<double>, lower array<double>, upper array<double>, error string")
+    shape = model.select(key.alias("k")).schema["k"].dataType
+    steps = path.select(F.from_json("id", shape).alias("k"), "error", F.posexplode_outer(F.arrays_zip("forecast", "lower", "upper")).alias("at", "v"))
+    return steps.select("k.*", "error", (F.col("at") + 1).alias("step"), "v.*").select(
         *by, "config", F.add_months("last_period", F.col("step")).alias("period"), "step",
-        *[round_half_up(c).alias(c) for c in ("forecast", "lower", "upper")], "n_train")
+        *[round_half_up(c).alias(c) for c in ("forecast", "lower", "upper")], "n_train", F.lit("additive").alias("mode"), "error")
 
 
-def forecast_seasonal_ar(rows: DataFrame, by: Sequence[str], order: Order = Order(), horizon: int = HORIZON) -> DataFrame:
-    return predict_seasonal_ar(fit_seasonal_ar(rows, by, order), by, order, horizon)
+#: Largest modulus of a root at which a fitted order still counts as converged.
+UNIT = 1 - 1e-6
 
 
-def fitted_seasonal_ar(rows: DataFrame, model: DataFrame, by: Sequence[str], order: Order) -> DataFrame:
-    """In-sample one-step values of an order without moving-average terms: ``(*by, period, value, fitted)``."""
-    if order.ma:
-        raise ValueError("fitted values need an order without moving-average terms")
-    by = list(by)
-    d = rows.select(*by, "period", "value", _differenced("value", order, by).alias("_w"))
-    d = d.select("*", *[lag("_w", k, by).alias(f"_w{k}") for k in order.ar])
-    j = d.join(model.select(*by, "beta"), by)
-    fitted = F.col("value") - F.col("_w") + dot("beta", [f"_w{k}" for k in order.ar])
-    return j.select(*by, "period", "value", round_half_up(fitted).alias("fitted"))
+def _largest_root(weights: np.ndarray, lags: Sequence[int]) -> float:
+    """Largest modulus among the eigenvalues of the companion matrix of a lag polynomial."""
+    if not len(lags):
+        return 0.0
+    m = np.zeros((max(lags), max(lags)))
+    m[0, np.array(lags) - 1] = weights
+    m[np.arange(1, len(m)), np.arange(len(m) - 1)] = 1.0
+    return float(np.abs(np.linalg.eigvals(m)).max())
 
 
-# ---- trend and month effects ----
+def converged_only(model: DataFrame, order: Order) -> DataFrame:
+    """Model rows with ``ar_root`` and ``ma_root``; an order that is not stationary or not invertible becomes an error row without a model."""
+    ar, ma = order.ar, order.ma
 
-CHANGEPOINTS = 4
-CHANGEPOINT_PRIOR = 0.05
-_TREND = ["_t", *[f"_h{i}" for i in range(CHANGEPOINTS)]]
+    @F.pandas_udf("struct<ar: double, ma: double>")
+    def roots(beta: pd.Series) -> pd.DataFrame:
+        rows = [(None, None) if b is None else (_largest_root(b[1:1 + len(ar)], ar), _largest_root(-b[1 + len(ar):1 + len(ar) + len(ma)], ma)) for b in beta]
+        return pd.DataFrame(rows, columns=["ar", "ma"])
 
+    rooted = model.withColumn("_r", roots("beta")).withColumn("ar_root", F.col("_r.ar")).withColumn("ma_root", F.col("_r.ma")).drop("_r")
+    why = F.coalesce("error", F.when(F.col("ar_root") >= UNIT, "not stationary").when(F.col("ma_root") >= UNIT, "not invertible"))
+    return rooted.withColumn("error", why).withColumn("beta", F.when(F.col("error").isNull(), F.col("beta")))
 
-def _trend_terms(df: DataFrame, n: Column) -> DataFrame:
-    """Trend and hinges over the first 80% of the history; time runs 0..1 in training."""
-    df = df.withColumn("_t", F.col("_i") / F.greatest(n - 1, F.lit(1)))
-    return df.select("*", *[
-        F.greatest(F.col("_t") - F.lit(0.8 * (i + 1) / (CHANGEPOINTS + 1)), F.lit(0.0)).alias(f"_h{i}") for i in range(CHANGEPOINTS)])
 
+def forecast_seasonal_ar(rows: DataFrame, by: Sequence[str], order: Order = Order(), horizon: int = HORIZON, converged: bool = False) -> DataFrame:
+    model = fit_seasonal_ar(rows, by, order)
+    return predict_seasonal_ar(converged_only(model, order) if converged else model, by, order, horizon)
 
-def fit_trend_seasonal(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Model rows of a changepoint trend with month effects, multiplicative where all values are positive.
 
-    The month effects are taken out by subtracting month means, which leaves a small regression
-    on the trend terms; the effects follow from the means. The prior pulls slope changes to zero.
+def forecast_with_exog(rows: DataFrame, by: Sequence[str], table: DataFrame, exog: Sequence[str], order: Order = Order(), horizon: int = HORIZON,
+                       converged: bool = False) -> DataFrame:
+    """Forecasts with exogenous columns from ``table`` (period, *exog), which reaches beyond the rows of a group as far as the columns are known.
+
+    Months of a group without all columns are left out, so they must lie at its beginning.
     """
-    by = list(by)
-    g = W.partitionBy(*by)
-    base = rows.withColumn("_i", (F.row_number().over(ordered(by)) - 1).cast("double")).withColumn("_n", F.count(F.lit(1)).over(g))
-    base = base.withColumn("_log", F.min("value").over(g) > 0).withColumn("_month", F.month("period"))
-    base = base.withColumn("_z", F.when(F.col("_log"), F.ln("value")).otherwise(F.col("value")))
-    d = _trend_terms(base, F.col("_n"))
-    g_month = W.partitionBy(*by, "_month")
-    cols = ["_z", *_TREND]
-    d = d.select("*", *[F.avg(c).over(g_month).alias(f"{c}_mean") for c in cols])
-    centred = d.select(*by, *[(F.col(c) - F.col(f"{c}_mean")).alias(c) for c in cols])
-    fit = fit_ols(centred, by, "_z", _TREND, [0.0, 0.0, *[1.0 / CHANGEPOINT_PRIOR] * CHANGEPOINTS])
-    means = d.groupBy(*by, "_month").agg(
-        *[F.first(f"{c}_mean").alias(f"{c}_mean") for c in cols], F.first("_log").alias("_log"),
-        F.max("period").alias("_last"), F.max("_n").alias("_n"))
-    j = means.join(fit.drop("n"), by, "left")
-    slope_part = reduce(lambda a, b: a + b, [F.col("beta")[k + 1] * F.col(f"{c}_mean") for k, c in enumerate(_TREND)])
-    effect = F.struct("_month", (F.col("_z_mean") - slope_part).alias("e"))
-    model = j.groupBy(*by).agg(  # at most twelve months each
-        F.max("_last").alias("last_period"), F.max("_n").alias("n_train"), F.first("_log").alias("is_log"),
-        F.first("beta").alias("beta"), F.first("error").alias("_error"), F.first("sigma").alias("_sigma"), F.map_from_entries(F.collect_list(effect)).alias("months"))
-    k, n = len(_TREND) + 1, F.col("n_train")
-    # the means used up one degree of freedom per month seen
-    sigma = F.col("_sigma") * F.sqrt((n - k) / F.greatest(n - k - F.size("months") + 1, F.lit(1)))
-    return model.select(*by, F.lit("trend_seasonal").alias("config"), "last_period", "n_train", "is_log", "beta", "months", sigma.alias("sigma"),
-                        F.when(F.col("beta").isNull(), F.coalesce("_error", F.lit("not enough months to fit"))).alias("error"))
-
-
-def predict_trend_seasonal(model: DataFrame, by: Sequence[str], horizon: int = HORIZON, alpha: float = 0.05) -> DataFrame:
-    """Forecast by evaluating the terms on future months; column expressions only."""
-    by = list(by)
-    steps = model.filter(F.col("beta").isNotNull()).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    future = steps.withColumn("period", F.add_months("last_period", F.col("step")))
-    d = _trend_terms(future.withColumn("_i", (F.col("n_train") - 1 + F.col("step")).cast("double")), F.col("n_train"))
-    values = F.map_values("months")
-    typical = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.size("months")  # for months never seen
-    z = F.coalesce(F.try_element_at("months", F.month("period")), typical) + dot("beta", _TREND) - F.col("beta")[0]
-    # the trend's own uncertainty grows with the distance from the data
-    width = F.lit(normal_quantile(alpha)) * F.col("sigma") * F.sqrt(1 + F.col("step") / F.col("n_train"))
+    by, known = list(by), table.dropna(subset=list(exog))
+    model = fit_seasonal_ar(rows.join(known, "period"), by, order, exog)
+    # one array of months, bounded by the calendar, goes to every group
+    months = known.agg(F.collect_list(F.struct("period", *exog)).alias("_m")).withColumn("_all", F.lit(1))
+    future = (rows.select(*by).distinct().withColumn("_all", F.lit(1)).join(F.broadcast(months), "_all")
+              .select(*by, F.explode("_m").alias("_m")).select(*by, "_m.*"))
+    return predict_seasonal_ar(converged_only(model, order) if converged else model, by, order, horizon, exog=exog, future=future)
+
+
+def _residual_filter(order: Order):
+    """One-step values over whole series: shocks before the first usable month are 0, later ones follow from the data."""
+    first, ar, ma = len(order.difference) - 1, order.ar, order.ma
+    begin = first + max([*ar, 0])
+
+    def run(batches):
+        for b in batches:
+            n = b["w"].map(len).to_numpy()
+            w = np.full((len(b), max(n.max(), 1)), np.nan)
+            for i, row in enumerate(b["w"]):
+                w[i, :n[i]] = row
+            beta = np.stack(b["beta"].to_numpy())
+            phi, theta = beta[:, 1:1 + len(ar)], beta[:, 1 + len(ar):1 + len(ar) + len(ma)]
+            e, step = np.zeros_like(w), np.full_like(w, np.nan)
+            for t in range(begin, w.shape[1]):  # all series of the batch go one month on together
+                at = beta[:, 0].copy()
+                for i, k in enumerate(ar):
+                    at += phi[:, i] * w[:, t - k]
+                for i, k in enumerate(ma):
+                    if t - k >= begin:
+                        at += theta[:, i] * e[:, t - k]
+                step[:, t], e[:, t] = at, w[:, t] - at
+            yield pd.DataFrame({"id": b["id"], "step": [[None if np.isnan(v) else v for v in r[:k]] for r, k in zip(step, n)],
+                                "shock": [list(r[:k]) for r, k in zip(e, n)]})
 
-    def back(c: Column) -> Column:
-        return round_half_up(F.when(F.col("is_log"), F.exp(c)).otherwise(c))
+    return run
 
-    return d.select(*by, "config", "period", "step", back(z).alias("forecast"), back(z - width).alias("lower"),
-                    back(z + width).alias("upper"), "n_train")
 
+def filtered_seasonal_ar(rows: DataFrame, model: DataFrame, by: Sequence[str], order: Order) -> DataFrame:
+    """``(*by, period, value, w, fitted, shock)``: the one-step values of a model on the months of its groups, moving-average terms included.
 
-def trend_component(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Straight-line trend of the logarithm: monthly growth and level, by mergeable sums."""
+    A group's months are one array, bounded by the calendar; groups without a model keep their rows with NULL ``fitted``.
+    """
     by = list(by)
-    d = rows.filter(F.col("value") > 0).withColumn("_i", F.row_number().over(ordered(by)) - 1)
-    return d.groupBy(*by).agg(round_half_up(F.regr_slope(F.ln("value"), "_i")).alias("growth"),
-                              round_half_up(F.regr_intercept(F.ln("value"), F.col("_i"))).alias("level"))
+    d = rows.select(*by, "period", "value", F.coalesce(_differenced("value", order, by), F.lit(float("nan"))).alias("w"))
+    arrays = d.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("period", "value", "w"))).alias("h"))
+    j = arrays.join(model.select(*by, "beta"), by, "left").withColumn("id", F.to_json(F.struct(*by)))
+    got = j.filter(F.col("beta").isNotNull()).select("id", F.transform("h", lambda h: h["w"]).alias("w"), "beta").mapInPandas(
+        _residual_filter(order), "id string, step array<double>, shock array<double>")
+    none = F.transform("h", lambda h: F.lit(None).cast("double"))
+    each = (j.join(got, "id", "left").withColumn("step", F.coalesce("step", none)).withColumn("shock", F.coalesce("shock", none))
+            .select(*by, F.explode(F.arrays_zip("h", "step", "shock")).alias("m")))
+    w = F.nanvl("m.h.w", F.lit(None).cast("double"))
+    return each.select(*by, F.col("m.h.period").alias("period"), F.col("m.h.value").alias("value"), w.alias("w"),
+                       (F.col("m.h.value") - w + F.col("m.step")).alias("fitted"), F.when(F.col("m.step").isNotNull(), F.col("m.shock")).alias("shock"))
 
 
-def forecast_trend_seasonal(rows: DataFrame, by: Sequence[str], horizon: int = HORIZON) -> DataFrame:
-    return predict_trend_seasonal(fit_trend_seasonal(rows, by), by, horizon)
+def fitted_seasonal_ar(rows: DataFrame, model: DataFrame, by: Sequence[str], order: Order) -> DataFrame:
+    """In-sample one-step values: ``(*by, period, value, fitted)``."""
+    by = list(by)
+    if order.ma:
+        return filtered_seasonal_ar(rows, model, by, order).select(*by, "period", "value", round_half_up("fitted").alias("fitted"))
+    d = rows.select(*by, "period", "value", _differenced("value", order, by).alias("_w"))
+    d = d.select("*", *[lag("_w", k, by).alias(f"_w{k}") for k in order.ar])
+    j = d.join(model.select(*by, "beta"), by, "left")
+    fitted = F.col("value") - F.col("_w") + dot("beta", [f"_w{k}" for k in order.ar])
+    return j.select(*by, "period", "value", round_half_up(fitted).alias("fitted"))
+
+
+def model_from_weights(rows: DataFrame, by: Sequence[str], order: Order, beta: Sequence[float], sigma: float) -> DataFrame:
+    """Model rows of given weights (constant, autoregressive, moving average): the state follows from the residual filter."""
+    by, beta = list(by), [float(v) for v in beta]
+    if len(beta) != 1 + len(order.ar) + len(order.ma):
+        raise ValueError(f"{order.name} takes {1 + len(order.ar) + len(order.ma)} weights")
+    given = rows.select(*by).distinct().withColumn("beta", F.array(*map(F.lit, beta)))
+    d = filtered_seasonal_ar(rows, given, by, order).withColumn("_back", F.row_number().over(W.partitionBy(*by).orderBy(F.col("period").desc())))
+    near = F.when(F.col("_back") <= order.memory, F.struct("period", F.col("value").alias("y"), F.coalesce("w", F.lit(0.0)).alias("w"), F.coalesce("shock", F.lit(0.0)).alias("e")))
+    state = d.groupBy(*by).agg(F.max("period").alias("last_period"), F.count(F.lit(1)).alias("n_train"), F.sort_array(F.collect_list(near)).alias("_h"))
+    return state.select(*by, F.lit(order.name).alias("config"), "last_period", "n_train", F.array(*map(F.lit, beta)).alias("beta"), F.lit(float(sigma)).alias("sigma"),
+                        *[F.col(f"_h.{c}").alias(f"{c}s") for c in "ywe"], F.lit(None).cast("string").alias("error"))
 
 
 # ---- dispatch ----
 
 MODELS: dict[str, Callable[[DataFrame, Sequence[str], int], DataFrame]] = {
-    "sarima": lambda rows, by, h: forecast_seasonal_ar(rows, by, Order(), h),
-    "prophet": lambda rows, by, h: forecast_trend_seasonal(rows, by, h),
+    "seasonal_arima": lambda rows, by, h: forecast_seasonal_ar(rows, by, Order(), h),
+    "trend_seasonal": lambda rows, by, h: forecast_trend_seasonal(rows, by, h),
 }
+#: Names of the solvers these models stand in for; results carry the names above.
+ALIASES = {"sarima": "seasonal_arima", "prophet": "trend_seasonal"}
 
 
-def fit_predict(rows: DataFrame, by: Sequence[str], model: str = "prophet", horizon: int = HORIZON) -> DataFrame:
+def fit_predict(rows: DataFrame, by: Sequence[str], model: str = "trend_seasonal", horizon: int = HORIZON) -> DataFrame:
     """Forecast with a named model."""
     if model == "sarimax":
-        raise NotImplementedError("sarimax needs exogenous columns: use fit_seasonal_ar and predict_seasonal_ar")
-    if model not in MODELS:
-        raise ValueError(f"unknown model {model!r}, use one of {sorted(MODELS)}")
-    return MODELS[model](rows, by, horizon).withColumn("model_name", F.lit(model))
+        raise NotImplementedError("sarimax needs exogenous columns: use forecast_with_exog")
+    name = ALIASES.get(model, model)
+    if name not in MODELS:
+        raise ValueError(f"unknown model {model!r}, use one of {sorted([*MODELS, *ALIASES])}")
+    return MODELS[name](rows, by, horizon).withColumn("model_name", F.lit(name))
 
 
 def run_both(rows: DataFrame, by: Sequence[str], horizon: int = HORIZON, models: Mapping[str, Callable] | None = None) -> DataFrame:
@@ -320,7 +358,7 @@ def run_both(rows: DataFrame, by: Sequence[str], horizon: int = HORIZON, models:
 def to_results(forecasts: DataFrame, run_id: str, target: str = "series") -> DataFrame:
     """Forecast rows in the columns of the results table; metrics are unknown for the future."""
     none = F.lit(None).cast("double")
-    return forecasts.select(
+    return forecasts.filter(F.col("forecast").isNotNull()).select(
         F.lit(run_id).alias("run_id"), F.col(target).alias("target"), "model_name", F.col("period").alias("forecast_period"),
         F.col("forecast").alias("forecast_value"), F.col("lower").alias("lower_bound"), F.col("upper").alias("upper_bound"),
         none.alias("rmse"), none.alias("mape"), none.alias("mae"), F.col("n_train").alias("trained_on_periods"))
@@ -334,11 +372,14 @@ def score(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str], by: Seq
     return error_metrics(j, by, "actual", "forecast")
 
 
-def _with_failures(metrics: DataFrame, train: DataFrame, by: Sequence[str], choice: str, choices: Sequence[str]) -> DataFrame:
-    """A row for every group and choice: ``metrics`` where there are any, otherwise NULL metrics and an ``error``."""
+def _with_failures(metrics: DataFrame, train: DataFrame, by: Sequence[str], choice: str, choices: Sequence[str], forecasts: DataFrame | None = None) -> DataFrame:
+    """A row for every group and choice: ``metrics`` where there are any, otherwise NULL metrics and an ``error``, that of ``forecasts`` if it has one."""
     asked = train.select(*by).distinct().withColumn(choice, F.explode(F.array(*[F.lit(c) for c in choices])))
-    error = F.when(F.col("rmse").isNull(), F.lit("not fitted, or nothing to compare with"))
-    return asked.join(metrics, [*by, choice], "left").withColumn("error", error)
+    out, why = asked.join(metrics, [*by, choice], "left"), F.lit(None).cast("string")
+    if forecasts is not None:
+        out, why = out.join(forecasts.filter("error IS NOT NULL").groupBy(*by, choice).agg(F.min("error").alias("_why")), [*by, choice], "left"), F.col("_why")
+    error = F.when(F.col("rmse").isNull(), F.coalesce(why, F.lit("not fitted, or nothing to compare with")))
+    return out.withColumn("error", error).drop("_why")
 
 
 def backtest(rows: DataFrame, model: str | Callable = "prophet", n_splits: int = 3, horizon: int = HORIZON, by: str = "series") -> DataFrame:
@@ -369,10 +410,19 @@ def validate(rows: DataFrame, by: str = "series", test_size: float = 0.2, horizo
 
 
 def order_search(train: DataFrame, test: DataFrame, by: Sequence[str], orders: Sequence[Order] = tuple(SEARCH_ORDERS),
-                 horizon: int = HORIZON) -> DataFrame:
-    """Metrics of every order on every group. Choose by them on a validation stretch, not on the test months."""
-    fc = reduce(DataFrame.unionByName, [forecast_seasonal_ar(train, by, o, horizon) for o in orders])
-    return _with_failures(score(fc, test, [*by, "period"], [*by, "config"]), train, list(by), "config", [o.name for o in orders])
+                 horizon: int = HORIZON, table: DataFrame | None = None, exog: Sequence[str] = ()) -> DataFrame:
+    """Metrics of every order on every group; an order that does not converge has an ``error`` and no metrics.
+
+    With ``exog``, every order is searched with these columns of ``table`` (period, *exog). Choose by the metrics on a validation
+    stretch, not on the test months.
+    """
+    def one(o: Order) -> DataFrame:
+        if exog:
+            return forecast_with_exog(train, by, table, exog, o, horizon, converged=True)
+        return forecast_seasonal_ar(train, by, o, horizon, converged=True)
+
+    fc = stage(reduce(DataFrame.unionByName, [one(o) for o in orders]), "search")  # scored, and read for its errors
+    return _with_failures(score(fc, test, [*by, "period"], [*by, "config"]), train, list(by), "config", [o.name for o in orders], fc)
 
 
 def window_rows(rows: DataFrame, windows: Sequence[tuple[str, str, str, str, str]], by: str = "series") -> DataFrame:
@@ -392,14 +442,21 @@ def window_rows(rows: DataFrame, windows: Sequence[tuple[str, str, str, str, str
     return rows.filter(F.col("value").isNotNull()).withColumn("_w", F.explode(parts)).select(by, "period", "value", "_w.window", "_w.role")
 
 
-def window_experiment(rows: DataFrame, windows, by: str = "series", horizon: int = HORIZON, models: Mapping[str, Callable] | None = None) -> DataFrame:
-    """Both models on each window of each series, with metrics and training length."""
+def window_experiment(rows: DataFrame, windows, by: str = "series", horizon: int = HORIZON, models: Mapping[str, Callable] | None = None,
+                      ready: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Every model on each window of each series, with metrics and training length.
+
+    ``ready`` holds forecasts made elsewhere, by model name: ``(by, window, period, forecast)``.
+    """
     marked = window_rows(rows, windows, by)
-    fc = run_both(marked.filter("role = 'train'").drop("role"), [by, "window"], horizon, models)
+    train, models, ready = marked.filter("role = 'train'"), models or MODELS, ready or {}
+    columns = [by, "window", "period", "forecast", "error"]
+    fc = [run_both(train.drop("role"), [by, "window"], horizon, models).select(*columns, "model_name")]
+    fc += [f.withColumn("error", F.lit(None).cast("string")).select(*columns).withColumn("model_name", F.lit(name)) for name, f in ready.items()]
+    fc = stage(reduce(DataFrame.unionByName, fc), "window-forecasts")
     m = score(fc, marked.filter("role = 'test'"), [by, "window", "period"], [by, "window", "model_name"])
-    train = marked.filter("role = 'train'")
     n = train.groupBy(by, "window").agg(F.count(F.lit(1)).alias("n_train"))
-    return _with_failures(m, train, [by, "window"], "model_name", list(models or MODELS)).join(n, [by, "window"])
+    return _with_failures(m, train, [by, "window"], "model_name", [*models, *ready], fc).join(n, [by, "window"])
 
 
 def save_model(model: DataFrame, path: str) -> None:

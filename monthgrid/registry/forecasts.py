@@ -1,5 +1,6 @@
 """Forecasting queries. Those a solver decides have no SQL twin; the autoregression and the trend do."""
 
+import datetime as dt
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -10,20 +11,22 @@ from pyspark.sql import functions as F
 from monthgrid.catalog import FEATURE_COLUMNS
 from monthgrid.functions.scalars import round_half_up
 from monthgrid.operators.calendar import densify, with_fills
-from monthgrid.operators.evaluate import best_config, best_flags, error_metrics, variant_gap
+from monthgrid.operators.evaluate import best_config, best_flags, error_metrics, ranked, variant_gap
 from monthgrid.plans.features import HENRY_HUB_FEATURES, WTI_FEATURES, engineered_wide, strict_wide
-from monthgrid.plans.forecasting import (Order, backtest, fit_seasonal_ar, fitted_seasonal_ar, forecast_seasonal_ar,
-                                         forecast_trend_seasonal, load_model, order_search, predict_seasonal_ar, run_both,
-                                         save_model, to_results, trend_component, validate, window_experiment, window_rows)
+from monthgrid.plans.forecasting import (MODELS, Order, backtest, fit_seasonal_ar, fitted_seasonal_ar, forecast_seasonal_ar,
+                                         forecast_with_exog, load_model, model_from_weights, order_search, predict_seasonal_ar,
+                                         run_both, save_model, to_results, validate, window_experiment, window_rows)
+from monthgrid.plans.models import ModelRegistry
 from monthgrid.plans.preprocess import preprocess
 from monthgrid.plans.reports import importance_groups
-from monthgrid.plans.trees import (FEATURES, SWEEP, between, fit_trees, importances, predict_trees, sweep,
+from monthgrid.plans.trend import Trend, forecast_trend_seasonal, trend_component
+from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, fit_trees, importances, predict_trees, sweep,
                                    training_rows, wide_rows)
 from monthgrid.registry.core import ORACLES, feature_cells_sql, query, r4
 from monthgrid.registry.evaluate import fcells
 from monthgrid.registry.features import STRICT, eng_long, strict_long
 from monthgrid.session import new_path, stage
-from monthgrid.sinks.tables import replace_by_key
+from monthgrid.sinks.tables import VersionedTable
 
 WINDOWS = [("1999 calm year", "1995-01-01", "1998-12-01", "1999-01-01", "1999-12-01"),
            ("2000 spike window", "1995-01-01", "1999-12-01", "2000-01-01", "2000-12-01")]
@@ -81,30 +84,83 @@ def fitted_ar_exact(spark, sf):
     return out.filter(F.col("fitted").isNotNull()).select("series", "period", round_half_up("fitted", 2).alias("fitted"))
 
 
+# ARIMA (0,1,1)(0,1,1,12) with given weights: the residual filter, the moving-average path and its bounds can all be repeated in SQL.
+MA1 = Order(0, 1, 1, 0, 1, 1, 12)
+_MA_BETA, _MA_SIGMA = (0.0, -0.4, -0.5, 0.2), 1000.0
+_MA1 = f"""{GRID17}, d AS (SELECT series, period, value, row_number() OVER s AS i, value - lag(value, 1) OVER s - lag(value, 12) OVER s + lag(value, 13) OVER s AS w
+  FROM gx WINDOW s AS (PARTITION BY series ORDER BY period)),
+f AS (SELECT series, 13::BIGINT AS i, list_transform(range(13), lambda x: 0.0::DOUBLE) AS es FROM (SELECT DISTINCT series FROM d)
+  UNION ALL SELECT f.series, d.i, list_append(es[2:], w - ({_MA_BETA[0]} + {_MA_BETA[1]} * es[13] + {_MA_BETA[2]} * es[2] + {_MA_BETA[3]} * es[1]))
+  FROM f JOIN d ON d.series = f.series AND d.i = f.i + 1)"""
+
+
+@query("fitted_ma_exact", f"WITH RECURSIVE {_MA1} SELECT d.series, period, {r4(r4('value - es[13]'), 2)} AS fitted FROM d JOIN f ON f.series = d.series AND f.i = d.i WHERE d.i > 13")
+def fitted_ma_exact(spark, sf):
+    """One-step values of a model with moving-average terms, shock by shock."""
+    t = targets(spark, sf)
+    out = fitted_seasonal_ar(t, model_from_weights(t, ["series"], MA1, _MA_BETA, _MA_SIGMA), ["series"], MA1)
+    return out.filter(F.col("fitted").isNotNull()).select("series", "period", round_half_up("fitted", 2).alias("fitted"))
+
+
+@query("forecast_ma_exact", f"""WITH RECURSIVE {_MA1},
+st AS (SELECT series, max(period) AS last_period, max(i) AS n, list(value ORDER BY period)[-13:] AS ys FROM d GROUP BY 1),
+r AS (SELECT st.series, last_period, 0 AS step, ys, es FROM st JOIN f ON f.series = st.series AND f.i = n
+  UNION ALL SELECT series, last_period, step + 1,
+    list_append(ys[2:], {_MA_BETA[0]} + {_MA_BETA[1]} * es[13] + {_MA_BETA[2]} * es[2] + {_MA_BETA[3]} * es[1] + ys[13] + ys[2] - ys[1]), list_append(es[2:], 0.0::DOUBLE)
+  FROM r WHERE step < 12)
+SELECT series, CAST(last_period + to_months(step) AS DATE) AS period, step, {r4(r4('ys[13]'), 2)} AS forecast,
+  {r4(r4(f'ys[13] - 1.959963984540054::DOUBLE * {_MA_SIGMA}::DOUBLE * sqrt(1 + {(1 + _MA_BETA[1]) ** 2}::DOUBLE * (step - 1))'), 2)} AS lower FROM r WHERE step > 0""")
+def forecast_ma_exact(spark, sf):
+    model = model_from_weights(targets(spark, sf), ["series"], MA1, _MA_BETA, _MA_SIGMA)
+    f = predict_seasonal_ar(model, ["series"], MA1)
+    return f.select("series", "period", "step", *[round_half_up(c, 2).alias(c) for c in ("forecast", "lower")])
+
+
+# A straight trend with one yearly pair: ordinary least squares, which SQL can repeat by taking out one term after the other.
+@query("trend_fourier_exact", f"""WITH {GRID17},
+x AS (SELECT series, period, ln(value) AS z, datediff('month', min(period) OVER (PARTITION BY series), period) AS t, max(period) OVER (PARTITION BY series) AS last_period,
+  sin(2 * pi() * (month(period) - 1) / 12) AS s, cos(2 * pi() * (month(period) - 1) / 12) AS c FROM gx),
+p1 AS (SELECT series, regr_slope(s, t) AS ss, regr_intercept(s, t) AS si, regr_slope(c, t) AS cs, regr_intercept(c, t) AS ci, regr_slope(z, t) AS zs, regr_intercept(z, t) AS zi FROM x GROUP BY 1),
+x1 AS (SELECT x.*, s - ss * t - si AS s1, c - cs * t - ci AS c1, z - zs * t - zi AS z1 FROM x JOIN p1 USING (series)),
+p2 AS (SELECT series, regr_slope(c1, s1) AS g FROM x1 GROUP BY 1),
+p3 AS (SELECT series, regr_slope(z1, c1 - g * s1) AS b FROM x1 JOIN p2 USING (series) GROUP BY 1),
+p4 AS (SELECT series, regr_slope(z1 - b * c1, s1) AS a, any_value(b) AS b FROM x1 JOIN p3 USING (series) GROUP BY 1),
+p5 AS (SELECT series, regr_slope(z - a * s - b * c, t) AS k, regr_intercept(z - a * s - b * c, t) AS m, any_value(a) AS a, any_value(b) AS b, max(t) AS last_t, any_value(last_period) AS last_period
+  FROM x JOIN p4 USING (series) GROUP BY 1),
+h AS (SELECT *, unnest(range(1, 13)) AS step FROM p5), f AS (SELECT *, CAST(last_period + to_months(step) AS DATE) AS period FROM h)
+SELECT series, period, step, {r4(r4("exp(m + k * (last_t + step) + a * sin(2 * pi() * (month(period) - 1) / 12) + b * cos(2 * pi() * (month(period) - 1) / 12))"), 2)} AS forecast,
+  'multiplicative' AS mode FROM f""")
+def trend_fourier_exact(spark, sf):
+    kind = Trend(changepoints=0, fourier=1, seasonality_prior=float("inf"))
+    f = forecast_trend_seasonal(targets(spark, sf), ["series"], kind=kind)
+    return f.select("series", "period", F.col("step").cast("long").alias("step"), round_half_up("forecast", 2).alias("forecast"), "mode")
+
+
 EXOG = ["industrial_production", "opec_spare", "dollar_index"]
 
 
+def exog_table(t):
+    """(period, *EXOG): three series, each lagged by the horizon so that it is known that far ahead."""
+    x = t.filter(F.col("series").isin(EXOG)).select(F.add_months("period", 12).alias("period"), "series", "value")
+    return x.groupBy("period").pivot("series", EXOG).agg(F.first("value"))
+
+
 @query("forecast_exog")
 def forecast_exog(spark, sf):
-    """Prices with three other series as regressors, each lagged by the horizon so that it is known."""
-    t = targets(spark, sf)
-    x = t.filter(F.col("series").isin(EXOG)).select(F.add_months("period", 12).alias("period"), "series", "value")
-    exog = x.groupBy("period").pivot("series", EXOG).agg(F.first("value"))
-    names = ["wti_price", "henry_hub_price"]
-    prices = t.filter(F.col("series").isin(names))
-    train = prices.join(exog, "period").dropna(subset=EXOG)
-    future = exog.dropna(subset=EXOG).withColumn("series", F.explode(F.array(*[F.lit(n) for n in names])))
-    model = fit_seasonal_ar(train, ["series"], Order(), EXOG)
-    return predict_seasonal_ar(model, ["series"], Order(), exog=EXOG, future=future)
+    """All series with three others as regressors."""
+    t = stage(targets(spark, sf), "targets")
+    return forecast_with_exog(t, ["series"], exog_table(t), EXOG)
 
 
-def order_scores(spark, sf, windows):
-    rows = stage(window_rows(targets(spark, sf), windows), "search-rows")  # read by every order
+def order_scores(spark, sf, windows, exog=()):
+    t = stage(targets(spark, sf), "targets")
+    rows = stage(window_rows(t, windows), "search-rows")  # read by every order
     train, test = (rows.filter(F.col("role") == r).drop("role") for r in ("train", "test"))
-    return order_search(train, test, ["series", "window"])
+    return order_search(train, test, ["series", "window"], table=stage(exog_table(t), "exog") if exog else None, exog=exog)
 
 
 query("order_search")(lambda spark, sf: order_scores(spark, sf, VALIDATION))
+query("order_search_exog")(lambda spark, sf: order_scores(spark, sf, VALIDATION, EXOG))
 
 
 @query("order_search_best")
@@ -178,21 +234,34 @@ def model_round_trip_ar_exact(spark, sf):
 
 @query("future_forecast")
 def future_forecast(spark, sf):
-    """Both models on all data of both price targets, next twelve months, replacing earlier results by key."""
+    """Both models on all data of both price targets, next twelve months, replacing earlier results by key in the results table."""
     t = targets(spark, sf).filter(F.col("series").isin("wti_price", "henry_hub_price"))
-    clean = preprocess(t).select("series", "period", "value")
-    new = stage(to_results(run_both(clean, ["series"]), "future"), "future")
+    clean = stage(preprocess(t).select("series", "period", "value"), "clean")
+    results, key = VersionedTable(spark, new_path(spark, "forecast-results")), ["target", "model_name", "forecast_period"]
     older = clean.filter(F.col("period") <= F.add_months(F.lit("2001-08-01").cast("date"), -6))
-    earlier = stage(to_results(run_both(older, ["series"]), "half a year before"), "earlier")  # six of its months are forecast anew
-    return replace_by_key(earlier, new, ["target", "model_name", "forecast_period"])
+    results.replace(to_results(run_both(older, ["series"]), "half a year before"), key)  # six of its months are forecast anew
+    results.replace(to_results(run_both(clean, ["series"]), "future"), key)
+    return results.read()
 
 
 query("validation_run")(lambda spark, sf: validate(preprocess(targets(spark, sf)).select("series", "period", "value")))
 
 
+def all_models(spark, sf):
+    """Every model family on both windows of every series: two without and two with other columns."""
+    t = stage(targets(spark, sf), "targets")
+    table = stage(exog_table(t), "exog")
+    models = {**MODELS, "seasonal_arima_exog": lambda rows, by, h: forecast_with_exog(rows, by, table, EXOG, horizon=h)}
+    trees = tree_forecasts(tree_rows(spark, sf), "pooled").select("series", "window", "period", "forecast")
+    return window_experiment(t, WINDOWS, models=models, ready={"pooled_trees": trees})
+
+
 @query("window_experiment")
 def window_experiment_q(spark, sf):
-    return window_experiment(targets(spark, sf), WINDOWS)
+    """Results by series, window and model, replaced by that key in their table and read back."""
+    results = VersionedTable(spark, new_path(spark, "window-results"))
+    results.replace(all_models(spark, sf), ["series", "window", "model_name"])
+    return results.read()
 
 
 @query("model_comparison")
@@ -200,6 +269,28 @@ def model_comparison(spark, sf):
     return best_flags(window_experiment(targets(spark, sf), WINDOWS), ["series", "window"])
 
 
+@query("leaderboard_fitted")
+def leaderboard_fitted(spark, sf):
+    """Every fitted model of every target, placed by its error in each window; models that could not be fitted come last."""
+    return ranked(all_models(spark, sf), ["series", "window"])
+
+
+@query("leaderboard_ar_exact", _ar1_metrics(f"""SELECT series, period, value, part, period <= b AS train
+  FROM gx CROSS JOIN (VALUES {_SPANS}) v(part, a, b, c, d) WHERE period BETWEEN a AND b OR period BETWEEN c AND d""")
+  + """, n AS (SELECT t.series, t.part, {r4a} AS mape FROM (SELECT b.series, b.part, avg(abs((b.value - l.value) / b.value)) * 100 AS m FROM b
+    JOIN b l ON l.series = b.series AND l.part = b.part AND l.period = CAST(b.period - INTERVAL 12 MONTH AS DATE) WHERE NOT b.train GROUP BY 1, 2) t),
+  every AS (SELECT series, part, 'ar1' AS model_name, mape FROM e UNION ALL SELECT series, part, 'seasonal_naive', mape FROM n)
+  SELECT series, part AS "window", model_name, mape, CAST(rank() OVER (PARTITION BY series, part ORDER BY mape ASC NULLS LAST) AS INT) AS place FROM every""".replace("{r4a}", r4(r4("m"), 2)))
+def leaderboard_ar_exact(spark, sf):
+    """Two models whose errors SQL can repeat: the autoregression, and the value of a year before."""
+    t = targets(spark, sf)
+    before = t.select("series", F.add_months("period", 12).alias("period"), F.col("value").alias("forecast"))
+    tested = window_rows(t, WINDOWS).filter("role = 'test'").select("series", "window", "period")
+    naive = tested.join(before, ["series", "period"]).select("series", "window", "period", "forecast")
+    scores = window_experiment(t, WINDOWS, models={"ar1": _ar1}, ready={"seasonal_naive": naive})
+    return ranked(scores.withColumn("mape", round_half_up("mape", 2)), ["series", "window"]).select("series", "window", "model_name", "mape", "place")
+
+
 @query("model_round_trip")
 def model_round_trip(spark, sf):
     """A fitted model written as a table, loaded again and used."""
@@ -285,3 +376,16 @@ def gbt_sweep(spark, sf):
     """The eight settings in full, judged on 1998 after training through 1997."""
     rows = tree_rows(spark, sf)
     return sweep(between(rows, "1995-01-01", "1997-12-01"), between(rows, "1998-01-01", "1998-12-01"), SWEEP, parallel=8)
+
+
+@query("model_round_trip_trees")
+def model_round_trip_trees(spark, sf):
+    """Trees kept in the registry by name, target and date, loaded again and used beside the ones in memory; a small booster, as what matters is the way back."""
+    rows = tree_rows(spark, sf)
+    _, start, end, test_start, test_end = WINDOWS[0]
+    model, registry = fit_trees(between(rows, start, end), TreeConfig(trees=20, depth=2)), ModelRegistry(spark, new_path(spark, "models"))
+    registry.save(model, "pooled_trees", "all", dt.date.fromisoformat(end))
+    test = between(rows, test_start, test_end)
+    kept = predict_trees(registry.load("pooled_trees", "all"), test, "loaded").select("series", "period", F.col("forecast").alias("loaded"))
+    both = predict_trees(model, test, "fitted").join(kept, ["series", "period"], "full")
+    return both.select("series", "period", "forecast", "loaded", F.col("forecast").eqNullSafe(F.col("loaded")).alias("same"))

@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 
 from monthgrid.operators.regress import fit_ols
-from monthgrid.plans.forecasting import (Order, SEARCH_ORDERS, backtest, fit_predict, fit_seasonal_ar, fit_trend_seasonal,
-                                         fitted_seasonal_ar, forecast_seasonal_ar, load_model, order_search,
+from monthgrid.plans.forecasting import (Order, SEARCH_ORDERS, backtest, converged_only, filtered_seasonal_ar, fit_predict, fit_seasonal_ar,
+                                         fitted_seasonal_ar, forecast_with_exog, model_from_weights, forecast_seasonal_ar, load_model, order_search,
                                          predict_seasonal_ar, run_both, save_model, to_results, validate, window_experiment)
+from monthgrid.plans.trend import Trend, fit_trend_seasonal, forecast_trend_seasonal, predict_trend_seasonal
 from monthgrid.session import new_path
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def test_a_missing_month_gives_an_error_not_a_forecast(monthly):
     broken = monthly({"a": list(SERIES)}).filter("period <> '2020-03-01'")
     model = fit_seasonal_ar(broken, ["series"], Order(1, 1, 0, 0, 1, 0, 12))
     assert model.first()["error"] == "months are missing"
-    assert predict_seasonal_ar(model, ["series"], Order(1, 1, 0, 0, 1, 0, 12), alpha=0.03).count() == 0
+    assert [(r["forecast"], r["error"]) for r in predict_seasonal_ar(model, ["series"], Order(1, 1, 0, 0, 1, 0, 12), alpha=0.03).collect()] == [(None, "months are missing")]
 
 
 def test_orders():
@@ -134,8 +135,111 @@ def test_fitted_values(rows):
     o = Order(1, 1, 0, 0, 1, 0)
     f = fitted_seasonal_ar(rows, fit_seasonal_ar(rows, ["series"], o), ["series"], o).filter("series = 'a'").orderBy("period").collect()
     assert [r["fitted"] is None for r in f] == [True] * 14 + [False] * (N - 14)
+
+
+@pytest.mark.parametrize("order", [Order(), Order(0, 1, 1, 0, 1, 1), Order(2, 1, 0, 0, 1, 1)])
+def test_fitted_values_with_moving_average_terms_equal_a_plain_loop(rows, order):
+    m = fit_seasonal_ar(rows, ["series"], order).cache()
+    got = {(r["series"], r["period"]): r["fitted"] for r in filtered_seasonal_ar(rows, m, ["series"], order).collect()}
+    shown = {(r["series"], r["period"]): r["fitted"] for r in fitted_seasonal_ar(rows, m, ["series"], order).collect()}
+    for model in m.collect():
+        data = sorted((r["period"], r["value"]) for r in rows.filter(F.col("series") == model["series"]).collect())
+        diff, beta = order.difference, model["beta"]
+        phi, theta = dict(zip(order.ar, beta[1:])), dict(zip(order.ma, beta[1 + len(order.ar):]))
+        y, begin = [v for _, v in data], len(diff) - 1 + max([*order.ar, 0])
+        w = [sum(c * y[t - k] for k, c in enumerate(diff)) if t >= len(diff) - 1 else None for t in range(len(y))]
+        e = [0.0] * len(y)
+        for t, (period, value) in enumerate(data):
+            if t < begin:
+                assert got[model["series"], period] is None
+                continue
+            step = beta[0] + sum(v * w[t - k] for k, v in phi.items()) + sum(v * e[t - k] for k, v in theta.items() if t >= k)
+            e[t] = w[t] - step
+            assert got[model["series"], period] == pytest.approx(value - w[t] + step, abs=1e-8)
+            assert shown[model["series"], period] == pytest.approx(value - w[t] + step, abs=1e-4)
+
+
+def test_given_weights_and_groups_without_a_model(monthly):
+    rows = monthly({"a": list(SERIES), "short": [1, 2, 3]})
+    order = Order(0, 1, 1, 0, 1, 1)
+    m = model_from_weights(rows, ["series"], order, [0.0, -0.4, -0.5, 0.2], 1.0)
+    f = predict_seasonal_ar(m, ["series"], order).collect()
+    assert sum(r["error"] is None for r in f) == 12 and [r["error"] for r in f if r["series"] == "short"] == ["too few months to go on from"]
+    with pytest.raises(ValueError):
+        model_from_weights(rows, ["series"], order, [0.0], 1.0)
+    none = fit_seasonal_ar(rows, ["series"], order)
+    assert filtered_seasonal_ar(rows, none, ["series"], order).filter("series = 'short' AND fitted IS NULL").count() == 3
+
+
+def test_unit_roots_are_marked(spark, rows):
+    order = Order(2, 0, 1, 0, 0, 0)
+    m = fit_seasonal_ar(rows, ["series"], order)
+    cases = {"fine": [0.0, 0.5, 0.2, 0.3], "unit root": [0.0, 0.7, 0.3, 0.1], "explosive": [0.0, 1.5, 0.2, 0.1], "not invertible": [0.0, 0.5, 0.2, -1.0], "edge": [0.0, 0.5, 0.2, 1.2]}
+    made = [m.filter("series = 'a'").withColumn("series", F.lit(k)).withColumn("beta", F.array(*map(F.lit, b))) for k, b in cases.items()]
+    got = {r["series"]: r for r in converged_only(__import__("functools").reduce(lambda a, b: a.unionByName(b), made), order).collect()}
+    assert {k: r["error"] for k, r in got.items()} == {"fine": None, "unit root": "not stationary", "explosive": "not stationary", "not invertible": "not invertible", "edge": "not invertible"}
+    assert all((r["beta"] is None) == (r["error"] is not None) for r in got.values())
+    for name, b in cases.items():
+        roots = 1 / np.abs(np.roots([-b[2], -b[1], 1.0]))
+        assert got[name]["ar_root"] == pytest.approx(roots.max(), rel=1e-9) and got[name]["ma_root"] == pytest.approx(abs(b[3]))
+
+
+def test_search_reports_orders_that_do_not_converge(spark, monthly):
+    rng = np.random.default_rng(2)
+    rows = monthly({"w": list(100 + rng.normal(0, 1, N).cumsum()), "x": list(50 + np.exp(0.06 * T))})
+    train, test = rows.filter("period < '2025-01-01'"), rows.filter("period >= '2025-01-01'")
+    out = {(r["series"], r["config"]): r for r in order_search(train, test, ["series"], [Order(1, 0, 0, 0, 0, 0), Order(1, 1, 0, 0, 0, 0)]).collect()}
+    explosive = out["x", Order(1, 0, 0, 0, 0, 0).name]
+    assert explosive["error"] == "not stationary" and explosive["mape"] is None and len(out) == 4
+    assert out["w", Order(1, 1, 0, 0, 0, 0).name]["error"] is None
+
+
+def test_search_and_windows_with_exogenous_columns(spark, rows, monthly):
+    train, future, _ = exog_rows(spark, rows)
+    table = future.drop("series")
+    past, ahead = train.filter("period < '2025-01-01'").select("series", "period", "value"), train.filter("period >= '2025-01-01'").select("series", "period", "value")
+    out = order_search(past, ahead, ["series"], SEARCH_ORDERS[:2], table=table, exog=["x1", "x2"]).collect()
+    plain = {r["config"]: r["mape"] for r in order_search(past, ahead, ["series"], SEARCH_ORDERS[:2]).collect()}
+    assert all(r["error"] is None and r["mape"] < plain[r["config"]] for r in out)
+    short = forecast_with_exog(past, ["series"], table.filter("period < '2025-06-01'"), ["x1", "x2"]).collect()
+    assert [r["error"] for r in short] == ["the exogenous columns do not cover the horizon"]
+    windows = [("late", "2018-01-01", "2024-12-01", "2025-01-01", "2025-12-01")]
+    naive = ahead.select("series", F.lit("late").alias("window"), "period", F.lit(60.0).alias("forecast"))
+    w = window_experiment(train.select("series", "period", "value"), windows, models={"exog": lambda r, by, h: forecast_with_exog(r, by, table, ["x1", "x2"], horizon=h)},
+                          ready={"sixty": naive}).collect()
+    assert {r["model_name"]: r["n_periods"] for r in w} == {"exog": 12, "sixty": 12}
+
+
+@pytest.mark.parametrize("kind", [Trend(), Trend(3, 2, changepoint_prior=0.5), Trend(0, 1, seasonality_prior=float("inf")), Trend(mode="additive")])
+def test_trend_equals_numpy(monthly, kind):
+    rows = monthly({"a": list(SERIES)})
+    model = fit_trend_seasonal(rows, ["series"], kind).first()
+    z = SERIES if kind.mode == "additive" else np.log(SERIES)
+    month, t = T % 12 + 1, T / (N - 1)
+
+    def design(t, month):
+        cols = [np.ones(len(t)), t, *[np.clip(t - kind.share * (j + 1) / (kind.changepoints + 1), 0, None) for j in range(kind.changepoints)]]
+        for k in range(1, kind.fourier + 1):
+            cols += [np.sin(2 * np.pi * k * (month - 1) / 12), np.cos(2 * np.pi * k * (month - 1) / 12)]
+        return np.stack(cols, 1)
+
+    x = design(t, month)
+    stacked = np.vstack([x, np.diag(np.sqrt(kind.penalty))])  # ridge as least squares on added rows
+    beta = np.linalg.lstsq(stacked, np.concatenate([z, np.zeros(x.shape[1])]), rcond=None)[0]
+    assert model["beta"] == pytest.approx(list(beta), abs=1e-6) and model["mode"] == ("additive" if kind.mode == "additive" else "multiplicative")
+    f = predict_trend_seasonal(fit_trend_seasonal(rows, ["series"], kind), ["series"], kind=kind).orderBy("step").collect()
+    ahead = design((N - 1 + np.arange(1, 13)) / (N - 1), np.arange(12) + 1)
+    want = ahead @ beta if kind.mode == "additive" else np.exp(ahead @ beta)
+    assert [r["forecast"] for r in f] == pytest.approx(list(want), abs=2e-4) and {r["mode"] for r in f} == {model["mode"]}
+
+
+def test_trend_errors_are_rows(monthly):
+    rows = monthly({"short": [1, 2, 3], "n": list(SERIES - 70), "ok": list(SERIES)})
+    f = forecast_trend_seasonal(rows, ["series"], kind=Trend(mode="multiplicative")).collect()
+    assert {r["series"]: r["error"] for r in f} == {"short": "not enough months to fit", "n": "a multiplicative trend needs positive values", "ok": None}
+    assert len(f) == 14
     with pytest.raises(ValueError):
-        fitted_seasonal_ar(rows, None, ["series"], Order())
+        Trend(fourier=6)
 
 
 def test_trend_with_negative_values_is_additive(monthly):
@@ -164,7 +268,8 @@ def test_exogenous_columns(spark, rows):
     with pytest.raises(ValueError, match="lacks"):
         predict_seasonal_ar(m, ["series"], exog=["x1", "x2"], future=future.drop("x2"))
     few = future.filter(F.col("period") < "2026-06-01")
-    assert predict_seasonal_ar(m, ["series"], Order(), exog=["x1", "x2"], future=few).count() == 0
+    lost = predict_seasonal_ar(m, ["series"], Order(), exog=["x1", "x2"], future=few).collect()
+    assert [(r["step"], r["forecast"], r["error"]) for r in lost] == [(None, None, "the exogenous columns do not cover the horizon")]
 
 
 def test_dispatch(rows):
@@ -174,7 +279,7 @@ def test_dispatch(rows):
         fit_predict(rows, ["series"], "sarimax")
     r = to_results(run_both(rows, ["series"], 3), "run-1")
     assert r.count() == 12 and r.filter("rmse IS NOT NULL OR run_id <> 'run-1'").count() == 0
-    assert {x["model_name"] for x in r.collect()} == {"sarima", "prophet"}
+    assert {x["model_name"] for x in r.collect()} == {"seasonal_arima", "trend_seasonal"}
 
 
 def test_saved_model_forecasts_the_same(spark, rows):
@@ -194,7 +299,7 @@ def test_backtest_reports_errors_as_rows(monthly):
 
 def test_validation_windows_and_search(monthly, rows):
     v = validate(monthly({"a": list(SERIES)})).collect()
-    assert {r["model_name"] for r in v} == {"sarima", "prophet"} and all(r["n_periods"] == 12 for r in v)
+    assert {r["model_name"] for r in v} == {"seasonal_arima", "trend_seasonal"} and all(r["n_periods"] == 12 for r in v)
     windows = [("calm", "2018-01-01", "2023-12-01", "2024-01-01", "2024-12-01"), ("late", "2018-01-01", "2024-12-01", "2025-01-01", "2026-06-01")]
     w = window_experiment(rows, windows).collect()
     assert len(w) == 8 and {r["n_train"] for r in w if r["window"] == "calm"} == {72}
