@@ -44,12 +44,11 @@ def best_flags(metrics: DataFrame, by: Sequence[str]) -> DataFrame:
             .withColumn("best_r2", F.col("r2") == F.max("r2").over(w)))
 
 
-def leaderboard(rows: DataFrame, by: Sequence[str] = ("window", "model_label")) -> DataFrame:
-    """First metrics of each (window, model) by month, ranked by MAPE with unknown ones last."""
-    g = rows.groupBy(*by).agg(F.min_by("rmse", "forecast_period").alias("rmse"), F.min_by("mape", "forecast_period").alias("mape"),
-                              F.count("forecast_period").alias("n_months"))
-    rank = F.rank().over(W.partitionBy(by[0]).orderBy(F.col("mape").asc_nulls_last()))
-    return g.withColumn("place", rank)
+def leaderboard(rows: DataFrame, within: Sequence[str] = ("window",), model: str = "model_label") -> DataFrame:
+    """First metrics of each model by month, ranked by MAPE within each group, unknown ones last."""
+    g = rows.groupBy(*within, model).agg(F.min_by("rmse", "forecast_period").alias("rmse"), F.min_by("mape", "forecast_period").alias("mape"),
+                                         F.count("forecast_period").alias("n_months"))
+    return ranked(g, within)
 
 
 def best_config(scored: DataFrame, by: Sequence[str], config: str = "config", metric: str = "mape") -> DataFrame:

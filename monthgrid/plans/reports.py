@@ -27,9 +27,9 @@ def seasonal_naive_forecasts(features: DataFrame, windows: Sequence[tuple[int, i
     (test year, training months). They give the scoring operators exact inputs.
     """
     models = F.explode(F.array(
-        F.struct(F.lit("sarima").alias("model_name"), F.col("lag_12").alias("forecast_value")),
-        F.struct(F.lit("prophet").alias("model_name"), F.col("roll12_mean").alias("forecast_value")),
-        F.struct(F.lit("sarimax").alias("model_name"), F.col("lag_1").alias("forecast_value"))))
+        F.struct(F.lit("seasonal_naive").alias("model_name"), F.col("lag_12").alias("forecast_value")),
+        F.struct(F.lit("trailing_mean").alias("model_name"), F.col("roll12_mean").alias("forecast_value")),
+        F.struct(F.lit("last_value").alias("model_name"), F.col("lag_1").alias("forecast_value"))))
     trained = map_label(F.year("period"), {y: n for y, n in windows})
     return (features.withColumn("trained_on_periods", trained).filter(F.col("trained_on_periods").isNotNull())
             .select(F.col("series").alias("target"), F.col("period").alias("forecast_period"), "trained_on_periods",

@@ -20,13 +20,14 @@ from monthgrid.sources.tables import (all_observations, feature_observations, oi
 
 WINDOWS = [(1999, 48), (2000, 60)]  # (test year, training months)
 WINDOW_LABELS = {48: "1999 calm year", 60: "2000 spike window"}
-MODEL_LABELS = {"sarima": "SARIMA (baseline)", "sarimax": "SARIMAX (3 exog)", "prophet": "Prophet"}
+# Forecasts without a model, which SQL can repeat, under their own names.
+MODEL_LABELS = {"seasonal_naive": "Same month last year", "last_value": "Last month", "trailing_mean": "Mean of last year"}
 
 FC = f"""{ENG},
 fc AS (SELECT series AS target, m AS model_name, period AS forecast_period,
-  CASE m WHEN 'sarima' THEN lag_12 WHEN 'prophet' THEN roll12_mean ELSE lag_1 END AS forecast_value,
+  CASE m WHEN 'seasonal_naive' THEN lag_12 WHEN 'trailing_mean' THEN roll12_mean ELSE lag_1 END AS forecast_value,
   CASE year(period) WHEN 1999 THEN 48 ELSE 60 END AS trained_on_periods, value AS actual
-  FROM eng CROSS JOIN (VALUES ('sarima'), ('prophet'), ('sarimax')) v(m) WHERE year(period) IN (1999, 2000))"""
+  FROM eng CROSS JOIN (VALUES ('seasonal_naive'), ('trailing_mean'), ('last_value')) v(m) WHERE year(period) IN (1999, 2000))"""
 
 
 def forecasts(spark, sf):
@@ -57,10 +58,10 @@ query("best_model_flags", f"""WITH {MET} SELECT *, rmse = min(rmse) {_W} AS best
     lambda spark, sf: best_flags(metrics(spark, sf), ["target", "trained_on_periods"]))
 
 
-@query("compare_two_models", f"""WITH {MET}, two AS (SELECT * FROM met WHERE model_name IN ('sarima', 'prophet'))
+@query("compare_two_models", f"""WITH {MET}, two AS (SELECT * FROM met WHERE model_name IN ('seasonal_naive', 'trailing_mean'))
 SELECT *, rmse = min(rmse) {_W} AS best_rmse, mape = min(mape) {_W} AS best_mape, r2 = max(r2) {_W} AS best_r2 FROM two""")
 def compare_two_models(spark, sf):
-    two = forecasts(spark, sf).filter(F.col("model_name").isin("sarima", "prophet"))
+    two = forecasts(spark, sf).filter(F.col("model_name").isin("seasonal_naive", "trailing_mean"))
     return best_flags(error_metrics(two, _BY), ["target", "trained_on_periods"])
 
 
@@ -79,15 +80,14 @@ def scored(spark, sf):
 
 
 @query("leaderboard", f"""WITH {SCORED}, lab AS (SELECT target, CASE trained_on_periods WHEN 48 THEN '1999 calm year' WHEN 60 THEN '2000 spike window' END AS "window",
-  CASE model_name WHEN 'sarima' THEN 'SARIMA (baseline)' WHEN 'sarimax' THEN 'SARIMAX (3 exog)' ELSE 'Prophet' END AS model_label, rmse, mape, forecast_period
-  FROM scored WHERE target = 'wti_price'),
-g AS (SELECT "window", model_label, arg_min(rmse, forecast_period) AS rmse, arg_min(mape, forecast_period) AS mape, count(forecast_period) AS n_months FROM lab GROUP BY 1, 2)
-SELECT *, CAST(rank() OVER (PARTITION BY "window" ORDER BY mape ASC NULLS LAST) AS INT) AS place FROM g""")
+  CASE model_name {' '.join(f"WHEN '{m}' THEN '{label}'" for m, label in MODEL_LABELS.items())} END AS model_label, rmse, mape, forecast_period FROM scored),
+g AS (SELECT target, "window", model_label, arg_min(rmse, forecast_period) AS rmse, arg_min(mape, forecast_period) AS mape, count(forecast_period) AS n_months FROM lab GROUP BY 1, 2, 3)
+SELECT *, CAST(rank() OVER (PARTITION BY target, "window" ORDER BY mape ASC NULLS LAST) AS INT) AS place FROM g""")
 def leaderboard_q(spark, sf):
-    rows = scored(spark, sf).filter(F.col("target") == "wti_price")
-    labelled = rows.withColumn("window", window_label("trained_on_periods", WINDOW_LABELS)).withColumn(
+    """Every target; of fitted models, see ``leaderboard_fitted``."""
+    labelled = scored(spark, sf).withColumn("window", window_label("trained_on_periods", WINDOW_LABELS)).withColumn(
         "model_label", map_label("model_name", MODEL_LABELS))
-    return leaderboard(labelled)
+    return leaderboard(labelled, ["target", "window"])
 
 
 @query("window_labels", f"""WITH {FC} SELECT DISTINCT trained_on_periods, CASE trained_on_periods WHEN 48 THEN '1999 calm year' ELSE trained_on_periods || '-month train' END AS "window",
@@ -97,7 +97,7 @@ def window_labels(spark, sf):
         "trained_on_periods", window_label("trained_on_periods", {48: "1999 calm year"}).alias("window"), "target").distinct()
 
 
-_P = ("sarima", "sarimax", "prophet")
+_P = ("seasonal_naive", "last_value", "trailing_mean")
 
 
 @query("forecast_vs_actual_pivot", f"""WITH {FC}, p AS (SELECT target, forecast_period, max(actual) AS actual,
@@ -139,22 +139,22 @@ def forecast_view_q(spark, sf):
 
 @query("variant_gap", f"""WITH {MET} SELECT a.target, a.trained_on_periods, a.mape AS mape_a, b.mape AS mape_b, {r4('b.mape - a.mape')} AS gap_pp,
   CASE WHEN b.mape - a.mape < 2 THEN 'small' WHEN b.mape - a.mape < 6 THEN 'moderate' ELSE 'large' END AS verdict
-  FROM met a JOIN met b ON a.target = b.target AND a.trained_on_periods = b.trained_on_periods WHERE a.model_name = 'prophet' AND b.model_name = 'sarima'""")
+  FROM met a JOIN met b ON a.target = b.target AND a.trained_on_periods = b.trained_on_periods WHERE a.model_name = 'trailing_mean' AND b.model_name = 'seasonal_naive'""")
 def variant_gap_q(spark, sf):
     m = metrics(spark, sf)
-    return variant_gap(m.filter("model_name = 'prophet'"), m.filter("model_name = 'sarima'"), ["target", "trained_on_periods"])
+    return variant_gap(m.filter("model_name = 'trailing_mean'"), m.filter("model_name = 'seasonal_naive'"), ["target", "trained_on_periods"])
 
 
 _REPLACED = f"""WITH {FC} SELECT target, model_name, forecast_period, {r4('forecast_value')} AS forecast_value, 'old' AS run FROM fc
-  WHERE NOT (model_name = 'sarima' AND year(forecast_period) = 2000)
-UNION ALL SELECT target, model_name, forecast_period, actual AS forecast_value, 'new' AS run FROM fc WHERE model_name = 'sarima' AND year(forecast_period) = 2000"""
+  WHERE NOT (model_name = 'seasonal_naive' AND year(forecast_period) = 2000)
+UNION ALL SELECT target, model_name, forecast_period, actual AS forecast_value, 'new' AS run FROM fc WHERE model_name = 'seasonal_naive' AND year(forecast_period) = 2000"""
 _RESULT_KEYS = ["target", "model_name", "forecast_period"]
 
 
 def old_and_new(spark, sf):
     fc = forecasts(spark, sf)
     old = fc.select(*_RESULT_KEYS, round_half_up("forecast_value").alias("forecast_value"), F.lit("old").alias("run"))
-    new = fc.filter((F.col("model_name") == "sarima") & (F.year("forecast_period") == 2000)).select(
+    new = fc.filter((F.col("model_name") == "seasonal_naive") & (F.year("forecast_period") == 2000)).select(
         *_RESULT_KEYS, F.col("actual").alias("forecast_value"), F.lit("new").alias("run"))
     return old, new
 
@@ -304,7 +304,7 @@ def recent_six_months(spark, sf):
 
 @query("series_with_forecasts_semi", f"""WITH {FC} SELECT series, count(*) AS n FROM fcells WHERE series IN (SELECT target FROM fc) GROUP BY 1""")
 def series_with_forecasts_semi(spark, sf):
-    known = forecasts(spark, sf).select(F.col("target").alias("series"))
+    known = forecasts(spark, sf).select(F.col("target").alias("series")).distinct()
     return fcells(spark, sf).join(known, "series", "left_semi").groupBy("series").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -341,9 +341,9 @@ def reindex_to_keys(spark, sf):
 
 
 @query("target_model_grid", f"""WITH {CELLS} SELECT series AS target, m AS model_name, c AS config, min(period) AS first_period FROM fcells
-  CROSS JOIN (VALUES ('sarima'), ('prophet')) v(m) CROSS JOIN (VALUES ('base'), ('deep')) w(c) GROUP BY 1, 2, 3""")
+  CROSS JOIN (VALUES ('seasonal_naive'), ('trailing_mean')) v(m) CROSS JOIN (VALUES ('base'), ('deep')) w(c) GROUP BY 1, 2, 3""")
 def target_model_grid(spark, sf):
     """Targets x models x configurations: the lists are constants, exploded per target."""
     per = fcells(spark, sf).groupBy(F.col("series").alias("target")).agg(F.min("period").alias("first_period"))
-    models, configs = F.array(F.lit("sarima"), F.lit("prophet")), F.array(F.lit("base"), F.lit("deep"))
+    models, configs = F.array(F.lit("seasonal_naive"), F.lit("trailing_mean")), F.array(F.lit("base"), F.lit("deep"))
     return per.withColumn("model_name", F.explode(models)).withColumn("config", F.explode(configs))

@@ -236,10 +236,10 @@ def zscore_fit_window(spark, sf):
     return rounded(scaled(eng_long(spark, sf), _Z, "period <= DATE'1999-12-01'"), ("period", "series"))
 
 
-@query("zscore_parameters", f"""WITH {ENG} SELECT series, {r4('avg(value)')} AS value_mean, {r4('stddev_samp(value)')} AS value_std,
-  {r4('avg(lag_1)')} AS lag_1_mean, {r4('stddev_samp(lag_1)')} AS lag_1_std FROM eng GROUP BY 1""")
+@query("zscore_parameters", f"""WITH {ENG} SELECT series, {', '.join(f"{r4(f'avg({c})')} AS {c}_mean, {r4(f'stddev_samp({c})')} AS {c}_std" for c in _Z)} FROM eng GROUP BY 1""")
 def zscore_parameters(spark, sf):
-    return rounded(scaler(eng_long(spark, sf), ["value", "lag_1"]), ("series",))
+    """Mean and spread of the value and of every measure."""
+    return rounded(scaler(eng_long(spark, sf), _Z), ("series",))
 
 
 @query("zscore_inverse", f"WITH {ENG} SELECT period, series, {r4('value')} AS value FROM eng")

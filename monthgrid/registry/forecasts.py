@@ -18,7 +18,7 @@ from monthgrid.plans.forecasting import (MODELS, Order, backtest, fit_seasonal_a
                                          run_both, save_model, to_results, validate, window_experiment, window_rows)
 from monthgrid.plans.models import ModelRegistry
 from monthgrid.plans.preprocess import preprocess
-from monthgrid.plans.reports import importance_groups
+from monthgrid.plans.reports import FEATURE_GROUPS, importance_groups
 from monthgrid.plans.trend import Trend, forecast_trend_seasonal, trend_component
 from monthgrid.plans.trees import (FEATURES, SWEEP, TreeConfig, between, fit_trees, importances, predict_trees, sweep,
                                    training_rows, wide_rows)
@@ -341,6 +341,22 @@ def gbt_importance_groups(spark, sf):
     return importance_groups(reduce(DataFrame.unionByName, found), kinds)
 
 
+@query("gbt_importance_economic")
+def gbt_importance_economic(spark, sf):
+    """Importances of both price targets' trees over all other series' measures, summed by the economic group of the series a feature comes from."""
+    wide = stage(engineered_wide(eng_long(spark, sf)), "engineered")
+    base = sorted(FEATURE_COLUMNS, key=len, reverse=True)
+    found = []
+    for target in ("wti_price", "henry_hub_price"):
+        features = [c for c in wide.columns if c not in ("period", "month", "quarter", *FEATURE_COLUMNS) and not c.startswith(target)]
+        source = {f: next((FEATURE_GROUPS[b] for b in base if f.startswith(b)), "Seasonality") for f in features}
+        _, start, end, _, _ = WINDOWS[-1]
+        model = fit_trees(between(wide_rows(wide, target, features), start, end), TreeConfig(trees=100, depth=3))
+        named = importances(model, spark, features).withColumn("target", F.lit(target))
+        found.append(importance_groups(named, source))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _curated(spark, sf, target, picks):
     wide = stage(strict_wide(strict_long(spark, sf), target, picks), "curated")
     return tree_forecasts(wide_rows(wide, target, [*picks, "month_sin", "month_cos"]), "curated")
