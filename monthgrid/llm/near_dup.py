@@ -11,9 +11,9 @@ Buckets are never expanded into pairs. Each bucket elects a hub, the member that
 member is compared with its hubs: a star. What is left are pairs of one star of which one at least is not linked to the hub. Two
 such sets are as far apart as their differences from the hub: ``|x ^ y| = |(x ^ hub) ^ (y ^ hub)|``. If the sets are linked, those
 differences must overlap in a number of shingles that follows from the sizes (``_least_overlap``), so with a common order, rarest
-first, the first few of each must meet. A few sets that meet there are compared in pairs. Where many meet, the group is a star
-of its own with a hub among those not linked to the old one, and what is left of it is treated alike: a family of near copies that
-is not linked to its hub costs one comparison per member, not one per pair. Two members that are linked to the same hub need no
+first, the first few of each must meet. Those are joined, and the pairs they give, hardly more than the linked ones, are
+confirmed. Where many meet, a member is first elected that all others there are compared with: a family of near copies that is not
+linked to its hub then costs one comparison per member and not one per pair, as two that are linked to the same need no
 comparison. All members of a star may differ by their own edits: they then share no rare difference and meet nowhere.
 
 Texts move only if they are compared: documents are thinned by a bit table of fixed size before the exact join. The members of a
@@ -37,9 +37,9 @@ from monthgrid.session import stage
 SHINGLE = 5
 CHUNKS, WIDTH = 10, 5
 VALUES = CHUNKS * WIDTH
-#: Members of a star that share a rare difference meet in pairs if there are at most SMALL of them; larger groups become new stars,
-#: ROUNDS times at most. What is left after that, sets that share rare differences and are still not linked, meets in pairs.
-SMALL, ROUNDS = 16, 6
+#: Where more than SMALL members of a star share a rare difference, members are elected that all others there are compared with,
+#: one per star and round, ROUNDS times at most.
+SMALL, ROUNDS = 32, 3
 _rng = np.random.default_rng(7)
 _FLIP = _rng.integers(0, 2**64, VALUES, dtype=W.U)
 _TIMES = _rng.integers(0, 2**64, VALUES, dtype=W.U) | W.U(1)
@@ -91,6 +91,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sig[k] = s.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)),
                                               pa.array(b.view(np.int64)), pa.array(sig, pa.binary())], names=["doc_id", "n", "a", "b", "sig"])
+    W.give_back()
 
 
 def chunk_keys(sig: np.ndarray) -> np.ndarray:
@@ -137,6 +138,7 @@ def _compare(percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(h, pa.int64()), pa.array(linked), pa.array(m, pa.int64()), pa.array(n, pa.int64()),
                                                   pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(apart)))],
                                                  names=["a", "b", "linked", "n_a", "n_b", "apart"])
+        W.give_back()
     return run
 
 
@@ -165,13 +167,8 @@ def _least_overlap(percent: int) -> dict:
     return {"any": at_least((size - c * (F.col("n_a") + F.col("n_b"))) / (1 + c)), "open": at_least(size * (1 - c) / 2)}
 
 
-def _left_over(stars: DataFrame, percent: int, small: int | None) -> tuple[DataFrame, DataFrame | None]:
-    """(pairs, star) of members that may be linked though not both are linked to their hub, distinct (a, b).
-
-    Members meet where they share a rare difference from their hub. Up to ``small`` of them meet in pairs; more meet their least id
-    among those not linked to the hub, as a new star. Without ``small`` all meet in pairs and there is no star.
-    """
-    c = (100 - percent) / (100 + percent)
+def _ahead(stars: DataFrame, percent: int) -> DataFrame:
+    """(b, a, linked, size, n, e, i, to_open, to_linked): the rare differences from its hub at which a member must meet what it is linked to."""
     rich = stars.groupBy("b").agg(F.count("*").alias("n"), F.min("linked").alias("all")).filter("n > 1 AND NOT all").select("b")
     members = stars.join(rich, "b").withColumn("size", F.size("apart"))
     shingles = stage(members.select("b", "a", "linked", "size", "n_a", "n_b", F.explode("apart").alias("e")), "differences")
@@ -180,40 +177,65 @@ def _left_over(stars: DataFrame, percent: int, small: int | None) -> tuple[DataF
     need = _least_overlap(percent)
     placed = (shingles.join(often, ["b", "e"], "left").withColumn("i", F.row_number().over(by_rarity)).filter("count > 1")
               .withColumn("any", need["any"]).withColumn("open", need["open"]))
-    ahead = stage(placed.select("b", "a", "linked", "size", F.col("n_a").alias("n"), "e", "i",
-                                (F.col("i") <= F.col("size") - F.when(F.col("linked"), F.col("open")).otherwise(F.greatest("any", "open")) + 1).alias("to_open"),
-                                (~F.col("linked") & (F.col("i") <= F.col("size") - F.col("any") + 1)).alias("to_linked"))
-                  .filter("to_open OR to_linked"), "rare-differences")
-    star = None
-    if small is not None:
-        # the group's least unlinked member meets all others; groups of one family name the same member again and again
-        meet = ahead.groupBy("b", "e").agg(F.count("*").alias("members"), F.min(F.when(~F.col("linked"), F.col("a"))).alias("leader")).filter("leader IS NOT NULL")
-        large = meet.filter(F.col("members") > small).select("b", "e", "leader")
-        star = _few(ahead.join(large, ["b", "e"]).filter("a <> leader").select("a", F.col("leader").alias("b")).distinct(), "leaders")
-        ahead = ahead.join(meet.filter(F.col("members") <= small).select("b", "e"), ["b", "e"], "left_semi")
-    x, y = (ahead.select("b", "e", *[F.col(k).alias(f"{k}_{s}") for k in ("a", "linked", "size", "n", "i", "to_open", "to_linked")]) for s in "xy")
+    return stage(placed.select("b", "a", "linked", "size", F.col("n_a").alias("n"), "e", "i",
+                               (F.col("i") <= F.col("size") - F.when(F.col("linked"), F.col("open")).otherwise(F.greatest("any", "open")) + 1).alias("to_open"),
+                               (~F.col("linked") & (F.col("i") <= F.col("size") - F.col("any") + 1)).alias("to_linked"))
+                 .filter("to_open OR to_linked"), "rare-differences")
+
+
+def _families(ahead: DataFrame, docs: DataFrame, percent: int, small: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """(links, names): members of a star that are linked to one elected member share its id as ``name`` (b, a, name); others are not named.
+
+    A round elects one member per star, among those not named yet: the one in most groups of more than ``small`` members that are not of
+    one name. It is compared with all that share such a group with it.
+    """
+    spark = ahead.sparkSession
+    links, names = (spark.createDataFrame([], t) for t in ("a bigint, b bigint", "b bigint, a bigint, name bigint"))
+    tried = spark.createDataFrame([], "b bigint, a bigint")
+    large = ahead.groupBy("b", "e").count().filter(F.col("count") > small).select("b", "e")
+    crowd = stage(ahead.join(large, ["b", "e"]).select("b", "e", "a", "linked"), "crowds")
+    for _ in range(rounds):
+        named = crowd.join(names, ["b", "a"], "left").withColumn("free", ~F.col("linked") & F.col("name").isNull())
+        name = F.when(F.col("linked"), F.col("b")).otherwise(F.coalesce("name", "a"))
+        mixed = named.groupBy("b", "e").agg(F.min(name).alias("low"), F.max(name).alias("high")).filter("low <> high").select("b", "e")
+        open_groups = stage(named.join(mixed, ["b", "e"]), "mixed")
+        votes = open_groups.filter("free").groupBy("b", "a").count().join(tried, ["b", "a"], "left_anti")
+        elected = votes.groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("minus"))).alias("top")).select("b", (-F.col("top.minus")).alias("leader"))
+        his = open_groups.join(elected, "b").filter("a = leader").select("b", "e", "leader")
+        meet = _few(open_groups.join(his, ["b", "e"]).filter("a <> leader").select("b", "a", "leader").distinct(), "electorate")
+        if meet.isEmpty():
+            break
+        found = _compared(meet.select("a", F.col("leader").alias("b")).distinct(), docs, percent, "families").filter("linked").select("a", F.col("b").alias("leader"))
+        new = meet.join(found, ["a", "leader"])
+        links = links.union(found)
+        fresh = new.select("b", "a", F.col("leader").alias("name")).union(meet.select("b", F.col("leader").alias("a"), F.col("leader").alias("name")).distinct())
+        names = _few(names.union(fresh.join(names, ["b", "a"], "left_anti")), "names")
+        tried = _few(tried.union(meet.select("b", F.col("leader").alias("a")).distinct()), "tried")
+    return links, names
+
+
+def _left_over(ahead: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of star members that may be linked though neither their hub nor an elected member connects them."""
+    c = (100 - percent) / (100 + percent)
+    named = ahead.join(names, ["b", "a"], "left").withColumn("name", F.when(F.col("linked"), F.col("b")).otherwise(F.coalesce("name", "a")))
+    mixed = named.groupBy("b", "e").agg(F.min("name").alias("low"), F.max("name").alias("high")).filter("low <> high").select("b", "e")
+    named = named.join(mixed, ["b", "e"], "left_semi")
+    x, y = (named.select("b", "e", *[F.col(k).alias(f"{k}_{s}") for k in ("a", "name", "linked", "size", "n", "i", "to_open", "to_linked")]) for s in "xy")
     # x is not linked to the hub. Its partner is not either (each pair once), or is.
     pair = (~F.col("linked_x") & ((~F.col("linked_y") & F.col("to_open_x") & F.col("to_open_y") & (F.col("a_x") < F.col("a_y")))
                                   | (F.col("linked_y") & F.col("to_linked_x") & F.col("to_open_y"))))
     enough = 1 + F.least(F.col("size_x") - F.col("i_x"), F.col("size_y") - F.col("i_y")) >= (
         F.col("size_x") + F.col("size_y") - c * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
-    return x.join(y, ["b", "e"]).filter(pair & enough).select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct(), star
+    return x.join(y, ["b", "e"]).filter(pair & enough & (F.col("name_x") != F.col("name_y"))).select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct()
 
 
 def linked_stars(star: DataFrame, docs: DataFrame, percent: int, small: int = SMALL, rounds: int = ROUNDS) -> DataFrame:
     """Confirmed links (a, b) that connect all that is linked among the members of each star (a, b: hub); doc ids of ``docs``."""
     found = _compared(star, docs, percent, "stars")
-    links, here = found.filter("linked").select("a", "b"), found
-    for k in range(rounds + 1):
-        pairs, star = _left_over(here, percent, small if k < rounds else None)
-        if star is not None and star.isEmpty():
-            star = None
-        found = _compared(pairs if star is None else pairs.union(star).distinct(), docs, percent, "left-over")
-        links = links.union(found.filter("linked").select("a", "b"))
-        if star is None:
-            return links
-        here = found.join(star, ["a", "b"], "left_semi")
-    return links
+    ahead = _ahead(found, percent)
+    links, names = _families(ahead, docs, percent, small, rounds)
+    more = _compared(_left_over(ahead, names, percent), docs, percent, "left-over")
+    return found.filter("linked").select("a", "b").union(links).union(more.filter("linked").select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -145,5 +145,3 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
-    del batches
-    give_back()

@@ -124,5 +124,5 @@ def test_groups_as_stars_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(N, "linked_stars", lambda star, docs, percent, plain=N.linked_stars: plain(star, docs, percent, small=2, rounds=3))
     assert run(spark, rows) == brute(rows)
     monkeypatch.undo()
-    monkeypatch.setattr(N, "linked_stars", lambda star, docs, percent, plain=N.linked_stars: plain(star, docs, percent, small=0, rounds=1))
+    monkeypatch.setattr(N, "linked_stars", lambda star, docs, percent, plain=N.linked_stars: plain(star, docs, percent, small=0, rounds=9))
     assert run(spark, rows, 80) == brute(rows, 80)
