@@ -286,7 +286,7 @@ def _sweep(known, d: float, d_pair: float, sweep: int, burn: int, order: int, ho
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, total, tables = known.value
-        for b in batches:
+        for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
                 k = _Bucket(row, homes)
                 context, symbol, owner = spelt = spell(k.words)
@@ -318,14 +318,14 @@ def _sweep(known, d: float, d_pair: float, sweep: int, burn: int, order: int, ho
 
 def _first(homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([_Bucket(row, homes).first()], pa.list_(_MESSAGE))], names=["bucket", "messages"])
     return run
 
 
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in W.parts(batches, 1):
         for row in b.to_pylist():
             yield pa.RecordBatch.from_arrays([pa.array(unzip_ints(row["codes"]).astype(np.int64)), pa.array(unzip_longs(row["code_n"]).astype(np.int64))], names=["code", "n"])
 
@@ -351,7 +351,7 @@ def _replies(messages: DataFrame, name: str) -> DataFrame:
 def _seen(known):
     """The spelling mass of the words of each bucket that have customers, under each kept model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
                 spelt, c = spell(unzip_pieces(row["words"])), unzip_longs(row["counts"])
                 mass = [float(model.words(spelt)[c > 0].sum()) for model, _, _ in known.value]
@@ -366,7 +366,7 @@ def _score(known, seen: list[float], d: float, d_pair: float, homes: int):
     """For each kept sweep the words' probabilities in the word restaurant and the weight of that restaurant after each word; and
     the pairs' own share of their context, averaged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
                 k, n = _Bucket(row, homes), len(known.value)
                 spelt, shares, weights, customers = spell(k.words), [], [], k.customers[k.own]
@@ -443,6 +443,10 @@ def _documents(schema: pa.Schema, total: int, kinds: int, keep: int):
     return run
 
 
+#: Characters of text per block and, about, per bucket: what a task holds at a time, whatever the corpus.
+BLOCK, PER_BUCKET = 8 << 20, 4 << 20
+
+
 def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP, order: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text).
 
@@ -453,7 +457,8 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP,
     """
     spark = docs.sparkSession
     homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = packed(docs, tokens, learns, pairs=_hash)
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
+    blocks = packed(docs, tokens, learns, BLOCK, max(homes, -(-chars // PER_BUCKET)), pairs=_hash)
     bucketed = by_bucket(blocks).repartition("bucket").sortWithinPartitions("bucket")
     vocabulary = kept_by(bucketed.mapInArrow(_vocabulary(order), VOCABULARY), "bucket", "vocabulary")
     total, kinds, once, twice, pairs_once, pairs_twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("n", "v", "once", "twice", "pairs_once", "pairs_twice")]).first())
