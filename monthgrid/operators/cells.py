@@ -31,7 +31,7 @@ def keep_latest(obs: DataFrame, keys: Sequence[str], payload: Sequence[str] = ("
 #: A packed key holds microseconds since the year 1 (18 digits) and the value in ten-thousandths, shifted to be positive (19 digits).
 _SINCE, _SHIFT, _PLACES = 62_135_596_800_000_000, 10 ** 18, 10_000
 #: Values up to here come back from ten-thousandths as the same doubles.
-LARGEST = 2.0 ** 53 / _PLACES
+LARGEST = 2.0 ** 51 / _PLACES
 
 
 def latest_key(recency: Column, value: Column) -> Column:
@@ -41,7 +41,8 @@ def latest_key(recency: Column, value: Column) -> Column:
     ``LARGEST``, NaN and times outside the years 1 to 9999 raise an error rather than being cut.
     """
     stamp = F.unix_micros(recency) + F.lit(_SINCE)
-    units = F.round(round_half_up(value) * F.lit(float(_PLACES)))
+    # ``round_half_up`` without decimals: the same nudge, then down to the whole unit
+    units = F.signum(value) * F.floor(F.abs(value) * F.lit(float(_PLACES)) + F.lit(0.50001))
     fits = (F.abs(value) < F.lit(LARGEST)) & stamp.between(0, 10 ** 18 - 1)
     packed = stamp.cast("decimal(18,0)") * F.lit(2 * _SHIFT).cast("decimal(19,0)") + (units.cast("bigint") + F.lit(_SHIFT)).cast("decimal(19,0)")
     return F.when(fits, packed).otherwise(F.raise_error(F.lit("a value or load time is out of range for the latest-row key")).cast("decimal(38,0)"))
