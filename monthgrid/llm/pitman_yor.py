@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from monthgrid.llm import words as W
 from monthgrid.llm.blocks import arrow_type, by_bucket, kept_by, packed, pairs_of, ragged, unzip_ints, unzip_longs, unzip_pieces, zip_ints, zip_longs, zip_pieces
 from monthgrid.llm.labels import remainder
-from monthgrid.llm.perplexity import CLASS
 
 BURN, KEEP = 2, 3
 THETA = 1.0
@@ -39,6 +38,17 @@ SYMBOLS, END, DEPTH = 257, 256, 3
 EXACT = 64
 SMOOTH = 0.1
 
+#: Class of each byte before a character; 0 stands for what is before the word.
+CLASS = np.full(256, 58, np.uint32)
+CLASS[0x61:0x7B] = np.arange(1, 27)
+CLASS[0x41:0x5B] = 27 + np.arange(26) % 13
+CLASS[0x30:0x3A] = 53
+CLASS[list(W.SPACES)] = 54
+CLASS[0x0A] = 55
+CLASS[list(b".,;:!?'\"()-")] = 56
+CLASS[list(b"#*$%&|<>")] = 57
+CLASS[0x80:] = 59 + np.arange(128) % 5
+
 
 def tokens(text: str) -> list[bytes]:
     """Words in lower case (A-Z), then the end, which is the empty word."""

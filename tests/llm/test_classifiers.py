@@ -136,41 +136,94 @@ def test_base_counts_equal_brute_force(spark):
         assert got[i].base_failed == failed and not (failed and got[i].kept)
 
 
-def test_model_is_a_distribution_and_equals_a_plain_kneser_ney():
-    texts = [b"abracadabra abracadabra", b"banana bandana", b"zz top 12"]
-    code, _ = P.codes(texts)
-    grams, counts = np.unique(code, return_counts=True)
-    model = P.Model(grams, counts)
-    for context in [0, 1, int(grams[3] >> 6), int(grams[7] >> 6), 64**3 - 1]:
-        p = np.exp(model.log_probability((context << 6) + np.arange(64)))
-        assert p.sum() == pytest.approx(1, abs=1e-4)
-
-    plain = [Counter(dict(zip(grams.tolist(), counts.tolist())))]
-    for order in (3, 2, 1):
-        plain.insert(0, Counter(g & ((1 << 6 * order) - 1) for g in plain[0]))
-
-    def prob(order, g):
-        if order == 0:
-            return 1 / 64
-        table = plain[order - 1]
-        d = P.discounts(np.array(list(table.values())))
-        same = {h: c for h, c in table.items() if h >> 6 == g >> 6}
-        below = prob(order - 1, g & ((1 << 6 * (order - 1)) - 1))
+def plain_tokens(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return [*words, None] if words else []
+
+
+class PlainKneserNey:
+    """Pairs over single words, interpolated; discounts and vocabulary may come from a larger corpus."""
+
+    def __init__(self, texts, of=None):
+        self.pairs = Counter(p for t in texts for p in zip(["<s>", *t], t))
+        self.ends = Counter(w for _, w in self.pairs)
+        def found(counts):
+            return P.discounts([sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)])
+        self.d2, self.d1, self.kinds = (of.d2, of.d1, of.kinds) if of else (found(self.pairs), found(self.ends), len(self.ends))
+
+    def low(self, w):
+        n = sum(self.ends.values())
+        if not n:
+            return 1 / self.kinds
+        left = sum(self.d1[min(c, 3)] for c in self.ends.values())
+        return (self.ends[w] - self.d1[min(self.ends[w], 3)]) / n + left / n / self.kinds
+
+    def p(self, v, w):
+        same = [c for (x, _), c in self.pairs.items() if x == v]
         if not same:
-            return below
-        total = sum(same.values())
-        c = same.get(g, 0)
-        return max(c - d[min(c, 3)], 0) / total + sum(d[min(x, 3)] for x in same.values()) / total * below
-
-    for g in [*grams.tolist()[:20], int(grams[0]) ^ 5, int(grams[5]) ^ 9]:
-        assert math.exp(model.log_probability(np.array([g]))[0]) == pytest.approx(prob(4, g), rel=1e-4)
-
-
-def test_odd_texts_are_rejected_by_language(spark):
+            return self.low(w)
+        c = self.pairs[v, w]
+        return (c - self.d2[min(c, 3)] + sum(self.d2[min(x, 3)] for x in same) * self.low(w)) / sum(same)
+
+
+def test_scores_equal_a_plain_kneser_ney_without_the_text_and_its_copies(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("a b c d e The the Of of x y z".split()) for _ in range(rng.randint(1, 25))) for _ in range(25)]
+    texts += [texts[0], texts[3], texts[3], "", None, " \n ", "only here and here", "A a a a a a", "é\x0b\u00a0 ß\tc"]
+    rows = [(i, t, ("en", "fr", None)[i % 3]) for i, t in enumerate(texts)] + [(None, "alone in its language", "de"), (90, texts[3], "en")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, lang string, digest string")
+    for size, bucket in ((1 << 20, 1 << 20), (150, 90)):  # one block and bucket, or many
+        got = {(r.doc_id, r.lang): r for r in P.scored(df, size, bucket).collect()}
+        assert len(got) == len(rows)
+        for key, text, lang in rows:
+            corpus = [(t, plain_tokens(t)) for _, t, x in rows if x == lang]
+            rest = PlainKneserNey([w for t, w in corpus if t != text], PlainKneserNey([w for _, w in corpus]))
+            tokens = plain_tokens(text)
+            assert got[key, lang].n_tokens == len(tokens)
+            if not tokens:
+                assert got[key, lang].log_perplexity is None
+                continue
+            want = -sum(math.log(rest.p(v, w)) for v, w in zip(["<s>", *tokens], tokens)) / len(tokens)
+            assert got[key, lang].log_perplexity == pytest.approx(want, rel=1e-9), (key, text)
+
+
+def test_the_plain_model_is_a_distribution():
+    model = PlainKneserNey([plain_tokens(t) for t in ("a b a c", "b a", "c c a b d")])
+    for v in ["<s>", *"abcd", "unseen"]:
+        assert sum(model.p(v, w) for w in [*"abcd", None]) == pytest.approx(1)
+
+
+def chain(rng, words, n):
+    """Text in which a word is followed by one of four."""
+    at, out = rng.randrange(len(words)), []
+    for _ in range(n):
+        out.append(words[at])
+        at = (at * 7 + rng.randrange(4) + 1) % len(words)
+    return out
+
+
+def test_shuffled_and_foreign_texts_are_rejected_and_copies_stay(spark):
     rng = random.Random(8)
-    docs = [(i, sentence(rng, 80), "en") for i in range(150)] + [(i, "".join(rng.choice("qxzjk0123") for _ in range(7)) + " " + " ".join(
-        "".join(rng.choice("qxzjk0123$") for _ in range(6)) for _ in range(60)), "en") for i in range(150, 155)]
-    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    en, fr = [f"e{i}" for i in range(300)], [f"f{i}" for i in range(300)]
+    docs = [(i, " ".join(chain(rng, en if i % 2 else fr, rng.randint(70, 120))), "en" if i % 2 else "fr") for i in range(400)]
+    shuffled, foreign = {}, {}
+    for i in range(10):
+        words = docs[i][1].split()
+        rng.shuffle(words)
+        shuffled[1000 + i] = (1000 + i, " ".join(words), docs[i][2])
+        foreign[2000 + i] = (2000 + i, " ".join(chain(rng, en if docs[i][2] == "fr" else fr, 90)), docs[i][2])
+    copies = [(3000 + i, docs[20][1], docs[20][2]) for i in range(150)]
+    junk = [(4000 + i, " ".join("".join(rng.choice("qxzjk0123$") for _ in range(6)) for _ in range(60)), "en") for i in range(5)]
+    df = spark.createDataFrame([*docs, *shuffled.values(), *foreign.values(), *copies, *junk], "doc_id bigint, text string, lang string")
     kept = {r.doc_id for r in P.judged(df).filter("kept").collect()}
-    assert {i for i in range(150)} <= kept and not kept & set(range(150, 155))
-    assert P.judged(df.limit(0)).count() == 0
+    assert not kept & (set(shuffled) | set(foreign) | {4000 + i for i in range(5)})
+    assert {r[0] for r in copies} <= kept
+    assert len(kept & set(range(400))) >= 396
+    empty = P.judged(df.limit(0))
+    assert empty.count() == 0 and empty.columns == ["doc_id", *P.COUNTS, "base_failed", "kept", "log_perplexity"]
+
+
+def test_string_ids_no_language_and_a_long_text(spark):
+    df = spark.createDataFrame([("a", "one two three " * 200000), ("b", "one two three four"), ("b", "one two three four"), (None, None)], "doc_id string, text string")
+    got = P.judged(df).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.base_failed) for r in got) == [("None", 0, True), ("a", 600000, True), ("b", 4, True), ("b", 4, True)]
