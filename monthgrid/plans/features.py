@@ -11,6 +11,7 @@ from monthgrid.catalog import FEATURE_COLUMNS
 from monthgrid.functions.scalars import month_cos, month_sin, pct_change, rounding
 from monthgrid.functions.windows import forward_fill, lag, lag_present, trailing_past
 from monthgrid.operators.cells import mean_cells, pivot_cells, pivot_measures, unpivot
+from monthgrid.session import stage
 
 # Lags and rolling windows, in months.
 LAGS = (1, 3, 6, 12)
@@ -36,7 +37,11 @@ def feature_wide(cells: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, spi
 
 
 def feature_wide_by_joins(cells: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, spine: Sequence[str] = SPINE) -> DataFrame:
-    """The same table as a chain of left joins; kept to check ``feature_wide`` against."""
+    """The same table as a chain of left joins; kept to check ``feature_wide`` against.
+
+    The cells are made once and staged: each of the joins would make them again from all observations.
+    """
+    cells = stage(cells, "feature-cells")
     out = cells.filter(F.col("series").isin(list(spine))).select("period").distinct()
     for c in columns:
         one = cells.filter(F.col("series") == c).select("period", F.col("value").alias(c))

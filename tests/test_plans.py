@@ -64,3 +64,10 @@ def test_a_rewritten_table_shows_its_new_columns(spark, tmp_path):
     assert table(spark, str(tmp_path), "t").columns == ["id"]
     spark.range(3).selectExpr("id", "id AS more").write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
     assert table(spark, str(tmp_path), "t").columns == ["id", "more"]
+
+
+def test_the_chain_of_joins_makes_its_cells_once(spark):
+    df = entry.queries()["feature_wide_17_joins"](spark, SF_DIR)
+    text = df._jdf.queryExecution().toString()
+    assert len(re.findall(r"LeftOuter", plan(df))) == 17
+    assert "o_totalprice" not in text and "l_extendedprice" not in text  # the tables were read before, for all joins
