@@ -15,11 +15,15 @@ A text must not explain itself: its probability comes from the counts without it
 totals, continuation counts and the weights of the lower order are reduced by what is only there because of them; the discounts are
 the corpus'). What is left is a Kneser-Ney model again.
 
+Nor must its near copies explain it; they are for another operator to judge. Their number is how many texts hold half of the
+``SKETCH`` least hashes of a text's runs of ``SPAN`` words, twice that to be safe, but no more than three quarters of its pairs occur elsewhere. A text that
+has some is scored a second time, ``alone``, as if it had as many more copies.
+
 The spread of log perplexity shrinks with the length of a text, so a band belongs to a language and a class of length (powers of
-two). It reaches from the median of the class ``WIDE`` times the distance to the quartile on either side, ``LEAST_BELOW`` and ``LEAST_ABOVE`` at least; each
-different text counts once. Classes of few texts take median and quartiles in part from the whole language, weighted as ``FEW``
-texts. Texts outside are rejected. The lower bound is wide on purpose: a near copy is well explained by its twin, and
-near copies are for another operator to judge; what lies below is text whose every word follows from the one before.
+two). It reaches from the median of the class, of the log perplexities alone, ``WIDE`` times the distance to the quartile on either
+side, taken as ``LEAST`` at least; each different text counts once. Classes of few texts take median and quartiles in part from the
+whole language, weighted as ``FEW`` texts. Texts outside are rejected: above, what does not read like the language; below, text whose
+every word follows from the one before.
 """
 
 from __future__ import annotations
@@ -39,9 +43,10 @@ from monthgrid.session import stage
 #: Bytes of text in a block, and of all texts for each bucket of pairs.
 SIZE, BUCKET, SPREAD = 12 << 20, 32 << 20, 16
 START, END = 0, 1
-WIDE, LEAST_BELOW, LEAST_ABOVE, FEW = 3.5, 2.0, 0.1, 20
+WIDE, LEAST, FEW = 3.5, 0.2, 20
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT, SPAN = 10, 20, 5
+SKETCH = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _WORD = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
@@ -98,6 +103,19 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
             "n_dup_lines": np.array(dup, np.int64), "n_repeat_words": np.bincount(owner, repeated, minlength=len(texts)).astype(np.int64)}
 
 
+def sketches(texts: list[bytes]) -> list[list[int]]:
+    """The least hashes of each text's runs of words, their low halves; a text of fewer words than a run has none."""
+    words = W.split(texts, lower=True)
+    grams, first = W.ngrams(words.hash, SPAN), words.first
+    out = []
+    for i, j in zip(first[:-1].tolist(), first[1:].tolist()):
+        own = grams[i:max(i, j - SPAN + 1)]
+        some = 8 * SKETCH  # enough for most texts, whatever repeats; else all
+        least = np.unique(np.partition(own, some)[:some] if len(own) > some else own)
+        out.append((least if len(least) >= SKETCH else np.unique(own))[:SKETCH].astype(np.uint32).view(np.int32).tolist())
+    return out
+
+
 def _ranges(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The order by bucket (sorted values stay sorted inside), and (bucket, from, to) of those that have any."""
     order = np.argsort(bucket, kind="stable")
@@ -123,7 +141,7 @@ def _unzip_sorted(data: bytes) -> np.ndarray:
 
 
 def _pack(size: int, ids: pa.DataType):
-    doc = pa.struct([("doc_id", ids), ("digest", pa.int64()), ("n_tokens", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
+    doc = pa.struct([("doc_id", ids), ("digest", pa.int64()), ("n_tokens", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("sketch", pa.list_(pa.int32()))])
     schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("docs", pa.list_(doc)), ("places", pa.binary()), ("words", pa.binary())])
 
     def close(number, lang, docs, seqs):
@@ -140,13 +158,13 @@ def _pack(size: int, ids: pa.DataType):
             texts = W.as_bytes(b.column("text"))
             keys, digests, langs = (b.column(c).to_pylist() for c in ("doc_id", "digest", "lang"))
             for i, j in W.batches(texts):
-                base = base_counts(texts[i:j])
+                base, sketch = base_counts(texts[i:j]), sketches(texts[i:j])
                 seq, n = tokens(texts[i:j])
                 end = np.cumsum(n)
                 for k in range(i, j):
                     block = held.setdefault(langs[k], [0, [], []])
                     block[0] += len(texts[k]) + 1
-                    block[1].append({"doc_id": keys[k], "digest": digests[k], "n_tokens": int(n[k - i])} | {c: int(base[c][k - i]) for c in COUNTS})
+                    block[1].append({"doc_id": keys[k], "digest": digests[k], "n_tokens": int(n[k - i])} | {c: int(base[c][k - i]) for c in COUNTS} | {"sketch": sketch[k - i]})
                     block[2].append(seq[end[k - i] - n[k - i]:end[k - i]].copy())
                 while held and sum(x[0] for x in held.values()) > size:
                     lang = max(held, key=lambda x: held[x][0])
@@ -166,7 +184,7 @@ def blocks(docs: DataFrame, size: int = SIZE) -> DataFrame:
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     return kept_by(docs.select("doc_id", lang.alias("lang"), F.xxhash64(text).alias("digest"), text.alias("text")).mapInArrow(
         _pack(size, arrow_type(kind)),
-        f"block bigint, lang string, docs array<struct<doc_id:{kind},digest:bigint,n_tokens:bigint,{','.join(c + ':bigint' for c in COUNTS)}>>, "
+        f"block bigint, lang string, docs array<struct<doc_id:{kind},digest:bigint,n_tokens:bigint,{','.join(c + ':bigint' for c in COUNTS)},sketch:array<int>>>, "
         "places binary, words binary"), "block", "perplexity_blocks")
 
 
@@ -274,8 +292,19 @@ def _per(key: np.ndarray, *sums: np.ndarray):
     return some, at, *(np.bincount(at, x, len(some)) for x in sums)
 
 
-def log_probabilities(codes, count, place, n_tokens, copies, words, table, pair_sums, word_sums) -> np.ndarray:
-    """Natural log probability of each text of a block, from all counts without the text and its ``copies`` (itself included).
+def shared_by_all(text: np.ndarray, rest: np.ndarray, n: int) -> np.ndarray:
+    """Of each text the count that three quarters of its different pairs reach elsewhere; ``rest`` counts each pair of a text, sorted by text."""
+    size = np.bincount(text, minlength=n)
+    some = size > 0
+    at = (np.cumsum(size) - size + size // 4)[some]
+    out = np.zeros(n, np.int64)
+    out[some] = rest[np.lexsort((rest, text))[at]]
+    return out
+
+
+def log_probabilities(codes, count, place, n_tokens, copies, alike, words, table, pair_sums, word_sums) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probability of each text of a block, from all counts without the text and its ``copies`` (itself included); and
+    that without its near copies either, of which ``alike`` texts, copies included, may be.
 
     ``codes`` are the block's pairs and ``count`` their counts, ``place`` the pair of each token, ``n_tokens`` how many a text has;
     ``words`` are sorted, with the columns of ``table``: tokens that follow, how many pairs begin here once, twice, more often, and how many end here.
@@ -290,8 +319,19 @@ def log_probabilities(codes, count, place, n_tokens, copies, words, table, pair_
     key, own = np.unique(owner * max(1, len(codes)) + place, return_counts=True)  # the different pairs of each text
     text, pair = np.divmod(key, max(1, len(codes)))
     before, after = np.searchsorted(words, codes >> _HALF)[pair], np.searchsorted(words, codes & _WORD)[pair]
-    c = count[pair]
-    taken = own * copies[text]
+    near = np.clip(2 * (alike - copies), 0, shared_by_all(text, count[pair] - own * copies[text], n))
+
+    def of(text, pair, before, after, own, copies):
+        c = count[pair]
+        taken = np.minimum(c, own * copies[text])
+        return _reduced(c, taken, text, before, after, own, n, w, d1, d2, total, left, ends, kinds, all_ends, spread)
+    plain = of(text, pair, before, after, own, copies)
+    twin = near[text] > 0
+    return plain, np.where(near > 0, of(*(x[twin] for x in (text, pair, before, after, own)), copies + near), plain) if twin.any() else plain
+
+
+def _reduced(c, taken, text, before, after, own, n, w, d1, d2, total, left, ends, kinds, all_ends, spread) -> np.ndarray:
+    """Log probability of each of ``n`` texts by its different pairs, which occur ``own`` times in it, once ``taken`` of their ``c`` occurrences are gone."""
     rest = c - taken
     cut = d2[np.minimum(rest, 3)]
     gone = (rest == 0).astype(np.int64)
@@ -310,17 +350,20 @@ def log_probabilities(codes, count, place, n_tokens, copies, words, table, pair_
 
 
 def _score(ids: pa.DataType, buckets: int):
-    schema = pa.schema([("doc_id", ids), ("lang", pa.string()), ("digest", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("n_tokens", pa.int64()), ("log_perplexity", pa.float64())])
+    schema = pa.schema([("doc_id", ids), ("lang", pa.string()), ("digest", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("n_tokens", pa.int64()), ("log_perplexity", pa.float64()), ("alone", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.parts(batches, 1):
             row = b.to_pylist()[0]
             docs = row["docs"]
             n = np.array([d["n_tokens"] for d in docs], np.int64)
-            loss = np.zeros(len(docs))
+            loss, alone = np.zeros((2, len(docs)))
             copies = np.ones(len(docs), np.int64)
             for x in row["copies"] or []:
                 copies[x["places"]] = x["n"]
+            alike = copies.copy()
+            for x in row["alike"] or []:
+                alike[x["place"]] = x["n"]
             if n.any():
                 codes, place = np.unique(pairs(unzip_ints(row["words"])[unzip_ints(row["places"])], n), return_inverse=True)
                 words = _block_words(row["words"])
@@ -332,10 +375,10 @@ def _score(ids: pa.DataType, buckets: int):
                 table = np.empty((5, len(words)), np.int64)
                 for row_of in range(5):
                     table[row_of, order] = np.concatenate([unzip_longs(answer["words", k][row_of]) for k, _, _ in ranges])
-                loss = -log_probabilities(codes, count, place, n, copies, words.astype(np.uint64), table, row["pair_sums"], row["word_sums"])
-            level = np.divide(loss, n, out=np.zeros(len(docs)), where=n > 0)
+                loss, alone = (-x for x in log_probabilities(codes, count, place, n, copies, alike, words.astype(np.uint64), table, row["pair_sums"], row["word_sums"]))
+            levels = [pa.array(np.divide(x, n, out=np.zeros(len(docs)), where=n > 0), mask=n == 0) for x in (loss, alone)]
             yield pa.RecordBatch.from_arrays([pa.array([d["doc_id"] for d in docs], ids), pa.array([row["lang"]] * len(docs), pa.string()), pa.array([d["digest"] for d in docs], pa.int64()),
-                                              *(pa.array([d[c] for d in docs], pa.int64()) for c in COUNTS), pa.array(n), pa.array(level, mask=n == 0)], schema=schema)
+                                              *(pa.array([d[c] for d in docs], pa.int64()) for c in COUNTS), pa.array(n), *levels], schema=schema)
         W.give_back()
     return run
 
@@ -358,8 +401,27 @@ def _copies(packed: DataFrame) -> DataFrame:
             .groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("places", "n")).alias("copies")))
 
 
+def _alike(packed: DataFrame) -> DataFrame:
+    """(of, alike): for each block the places of texts that others resemble, and how many texts, itself included, hold half of its sketch.
+
+    As for copies, a run of words that is in a third of all texts is as many rows as there are blocks.
+    """
+    here = (packed.select("block", "lang", F.posexplode("docs.sketch").alias("place", "sketch"))
+            .select("block", "lang", F.struct("place", F.size("sketch").alias("of")).alias("text"), F.explode("sketch").alias("run"))
+            .groupBy("lang", "run", "block").agg(F.collect_list("text").alias("texts")))
+    here = stage(here, "text-runs")
+    n = here.groupBy("lang", "run").agg(F.sum(F.size("texts")).alias("n")).filter("n > 1").select(F.col("lang").alias("in"), F.col("run").alias("same"), "n")
+    found = here.join(n, (here["run"] == n["same"]) & here["lang"].eqNullSafe(n["in"])).select("block", "n", F.inline("texts"))
+    return (found.groupBy("block", "place").agg(F.max("of").alias("of"), F.sort_array(F.collect_list("n"), False).alias("n"))
+            .select("block", "place", F.try_element_at("n", F.expr("cast((of + 1) div 2 AS int)")).alias("n")).filter("n IS NOT NULL")
+            .groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("place", "n")).alias("alike")))
+
+
 def scored(docs: DataFrame, size: int = SIZE, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, lang, digest, the base counts, n_tokens, log_perplexity) of every row; the perplexity of a text without words is null."""
+    """(doc_id, lang, digest, the base counts, n_tokens, log_perplexity, alone) of every row; both are null for a text without words.
+
+    ``log_perplexity`` is that without the text and its exact copies, ``alone`` that without near copies either.
+    """
     total = docs.select(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = 1 + total // bucket
     packed = blocks(docs, size)
@@ -371,22 +433,22 @@ def scored(docs: DataFrame, size: int = SIZE, bucket: int = BUCKET) -> DataFrame
     by_word = stage(sums.unionByName(asked).groupBy("lang", "bucket").applyInArrow(_count_words, _ANSWER), "word-counts")
     answers = (known.filter("kind = 'pairs'").unionByName(by_word.filter("kind = 'words'"))
                .groupBy(F.col("block").alias("to")).agg(F.collect_list(F.struct("kind", "bucket", "data")).alias("answers")))
-    copies = _copies(packed)
-    whole = packed.join(answers, packed["block"] == answers["to"], "left").join(copies, packed["block"] == copies["of"], "left")
+    copies, alike = _copies(packed), _alike(packed)
+    whole = packed.join(answers, packed["block"] == answers["to"], "left").join(copies, packed["block"] == copies["of"], "left").join(alike, packed["block"] == alike["of"], "left")
     for rows, kind, name in ((known, "pair sums", "pair_sums"), (by_word, "word sums", "word_sums")):
         of = _sums(rows, kind, name)
         whole = whole.join(of, packed["lang"].eqNullSafe(of[f"{name}_lang"]), "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (whole.select("lang", "docs", "places", "words", "answers", "copies", "pair_sums", "word_sums")
-            .mapInArrow(_score(arrow_type(kind), buckets), f"doc_id {kind}, lang string, digest bigint, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", n_tokens bigint, log_perplexity double"))
+    return (whole.select("lang", "docs", "places", "words", "answers", "copies", "alike", "pair_sums", "word_sums")
+            .mapInArrow(_score(arrow_type(kind), buckets), f"doc_id {kind}, lang string, digest bigint, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", n_tokens bigint, log_perplexity double, alone double"))
 
 
 def bands(rows: DataFrame, wide: float = WIDE) -> DataFrame:
-    """(band_lang, band_class, lowest, highest): the log perplexities that texts of a language and a class of length may have."""
-    texts = rows.filter("log_perplexity IS NOT NULL").groupBy("lang", "length", "digest").agg(F.max("log_perplexity").alias("log_perplexity"))
+    """(band_lang, band_length, lowest, highest): the log perplexities alone that texts of a language and a class of length may have."""
+    texts = rows.filter("alone IS NOT NULL").groupBy("lang", "length", "digest").agg(F.max("alone").alias("alone"))
 
     def quartiles(*by):
-        q = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000)
+        q = F.percentile_approx("alone", [0.25, 0.5, 0.75], 10000)
         return texts.groupBy(*by).agg(q.alias("q"), F.count("*").alias("n"))
     whole = quartiles("lang").select(F.col("lang").alias("whole_lang"), F.col("q").alias("whole"))
     parts = quartiles("lang", "length")
@@ -394,7 +456,7 @@ def bands(rows: DataFrame, wide: float = WIDE) -> DataFrame:
     low, middle, high = (here * F.col("q")[i] + (1 - here) * F.col("whole")[i] for i in range(3))
     return parts.join(whole, F.col("lang").eqNullSafe(F.col("whole_lang"))).select(
         F.col("lang").alias("band_lang"), F.col("length").alias("band_length"),
-        (middle - wide * F.greatest(middle - low, F.lit(LEAST_BELOW))).alias("lowest"), (middle + wide * F.greatest(high - middle, F.lit(LEAST_ABOVE))).alias("highest"))
+        (middle - wide * F.greatest(middle - low, F.lit(LEAST))).alias("lowest"), (middle + wide * F.greatest(high - middle, F.lit(LEAST))).alias("highest"))
 
 
 def judged(docs: DataFrame, wide: float = WIDE) -> DataFrame:
@@ -405,7 +467,7 @@ def judged(docs: DataFrame, wide: float = WIDE) -> DataFrame:
     """
     rows = stage(scored(docs), "perplexities").withColumn("length", F.floor(F.log2(F.col("n_tokens"))))
     band = bands(rows, wide)
-    inside = F.col("log_perplexity").between(F.col("lowest"), F.col("highest"))
+    inside = F.col("alone").between(F.col("lowest"), F.col("highest"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return (rows.join(band, F.col("lang").eqNullSafe(F.col("band_lang")) & (F.col("length") == F.col("band_length")), "left")
             .select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & F.coalesce(inside, F.lit(False))).alias("kept"), "log_perplexity"))
