@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthgrid.llm.words import parts
-from monthgrid.session import new_path
+from monthgrid.session import freed_shuffles, new_path
 
 #: Characters of text that share one list of distinct pieces.
 SIZE = 16 << 20
@@ -150,8 +150,9 @@ def kept_by(rows: DataFrame, key: str, label: str) -> DataFrame:
     Spark writes buckets only through its catalog. The name is dropped at once; the files stay, and the frame goes on reading them.
     """
     spark, name = rows.sparkSession, f"{label}_{uuid.uuid4().hex}"
-    (rows.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, label))
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key).saveAsTable(name))
+    with freed_shuffles(spark):
+        (rows.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, label))
+         .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key).saveAsTable(name))
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table

@@ -132,12 +132,26 @@ def _deal_pairs(codes: np.ndarray, buckets: int):
     return _ranges(((W.mix(codes >> _HALF) % W.U(buckets) + apart) % W.U(buckets)).astype(np.int32))
 
 
-def _zip_sorted(x: np.ndarray) -> bytes:
-    return zip_longs(np.diff(x, prepend=W.U(0)))
+def _zip_pairs(codes: np.ndarray) -> list[bytes]:
+    """Sorted pairs: the different first words and how many pairs each has, and the second words as steps in a sorted list of their own.
+
+    A word's hash is 32 random bits, which no compression makes shorter; a step is few.
+    """
+    before, after = codes >> _HALF, (codes & _WORD).astype(np.uint32)
+    firsts = np.flatnonzero(np.diff(before, prepend=before[:1] + W.U(1)))
+    seconds, at = np.unique(after, return_inverse=True)
+    steps = np.diff(at, prepend=0)
+    steps[firsts] = at[firsts]
+    own = before[firsts].astype(np.uint32)
+    return [zip_ints(x) for x in (np.diff(own, prepend=np.uint32(0)), np.diff(firsts, append=len(codes)), np.diff(seconds, prepend=np.uint32(0)), steps)]
 
 
-def _unzip_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unzip_longs(data), dtype=np.uint64)
+def _unzip_pairs(data: list[bytes]) -> np.ndarray:
+    own, sizes, seconds, steps = map(unzip_ints, data)
+    total = np.cumsum(steps, dtype=np.int64)
+    firsts = np.cumsum(sizes, dtype=np.int64) - sizes
+    at = total - np.repeat(total[firsts] - steps[firsts], sizes)
+    return np.repeat(np.cumsum(own, dtype=np.uint64), sizes) << _HALF | np.cumsum(seconds, dtype=np.uint64)[at]
 
 
 def _pack(size: int, ids: pa.DataType):
@@ -198,7 +212,7 @@ def _share_pairs(buckets: int):
             codes, times = codes[order], times[order]
             for k, i, j in ranges:
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang], pa.string()), "bucket": pa.array([k], pa.int32()), "block": [block],
-                                                  "codes": [_zip_sorted(codes[i:j])], "times": [zip_ints(times[i:j])]})
+                                                  "codes": pa.array([_zip_pairs(codes[i:j])], pa.list_(pa.binary())), "times": [zip_ints(times[i:j])]})
         W.give_back()
     return run
 
@@ -241,7 +255,7 @@ def _count_pairs(buckets: int):
     def run(rows: pa.Table) -> pa.Table:
         lang, bucket = rows["lang"][0].as_py(), rows["bucket"][0].as_py()
         asked = rows["block"].to_pylist()
-        codes = [_unzip_sorted(x.as_py()) for x in rows["codes"]]
+        codes = [_unzip_pairs(x.as_py()) for x in rows["codes"]]
         times = np.concatenate([unzip_ints(x.as_py()) for x in rows["times"]])
         ends = np.cumsum([len(x) for x in codes])
         pair, at = np.unique(np.concatenate(codes), return_inverse=True)
@@ -426,7 +440,7 @@ def scored(docs: DataFrame, size: int = SIZE, bucket: int = BUCKET) -> DataFrame
     buckets = 1 + total // bucket
     packed = blocks(docs, size)
     shares = packed.select("block", "lang", "places", "words", F.col("docs.n_tokens").alias("n")).mapInArrow(
-        _share_pairs(buckets), "lang string, bucket int, block bigint, codes binary, times binary")
+        _share_pairs(buckets), "lang string, bucket int, block bigint, codes array<binary>, times binary")
     known = stage(shares.groupBy("lang", "bucket").applyInArrow(_count_pairs(buckets), _ANSWER), "pair-counts")
     sums = known.filter("kind = 'words'").select("lang", "bucket", F.lit(None).cast("bigint").alias("block"), "data")
     asked = packed.select("block", "lang", "words").mapInArrow(_share_words(buckets), "lang string, bucket int, block bigint, data array<binary>")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,12 +60,31 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/monthgrid/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark removes the shuffle files of a query when the query ends, not when the driver next collects its garbage.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of queries that run inside are removed when they end: what they wrote or returned is all that is read again."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read, and read it back.
 
     A written table survives the loss of executors and cuts the lineage, which a cached or
-    locally checkpointed frame does not.
+    locally checkpointed frame does not. The shuffles that made it leave the disk.
     """
     path = new_path(df.sparkSession, label)
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

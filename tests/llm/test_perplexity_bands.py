@@ -42,3 +42,12 @@ def test_sketches_are_the_least_runs_of_each_text():
     got = P.sketches(texts)
     assert [len(x) for x in got] == [0, 0, 1, 1, 2, 8] and got[2] == got[3]
     assert P.sketches(texts[-1:]) == got[-1:]
+
+
+def test_pairs_come_back_and_take_fewer_bytes_than_their_hashes():
+    rng = np.random.default_rng(4)
+    words = np.sort(rng.choice(2**32, 3000, replace=False).astype(np.uint64))
+    codes = np.unique(words[rng.zipf(1.3, 40_000) % 3000] << np.uint64(32) | words[rng.zipf(1.3, 40_000) % 3000])
+    for some in (codes, codes[:1], codes[-2:], np.array([0, 1, 2**32, 2**64 - 1], np.uint64)):
+        assert (P._unzip_pairs(P._zip_pairs(some)) == some).all()
+    assert sum(map(len, P._zip_pairs(codes))) < 3 * len(codes)
