@@ -1,23 +1,25 @@
 """Main text of web pages: block parsing, and nearest-URL page differencing for what the mark-up leaves open.
 
 Pages are sorted by host and path, so that a page's neighbours in its partition are the pages of its host with the nearest URLs.
-Each page is paired with the neighbour whose path shares the longer prefix; copies of a page are passed over, because they share
+Each page is paired with the neighbour whose path shares the longer prefix; exact copies of a page are passed over, because they share
 every line. The text lines of the two are aligned by longest common subsequence and shared lines are deleted as template text.
 
 Lines that the mark-up itself settles are not left to the comparison: what stands in menus, headers, footers, asides, forms,
-scripts, adverts, notices and comment lists goes (inside an article only by class names that cannot be its topic) whatever the neighbour holds, and an explicit <article> (or <main>) is kept
-whole, because articles of one host quote the same passages and those are text, not template. Differencing decides on all
-other lines, that is, on pages without such an element.
+scripts, adverts, notices and comment lists goes (inside an article only by class names that cannot be its topic) whatever the neighbour
+holds, and where a page has an explicit <article> (or <main>), so does what stands outside it. Differencing decides on all other lines.
+Articles of one host quote the same passages and those are text, so in an article a shared line goes only if the ``AROUND`` nearest
+different pages on either side have it too, in the same order; near copies of the page are not asked.
 
-Sorting is by (host, path, id), so a host with a third of all pages spreads over many tasks; a task holds three pages at a time.
+Sorting is by (host, path, id), so a host with a third of all pages spreads over many tasks; a task holds ``2 * AROUND + 1`` pages
+at a time, and ids and URLs of their copies.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import defaultdict, deque
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 from os.path import commonprefix
 
@@ -39,6 +41,8 @@ TEMPLATE = frozenset("ad ads advert adverts advertisement advertising ad-box ad-
                      "pagination cookie-banner cookie-notice newsletter-signup share-buttons social-share social-links sharing-buttons related-posts related-articles "
                      "comments comment-list comments-list comment-form comments-section".split())
 CONTAINERS = frozenset("div section ul ol dl table figure p span".split())
+#: Different pages on either side of a page that are looked at, and how many at least must share a line of an article for it to be template text.
+AROUND = 4
 #: Elements whose end tag may be left out, and the tags that end them.
 IMPLIED = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 
@@ -123,11 +127,49 @@ def blocks(html: str | None) -> list[tuple[bool, str]]:
     return parser.found
 
 
+def _columns(a: list[str], b: list[str]) -> int:
+    """Bit j is 0 where b[j] makes the longest common subsequence of ``a`` and the lines of ``b`` up to there longer."""
+    match = defaultdict(int)
+    for j, line in enumerate(b):
+        match[line] |= 1 << j
+    v = every = (1 << len(b)) - 1
+    for line in a:
+        u = v & match.get(line, 0)
+        v = (v + u | v - u) & every
+    return v
+
+
+def _halved(a: list[str], b: list[str], at: int = 0) -> set[int]:
+    """Positions, from ``at`` on, of a longest common subsequence: ``b`` is cut where it goes best with the halves of ``a``.
+
+    Rows of bits stand for the tables of lengths, so many equal lines cost no more than different ones, and no table is kept.
+    """
+    if not a or not b:
+        return set()
+    if len(a) == 1:
+        return {at} if a[0] in b else set()
+    half = len(a) // 2
+    ahead, back = _columns(a[:half], b), _columns(a[half:][::-1], b[::-1])
+    cut, best = 0, len(b) - back.bit_count()
+    length = best
+    for j, (gained, lost) in enumerate(zip(f"{ahead:0{len(b)}b}"[::-1], f"{back:0{len(b)}b}"), 1):
+        length += (gained == "0") - (lost == "0")
+        if length > best:
+            best, cut = length, j
+    return _halved(a[:half], b[:cut], at) | _halved(a[half:], b[cut:], at + half)
+
+
+#: Pairs of equal lines up to which they are worked off one by one.
+PAIRS = 100_000
+
+
 def common_lines(a: list[str], b: list[str]) -> set[int]:
     """Positions in ``a`` of a longest common subsequence with ``b``: the longest increasing run of match positions."""
     where = defaultdict(list)
     for j in range(len(b) - 1, -1, -1):
         where[b[j]].append(j)
+    if sum(len(where.get(line, ())) for line in a) > PAIRS:
+        return _halved(a, b)
     tails, links, heads = [], [], []  # smallest last position of a run of each length, and how to walk it back
     for i, line in enumerate(a):
         for j in where.get(line, ()):
@@ -145,31 +187,42 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def main_text(own: list[tuple[bool, str]], other: list[tuple[bool, str]] | None) -> str:
-    """The article's blocks; without an article, the blocks that the paired page does not share."""
-    if any(inside for inside, _ in own):
-        return "\n".join(line for inside, line in own if inside)
-    lines = [line for _, line in own]
-    shared = common_lines(lines, [line for _, line in other]) if other else set()
+def main_text(own: list[tuple[bool, str]], other: list[tuple[bool, str]] | None, around: Sequence[list[tuple[bool, str]]] = ()) -> str:
+    """The blocks that are not template text by comparison with the paired page: the article's, or all where no article is marked.
+
+    Articles of a host quote the same passages, so a shared line of an article goes only if it is on the longest common subsequence with
+    each of the pages around as well, ``AROUND`` at least. Pages that share three quarters of the article's lines are copies and have no say.
+    """
+    article = [line for inside, line in own if inside]
+    lines = article or [line for _, line in own]
+    theirs = [line for _, line in other or ()]
+    shared = common_lines(lines, theirs)
+    if article and shared:
+        others = [common_lines(lines, [line for _, line in page]) for page in around]
+        others = [x for x in others if 4 * len(x) < 3 * len(lines)]
+        shared = shared.intersection(*others) if len(others) >= AROUND else set()
     return "\n".join(line for i, line in enumerate(lines) if i not in shared)
 
 
 def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages arrive sorted; each is compared with the last different page before it and the first after it on its host."""
-    before = None  # (host, path, blocks) of the last page that differs from those waiting
-    waiting: list[tuple] = []  # equal pages of one host that wait for the next different one
+    """Pages arrive sorted; each is compared with the nearest different pages before and after it on its host."""
+    before: deque[tuple[str, list]] = deque(maxlen=AROUND)  # (path, blocks) of the last different pages of the host
+    waiting: list[tuple[str, list, list]] = []  # (host, blocks, pages) of each run of equal pages that waits for different ones after it
     done: list[tuple] = []
 
-    def settle(after):
-        nonlocal before
-        for page, host, path, own in waiting:
-            near = [p for p in (before, after) if p and p[0] == host]
-            other = max(near, key=lambda p: len(commonprefix([p[1], path])), default=None)
-            text = main_text(own, other and other[2])
-            done.append((*page, text, len(text)))
-        if waiting:
-            before = waiting[-1][1:]
-        waiting.clear()
+    def settle():
+        _, own, pages = waiting.pop(0)
+        after = [(x[2][0][2], x[1]) for x in waiting]
+        texts: dict = {}
+        for page_id, url, path in pages:
+            near = enumerate([*list(before)[-1:], *after[:1]])
+            which, other = max(near, key=lambda x: len(commonprefix([x[1][0], path])), default=(None, None))
+            if which not in texts:
+                texts[which] = main_text(own, other and other[1], [x[1] for x in (*before, *after)])
+            done.append((page_id, url, texts[which], len(texts[which])))
+            if len(done) >= 200:
+                yield out()
+        before.append((pages[-1][2], own))
 
     def out():
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -180,16 +233,18 @@ def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for page_id, url, html, host, path in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "host", "path"))):
             own = blocks(html)
-            if waiting and (waiting[0][1], waiting[0][3]) != (host, own):
-                settle((host, path, own))
-            if waiting:  # an equal page: it needs no second copy, and no long list is held for a run of copies
-                own = waiting[0][3]
-            waiting.append(((page_id, url), host, path, own))
-            if len(waiting) > 1000 and any(inside for inside, _ in own):
-                settle(None)
-            if len(done) >= 200:
-                yield out()
-    settle(None)
+            if waiting and waiting[-1][0] != host:
+                while waiting:
+                    yield from settle()
+                before.clear()
+            if waiting and waiting[-1][1] == own:  # an equal page: it needs no second copy of its blocks
+                waiting[-1][2].append((page_id, url, path))
+                continue
+            waiting.append((host, own, [(page_id, url, path)]))
+            if len(waiting) > AROUND:
+                yield from settle()
+    while waiting:
+        yield from settle()
     yield out()
 
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 from monthgrid.llm import extract as X
 
@@ -60,3 +61,41 @@ def test_shared_lines_go_where_no_article_is_marked(spark):
 
 def test_empty_table(spark):
     assert X.main_texts(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_template_lines_inside_articles_go_and_quoted_passages_stay(spark):
+    """Every page has an article, of which only comparison can tell the unmarked first and last line."""
+    page = "<article><p>share this page</p>{}<p>written by the staff</p></article>"
+    body = {i: [f"line {i} {k}" for k in range(4)] for i in range(12)}
+    body[3][1] = body[4][2] = "a quoted passage"
+    body[7][1] = body[8][1] = body[9][1] = "another quoted passage"
+    rows = [(i, f"http://h.org/{i:02}", page.format("".join(f"<p>{x}</p>" for x in lines))) for i, lines in body.items()]
+    rows += [(100 + i, "http://h.org/05", rows[5][2]) for i in range(3)]  # copies
+    rows += [(200 + i, f"http://copies.org/{i}", page.format("".join(f"<p>c{k}</p>" for k in range(8)) + f"<p>edited {i}</p>")) for i in range(8)]  # near copies
+    rows += [(300, "http://one.org/", page.format("<p>t</p>")), (301, "http://one.org/x", page.format("<p>u</p>"))]  # too few to tell
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r["page_id"]: r["text"].split("\n") for r in X.main_texts(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(got) == len(rows) and all(got[i] == lines for i, lines in body.items())
+    assert all(got[100 + i] == body[5] for i in range(3))
+    assert all(got[200 + i] == ["share this page", *(f"c{k}" for k in range(8)), f"edited {i}", "written by the staff"] for i in range(8))
+    assert got[300] == ["share this page", "t", "written by the staff"]
+
+
+def test_many_equal_lines_are_compared_by_rows_of_bits(monkeypatch):
+    rng = random.Random(2)
+    monkeypatch.setattr(X, "PAIRS", -1)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in "ab")
+        got = sorted(X.common_lines(a, b))
+        assert len(got) == lcs(a, b)
+        it = iter(b)
+        assert all(any(x == a[i] for x in it) for i in got)
+    monkeypatch.undo()
+    lines = [rng.choice("01") for _ in range(6000)]
+    begin = time.process_time()
+    assert len(X.common_lines(lines, lines[7:])) >= 5993
+    assert time.process_time() - begin < 5
