@@ -132,6 +132,15 @@ def _deal_pairs(codes: np.ndarray, buckets: int):
     return _ranges(((W.mix(codes >> _HALF) % W.U(buckets) + apart) % W.U(buckets)).astype(np.int32))
 
 
+def _zip_words(words: np.ndarray) -> bytes:
+    """Words in runs of sorted ones, by steps; the step from a run to the next wraps around."""
+    return zip_ints(np.diff(words, prepend=np.uint32(0)))
+
+
+def _unzip_words(data: bytes) -> np.ndarray:
+    return np.cumsum(unzip_ints(data), dtype=np.uint32)
+
+
 def _zip_pairs(codes: np.ndarray) -> list[bytes]:
     """Sorted pairs: the different first words and how many pairs each has, and the second words as steps in a sorted list of their own.
 
@@ -160,10 +169,10 @@ def _pack(size: int, ids: pa.DataType):
 
     def close(number, lang, docs, seqs):
         words, at, times = np.unique(np.concatenate(seqs), return_inverse=True, return_counts=True)
-        order = np.argsort(-times, kind="stable")  # frequent words get small numbers
+        order = np.argsort(-np.log2(times).astype(np.int64), kind="stable")  # frequent words get small numbers; about equally frequent ones stay sorted
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
-        return pa.RecordBatch.from_pylist([{"block": number, "lang": lang, "docs": docs, "places": zip_ints(rank[at]), "words": zip_ints(words[order])}], schema)
+        return pa.RecordBatch.from_pylist([{"block": number, "lang": lang, "docs": docs, "places": zip_ints(rank[at]), "words": _zip_words(words[order])}], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -207,7 +216,7 @@ def _share_pairs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.parts(batches, 1):
             block, lang, places, words, n = (c[0].as_py() for c in b.columns)
-            codes, times = np.unique(pairs(unzip_ints(words)[unzip_ints(places)], np.array(n, np.int64)), return_counts=True)
+            codes, times = np.unique(pairs(_unzip_words(words)[unzip_ints(places)], np.array(n, np.int64)), return_counts=True)
             order, ranges = _deal_pairs(codes, buckets)
             codes, times = codes[order], times[order]
             for k, i, j in ranges:
@@ -219,7 +228,7 @@ def _share_pairs(buckets: int):
 
 def _block_words(words: bytes) -> np.ndarray:
     """A block's words and the start, sorted."""
-    return np.sort(np.append(unzip_ints(words), np.uint32(START)))
+    return np.sort(np.append(_unzip_words(words), np.uint32(START)))
 
 
 def _share_words(buckets: int):
@@ -379,7 +388,7 @@ def _score(ids: pa.DataType, buckets: int):
             for x in row["alike"] or []:
                 alike[x["place"]] = x["n"]
             if n.any():
-                codes, place = np.unique(pairs(unzip_ints(row["words"])[unzip_ints(row["places"])], n), return_inverse=True)
+                codes, place = np.unique(pairs(_unzip_words(row["words"])[unzip_ints(row["places"])], n), return_inverse=True)
                 words = _block_words(row["words"])
                 answer = {(x["kind"], x["bucket"]): x["data"] for x in row["answers"]}
                 order, ranges = _deal_pairs(codes, buckets)

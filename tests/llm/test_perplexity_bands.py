@@ -51,3 +51,11 @@ def test_pairs_come_back_and_take_fewer_bytes_than_their_hashes():
     for some in (codes, codes[:1], codes[-2:], np.array([0, 1, 2**32, 2**64 - 1], np.uint64)):
         assert (P._unzip_pairs(P._zip_pairs(some)) == some).all()
     assert sum(map(len, P._zip_pairs(codes))) < 3 * len(codes)
+
+
+def test_block_words_come_back_and_take_fewer_bytes_than_their_hashes():
+    words = np.random.default_rng(5).choice(2**32, 60_000, replace=False).astype(np.uint32)
+    words = np.concatenate([np.sort(words[:100]), np.sort(words[100:])])
+    for some in (words, words[:1], words[:0]):
+        assert (P._unzip_words(P._zip_words(some)) == some).all()
+    assert len(P._zip_words(words)) < 3 * len(words)
