@@ -21,12 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrid.llm.words import parts
+from monthgrid.llm.words import give_back, parts
 from monthgrid.session import freed_shuffles, new_path
 
 #: Characters of text that share one list of distinct pieces.
 SIZE = 16 << 20
 _LEVEL = 3
+_CHUNK = 1 << 18
 
 
 def zip_ints(x: np.ndarray) -> bytes:
@@ -96,11 +97,15 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType, pairs: Call
     schema = pa.schema([("block", pa.int64()), ("docs", pa.list_(doc)), ("places", pa.binary()), ("parts", pa.list_(part))])
 
     def close(number, docs, seen, places):
+        seen.default_factory = None  # it refers to its dictionary: the cycle would keep all pieces until Python next looks for cycles
         seq = np.concatenate(places)
-        order = np.argsort(-np.bincount(seq, minlength=len(seen)), kind="stable")  # frequent pieces get small numbers
+        places.clear()
+        chunks = [seq[i:i + _CHUNK] for i in range(0, len(seq), _CHUNK)]  # of which alone there are copies
+        order = np.argsort(-sum((np.bincount(x, minlength=len(seen)) for x in chunks), np.zeros(len(seen), np.int64)), kind="stable")  # frequent pieces get small numbers
         rank = np.empty(len(seen), np.uint32)
         rank[order] = np.arange(len(seen), dtype=np.uint32)
-        seq = rank[seq]
+        for x in chunks:
+            x[:] = rank[x]
         learning = np.repeat([d["learns"] for d in docs], [d["n"] for d in docs])
         learnt = np.bincount(seq[learning], minlength=len(seen))
         pieces = [p if isinstance(p, bytes) else p.encode() for p in seen]
@@ -135,12 +140,15 @@ def _pack(find: Callable, buckets: int, size: int, ids: pa.DataType, pairs: Call
                 if docs and filled + len(text) > size:
                     yield close(number, docs, seen, places)
                     (docs, seen, places), filled, number = fresh(), 0, number + 1
+                    give_back()
                 row = np.fromiter(map(seen.__getitem__, find(text)), np.uint32)
                 docs.append({"doc_id": key, "n": len(row), "learns": learns})
                 places.append(row)
                 filled += len(text)
         if docs:
             yield close(number, docs, seen, places)
+        del docs, seen, places
+        give_back()
     return run
 
 

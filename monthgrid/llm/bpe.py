@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrid.llm.blocks import SIZE, arrow_type, by_bucket, packed, ragged, unzip_ints, unzip_pieces, zip_ints
+from monthgrid.llm.words import give_back
 
 #: Longer pieces are merged with a heap, so that a run of a million letters stays near-linear.
 HEAP_FROM = 64
@@ -108,6 +109,8 @@ def _merge_rows(ranks):
                                                   pa.array([zip_ints(np.fromiter(map(len, ids), np.uint32, len(ids)))], pa.binary()),
                                                   pa.array([zip_ints(np.fromiter(chain.from_iterable(ids), np.uint32))], pa.binary())],
                                                  names=["block", "at", "sizes", "ids"])
+        known.clear()
+        give_back()
     return run
 
 
@@ -129,6 +132,7 @@ def _lay_out(schema: pa.Schema):
                 ends = np.concatenate([[0], np.cumsum(sizes)])[counts]
                 out.append(pa.RecordBatch.from_arrays([pa.array([d["doc_id"] for d in some], schema.field(0).type),
                                                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))], schema=schema))
+        give_back()  # what stays is the result
         return pa.Table.from_batches(out, schema)
     return run
 
@@ -173,6 +177,7 @@ def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(sizes)])[counts]
                 decoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text)])
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded.cast(pa.binary())], names=[*b.schema.names, "decoded"])
+        give_back()
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields) + ", decoded binary")
 

@@ -1,12 +1,16 @@
+import gc
 import hashlib
 import os
 import random
+import weakref
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 import tiktoken  # noqa: E402
-from monthgrid.llm import bpe  # noqa: E402
+from monthgrid.llm import blocks, bpe  # noqa: E402
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 RANKS = bpe.read_ranks(PATH)
@@ -57,3 +61,26 @@ def test_registered_query_over_a_table(spark):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((d["text"] or "").encode()).hexdigest()
+
+
+def test_a_packed_block_leaves_no_pieces_behind(monkeypatch):
+    """Each block's list of pieces was part of a cycle, and stayed until Python looked for cycles."""
+    class Piece(str):
+        pass
+
+    def find(text):
+        out = [Piece(w) for w in text.split()]
+        held.extend(map(weakref.ref, out))
+        return out
+
+    held = []
+    monkeypatch.setattr(blocks.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    texts = [f"a{k} b{k}" for k in range(20)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts, "learns": [True] * 20})
+    gc.disable()
+    try:
+        got = list(blocks._pack(find, 3, 10, pa.int64())(iter([batch])))
+        assert len(got) > 1 and not any(r() for r in held)
+    finally:
+        gc.enable()
+    assert [[d["doc_id"] for d in b.column("docs").to_pylist()[0]] for b in got] == [[k] if k > 9 else [k, k + 1] for k in [*range(0, 10, 2), *range(10, 20)]]
