@@ -3,7 +3,8 @@
 The model's pieces never hold a space mark after another character, so a text falls into words (space marks and what follows them)
 that are merged on their own. A task meets each distinct word once for as long as it remembers it. The words it does not know
 yet are merged together: one flat array of symbols, the least rank of an adjacent pair in each word's segment, all
-leftmost pairs of that rank merged at once, the array compacted, until no word has a pair left.
+leftmost pairs of that rank merged at once, the array compacted, until no word has a pair left. A round looks up only the pairs
+that the last one made.
 
 Merging all pairs of a rank at once gives what one at a time, leftmost first, gives, unless a merged piece can at once be part of a
 pair that comes before the rest of its rank. Such pieces are known from the model (``Model.eager``); words about to make one
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrid.llm.blocks import arrow_type, ragged
-from monthgrid.llm.words import parts
+from monthgrid.llm.words import give_back, parts
 
 #: How the model writes a space.
 MARK = "▁"
@@ -124,29 +125,39 @@ def _pair_ranks(model: Model, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 def merge_rounds(model: Model, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merges the symbols of many words at once. ``word`` numbers each symbol's word, ascending. Returns both, merged."""
     done_sym, done_word = [], []
+    rank, piece = np.full(len(sym), _NONE), np.zeros(len(sym), np.int64)
+    fresh = np.arange(len(sym))  # whose pair with the next symbol is new in this round
     while len(sym):
-        rank, piece = np.full(len(sym), _NONE), np.zeros(len(sym), np.int64)
-        if len(sym) > 1:
-            rank[:-1], piece[:-1] = _pair_ranks(model, sym[:-1], sym[1:])
-            rank[:-1][word[:-1] != word[1:]] = _NONE
-        start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        fresh = fresh[fresh < len(sym) - 1]
+        rank[fresh], piece[fresh] = _pair_ranks(model, sym[fresh], sym[fresh + 1])
+        edge = word[1:] != word[:-1]
+        rank[:-1][edge] = _NONE
+        rank[-1] = _NONE
+        start = np.concatenate([[0], np.flatnonzero(edge) + 1])
         size = np.diff(np.append(start, len(sym)))
         least = np.minimum.reduceat(rank, start)
-        over = np.repeat(least == _NONE, size)
-        done_sym.append(sym[over])
-        done_word.append(word[over])
-        hit = ~over & (rank == np.repeat(least, size))
-        place = np.arange(len(sym))
-        # of pairs that overlap, every second one from the left
+        ended = least == _NONE
+        hit = rank == np.repeat(np.where(ended, -1, least), size)
+        if ended.any():
+            over = np.repeat(ended, size)
+            done_sym.append(sym[over])
+            done_word.append(word[over])
         begins = hit & ~np.concatenate([[False], hit[:-1]])
-        hit &= (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
-        hasty = np.bitwise_or.reduceat(hit & model.eager[piece], start) if len(start) else np.zeros(0, bool)
+        if (hit & ~begins).any():  # of pairs that overlap, every second one from the left
+            place = np.arange(len(sym))
+            hit &= (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
+        at = np.flatnonzero(hit)
+        hasty = model.eager[piece[at]]
         if hasty.any():
-            first = np.minimum.reduceat(np.where(hit, place, len(sym)), start)
-            hit &= ~np.repeat(hasty, size) | (place == np.repeat(first, size))
-        sym = np.where(hit, piece, sym)
-        keep = ~over & ~np.concatenate([[False], hit[:-1]])
-        sym, word = sym[keep], word[keep]
+            whose = np.searchsorted(start, at, "right") - 1
+            first = np.concatenate([[True], whose[1:] != whose[:-1]])
+            at = at[first | ~np.isin(whose, whose[hasty])]
+        sym[at] = piece[at]
+        keep = ~over if ended.any() else np.ones(len(sym), bool)
+        keep[at + 1] = False
+        at = (np.cumsum(keep) - 1)[at]
+        sym, word, rank, piece = sym[keep], word[keep], rank[keep], piece[keep]
+        fresh = np.concatenate([at, at[at > 0] - 1])
     sym, word = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_sym, done_word))
     order = np.argsort(word, kind="stable")
     return sym[order], word[order]
@@ -215,56 +226,70 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
 
 
 class _Store:
-    """Ids of the words met so far."""
+    """Ids of the words met so far; word 0 is the end of a text."""
 
     def __init__(self, model: Model):
-        self.model = model
+        self.model, self.known = model, defaultdict()
         self.clear()
 
     def clear(self):
-        self.known: defaultdict = defaultdict()
+        self.known.default_factory = None  # breaks the cycle that would keep the words until Python next looks for cycles
+        self.known = defaultdict()
         self.known.default_factory = self.known.__len__
-        self.flat, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known[None] = 0
+        self.flat, self.used = np.array([self.model.end], np.int32), 1
+        self.size, self.start = np.ones(1, np.int64), np.zeros(1, np.int64)
+
+    def met(self, text: str) -> np.ndarray:
+        """The numbers of a text's words."""
+        return np.fromiter(map(self.known.__getitem__, _WORD.findall(text)), np.int64)
+
+    def ids_of(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered words, one after the other, and how many each array of words has."""
+        if len(self.known) > len(self.size):
+            self.learn()
+        ids, size = ragged(self.flat, self.start, self.size, np.concatenate(words))
+        total = np.concatenate([[0], np.cumsum(size)])
+        return ids, np.diff(total[np.cumsum([0, *map(len, words)])])
+
+    def forget(self):
+        if len(self.known) > KNOWN:
+            self.clear()
 
     def ids(self, text: str) -> list[np.ndarray]:
+        """The ids of a text of any length, a segment at a time."""
         out = []
         for part in segments(text):
-            if len(self.known) > KNOWN:
-                self.clear()
-            at = np.fromiter(map(self.known.__getitem__, _WORD.findall(part)), np.int64)
-            if len(self.known) > len(self.size):
-                self.learn()
-            out.append(ragged(self.flat, self.start, self.size, at)[0])
+            self.forget()
+            out.append(self.ids_of([self.met(part)])[0])
         return out
 
     def learn(self):
         flat, size = merged(self.model, list(islice(self.known, len(self.size), None)))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+        if self.used + len(flat) > len(self.flat):  # room for as many again, so that each id is moved a few times only
+            self.flat = np.concatenate([self.flat, np.empty(self.used + len(flat), np.int32)])
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.start = np.concatenate([self.start, self.used + np.cumsum(size) - size])
+        self.size, self.used = np.concatenate([self.size, size]), self.used + len(flat)
 
 
 def _encode(path: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = read_model(path)
-        store, end = _Store(model), np.array([model.end], np.int32)
+        store = _Store(read_model(path))
+        end = store.flat[:1]
         for b in parts(batches, 64):
-            rows, sizes = [], [0]
-            # meet the words of the whole slice before any is merged, so that they are merged together
             texts = [MARK + t.replace(" ", MARK) if t else "" for t in b.column(1).to_pylist()]
             if sum(map(len, texts)) <= SEGMENT:
-                if len(store.known) > KNOWN:
-                    store.clear()
-                for t in texts:
-                    for w in _WORD.findall(t):
-                        store.known[w]
-                if len(store.known) > len(store.size):
-                    store.learn()
-            for t in texts:
-                row = store.ids(t) + [end] if t else [end]
-                rows += row
-                sizes.append(sum(map(len, row)))
-            ids = pa.LargeListArray.from_arrays(pa.array(np.cumsum(sizes)), pa.array(np.concatenate(rows)))
+                # meet the words of the whole slice before any is merged, so that they are merged together
+                store.forget()
+                flat, sizes = store.ids_of([np.append(store.met(t), 0) for t in texts])
+            else:
+                rows = [np.concatenate([*(store.ids(t) if t else []), end]) for t in texts]
+                flat, sizes = np.concatenate(rows), list(map(len, rows))
+            ids = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *sizes])), pa.array(flat))
             yield pa.RecordBatch.from_arrays([b.column(0), ids.cast(schema.field(1).type)], schema=schema)
+        store.clear()
+        give_back()
     return run
 
 
@@ -307,6 +332,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                     text = text[1:]
                 out.append(text.decode("utf-8", "monthgrid-each-byte"))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, "decoded"])
+        give_back()
 
     return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields) + ", decoded string")
 

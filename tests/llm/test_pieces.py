@@ -1,8 +1,11 @@
+import gc
 import hashlib
 import os
 import random
+from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -108,3 +111,39 @@ def test_registered_query_over_a_table(spark):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(ORACLE.decode(ids).encode()).hexdigest()
+
+
+def test_forgotten_words_are_freed_at_once():
+    """The words of a store were part of a cycle, and stayed until Python looked for cycles."""
+    store = P._Store(MODEL)
+    gc.disable()
+    try:
+        count = sum(type(x) is defaultdict for x in gc.get_objects())
+        for k in range(20):
+            store.ids(f"{P.MARK}word{k}")
+            store.clear()
+        assert sum(type(x) is defaultdict for x in gc.get_objects()) == count
+    finally:
+        gc.enable()
+
+
+def test_rounds_look_up_new_pairs_only(monkeypatch):
+    """Each round looked up every pair of every word."""
+    looked = []
+    ranks = P._pair_ranks
+    monkeypatch.setattr(P, "_pair_ranks", lambda model, left, right: looked.append(len(left)) or ranks(model, left, right))
+    words = [f"{P.MARK}{w}" for w in "understanding misrepresentations internationalization the a zqxj".split()] * 5
+    sym = np.concatenate([MODEL.char[[ord(c) for c in w]] for w in words])
+    ids, word = P.merge_rounds(MODEL, sym, np.repeat(np.arange(len(words)), [len(w) for w in words]))
+    assert [ids[word == k].tolist() for k in range(len(words))] == [ORACLE.encode(w[1:]) for w in words]
+    merges = len(sym) - len(ids)
+    assert sum(looked) <= len(sym) + 2 * merges
+
+
+def test_a_slice_longer_than_a_segment(monkeypatch):
+    monkeypatch.setattr(P, "SEGMENT", 40)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    texts = ["one two three", None, "", "four " * 30, "five", " "]
+    for some in (texts, texts[:3], texts[1:3]):
+        got = list(P._encode(PATH, schema)(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(some))), "text": pa.array(some, pa.string())})])))
+        assert [r["ids"] for b in got for r in b.to_pylist()] == [ORACLE.encode(t or "", add_eos=True) for t in some]
