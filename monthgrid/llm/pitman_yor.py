@@ -21,6 +21,7 @@ broadcast. A word's and a pair's part of the score go back to the blocks that ho
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthgrid.llm import words as W
-from monthgrid.llm.blocks import arrow_type, by_bucket, kept_by, packed, pairs_of, ragged, unzip_ints, unzip_longs, unzip_pieces, zip_ints, zip_longs, zip_pieces
+from monthgrid.llm.blocks import (arrow_type, distinct, kept_by, packed, pairs_of, ragged, unzip_counts, unzip_ints, unzip_longs, unzip_pieces, unzip_steps,
+                                  with_pairs, zip_counts, zip_ints, zip_longs, zip_pieces, zip_steps)
 from monthgrid.llm.labels import remainder
 
 BURN, KEEP = 2, 3
@@ -61,7 +63,7 @@ def seat(customers: np.ndarray, pull: np.ndarray, base: np.ndarray, discount: fl
     ``pull`` is the weight of a new table from the tables of other dishes, (strength + discount * tables) * base; ``seed`` decides
     the draws. A dish with customers has a table at least, and no more tables than customers.
     """
-    order = np.argsort(-customers, kind="stable")
+    order = np.argsort(-customers.astype(np.int16 if customers.max(initial=0) < 1 << 15 else np.int64), kind="stable")  # short numbers go by their digits
     c, pull, base, seed = customers[order], pull[order], base[order], seed[order]
     t = (c > 0).astype(float)
     j, some = 1, int(np.searchsorted(-c, -1, "left"))
@@ -99,6 +101,12 @@ def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return context, symbol, owner
 
 
+def coded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes, context * 512 + symbol, of all characters; the place among them and the word number of every character."""
+    context, symbol, owner = spell(words)
+    return *distinct(context << 9 | symbol), owner
+
+
 class Spelling:
     """Predictive probabilities of the character restaurants, ready for lookup: full tables up to contexts of two characters,
     sorted codes for the seen pairs of a three-character context and a symbol, and each such context's weight of its parent."""
@@ -166,7 +174,11 @@ class Spelling:
     def words(self, spelt: tuple) -> np.ndarray:
         """Probability of each spelt word, its end included."""
         context, symbol, owner = spelt
-        return np.exp(np.bincount(owner, np.log(self.probability(context, symbol)))) if len(owner) else np.zeros(0)
+        return self.coded(*distinct(context << 9 | symbol), owner)
+
+    def coded(self, code: np.ndarray, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The same from ``coded``: each distinct code is looked up once."""
+        return np.exp(np.bincount(owner, np.log(self.probability(code >> 9, code & 511))[at])) if len(owner) else np.zeros(0)
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
@@ -175,62 +187,101 @@ def _hash(words: list[bytes]) -> np.ndarray:
     return W.hash_spans(np.frombuffer(b"".join(words) + b"\0", np.uint8), ends - size, ends)
 
 
-def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, context, times) of each distinct pair, sorted by word and context."""
-    word, context, times = (np.concatenate(x) for x in zip(*held))
-    order = np.lexsort((context, word))
-    word, context = word[order], context[order]
-    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])])) if len(word) else order
-    return word[first], context[first], np.add.reduceat(times[order], first) if len(word) else times
-
-
-VOCABULARY = ("bucket int, words binary, counts binary, sizes binary, contexts binary, context_at binary, times binary, "
-              "n bigint, v bigint, once bigint, twice bigint, pairs_once bigint, pairs_twice bigint")
+def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, times) of each distinct pair, sorted."""
+    pair, times = (np.concatenate(x) for x in zip(*held))
+    code, at = distinct(pair)
+    return code, np.bincount(at, times, len(code)).astype(np.int64)
+
+
+VOCABULARY = ("bucket int, words binary, counts binary, sizes binary, contexts binary, context_at binary, own binary, times binary, "
+              "n bigint, v bigint, once bigint, twice bigint, pairs_once bigint, pairs_twice bigint, block bigint, at binary, word_at binary, pair_at binary")
+_VOCABULARY = pa.schema([(c, {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[t]) for c, t in (x.split() for x in VOCABULARY.split(", "))])
+#: Bytes and pairs that a task gathers before it passes or merges them.
+_GATHERED, _HELD = 4 << 20, 1 << 20
+
+
+def _gathered(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of a few MB."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row.values() if isinstance(v, bytes))
+        if size > _GATHERED:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each number in the sorted ``known``, -1 if it is not there."""
+    if not len(known):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return np.where(known[at] == asked, at, -1)
+
+
+def _bucket_rows(bucket: int, known: dict, parts: list[dict], contexts: np.ndarray, order: int) -> Iterator[dict]:
+    """The row of a bucket's words and pairs, then for each block where its words and pairs are in it."""
+    words = sorted(known)
+    place = np.empty(max(known.values()) + 1, np.int64)
+    place[np.fromiter(map(known.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+    known.clear()
+    hashes = _hash(words)
+    contexts = np.unique(np.concatenate([contexts, hashes]))
+
+    def pairs(part, ids):
+        at = _places(contexts, unzip_longs(part["contexts"]))[unzip_steps(part["context_at"])]
+        return np.where(at < 0, -1, np.repeat(ids.astype(np.int64), unzip_ints(part["sizes"])) * len(contexts) + at)
+
+    c, merged, held = np.zeros(len(words), np.int64), [(np.zeros(0, np.int64),) * 2], 0
+    for part in parts:
+        part["ids"] = ids = place[part["ids"]].astype(np.int32)
+        c[ids] += unzip_ints(part.pop("learnt"))
+        if order == 2:
+            times = unzip_ints(part.pop("times")).astype(np.int64)
+            some = np.flatnonzero(times)
+            merged.append((pairs(part, ids)[some], times[some]))
+            held += len(some)
+            if held > max(_HELD, 2 * len(merged[0][0])):
+                merged, held = [_merged(merged)], 0
+    pair, times = _merged(merged)
+    word, context = np.divmod(pair, len(contexts))
+    sizes = np.bincount(word, minlength=len(words))
+    first = sizes if order == 2 else c  # the customers of the word restaurant while each pair has one table
+    yield dict(bucket=bucket, words=zip_pieces(words), counts=zip_counts(c), sizes=zip_ints(sizes), contexts=zip_longs(contexts), context_at=zip_ints(context),
+               own=zip_ints(np.searchsorted(contexts, hashes)), times=zip_counts(times), n=int(c.sum()),
+               **{k: int(x.sum()) for k, x in (("v", c > 0), ("once", first == 1), ("twice", first == 2), ("pairs_once", times == 1), ("pairs_twice", times == 2))})
+    for part in parts:
+        yield dict(bucket=bucket, block=part["block"], at=part["at"], word_at=zip_steps(part["ids"]), pair_at=zip_steps(_places(pair, pairs(part, part["ids"])) + 1))
 
 
 def _vocabulary(order: int):
-    """Distinct words of each bucket with their training counts and their pairs with the word before; rows arrive sorted by bucket."""
+    """Distinct words of each bucket with their training counts and their pairs with the word before, and where each block's words
+    and pairs are among these (a pair's place from 1 on, 0 if it is not learnt); rows arrive sorted by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, known, learnt, pairs, held = None, {}, [], [], 0
+        bucket, known, held, contexts, more, numbers = None, {}, [], np.zeros(0, W.U), [], itertools.count()
 
         def out():
-            words = sorted(known)
-            number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            place = np.empty(len(words), np.int64)
-            place[number] = np.arange(len(words))
-            c = np.zeros(len(words), np.int64)
-            for ids, n in learnt:
-                c[place[ids]] += n
-            word, context, times = _merged([(place[w], u, n) for w, u, n in pairs] or [(np.zeros(0, np.int64), np.zeros(0, W.U), np.zeros(0, np.int64))])
-            contexts, at = np.unique(np.concatenate([context, _hash(words)]), return_inverse=True)
-            sizes = np.bincount(word, minlength=len(words))
-            first = sizes if order == 2 else c  # the customers of the word restaurant while each pair has one table
-            values = [bucket, zip_pieces(words), zip_longs(c), zip_ints(sizes), zip_longs(contexts), zip_ints(at[:len(word)]), zip_longs(times), int(c.sum()),
-                      *(int(x.sum()) for x in (c > 0, first == 1, first == 2, times == 1, times == 2))]
-            names = [x.split()[0] for x in VOCABULARY.split(", ")]
-            types = [pa.int32()] + [pa.binary()] * 6 + [pa.int64()] * 6
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
-
-        for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                if row["bucket"] != bucket:
-                    if known:
-                        yield out()
-                    bucket, known, learnt, pairs, held = row["bucket"], {}, [], [], 0
-                ids = np.fromiter((known.setdefault(w, len(known)) for w in unzip_pieces(row["pieces"])), np.int64)
-                learnt.append((ids, unzip_ints(row["learnt"])))
-                if order < 2:
-                    continue
-                times = unzip_ints(row["times"]).astype(np.int64)
-                some = np.flatnonzero(times)
-                pairs.append((np.repeat(ids, unzip_ints(row["sizes"]))[some], unzip_longs(row["contexts"])[unzip_ints(row["context_at"])[some]], times[some]))
-                held += len(some)
-                if held > max(1 << 20, 2 * len(pairs[0][0])):
-                    pairs = [_merged(pairs)]
-                    held = len(pairs[0][0])
-        if known:
-            yield out()
+            return _gathered(_bucket_rows(bucket, known, held, np.concatenate([contexts, *more]), order), _VOCABULARY)
+
+        for b in W.parts(batches, 1):  # a block's part at a time
+            row = b.to_pylist()[0]
+            if row["bucket"] != bucket:
+                if held:
+                    yield from out()
+                bucket, known, held, contexts, more, numbers = row["bucket"], {}, [], np.zeros(0, W.U), [], itertools.count()
+            row["ids"] = np.fromiter(map(known.setdefault, unzip_pieces(row.pop("pieces")), numbers), np.int32)
+            if order == 2:
+                learnt = np.zeros(int.from_bytes(row["contexts"][:8], "little"), bool)
+                learnt[unzip_steps(row["context_at"])[unzip_ints(row["times"]) > 0]] = True
+                more.append(unzip_longs(row["contexts"])[learnt])
+                if sum(map(len, more)) > max(_HELD, 2 * len(contexts)):
+                    contexts, more = np.unique(np.concatenate([contexts, *more])), []
+            held.append(row)
+        if held:
+            yield from out()
     return run
 
 
@@ -242,29 +293,29 @@ class _Bucket:
     """The words of a bucket, their pairs with the word before, and what the homes of the contexts say about all buckets."""
 
     def __init__(self, row: dict, homes: int):
-        self.words, self.counts = unzip_pieces(row["words"]), unzip_longs(row["counts"]).astype(np.int64)
-        self.hash = _hash(self.words)
-        self.contexts, self.at, self.times = unzip_longs(row["contexts"]), unzip_ints(row["context_at"]), unzip_longs(row["times"]).astype(np.int64)
-        self.word = np.repeat(np.arange(len(self.words)), unzip_ints(row["sizes"]))
-        self.own = np.searchsorted(self.contexts, self.hash)  # the words as contexts
+        self.counts = unzip_counts(row["counts"]).astype(np.int64)
+        self.contexts, self.at, self.times = unzip_longs(row["contexts"]), unzip_ints(row["context_at"]), unzip_counts(row["times"]).astype(np.int64)
+        self.word = np.repeat(np.arange(len(self.counts)), unzip_ints(row["sizes"]))
+        self.own = unzip_ints(row["own"])  # the words as contexts
+        self.hash = self.contexts[self.own]
         self.home = (self.contexts % W.U(homes)).astype(np.int64)
         self.big = np.flatnonzero(self.times > 1)  # a pair seen once keeps its one table
         self.tables, self.customers = np.zeros((2, len(self.contexts)))  # of each context's restaurant in all buckets
         for x in row.get("first") or ():
             here = self.home == x["home"]
-            self.tables[here], self.customers[here] = unzip_longs(x["tables"]), unzip_longs(x["customers"])
+            self.tables[here], self.customers[here] = unzip_counts(x["tables"]), unzip_counts(x["customers"])
         asks = np.zeros(len(self.contexts), bool)
         asks[self.at[self.big]] = True
         asks[self.own[(self.customers > self.tables)[self.own]]] = True
         self.asks = np.flatnonzero(asks)  # the contexts whose tables can change and matter here
         for x in row.get("replies") or ():
-            self.tables[self.asks[self.home[self.asks] == x["home"]]] += unzip_longs(x["tables"])
+            self.tables[self.asks[self.home[self.asks] == x["home"]]] += unzip_counts(x["tables"])
 
     def messages(self, which: np.ndarray, tables: np.ndarray, customers: np.ndarray) -> list[dict]:
         """To each home those of ``which`` contexts that it keeps, with this bucket's tables and customers of each."""
         order = which[np.argsort(self.home[which], kind="stable")]
         parts = np.split(order, np.flatnonzero(np.diff(self.home[order])) + 1)
-        return [{"home": int(self.home[i[0]]), "contexts": zip_longs(self.contexts[i]), "tables": zip_longs(tables[i]), "customers": zip_longs(customers[i])} for i in parts if len(i)]
+        return [{"home": int(self.home[i[0]]), "contexts": zip_longs(self.contexts[i]), "tables": zip_counts(tables[i]), "customers": zip_counts(customers[i])} for i in parts if len(i)]
 
     def first(self) -> list[dict]:
         """All contexts, with a table for each pair."""
@@ -299,29 +350,28 @@ def _sweep(known, d: float, d_pair: float, sweep: int, burn: int, order: int, ho
         for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
                 k = _Bucket(row, homes)
-                context, symbol, owner = spelt = spell(k.words)
+                code, at, owner = spelt = coded(unzip_pieces(row["words"]))
                 kept, sums = list(row.get("kept") or ()), np.zeros(len(k.times))
                 if sweep:
-                    spelling, sums = model.words(spelt), unzip_longs(row["pair_tables"]).astype(float)
-                    word, at = k.word[k.big], k.at[k.big]
-                    p = _word(unzip_longs(row["seated"]).astype(float), unzip_longs(row["at_tables"]).astype(float), spelling, d, total, tables)[word]
+                    spelling, sums = model.coded(*spelt), unzip_counts(row["pair_tables"]).astype(float)
+                    word, context = k.word[k.big], k.at[k.big]
+                    p = _word(unzip_counts(row["seated"]).astype(float), unzip_counts(row["at_tables"]).astype(float), spelling, d, total, tables)[word]
                     pair_t = np.ones(len(k.times))
-                    pair_t[k.big] = seat(k.times[k.big], (THETA + d_pair * k.tables[at]) * p, p, d_pair, W.mix(k.contexts[at] ^ W.mix(k.hash[word] ^ W.U(sweep + 1))))
-                    c = np.bincount(k.word, pair_t, len(k.words)).astype(np.int64) if order == 2 else k.counts
+                    pair_t[k.big] = seat(k.times[k.big], (THETA + d_pair * k.tables[context]) * p, p, d_pair, W.mix(k.contexts[context] ^ W.mix(k.hash[word] ^ W.U(sweep + 1))))
+                    c = np.bincount(k.word, pair_t, len(k.counts)).astype(np.int64) if order == 2 else k.counts
                     t = _tables(c, spelling, tables, d, k.hash, sweep)
                     if sweep > burn + 1:
-                        kept.append(zip_longs(k.tables[k.own]))
+                        kept.append(zip_counts(k.tables[k.own]))
                 else:
                     pair_t = np.ones(len(k.times))
-                    c = np.bincount(k.word, pair_t, len(k.words)).astype(np.int64) if order == 2 else k.counts
+                    c = np.bincount(k.word, pair_t, len(k.counts)).astype(np.int64) if order == 2 else k.counts
                     t = (c > 0).astype(float)
                 if sweep > burn:
-                    kept += [zip_longs(c), zip_longs(t)]
+                    kept += [zip_counts(c), zip_counts(t)]
                     sums = sums + pair_t
-                code, at = np.unique(context << 9 | symbol, return_inverse=True)
                 n = np.bincount(at, t[owner]).astype(np.int64)
-                yield pa.RecordBatch.from_pylist([{"bucket": row["bucket"], "seated": zip_longs(c), "at_tables": zip_longs(t), "pair_tables": zip_longs(sums), "kept": kept,
-                                                   "codes": zip_ints(code[n > 0]), "code_n": zip_longs(n[n > 0]), "total": int(c.sum()), "tables": int(t.sum()),
+                yield pa.RecordBatch.from_pylist([{"bucket": row["bucket"], "seated": zip_counts(c), "at_tables": zip_counts(t), "pair_tables": zip_counts(sums), "kept": kept,
+                                                   "codes": zip_ints(code[n > 0]), "code_n": zip_counts(n[n > 0]), "total": int(c.sum()), "tables": int(t.sum()),
                                                    "messages": k.more(pair_t) if order == 2 and sweep else []}], _STATE)
     return run
 
@@ -337,7 +387,7 @@ def _first(homes: int):
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in W.parts(batches, 1):
         for row in b.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(unzip_ints(row["codes"]).astype(np.int64)), pa.array(unzip_longs(row["code_n"]).astype(np.int64))], names=["code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(unzip_ints(row["codes"]).astype(np.int64)), pa.array(unzip_counts(row["code_n"]).astype(np.int64))], names=["code", "n"])
 
 
 _REPLY = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("tables", pa.binary()), ("customers", pa.binary())])
@@ -348,9 +398,9 @@ def _home(rows: pa.Table) -> pa.Table:
     rows = rows.to_pylist()
     asked = [unzip_longs(r["contexts"]) for r in rows]
     contexts, at = np.unique(np.concatenate(asked), return_inverse=True)
-    t, c = (np.bincount(at, np.concatenate([unzip_longs(r[x]) for r in rows]), len(contexts)) for x in ("tables", "customers"))
+    t, c = (np.bincount(at, np.concatenate([unzip_counts(r[x]) for r in rows]), len(contexts)) for x in ("tables", "customers"))
     parts = np.split(at, np.cumsum([len(x) for x in asked])[:-1])
-    return pa.Table.from_pylist([{"bucket": r["bucket"], "home": r["home"], "tables": zip_longs(t[i]), "customers": zip_longs(c[i])} for r, i in zip(rows, parts)], _REPLY)
+    return pa.Table.from_pylist([{"bucket": r["bucket"], "home": r["home"], "tables": zip_counts(t[i]), "customers": zip_counts(c[i])} for r, i in zip(rows, parts)], _REPLY)
 
 
 def _replies(messages: DataFrame, name: str) -> DataFrame:
@@ -363,83 +413,66 @@ def _seen(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in W.parts(batches, 1):  # a bucket at a time
             for row in b.to_pylist():
-                spelt, c = spell(unzip_pieces(row["words"])), unzip_longs(row["counts"])
-                mass = [float(model.words(spelt)[c > 0].sum()) for model, _, _ in known.value]
+                spelt, c = coded(unzip_pieces(row["words"])), unzip_counts(row["counts"])
+                mass = [float(model.coded(*spelt)[c > 0].sum()) for model, _, _ in known.value]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(mass)), pa.int32()), pa.array(mass, pa.float64())], names=["sample", "mass"])
     return run
 
 
-_SCORED = [(c, pa.binary()) for c in ("words", "counts", "shares", "weights", "sizes", "contexts", "context_at", "own")]
-
-
-def _score(known, seen: list[float], d: float, d_pair: float, homes: int):
-    """For each kept sweep the words' probabilities in the word restaurant and the weight of that restaurant after each word; and
-    the pairs' own share of their context, averaged."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in W.parts(batches, 1):  # a bucket at a time
-            for row in b.to_pylist():
-                k, n = _Bucket(row, homes), len(known.value)
-                spelt, shares, weights, customers = spell(k.words), [], [], k.customers[k.own]
-                kept = [unzip_longs(x).astype(float) for x in row["kept"]] + [k.tables[k.own]]
-                for (model, total, tables), mass, c, t, rooms in zip(known.value, seen, kept[::3], kept[1::3], kept[2::3]):
-                    new = (THETA + d * tables) * max(1 - mass, 0) / (THETA + total)
-                    shares.append(np.where(k.counts > 0, _word(c, t, model.words(spelt), d, total, tables), new))
-                    weights.append((THETA + d_pair * rooms) / (THETA + customers))
-                own = (k.times - d_pair * unzip_longs(row["pair_tables"]).astype(float) / n) / (THETA + k.customers[k.at])
-                values = [row["words"], row["counts"], *(np.array(x, np.float32).tobytes() for x in (shares, weights)), row["sizes"], row["contexts"], row["context_at"],
-                          own.astype(np.float32).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), *(pa.array([v], t) for v, (_, t) in zip(values, _SCORED))],
-                                                 names=["bucket", *(c for c, _ in _SCORED)])
-    return run
-
-
-_FOUND = ("at", "low", "high", "shares", "weights", "own")
+_FOUND = ("at", "counts", "customers", "rooms", "shares", "times", "tables")
 
 
-def _to_blocks(vocabulary: pa.Table, blocks: pa.Table) -> pa.Table:
+def _score(known, seen: list[float], d: float, homes: int):
+    """What each block needs of a bucket's words and pairs, by the places of the block's own: for each kept sweep the words' probabilities in
+    the word restaurant and their tables as contexts; the pairs' customers, and their tables summed over the kept sweeps."""
     schema = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in _FOUND)])
-    if not vocabulary.num_rows:
-        return schema.empty_table()
-    row = vocabulary.to_pylist()[0]
-    where = {w: i for i, w in enumerate(unzip_pieces(row["words"]))}
-    c = unzip_longs(row["counts"])
-    shares, weights = (np.frombuffer(row[x], np.uint32).reshape(-1, len(c)) for x in ("shares", "weights"))
-    contexts, own = unzip_longs(row["contexts"]), np.frombuffer(row["own"], np.float32)
-    pairs = np.repeat(np.arange(len(c)), unzip_ints(row["sizes"])) * len(contexts) + unzip_ints(row["context_at"])
-    out = []
-    for i in range(blocks.num_rows):
-        b = blocks.slice(i, 1).to_pylist()[0]
-        i = np.fromiter(map(where.__getitem__, unzip_pieces(b["pieces"])), np.int64)
-        asked = unzip_longs(b["contexts"])
-        at = np.minimum(np.searchsorted(contexts, asked), len(contexts) - 1)
-        at = np.where(contexts[at] == asked, at, -1)[unzip_ints(b["context_at"])]
-        code = np.repeat(i, unzip_ints(b["sizes"])) * len(contexts) + at
-        found = np.zeros(len(code), np.float32)
-        if len(pairs):
-            j = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
-            found = np.where((pairs[j] == code) & (at >= 0), own[j], found)
-        out.append({"block": b["block"], "at": b["at"], "low": zip_ints(c[i] & W.U(0xFFFFFFFF)), "high": zip_ints(c[i] >> W.U(32)), "shares": zip_ints(shares[:, i].ravel()),
-                    "weights": zip_ints(weights[:, i].ravel()), "own": zip_ints(found.view(np.uint32))})
-    return pa.Table.from_pylist(out, schema)
-
-
-def _documents(schema: pa.Schema, total: int, kinds: int, keep: int):
-    def run(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
-        at, low, high = (np.concatenate([unzip_ints(x) for x in pieces.column(k).to_pylist()]) for k in ("at", "low", "high"))
-        count = np.empty(len(at), np.int64)
-        count[at] = low.astype(np.int64) | high.astype(np.int64) << 32
+
+    def score(states: pa.Table, places: pa.Table) -> pa.Table:
+        row = states.to_pylist()[0]
+        k, spelt, shares = _Bucket(row, homes), coded(unzip_pieces(row["words"])), []
+        kept = [unzip_counts(x) for x in row["kept"]] + [k.tables[k.own].astype(W.U)]
+        for (model, total, tables), mass, c, t in zip(known.value, seen, kept[::3], kept[1::3]):
+            new = (THETA + d * tables) * max(1 - mass, 0) / (THETA + total)
+            shares.append(np.where(k.counts > 0, _word(c.astype(float), t.astype(float), model.coded(*spelt), d, total, tables), new))
+        shares, rooms = np.array(shares, np.float32).view(np.uint32), np.array(kept[2::3])
+        counts, customers = k.counts, k.customers[k.own]
+        times, at_tables = (np.concatenate([[0], x.astype(np.int64)]) for x in (k.times, unzip_counts(row["pair_tables"])))  # none for a pair that is not learnt
+        del kept, k, spelt
+
+        def rows():
+            for i in range(places.num_rows):
+                b = places.slice(i, 1).to_pylist()[0]
+                word, pair = unzip_steps(b["word_at"]), unzip_steps(b["pair_at"])
+                yield {"block": b["block"], "at": b["at"], "counts": zip_counts(counts[word]), "customers": zip_counts(customers[word]), "rooms": zip_counts(rooms[:, word].ravel()),
+                       "shares": zip_ints(shares[:, word].ravel()), "times": zip_counts(times[pair]), "tables": zip_counts(at_tables[pair])}
+
+        return pa.Table.from_batches(_gathered(rows(), schema), schema)
+    return score
+
+
+def _documents(schema: pa.Schema, total: int, kinds: int, keep: int, d_pair: float):
+    def run(blocks: pa.Table, found: pa.Table) -> pa.Table:
+        def of(name, unzip=unzip_counts):
+            return np.concatenate([unzip(x) for x in found.column(name).to_pylist()])
+
+        at = of("at", unzip_ints)
+        count, customers = np.empty((2, len(at)), np.int64)
+        count[at], customers[at] = of("counts"), of("customers")
         share, weight = (np.empty((keep, len(at)), np.float32) for _ in "sw")
-        for name, x in (("shares", share), ("weights", weight)):
-            x[:, at] = np.concatenate([unzip_ints(v).view(np.float32).reshape(keep, -1) for v in pieces.column(name).to_pylist()], axis=1)
+        share[:, at] = np.concatenate([unzip_ints(x).view(np.float32).reshape(keep, -1) for x in found.column("shares").to_pylist()], axis=1)
+        rooms = np.concatenate([unzip_counts(x).reshape(keep, -1) for x in found.column("rooms").to_pylist()], axis=1)
+        weight[:, at] = (THETA + d_pair * rooms) / (THETA + customers[at])  # the share of the word restaurant after each word
         base = np.log10((count + SMOOTH) / (total + SMOOTH * (kinds + 1)))
         out = []
         for docs, places in zip(blocks.column("docs").to_pylist(), blocks.column("places").to_pylist()):
             seq = unzip_ints(places)
-            code, pair = np.unique(pairs_of(seq, len(at)), return_inverse=True)
+            code, pair = distinct(pairs_of(seq, len(at)))
             word, before = np.divmod(code, len(at))
             sizes = np.bincount(word, minlength=len(at))
-            p = np.zeros(len(code))
-            p[ragged(np.arange(len(code)), np.cumsum(sizes) - sizes, sizes, at)[0]] = np.concatenate([unzip_ints(x).view(np.float32) for x in pieces.column("own").to_pylist()])
+            own = of("times").astype(np.int64) - d_pair * of("tables").astype(float) / keep
+            p = np.empty(len(code))
+            p[ragged(np.arange(len(code)), np.cumsum(sizes) - sizes, sizes, at)[0]] = own
+            p = (p / (THETA + customers[before])).astype(np.float32).astype(float)  # the pairs' own share of their context
             for s, w in zip(share, weight):
                 p += w[before].astype(float) * s[word] / keep
             model = np.log10(np.maximum(p, 1e-300))
@@ -468,9 +501,10 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP,
     spark = docs.sparkSession
     homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
-    blocks = packed(docs, tokens, learns, BLOCK, max(homes, -(-chars // PER_BUCKET)), pairs=_hash)
-    bucketed = by_bucket(blocks).repartition("bucket").sortWithinPartitions("bucket")
-    vocabulary = kept_by(bucketed.mapInArrow(_vocabulary(order), VOCABULARY), "bucket", "vocabulary")
+    blocks = packed(docs, tokens, learns, BLOCK, dealt=False)
+    bucketed = with_pairs(blocks, max(homes, -(-chars // PER_BUCKET)), _hash).repartition("bucket").sortWithinPartitions("bucket")
+    dealt = kept_by(bucketed.mapInArrow(_vocabulary(order), VOCABULARY), "bucket", "vocabulary")
+    vocabulary = dealt.filter("block IS NULL").drop("block", "at", "word_at", "pair_at")
     total, kinds, once, twice, pairs_once, pairs_twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("n", "v", "once", "twice", "pairs_once", "pairs_twice")]).first())
     d, d_pair = discount(once, twice), discount(pairs_once, pairs_twice)
     still = vocabulary.drop("n", "v", "once", "twice", "pairs_once", "pairs_twice")
@@ -495,14 +529,14 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP,
     known = spark.sparkContext.broadcast(kept)
     masses = vocabulary.select("words", "counts").mapInArrow(_seen(known), "sample int, mass double").groupBy("sample").agg(F.sum("mass").alias("mass")).collect()
     masses = dict(map(tuple, masses))
-    probable = rows.mapInArrow(_score(known, [masses.get(i, 0.0) for i in range(len(kept))], d, d_pair, homes), "bucket int, " + ", ".join(f"{c} binary" for c, _ in _SCORED))
-    found = (probable.groupBy("bucket").cogroup(by_bucket(blocks).drop("learnt", "times").groupBy("bucket"))
-             .applyInArrow(_to_blocks, "block bigint, " + ", ".join(f"{c} binary" for c in _FOUND)))
+    places = dealt.filter("block IS NOT NULL").select(F.col("bucket").alias("part"), "block", "at", "word_at", "pair_at")
+    found = (rows.groupBy("bucket").cogroup(places.groupBy("part"))  # both lie by bucket already
+             .applyInArrow(_score(known, [masses.get(i, 0.0) for i in range(len(kept))], d, homes), "block bigint, " + ", ".join(f"{c} binary" for c in _FOUND)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = pa.schema([("doc_id", arrow_type(kind)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     return (blocks.select("block", "docs", "places").groupBy("block").cogroup(found.groupBy("block"))
-            .applyInArrow(_documents(schema, total, kinds, keep), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
+            .applyInArrow(_documents(schema, total, kinds, keep, d_pair), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
 
 
 def op10_pitman_yor(spark, sf_dir) -> DataFrame:
