@@ -245,16 +245,13 @@ def with_pairs(blocks: DataFrame, buckets: int, hashes: Callable) -> DataFrame:
                 seq, pieces, learning = unzip_ints(row["places"]), unzip_pieces(row["pieces"]), _learning(row["docs"])
                 learnt = np.bincount(seq[learning], minlength=len(pieces))
                 before, times, start, n_before = _pairs(seq, learning, len(pieces))
-                known, place = hashes(pieces), np.empty(len(pieces), np.uint32)
+                known, every = hashes(pieces), np.arange(len(before))
                 del seq, learning
                 for k, at in _dealt(pieces, buckets):
-                    take, sizes = ragged(np.arange(len(before)), start, n_before, at)
-                    here = np.zeros(len(pieces), bool)
-                    here[before[take]] = True
-                    some = np.flatnonzero(here)
-                    place[some] = np.arange(len(some), dtype=np.uint32)
+                    take, sizes = ragged(every, start, n_before, at)
+                    some, place = distinct(before[take])
                     values = (zip_pieces([pieces[i] for i in at.tolist()]), zip_ints(at), zip_ints(learnt[at]), zip_ints(sizes), zip_longs(known[some]),
-                              zip_steps(place[before[take]]), zip_ints(times[take]))
+                              zip_steps(place), zip_ints(times[take]))
                     yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([k], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], schema=schema)
         give_back()
     return blocks.select("block", "docs", "places", "pieces").mapInArrow(run, "block bigint, bucket int, " + ", ".join(f"{c} binary" for c in _PAIRS))

@@ -222,6 +222,11 @@ def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return np.where(known[at] == asked, at, -1)
 
 
+def _set(held: list[np.ndarray]) -> np.ndarray:
+    s = np.sort(np.concatenate(held))
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def _bucket_rows(bucket: int, known: dict, parts: list[dict], contexts: np.ndarray, order: int) -> Iterator[dict]:
     """The row of a bucket's words and pairs, then for each block where its words and pairs are in it."""
     words = sorted(known)
@@ -229,20 +234,23 @@ def _bucket_rows(bucket: int, known: dict, parts: list[dict], contexts: np.ndarr
     place[np.fromiter(map(known.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
     known.clear()
     hashes = _hash(words)
-    contexts = np.unique(np.concatenate([contexts, hashes]))
+    contexts = _set([contexts, hashes])
 
     def pairs(part, ids):
         at = _places(contexts, unzip_longs(part["contexts"]))[unzip_steps(part["context_at"])]
         return np.where(at < 0, -1, np.repeat(ids.astype(np.int64), unzip_ints(part["sizes"])) * len(contexts) + at)
 
-    c, merged, held = np.zeros(len(words), np.int64), [(np.zeros(0, np.int64),) * 2], 0
+    c, merged, held, found = np.zeros(len(words), np.int64), [(np.zeros(0, np.int64),) * 2], 0, 0
     for part in parts:
         part["ids"] = ids = place[part["ids"]].astype(np.int32)
         c[ids] += unzip_ints(part.pop("learnt"))
         if order == 2:
-            times = unzip_ints(part.pop("times")).astype(np.int64)
+            times, code = unzip_ints(part.pop("times")).astype(np.int64), pairs(part, ids)
+            found += len(code)
+            if found < _HELD:  # few enough to keep until all are merged
+                part["pairs"] = code
             some = np.flatnonzero(times)
-            merged.append((pairs(part, ids)[some], times[some]))
+            merged.append((code[some], times[some]))
             held += len(some)
             if held > max(_HELD, 2 * len(merged[0][0])):
                 merged, held = [_merged(merged)], 0
@@ -254,7 +262,8 @@ def _bucket_rows(bucket: int, known: dict, parts: list[dict], contexts: np.ndarr
                own=zip_ints(np.searchsorted(contexts, hashes)), times=zip_counts(times), n=int(c.sum()),
                **{k: int(x.sum()) for k, x in (("v", c > 0), ("once", first == 1), ("twice", first == 2), ("pairs_once", times == 1), ("pairs_twice", times == 2))})
     for part in parts:
-        yield dict(bucket=bucket, block=part["block"], at=part["at"], word_at=zip_steps(part["ids"]), pair_at=zip_steps(_places(pair, pairs(part, part["ids"])) + 1))
+        code = part.pop("pairs") if "pairs" in part else pairs(part, part["ids"])
+        yield dict(bucket=bucket, block=part["block"], at=part["at"], word_at=zip_steps(part["ids"]), pair_at=zip_steps(_places(pair, code) + 1))
 
 
 def _vocabulary(order: int):
@@ -278,7 +287,7 @@ def _vocabulary(order: int):
                 learnt[unzip_steps(row["context_at"])[unzip_ints(row["times"]) > 0]] = True
                 more.append(unzip_longs(row["contexts"])[learnt])
                 if sum(map(len, more)) > max(_HELD, 2 * len(contexts)):
-                    contexts, more = np.unique(np.concatenate([contexts, *more])), []
+                    contexts, more = _set([contexts, *more]), []
             held.append(row)
         if held:
             yield from out()
@@ -298,22 +307,30 @@ class _Bucket:
         self.word = np.repeat(np.arange(len(self.counts)), unzip_ints(row["sizes"]))
         self.own = unzip_ints(row["own"])  # the words as contexts
         self.hash = self.contexts[self.own]
-        self.home = (self.contexts % W.U(homes)).astype(np.int64)
+        self.home = (self.contexts % W.U(homes)).astype(np.uint16 if homes < 1 << 16 else np.int64)  # short numbers are put in order by their digits
         self.big = np.flatnonzero(self.times > 1)  # a pair seen once keeps its one table
         self.tables, self.customers = np.zeros((2, len(self.contexts)))  # of each context's restaurant in all buckets
-        for x in row.get("first") or ():
-            here = self.home == x["home"]
-            self.tables[here], self.customers[here] = unzip_counts(x["tables"]), unzip_counts(x["customers"])
+        if row.get("first"):
+            self._tell(row["first"], np.arange(len(self.contexts)), tables=self.tables, customers=self.customers)
         asks = np.zeros(len(self.contexts), bool)
         asks[self.at[self.big]] = True
         asks[self.own[(self.customers > self.tables)[self.own]]] = True
         self.asks = np.flatnonzero(asks)  # the contexts whose tables can change and matter here
-        for x in row.get("replies") or ():
-            self.tables[self.asks[self.home[self.asks] == x["home"]]] += unzip_counts(x["tables"])
+        if row.get("replies"):
+            self._tell(row["replies"], self.asks, tables=self.tables)
+
+    def _by_home(self, which: np.ndarray) -> np.ndarray:
+        return which[np.argsort(self.home[which], kind="stable")]
+
+    def _tell(self, replies: list[dict], which: np.ndarray, **known: np.ndarray):
+        """Adds what the homes say about the contexts they were asked for."""
+        order, replies = self._by_home(which), sorted(replies, key=lambda x: x["home"])
+        for name, x in known.items():
+            x[order] += np.concatenate([unzip_counts(r[name]) for r in replies])
 
     def messages(self, which: np.ndarray, tables: np.ndarray, customers: np.ndarray) -> list[dict]:
         """To each home those of ``which`` contexts that it keeps, with this bucket's tables and customers of each."""
-        order = which[np.argsort(self.home[which], kind="stable")]
+        order = self._by_home(which)
         parts = np.split(order, np.flatnonzero(np.diff(self.home[order])) + 1)
         return [{"home": int(self.home[i[0]]), "contexts": zip_longs(self.contexts[i]), "tables": zip_counts(tables[i]), "customers": zip_counts(customers[i])} for i in parts if len(i)]
 
@@ -486,8 +503,8 @@ def _documents(schema: pa.Schema, total: int, kinds: int, keep: int, d_pair: flo
     return run
 
 
-#: Characters of text per block and, about, per bucket: what a task holds at a time, whatever the corpus.
-BLOCK, PER_BUCKET = 8 << 20, 4 << 20
+#: Characters of text per block and, about, per bucket and home: what a task holds at a time, whatever the corpus.
+BLOCK, PER_BUCKET, PER_HOME = 8 << 20, 4 << 20, 32 << 20
 
 
 def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP, order: int = 1) -> DataFrame:
@@ -499,10 +516,12 @@ def scored(docs: DataFrame, learns: Column, burn: int = BURN, keep: int = KEEP,
     any other; other columns are not read. ``score`` sums log10 probabilities per token, so ``10 ** (-score / n_tokens)`` is the perplexity.
     """
     spark = docs.sparkSession
-    homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
+    homes = max(1, min(most, -(-chars // PER_HOME)))  # every bucket writes to every home: a small corpus needs few of both
+    buckets = max(1, -(-chars // PER_BUCKET), min(most, -(-4 * chars // PER_BUCKET)))
     blocks = packed(docs, tokens, learns, BLOCK, dealt=False)
-    bucketed = with_pairs(blocks, max(homes, -(-chars // PER_BUCKET)), _hash).repartition("bucket").sortWithinPartitions("bucket")
+    bucketed = with_pairs(blocks, buckets, _hash).repartition("bucket").sortWithinPartitions("bucket")
     dealt = kept_by(bucketed.mapInArrow(_vocabulary(order), VOCABULARY), "bucket", "vocabulary")
     vocabulary = dealt.filter("block IS NULL").drop("block", "at", "word_at", "pair_at")
     total, kinds, once, twice, pairs_once, pairs_twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("n", "v", "once", "twice", "pairs_once", "pairs_twice")]).first())
