@@ -117,3 +117,60 @@ def test_after_each_word_the_known_words_and_the_unknown_one_add_up_to_one(spark
     m[1:, 1:] = [[p[f"{u} {w}"] / p[u] for w in words] for u in words]
     assert max(abs(np.linalg.eigvals(m))) == pytest.approx(1, abs=1e-4)
     assert p["the cat"] * p["sat"] > 2 * p["the sat"] * p["cat"]
+
+
+def test_scored_buckets_and_blocks_are_not_shuffled_again(spark):
+    plan = P.op10_pitman_yor(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 3 and plan.count("FlatMapCoGroupsInArrow") == 2, moved  # contexts to their homes and back, what blocks need to the blocks
+
+
+def test_a_small_corpus_has_few_homes_and_buckets(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(P, "with_pairs", lambda *a, made=P.with_pairs: asked.append(a[1]) or made(*a))
+    monkeypatch.setattr(P, "_sweep", lambda *a, made=P._sweep: asked.append(a[-1]) or made(*a))
+    most = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        P.scored(spark.createDataFrame([(1, "the cat"), (2, "the dog")], "doc_id bigint, text string"), P.F.lit(True), burn=0, keep=1, order=2).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", most)
+    assert set(asked) == {1}
+
+
+def test_places_point_at_the_words_and_pairs_of_every_block(spark, monkeypatch):
+    monkeypatch.setattr(P, "_HELD", 3)  # merges and looks pairs up in steps
+    texts = ["a b a b c", "b a c", "x a b", "c c c a", "", "a b"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    blocks = P.packed(docs, P.tokens, P.F.col("doc_id") != 2, 8, dealt=False)
+    parts = P.with_pairs(blocks, 2, P._hash)
+    rows = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(P._vocabulary(2), P.VOCABULARY).collect()
+    want = Counter((w, u) for i, t in enumerate(texts) if i != 2 for u, w in zip(["", *t.split()], [*t.split(), ""]))
+    got, sent = {}, 0
+    for r in (r for r in rows if r.block is None):
+        words, n, times = P.unzip_pieces(r.words), P.unzip_ints(r.sizes), P.unzip_counts(r.times)
+        contexts, at = P.unzip_longs(r.contexts), P.unzip_ints(r.context_at)
+        of = dict(zip(P._hash([b"", b"a", b"b", b"c", b"x"]).tolist(), ["", *"abcx"]))
+        pairs = [(w, of[int(contexts[i])]) for w, i in zip(np.repeat([w.decode() for w in words], n).tolist(), at)]
+        got |= dict(zip(pairs, times.tolist()))
+        mine = {p.block: p for p in parts.filter(f"bucket = {r.bucket}").collect()}
+        for p in (p for p in rows if p.block is not None and p.bucket == r.bucket):
+            part = mine[p.block]
+            assert [words[i] for i in P.unzip_steps(p.word_at)] == P.unzip_pieces(part.pieces)
+            before = P.unzip_longs(part.contexts)[P.unzip_steps(part.context_at)]
+            owner = np.repeat([w.decode() for w in P.unzip_pieces(part.pieces)], P.unzip_ints(part.sizes)).tolist()
+            for w, u, i in zip(owner, before.tolist(), P.unzip_steps(p.pair_at).tolist()):
+                assert (pairs[i - 1] if i else None) == ((w, of[u]) if (w, of[u]) in want else None)
+                sent += 1
+    assert got == want and sent
+
+
+def test_counts_steps_and_distinct_numbers_come_back():
+    from monthgrid.llm import blocks as B
+    rng = np.random.default_rng(3)
+    for x in ([], [0], [0, 0], [255, 1], [2**40, 3], rng.integers(0, 70000, 500)):
+        assert B.unzip_counts(B.zip_counts(np.array(x, np.uint64))).tolist() == list(x)
+    for x in ([], [5, 3, 2**32 - 1, 0], rng.integers(0, 2**32, 500)):
+        assert B.unzip_steps(B.zip_steps(np.array(x, np.int64))).tolist() == list(x)
+    for x in (np.zeros(0, np.int64), rng.integers(0, 20, 500), rng.integers(2**61, 2**62, 50)):
+        assert all((a == b).all() for a, b in zip(B.distinct(x), np.unique(x, return_inverse=True)))
